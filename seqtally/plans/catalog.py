@@ -65,3 +65,205 @@ def first_match_rpm(spark, sf_dir):
     reads = D.reads(spark, sf_dir)
     lib = _library(spark, sf_dir)
     return counts_columns(barcode_counts(reads, lib, barcode_set=D.LIBRARY_SET))
+
+
+def _first_match(spark, sf_dir, carry=("read_id",)):
+    reads = D.reads(spark, sf_dir)
+    lib = _library(spark, sf_dir)
+    return reads, lib, assign_first_match(reads, lib, carry=carry)
+
+
+def _counts(spark, sf_dir):
+    """Zero-filled first-match counts with RPM (keeps ord and barcode_set)."""
+    reads = D.reads(spark, sf_dir)
+    return barcode_counts(reads, _library(spark, sf_dir), barcode_set=D.LIBRARY_SET)
+
+
+# --- statistics, detection flags (AGG5, AGG6) -----------------------------------
+
+@query("first_match_stats", D.cte(**BASE, hits=HITS_SQL) + f"""
+SELECT t.sample, '{D.LIBRARY_SET}' AS barcode_set, t.total_reads,
+       CAST(coalesce(d.n, 0) AS BIGINT) AS detected_reads,
+       CASE WHEN t.total_reads > 0 THEN coalesce(d.n, 0) * 1.0e0 / t.total_reads END AS detection_rate
+FROM (SELECT sample, count(*) AS total_reads FROM reads GROUP BY sample) t
+LEFT JOIN (SELECT sample, count(*) AS n FROM hits GROUP BY sample) d ON d.sample = t.sample""")
+def first_match_stats(spark, sf_dir):
+    reads, lib, hits = _first_match(spark, sf_dir, carry=())
+    return C.read_stats(reads, hits, C.default_manifest(reads, D.LIBRARY_SET))
+
+
+@query("flag_detected", D.cte(**BASE, hits=HITS_SQL) + """
+SELECT r.sample, r.read_key, h.read_key IS NOT NULL AS detected
+FROM reads r LEFT JOIN hits h ON h.sample = r.sample AND h.read_key = r.read_key""")
+def flag_detected_q(spark, sf_dir):
+    from seqtally.operators.match import flag_detected
+    reads, lib, hits = _first_match(spark, sf_dir, carry=())
+    return flag_detected(reads, hits)
+
+
+# --- per-chunk ID lists and what the reference derives from them (AGG2, 3, 15, 16)
+
+CHUNK_SQL = """
+SELECT sample, CAST(floor(read_key / 10000) AS BIGINT) AS chunk, ord,
+       count(*) AS n, list_sort(list(read_id)) AS ids
+FROM hits GROUP BY sample, CAST(floor(read_key / 10000) AS BIGINT), ord"""
+
+
+@query("first_match_ids", D.cte(**BASE, hits=HITS_SQL, ch=CHUNK_SQL) + """
+SELECT c.sample, c.chunk, b.gene, b.barcode, CAST(c.n AS BIGINT) AS read_counts, c.ids
+FROM ch c JOIN lib b ON b.ord = c.ord""")
+def first_match_ids(spark, sf_dir):
+    _, lib, hits = _first_match(spark, sf_dir)
+    return C.chunk_counts(hits, lib).select("sample", "chunk", "gene", "barcode",
+                                            "read_counts", "ids")
+
+
+@query("merge_counts", D.cte(**BASE, hits=HITS_SQL, ch=CHUNK_SQL) + """
+SELECT c.sample, b.gene, b.barcode, CAST(sum(c.n) AS BIGINT) AS read_counts,
+       CAST(count(*) AS BIGINT) AS n_chunks
+FROM ch c JOIN lib b ON b.ord = c.ord GROUP BY c.sample, b.gene, b.barcode""")
+def merge_counts_q(spark, sf_dir):
+    _, lib, hits = _first_match(spark, sf_dir)
+    return C.merge_counts(C.chunk_counts(hits, lib))
+
+
+@query("ids_by_barcode", D.cte(**BASE, hits=HITS_SQL) + """
+SELECT h.sample, h.read_id, b.gene, b.barcode FROM hits h JOIN lib b ON b.ord = h.ord""")
+def ids_by_barcode_q(spark, sf_dir):
+    _, lib, hits = _first_match(spark, sf_dir)
+    return C.ids_by_barcode(C.chunk_counts(hits, lib))
+
+
+@query("fractional_counts", D.cte(**BASE, hits=HITS_SQL, ch=CHUNK_SQL) + """
+SELECT c.sample, b.gene, b.barcode, u.read_id, c.n * 1.0e0 / len(c.ids) AS share
+FROM ch c JOIN lib b ON b.ord = c.ord, unnest(c.ids) AS u(read_id)""")
+def fractional_counts_q(spark, sf_dir):
+    _, lib, hits = _first_match(spark, sf_dir)
+    return C.fractional_counts(C.chunk_counts(hits, lib))
+
+
+# --- with replacement (JN2, AGG14) ---------------------------------------------
+
+HITS_ALL_SQL = """
+SELECT DISTINCT r.sample, r.read_key, r.read_id, b.ord
+FROM reads r JOIN lib b ON contains(r.sequence, b.barcode)"""
+
+
+@query("match_all_counts", D.cte(**BASE, hits=HITS_ALL_SQL) + """
+SELECT s.sample, b.gene, b.barcode, CAST(coalesce(c.n, 0) AS BIGINT) AS read_counts
+FROM (SELECT DISTINCT sample FROM reads) s JOIN lib b ON TRUE
+LEFT JOIN (SELECT sample, ord, count(*) AS n FROM hits GROUP BY sample, ord) c
+  ON c.sample = s.sample AND c.ord = b.ord""")
+def match_all_counts(spark, sf_dir):
+    from seqtally.operators.match import match_all
+    reads = D.reads(spark, sf_dir)
+    lib = _library(spark, sf_dir)
+    hits = match_all(reads, lib)
+    filled = C.zero_fill(C.count_hits(hits), lib, C.default_manifest(reads, D.LIBRARY_SET))
+    return filled.select("sample", "gene", "barcode", "read_counts")
+
+
+@query("barcodes_per_read", D.cte(**BASE, hits=HITS_ALL_SQL) + """
+SELECT sample, read_id, CAST(count(*) AS BIGINT) AS n_barcodes FROM hits GROUP BY sample, read_id""")
+def barcodes_per_read(spark, sf_dir):
+    from seqtally.operators.match import match_all
+    reads = D.reads(spark, sf_dir)
+    hits = match_all(reads, _library(spark, sf_dir), carry=("read_id",))
+    return C.count_barcodes_per_read(hits)
+
+
+# --- library (AGG9, AGG10, PRJ1) -------------------------------------------------
+
+@query("dedup_barcodes", D.cte(lib_raw=D.LIBRARY_RAW_SQL, lib=D.LIBRARY_SQL)
+       + "SELECT barcode_set, ord, gene, barcode FROM lib")
+def dedup_barcodes_q(spark, sf_dir):
+    return _library(spark, sf_dir)
+
+
+@query("barcode_uniqueness", D.cte(lib_raw=D.LIBRARY_RAW_SQL) + """
+SELECT CAST(count(barcode) AS BIGINT) AS n_values,
+       CAST(count(DISTINCT barcode) AS BIGINT) AS n_distinct,
+       count(barcode) = count(DISTINCT barcode) AS is_unique
+FROM (SELECT upper(barcode) AS barcode FROM lib_raw)""")
+def barcode_uniqueness(spark, sf_dir):
+    from seqtally.operators.library import is_unique, normalize_barcodes
+    return is_unique(normalize_barcodes(D.library_raw(spark, sf_dir)), "barcode")
+
+
+# --- sorts, limits, zero rows (SRT1, LIM1, JN5) ----------------------------------
+
+COUNTED = dict(**BASE, hits=HITS_SQL, filled=FILLED_SQL, counted=RPM_SQL)
+
+
+@query("top_barcodes", D.cte(**COUNTED) + """
+SELECT sample, gene, barcode, read_counts FROM counted
+ORDER BY read_counts DESC, sample, gene, barcode LIMIT 10""")
+def top_barcodes_q(spark, sf_dir):
+    return C.top_barcodes(_counts(spark, sf_dir), 10).select(
+        "sample", "gene", "barcode", "read_counts")
+
+
+@query("head_barcodes", D.cte(**COUNTED) + """
+SELECT sample, ord, gene, barcode, read_counts FROM counted ORDER BY sample, ord LIMIT 20""")
+def head_barcodes(spark, sf_dir):
+    return C.head(_counts(spark, sf_dir), 20, ["sample", "ord"]).select(
+        "sample", "ord", "gene", "barcode", "read_counts")
+
+
+@query("zero_fill", D.cte(**BASE, hits=HITS_SQL, filled=FILLED_SQL) + """
+SELECT sample, gene, barcode, read_counts FROM filled WHERE read_counts = 0""")
+def zero_fill_q(spark, sf_dir):
+    return (_counts(spark, sf_dir).filter(F.col("read_counts") == 0)
+            .select("sample", "gene", "barcode", "read_counts"))
+
+
+@query("union_counts", D.cte(**BASE, hits=HITS_SQL, filled=FILLED_SQL, hits_all=HITS_ALL_SQL) + """
+SELECT 'first' AS mode, sample, gene, barcode, read_counts FROM filled
+UNION ALL
+SELECT 'all' AS mode, h.sample, b.gene, b.barcode, CAST(count(*) AS BIGINT)
+FROM hits_all h JOIN lib b ON b.ord = h.ord GROUP BY h.sample, b.gene, b.barcode""")
+def union_counts(spark, sf_dir):
+    from seqtally.operators.match import match_all
+    reads = D.reads(spark, sf_dir)
+    lib = _library(spark, sf_dir)
+    first = (barcode_counts(reads, lib, barcode_set=D.LIBRARY_SET)
+             .select(F.lit("first").alias("mode"), "sample", "gene", "barcode", "read_counts"))
+    every = (C.with_genes(C.count_hits(match_all(reads, lib)), lib)
+             .select(F.lit("all").alias("mode"), "sample", "gene", "barcode", "read_counts"))
+    return first.unionByName(every)
+
+
+# --- manifest-driven counting: each sample against its own barcode sets (JN7) --
+
+# Fixed run configuration (as a user's project file lists it): sample -> set.
+RUN_MANIFEST = [("F", "ECONOMY"), ("F", "PROMO"), ("O", "STANDARD"),
+                ("P", "LARGE"), ("P", "SMALL")]
+RUN_MANIFEST_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{s}', '{b}')" for s, b in RUN_MANIFEST) + ") AS m(sample, barcode_set)"
+LIB_TYPED_SQL = D.LIBRARY_SQL
+
+
+@query("manifest_match", D.cte(reads=D.READS_SQL, lib_raw=D.LIBRARY_TYPED_RAW_SQL,
+                               lib=LIB_TYPED_SQL, man=RUN_MANIFEST_SQL, hits="""
+SELECT r.sample, r.read_key, m.barcode_set, min(b.ord) AS ord
+FROM reads r JOIN man m ON m.sample = r.sample
+JOIN lib b ON b.barcode_set = m.barcode_set AND contains(r.sequence, b.barcode)
+GROUP BY r.sample, r.read_key, m.barcode_set""", filled="""
+SELECT m.sample, m.barcode_set, b.ord, b.gene, b.barcode,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS read_counts
+FROM man m JOIN lib b ON b.barcode_set = m.barcode_set
+LEFT JOIN (SELECT sample, barcode_set, ord, count(*) AS n FROM hits GROUP BY ALL) c
+  ON c.sample = m.sample AND c.barcode_set = m.barcode_set AND c.ord = b.ord""") + """
+SELECT f.sample, f.barcode_set, f.gene, f.barcode, f.read_counts,
+       CASE WHEN t.tot > 0 THEN f.read_counts * 1.0e0 / t.tot * 1000000.0e0 ELSE 0.0e0 END AS rpm
+FROM filled f JOIN (SELECT sample, barcode_set, CAST(sum(read_counts) AS BIGINT) AS tot
+                    FROM filled GROUP BY ALL) t
+  ON t.sample = f.sample AND t.barcode_set = f.barcode_set""")
+def manifest_match(spark, sf_dir):
+    from seqtally.schemas import MANIFEST
+    reads = D.reads(spark, sf_dir)
+    lib = prepare_library(D.library_typed_raw(spark, sf_dir))
+    man = spark.createDataFrame(RUN_MANIFEST, MANIFEST)
+    hits = assign_first_match(reads, lib, man)
+    counts = C.rpm(C.zero_fill(C.count_hits(hits), lib, man), by=("sample", "barcode_set"))
+    return counts.select("sample", "barcode_set", "gene", "barcode", "read_counts", "rpm")

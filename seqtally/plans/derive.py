@@ -161,3 +161,105 @@ FROM (SELECT *, substr(repeat(translate(md5(concat('q', CAST(read_key AS VARCHAR
 def cte(**bodies: str) -> str:
     """WITH clause from name=body pairs (order kept)."""
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in bodies.items()) + "\n"
+
+
+# --- library split into sets by part type (manifest: sample -> set) ----------
+
+def library_typed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _tbl(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+    k = F.col("p_partkey")
+    bc = F.substr(dna_from_text(k.cast("string")), F.lit(1), (F.lit(8) + k % 3).cast("int"))
+    return p.select(F.col("p_type").alias("barcode_set"), k.alias("ord"),
+                    F.col("p_brand").alias("gene"), bc.alias("barcode"))
+
+
+LIBRARY_TYPED_RAW_SQL = """
+SELECT p_type AS barcode_set, p_partkey AS ord, p_brand AS gene,
+       substr(translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef',
+                        'ACGTACGTACGTACGT'), 1, CAST(8 + p_partkey % 3 AS INTEGER)) AS barcode
+FROM part"""
+
+
+# --- mates: R1 lacks the '5-LOW' orders, R2 lacks status 'P' -----------------
+
+def mate_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = spread(_tbl(spark, sf_dir, "orders")
+               .select("o_orderkey", "o_orderstatus", "o_orderpriority"))
+    k = F.col("o_orderkey")
+    base = o.select(F.col("o_orderstatus").alias("sample"),
+                    F.concat(F.lit("r"), k.cast("string")).alias("read_id"),
+                    "o_orderpriority", k.alias("read_key"),
+                    F.concat(_t("m", k), _t("n", k)).alias("fragment"))
+    r1 = (base.filter(F.col("o_orderpriority") != "5-LOW")
+          .select("sample", "read_id", F.substr("fragment", F.lit(1), F.lit(40)).alias("sequence")))
+    r2 = (base.filter(F.col("sample") != "P")
+          .select("sample", "read_id",
+                  F.reverse(F.translate(F.substr("fragment", F.lit(25), F.lit(40)),
+                                        "ACGT", "TGCA")).alias("sequence")))
+    return r1, r2
+
+
+MATES_SQL = dict(
+    frag=f"""SELECT o_orderstatus AS sample, concat('r', CAST(o_orderkey AS VARCHAR)) AS read_id,
+       o_orderpriority, concat({_sql_t('m', 'o_orderkey')}, {_sql_t('n', 'o_orderkey')}) AS fragment
+FROM orders""",
+    r1="""SELECT sample, read_id, substr(fragment, 1, 40) AS sequence FROM frag
+WHERE o_orderpriority <> '5-LOW'""",
+    r2="""SELECT sample, read_id, reverse(translate(substr(fragment, 25, 40), 'ACGT', 'TGCA')) AS sequence
+FROM frag WHERE sample <> 'P'""")
+
+
+# --- manifest text lines: comments, blanks, one-, two- and three-field lines -
+
+def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _tbl(spark, sf_dir, "nation").select("n_name", "n_regionkey")
+    r = _tbl(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    two = (n.join(r, n.n_regionkey == r.r_regionkey)
+           .select(F.concat(F.col("n_name"), F.lit(","), F.col("r_name")).alias("value")))
+    rest = r.select(F.explode(F.array(
+        F.concat(F.lit("# region "), F.col("r_name")),      # comment
+        F.lit(""),                                          # blank
+        F.col("r_name"),                                    # one field
+        F.concat(F.col("r_name"), F.lit("_ALL,"), F.col("r_name"), F.lit(",extra\n")),
+    )).alias("value"))
+    return two.unionByName(rest)
+
+
+MANIFEST_LINES_SQL = """
+SELECT concat(n_name, ',', r_name) AS value FROM nation JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT concat('# region ', r_name) FROM region
+UNION ALL SELECT '' FROM region
+UNION ALL SELECT r_name FROM region
+UNION ALL SELECT concat(r_name, '_ALL,', r_name, ',extra', chr(10)) FROM region"""
+
+
+def input_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of sample input folders: one per nation with customers, plus the
+    sample names of the reads."""
+    c = (_tbl(spark, sf_dir, "customer").select("c_nationkey").distinct()
+         .select(F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("sample")))
+    o = _tbl(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("sample")).distinct()
+    return c.unionByName(o)
+
+
+INPUT_FOLDERS_SQL = """
+SELECT DISTINCT concat('NATION_', CAST(c_nationkey AS VARCHAR)) AS sample FROM customer
+UNION SELECT DISTINCT o_orderstatus FROM orders"""
+
+
+# --- synthetic homopolymer reads, one per event ---------------------------------
+
+def synthetic_from_events(spark: SparkSession, sf_dir: str, read_len: int = 300) -> DataFrame:
+    from seqtally.sources.synthetic import NUCLEOTIDES
+    e = spread(_tbl(spark, sf_dir, "events").select("event_id"))
+    k = F.col("event_id")
+    nt = F.element_at(F.array(*[F.lit(x) for x in NUCLEOTIDES]), (k % 4 + 1).cast("int"))
+    return e.select(F.lit("synthetic").alias("sample"), k.alias("read_key"),
+                    F.concat(F.lit("s"), k.cast("string")).alias("read_id"),
+                    F.repeat(nt, read_len).alias("sequence"))
+
+
+SYNTHETIC_SQL = """
+SELECT 'synthetic' AS sample, event_id AS read_key, concat('s', CAST(event_id AS VARCHAR)) AS read_id,
+       repeat(list_extract(['A', 'T', 'G', 'C'], CAST(event_id % 4 + 1 AS INTEGER)), 300) AS sequence
+FROM events"""
