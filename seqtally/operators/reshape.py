@@ -72,3 +72,14 @@ def reconcile_samples(manifest: DataFrame, inputs: DataFrame) -> DataFrame:
     return (m.join(i, "sample", "left_anti").withColumn("side", F.lit("manifest_only"))
             .unionByName(i.join(m, "sample", "left_anti")
                          .withColumn("side", F.lit("input_only"))))
+
+
+def reverse_complement_reads(reads: DataFrame, reverse_quality: bool = False) -> DataFrame:
+    """Reverse-complement the sequence of every read.  The reference leaves
+    the quality string as it was; ``reverse_quality=True`` reverses it so it
+    stays aligned with the bases."""
+    from seqtally.functions.sequence import reverse_complement
+    out = reads.withColumn("sequence", reverse_complement("sequence"))
+    if reverse_quality and "quality" in reads.columns:
+        out = out.withColumn("quality", F.reverse("quality"))
+    return out

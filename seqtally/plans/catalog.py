@@ -267,3 +267,300 @@ def manifest_match(spark, sf_dir):
     hits = assign_first_match(reads, lib, man)
     counts = C.rpm(C.zero_fill(C.count_hits(hits), lib, man), by=("sample", "barcode_set"))
     return counts.select("sample", "barcode_set", "gene", "barcode", "read_counts", "rpm")
+
+
+# --- length windows and routing (JN3, FIL3, JN9) --------------------------------
+
+def _windows_sql():
+    from seqtally.operators.reshape import FRAGMENT_LENGTHS, LENGTH_TOLERANCE
+    rows = ", ".join(f"('{f}', {t}, {LENGTH_TOLERANCE})" for f, t in FRAGMENT_LENGTHS)
+    return f"SELECT * FROM (VALUES {rows}) AS w(fragment, target_len, tolerance)"
+
+
+SPLIT_SQL = """
+SELECT r.sample AS source, r.read_key, length(r.sequence) AS length, w.fragment
+FROM len_reads r JOIN windows w
+  ON length(r.sequence) BETWEEN w.target_len - w.tolerance AND w.target_len + w.tolerance"""
+
+
+def _split(spark, sf_dir):
+    from seqtally.operators.reshape import length_windows, split_by_length
+    reads = D.length_reads(spark, sf_dir)
+    return (split_by_length(reads, length_windows(spark))
+            .select(F.col("sample").alias("source"), "read_key",
+                    F.length("sequence").cast("long").alias("length"), "fragment"))
+
+
+@query("split_by_length", D.cte(len_reads=D.LENGTH_READS_SQL, windows=_windows_sql())
+       + "SELECT read_key, length, fragment FROM (" + SPLIT_SQL + ")")
+def split_by_length_q(spark, sf_dir):
+    return _split(spark, sf_dir).select("read_key", "length", "fragment")
+
+
+# Fixed routing configuration: (source, fragment) -> sample; 'error' events
+# are not routed.
+ROUTING = [(src, frag, f"{src}_{frag.lower()}")
+           for src in ("click", "view", "purchase", "signup") for frag in ("F1", "F2", "F3")]
+
+
+@query("relabel_samples", D.cte(len_reads=D.LENGTH_READS_SQL, windows=_windows_sql(),
+                                split=SPLIT_SQL,
+                                routing="SELECT * FROM (VALUES " + ", ".join(
+                                    f"('{a}', '{b}', '{c}')" for a, b, c in ROUTING)
+                                + ") AS t(source, fragment, sample)") + """
+SELECT s.read_key, s.fragment, t.sample FROM split s
+JOIN routing t ON t.source = s.source AND t.fragment = s.fragment""")
+def relabel_samples_q(spark, sf_dir):
+    from seqtally.operators.reshape import relabel_samples
+    routing = spark.createDataFrame(ROUTING, "source string, fragment string, sample string")
+    return relabel_samples(_split(spark, sf_dir), routing).select("read_key", "fragment", "sample")
+
+
+# --- flank extraction (FN2, AGG7, AGG8, FIL6, WIN2) ----------------------------
+
+FLANK_SQL = dict(flanked=D.FLANKED_READS_SQL, ext=f"""
+SELECT read_key, nullif(regexp_extract(sequence,
+         '(?i)(' || '{D.UPSTREAM_FLANK}' || ')(.{{30}})(' || '{D.DOWNSTREAM_FLANK}' || ')', 2), '')
+       AS barcode
+FROM flanked""")
+
+
+def _flank(spark, sf_dir):
+    from seqtally.operators.flank import extract_barcodes
+    return extract_barcodes(D.flanked_reads(spark, sf_dir))
+
+
+@query("flank_extract", D.cte(**FLANK_SQL) + "SELECT read_key, barcode FROM ext")
+def flank_extract(spark, sf_dir):
+    return _flank(spark, sf_dir).select("read_key", "barcode")
+
+
+@query("flank_stats", D.cte(**FLANK_SQL) + """
+SELECT count(*) AS total_reads, count(barcode) AS detected_reads,
+       CASE WHEN count(*) > 0 THEN count(barcode) * 1.0e0 / count(*) END AS detection_rate
+FROM ext""")
+def flank_stats_q(spark, sf_dir):
+    from seqtally.operators.flank import flank_stats
+    return flank_stats(_flank(spark, sf_dir))
+
+
+@query("flank_distinct", D.cte(**FLANK_SQL) + """
+SELECT CAST(row_number() OVER (ORDER BY barcode) - 1 AS BIGINT) AS idx, barcode
+FROM (SELECT DISTINCT barcode FROM ext WHERE barcode IS NOT NULL)""")
+def flank_distinct(spark, sf_dir):
+    from seqtally.operators.flank import distinct_barcodes
+    from seqtally.operators.index import with_index
+    return with_index(distinct_barcodes(_flank(spark, sf_dir)), ["barcode"]).select("idx", "barcode")
+
+
+# --- FASTQ record functions (FN1, FN9, FN10, SRC4, FIL2, FIL7) -----------------
+
+FQ = dict(len_reads=D.LENGTH_READS_SQL, fq=D.FASTQ_RECORDS_SQL)
+LINES_SQL = """
+SELECT read_key, CAST(0 AS BIGINT) AS line_no, header AS value FROM fq
+UNION ALL SELECT read_key, 1, sequence FROM fq
+UNION ALL SELECT read_key, 2, spacer FROM fq
+UNION ALL SELECT read_key, 3, quality FROM fq"""
+
+
+def _lines(spark, sf_dir):
+    fq = D.fastq_records(spark, sf_dir)
+    return fq.select("read_key", F.posexplode(F.array("header", "sequence", "spacer", "quality"))
+                     .alias("line_no", "value")).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+@query("sequence_line_filter", D.cte(**FQ, lines=LINES_SQL) + """
+SELECT read_key, line_no, value FROM lines WHERE regexp_matches(value, '^[ATGCatgcN]')""")
+def sequence_line_filter(spark, sf_dir):
+    from seqtally.functions.sequence import is_sequence_line
+    return _lines(spark, sf_dir).filter(is_sequence_line("value"))
+
+
+GREP_PATTERN = "GATTACA"
+
+
+@query("grep_lines", D.cte(**FQ, lines=LINES_SQL) + f"""
+SELECT read_key, line_no, value FROM lines WHERE regexp_matches(value, '{GREP_PATTERN}')""")
+def grep_lines(spark, sf_dir):
+    return _lines(spark, sf_dir).filter(F.col("value").rlike(GREP_PATTERN))
+
+
+@query("reverse_complement", D.cte(**FQ) + f"""
+SELECT read_key, reverse(translate(sequence, '{D.IUPAC_FROM}', '{D.IUPAC_TO}')) AS sequence,
+       quality
+FROM fq""")
+def reverse_complement_q(spark, sf_dir):
+    from seqtally.operators.reshape import reverse_complement_reads
+    return reverse_complement_reads(D.fastq_records(spark, sf_dir)).select(
+        "read_key", "sequence", "quality")
+
+
+@query("read_id_parse", D.cte(**FQ) + r"""
+SELECT read_key, regexp_extract(header, '^@(\S*)', 1) AS read_id,
+       regexp_extract(header, '^@\S*\s+(.*)$', 1) AS description
+FROM fq""")
+def read_id_parse(spark, sf_dir):
+    from seqtally.functions.sequence import description_from_header, read_id_from_header
+    fq = D.fastq_records(spark, sf_dir)
+    return fq.select("read_key", read_id_from_header("header").alias("read_id"),
+                     description_from_header("header").alias("description"))
+
+
+@query("fastq_validate", D.cte(**FQ) + """
+SELECT read_key, coalesce(starts_with(header, '@') AND starts_with(spacer, '+')
+                          AND length(sequence) = length(quality) AND length(sequence) > 0
+                          AND regexp_matches(quality, '^[!-_]*$'), false) AS is_valid
+FROM fq""")
+def fastq_validate(spark, sf_dir):
+    from seqtally.functions.sequence import valid_fastq_record
+    fq = D.fastq_records(spark, sf_dir)
+    return fq.select("read_key", valid_fastq_record("header", "sequence", "spacer", "quality")
+                     .alias("is_valid"))
+
+
+@query("fastq_format", D.cte(**FQ) + """
+SELECT read_key, concat_ws(chr(10), header, sequence, spacer, quality) AS record FROM fq""")
+def fastq_format(spark, sf_dir):
+    from seqtally.functions.sequence import format_fastq_record
+    fq = D.fastq_records(spark, sf_dir)
+    return fq.select("read_key", format_fastq_record("header", "sequence", "spacer", "quality")
+                     .alias("record"))
+
+
+# --- lines per barcode (AGG13) ---------------------------------------------------
+
+@query("line_counts", D.cte(**BASE) + """
+SELECT b.gene, b.barcode, CAST(count(r.read_key) AS BIGINT) AS n_lines
+FROM lib b LEFT JOIN reads r ON contains(r.sequence, b.barcode)
+GROUP BY b.ord, b.gene, b.barcode""")
+def line_counts(spark, sf_dir):
+    lines = D.reads(spark, sf_dir).select(F.col("read_key").alias("line_key"),
+                                          F.col("sequence").alias("value"))
+    return C.count_lines_matching(lines, _library(spark, sf_dir))
+
+
+# --- comparison of two count tables (JN4, FIL4, AGG11, AGG12, PRJ4) ------------
+
+COMPARE_SQL = dict(**BASE, hits=HITS_SQL, filled=FILLED_SQL, src="""
+SELECT barcode AS key, CAST(read_counts AS DOUBLE) AS value FROM filled WHERE sample = 'F'""",
+                   dst="""
+SELECT b.barcode AS key, CAST(count(*) AS DOUBLE) AS value
+FROM hits h JOIN lib b ON b.ord = h.ord WHERE h.sample = 'O' GROUP BY b.barcode""",
+                   joined="""
+SELECT s.key, s.value AS focused, d.value AS whole FROM src s LEFT JOIN dst d ON d.key = s.key""")
+CUT_SQL = """
+SELECT key, focused, whole FROM joined
+WHERE whole <= (SELECT avg(whole) + 1.96e0 * stddev_samp(whole) FROM joined)"""
+
+
+def _joined(spark, sf_dir):
+    from seqtally.operators.compare import compare_counts
+    reads = D.reads(spark, sf_dir)
+    lib = _library(spark, sf_dir)
+    filled = barcode_counts(reads, lib, barcode_set=D.LIBRARY_SET)
+    src = filled.filter(F.col("sample") == "F").select(
+        F.col("barcode").alias("key"), F.col("read_counts").cast("double").alias("value"))
+    hits = assign_first_match(reads.filter(F.col("sample") == "O"), lib)
+    dst = C.with_genes(C.count_hits(hits), lib).select(
+        F.col("barcode").alias("key"), F.col("read_counts").cast("double").alias("value"))
+    return compare_counts(src, dst)
+
+
+@query("compare_left", D.cte(**COMPARE_SQL) + "SELECT key, focused, whole FROM joined")
+def compare_left(spark, sf_dir):
+    return _joined(spark, sf_dir)
+
+
+@query("compare_outliers", D.cte(**COMPARE_SQL, cut=CUT_SQL) + "SELECT * FROM cut")
+def compare_outliers(spark, sf_dir):
+    from seqtally.operators.compare import drop_upper_outliers
+    return drop_upper_outliers(_joined(spark, sf_dir), "whole")
+
+
+def _z(c):
+    return (f"round(CASE WHEN (SELECT stddev_samp({c}) FROM cut) = 0 THEN NULL ELSE "
+            f"({c} - (SELECT avg({c}) FROM cut)) / (SELECT stddev_samp({c}) FROM cut) END, 6) AS {c}")
+
+
+@query("compare_zscore", D.cte(**COMPARE_SQL, cut=CUT_SQL)
+       + f"SELECT key, {_z('focused')}, {_z('whole')} FROM cut")
+def compare_zscore(spark, sf_dir):
+    from seqtally.operators.compare import drop_upper_outliers, zscore
+    z = zscore(drop_upper_outliers(_joined(spark, sf_dir), "whole"), ["focused", "whole"])
+    return z.select("key", F.round("focused", 6).alias("focused"),
+                    F.round("whole", 6).alias("whole"))
+
+
+@query("column_stats", D.cte(**COMPARE_SQL) + """
+SELECT round(avg(focused), 6) AS mean_focused, round(stddev_samp(focused), 6) AS std_focused,
+       round(avg(whole), 6) AS mean_whole, round(stddev_samp(whole), 6) AS std_whole
+FROM joined""")
+def column_stats_q(spark, sf_dir):
+    from seqtally.operators.compare import column_stats
+    s = column_stats(_joined(spark, sf_dir), ["focused", "whole"])
+    return s.select(*[F.round(c, 6).alias(c) for c in s.columns])
+
+
+# --- manifest text and sample reconciliation (SRC6, FIL5, FN6, FN7, JN6, SET2) -
+
+MANIFEST_PARSE_SQL = r"""
+SELECT split_part(v, ',', 1) AS sample, nullif(split_part(v, ',', 2), '') AS barcode_set
+FROM (SELECT regexp_replace(value, '[\r\n]+$', '') AS v FROM mlines)
+WHERE length(v) > 0 AND NOT starts_with(v, '#')"""
+
+
+@query("manifest_parse", D.cte(mlines=D.MANIFEST_LINES_SQL) + MANIFEST_PARSE_SQL)
+def manifest_parse(spark, sf_dir):
+    from seqtally.sources.text import parse_manifest_lines
+    return parse_manifest_lines(D.manifest_lines(spark, sf_dir))
+
+
+@query("reconcile_samples", D.cte(mlines=D.MANIFEST_LINES_SQL, man=MANIFEST_PARSE_SQL,
+                                  inputs=D.INPUT_FOLDERS_SQL) + """
+SELECT sample, 'manifest_only' AS side FROM (SELECT DISTINCT sample FROM man) m
+WHERE sample NOT IN (SELECT sample FROM inputs)
+UNION ALL
+SELECT sample, 'input_only' AS side FROM (SELECT DISTINCT sample FROM inputs) i
+WHERE sample NOT IN (SELECT sample FROM man)""")
+def reconcile_samples_q(spark, sf_dir):
+    from seqtally.operators.reshape import reconcile_samples
+    from seqtally.sources.text import parse_manifest_lines
+    man = parse_manifest_lines(D.manifest_lines(spark, sf_dir))
+    return reconcile_samples(man, D.input_folders(spark, sf_dir)).select("sample", "side")
+
+
+# --- mates (JN8) ------------------------------------------------------------------
+
+@query("pair_mates", D.cte(**D.MATES_SQL) + """
+SELECT a.sample, a.read_id, a.sequence AS sequence_1, b.sequence AS sequence_2
+FROM r1 a JOIN r2 b ON a.sample = b.sample AND a.read_id = b.read_id""")
+def pair_mates_q(spark, sf_dir):
+    from seqtally.operators.reshape import pair_mates
+    r1, r2 = D.mate_reads(spark, sf_dir)
+    return pair_mates(r1, r2)
+
+
+@query("orphan_mates", D.cte(**D.MATES_SQL) + """
+SELECT sample, read_id, 'R1' AS side FROM r1 a
+WHERE NOT EXISTS (SELECT 1 FROM r2 b WHERE b.sample = a.sample AND b.read_id = a.read_id)
+UNION ALL
+SELECT sample, read_id, 'R2' AS side FROM r2 b
+WHERE NOT EXISTS (SELECT 1 FROM r1 a WHERE a.sample = b.sample AND a.read_id = b.read_id)""")
+def orphan_mates_q(spark, sf_dir):
+    from seqtally.operators.reshape import orphan_mates
+    r1, r2 = D.mate_reads(spark, sf_dir)
+    return orphan_mates(r1, r2)
+
+
+# --- homopolymer load (SRC12) ------------------------------------------------------
+
+@query("synthetic_reads", D.cte(reads=D.SYNTHETIC_SQL, lib="""
+SELECT * FROM (VALUES ('synthetic', 0, 'A', 'A'), ('synthetic', 1, 'T', 'T'),
+                      ('synthetic', 2, 'G', 'G'), ('synthetic', 3, 'C', 'C'))
+  AS b(barcode_set, ord, gene, barcode)""", hits=HITS_SQL, filled=FILLED_SQL, counted=RPM_SQL)
+       + "SELECT sample, gene, barcode, read_counts, rpm FROM counted")
+def synthetic_reads_q(spark, sf_dir):
+    from seqtally.sources.synthetic import synthetic_library
+    reads = D.synthetic_from_events(spark, sf_dir)
+    lib = prepare_library(synthetic_library(spark))
+    return counts_columns(barcode_counts(reads, lib, barcode_set="synthetic"))

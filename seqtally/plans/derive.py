@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtally.functions.sequence import (DOWNSTREAM_FLANK, UPSTREAM_FLANK,
+from seqtally.functions.sequence import (DOWNSTREAM_FLANK, IUPAC_FROM, IUPAC_TO,  # noqa: F401
+                                         UPSTREAM_FLANK,
                                          dna_from_text)
 from seqtally.operators._util import spread
 
