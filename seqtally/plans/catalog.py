@@ -564,3 +564,55 @@ def synthetic_reads_q(spark, sf_dir):
     reads = D.synthetic_from_events(spark, sf_dir)
     lib = prepare_library(synthetic_library(spark))
     return counts_columns(barcode_counts(reads, lib, barcode_set="synthetic"))
+
+
+# --- round trips through files in the shared checkpoint folder (SRC1-3, SNK1,
+# SNK4, SRC8) ------------------------------------------------------------------
+
+def _staged_fastq(spark, sf_dir, gz=False):
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_fastq
+    fq = D.fastq_records(spark, sf_dir).filter(F.col("spacer") == "+")
+    path = scratch_path(spark, "fastq")
+    if gz:
+        spark.conf.set("spark.sql.text.compression.codec", "gzip")
+    try:
+        write_fastq(fq.withColumn("sample_dir", F.col("sample")), path,
+                    partition_by=("sample_dir",))
+    finally:
+        if gz:
+            spark.conf.unset("spark.sql.text.compression.codec")
+    return path
+
+
+@query("fastq_roundtrip", D.cte(**FQ, ok="SELECT * FROM fq WHERE spacer = '+'") + r"""
+SELECT sample, regexp_extract(header, '^@(\S*)', 1) AS read_id, sequence FROM ok""")
+def fastq_roundtrip(spark, sf_dir):
+    from seqtally.sources.fastq import read_fastq
+    path = _staged_fastq(spark, sf_dir, gz=True)
+    r = read_fastq(spark, path)
+    return r.select(F.regexp_replace("sample", "^sample_dir=", "").alias("sample"),
+                    "read_id", "sequence")
+
+
+@query("fastq_full_roundtrip", D.cte(**FQ, ok="SELECT * FROM fq WHERE spacer = '+'") + """
+SELECT header, sequence, spacer, quality FROM ok""")
+def fastq_full_roundtrip(spark, sf_dir):
+    from seqtally.sources.fastq import read_fastq_full
+    path = _staged_fastq(spark, sf_dir)
+    return read_fastq_full(spark, path, split_bytes=64 * 1024).select(
+        "header", "sequence", "spacer", "quality")
+
+
+@query("counts_roundtrip", D.cte(**BASE, hits=HITS_SQL, ch=CHUNK_SQL) + """
+SELECT c.sample, b.gene, b.barcode, CAST(sum(c.n) AS BIGINT) AS read_counts,
+       CAST(count(*) AS BIGINT) AS n_chunks
+FROM ch c JOIN lib b ON b.ord = c.ord GROUP BY c.sample, b.gene, b.barcode""")
+def counts_roundtrip(spark, sf_dir):
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_hits_parquet
+    from seqtally.sources.text import read_counts_parquet
+    _, lib, hits = _first_match(spark, sf_dir)
+    path = scratch_path(spark, "chunks")
+    write_hits_parquet(C.chunk_counts(hits, lib), path)
+    return C.merge_counts(read_counts_parquet(spark, path))
