@@ -164,9 +164,7 @@ def _lines_from(stream, pos: int):
 def _records(part: _Range):
     fs, path = _fs_and_path(part.path)
     if part.gz:
-        import gzip
-        raw = fs.open_input_stream(path)
-        stream, pos = gzip.GzipFile(fileobj=raw), 0
+        stream, pos = fs.open_input_stream(path, compression="gzip"), 0
     else:
         stream = fs.open_input_file(path)
         pos = max(0, part.start - 1)
