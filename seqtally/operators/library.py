@@ -23,12 +23,15 @@ def dedup_barcodes(lib: DataFrame) -> DataFrame:
 
 def prepare_library(lib: DataFrame) -> DataFrame:
     """Upper-case first, then keep the first row of each barcode.  Empty or
-    NULL barcodes are rejected: they would match every read."""
-    lib = normalize_barcodes(lib)
-    bad = lib.filter(F.col("barcode").isNull() | (F.length("barcode") == 0))
-    if bad.limit(1).count():
+    NULL barcodes are rejected: they would match every read.
+
+    The prepared library is small and read by several jobs (profile, index
+    broadcast, zero-fill), so it is checkpointed to the shared checkpoint
+    folder once; that also cuts its lineage."""
+    lib = dedup_barcodes(normalize_barcodes(lib)).checkpoint(eager=True)
+    if lib.filter(F.col("barcode").isNull() | (F.length("barcode") == 0)).limit(1).count():
         raise ValueError("barcode library contains empty barcodes")
-    return dedup_barcodes(lib)
+    return lib
 
 
 def is_unique(df: DataFrame, col: str) -> DataFrame:

@@ -2,17 +2,17 @@
 
 Containment (``barcode`` is a substring of ``sequence``) is a theta join that
 Spark would plan as a broadcast nested loop (reads x barcodes).  Here it is an
-equi-join instead: every read position yields a seed (the k-mer starting
-there), the library yields the seed of each barcode (its first k letters),
-and a broadcast hash join on the seed finds every candidate occurrence; the
-full barcode is then checked at that position.  Each occurrence of a barcode
-starts at some position, so no hit is lost, and the work per read is
-proportional to its length, not to the library size.
-
-Barcodes shorter than the seed length seed on their own length (one extra
-seed per distinct short length).  Barcodes that are not plain letters are
-regular expressions, as in the reference, and go through an ``rlike`` join
-against a size-checked broadcast of just those rows.
+equi-join instead.  Read positions yield seeds (the k-mer starting there,
+hashed to a long), the library yields the seeds of each barcode at a few
+offsets, and a broadcast hash join on the seed hash finds every candidate
+occurrence; the full barcode is then compared at the implied start.  No hit
+is lost (see ``seed_lanes``), hash collisions only add comparisons, and the
+work per read grows with its length, not with the library.
+
+Barcodes shorter than SEED_MIN seed on their own length (one probe lane per
+distinct short length).  Barcodes that are not plain letters are regular
+expressions, as in the reference, and go through an ``rlike`` join against a
+size-checked broadcast of just those rows.
 """
 
 from __future__ import annotations
@@ -21,73 +21,123 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.sequence import is_literal_barcode
-from seqtally.operators._util import BROADCAST_MAX_ROWS, broadcast_if_small, fits
-
-# Seeds of 8 nt have 65,536 values: a read position meets few library seeds.
-SEED_LEN = 8
+from seqtally.operators import _util
+from seqtally.operators._util import BROADCAST_MAX_ROWS
+
+# Barcodes shorter than SEED_MIN seed on their own full length.  Longer ones
+# share one seed length k = min(shortest such barcode, SEED_MAX): 4^8 = 65,536
+# seed values already make a read position meet few library seeds.
+SEED_MIN = 8
+SEED_MAX = 12
+SEED_LEN = SEED_MIN
 # Regex barcodes are matched by a nested loop; refuse libraries where that
 # would dominate (the rest of the library is not affected by this bound).
 REGEX_MAX_ROWS = 10_000
 
 
-def _seed_lengths(lengths: list[int], seed_len: int) -> tuple[int, list[int]]:
-    t = max(seed_len, min(lengths))
-    return t, sorted({min(n, t) for n in lengths})
+def library_profile(library: DataFrame) -> dict:
+    """One tiny action: barcode count per (length, literal?) class.  The result
+    has at most (max barcode length x 2) rows, whatever the library size."""
+    rows = (library.groupBy(F.length("barcode").alias("n"),
+                            is_literal_barcode("barcode").alias("lit"))
+            .count().collect())
+    prof = {"plain": {}, "regex": 0, "empty": 0}
+    for r in rows:
+        if r.n is None or r.n == 0:
+            prof["empty"] += r["count"]
+        elif r.lit:
+            prof["plain"][r.n] = r["count"]
+        else:
+            prof["regex"] += r["count"]
+    return prof
+
+
+def seed_lanes(plain: dict, seed_min: int = SEED_MIN, seed_max: int = SEED_MAX,
+               max_build_rows: int = BROADCAST_MAX_ROWS):
+    """Probe lanes (seed length, step) and the seed length / step of the
+    long-barcode class.
+
+    A barcode of length L >= Lmin occupies L - k + 1 >= Lmin - k + 1 seed
+    positions, so probing every s-th read position (s <= Lmin - k + 1) hits
+    one of them at an offset o in [0, s); the library is indexed at exactly
+    those s offsets.  s shrinks so the indexed library stays within the
+    broadcast bound."""
+    short = sorted(n for n in plain if n < seed_min)
+    long_n = sum(c for n, c in plain.items() if n >= seed_min)
+    lanes = [(n, 1) for n in short]
+    k = s = None
+    if long_n:
+        lmin = min(n for n in plain if n >= seed_min)
+        k = min(lmin, seed_max)
+        s = max(1, min(lmin - k + 1, max_build_rows // long_n))
+        lanes.append((k, s))
+    return lanes, k, s
 
 
 def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
-               carry: tuple[str, ...] = (), seed_len: int = SEED_LEN) -> DataFrame:
+               carry: tuple[str, ...] = (), seed_min: int = SEED_MIN) -> DataFrame:
     """Every (read, barcode) pair where the barcode occurs in the read.
 
     ``reads``: sample, read_key, sequence (+ barcode_set when ``by_set``,
     + ``carry`` columns).  ``library``: barcode_set, ord, barcode (upper-case,
     deduplicated).  Returns sample, read_key, barcode_set, ord, *carry; a pair
-    occurs once per occurrence, callers aggregate.
+    may occur more than once, callers aggregate.
     """
     keep = ["sample", "read_key", *carry]
     if by_set:
         keep.append("barcode_set")
     lib = library.select("barcode_set", "ord", "barcode")
-    plain = lib.filter(is_literal_barcode("barcode"))
-    regex = lib.filter(~is_literal_barcode("barcode"))
+    prof = library_profile(lib)
+    if prof["empty"]:
+        raise ValueError("barcode library contains empty barcodes")
     parts = []
 
-    # One tiny action on the library: the distinct barcode lengths.
-    lengths = [r[0] for r in plain.select(F.length("barcode")).distinct().collect()]
-    if lengths:
-        t, seeds = _seed_lengths(lengths, seed_len)
-        kmin = seeds[0]
+    if prof["plain"]:
+        lanes, k, s = seed_lanes(prof["plain"], seed_min, max_build_rows=_util.BROADCAST_MAX_ROWS)
         seq_len = F.length("sequence")
-        probe = (reads.filter(seq_len >= kmin)
-                 .select(*keep, "sequence",
-                         F.explode(F.sequence(F.lit(1), seq_len - kmin + 1)).alias("pos")))
-        if len(seeds) == 1:
-            probe = probe.withColumn("seed_len", F.lit(kmin))
+        if len(lanes) == 1:
+            probe = reads.select(*keep, "sequence", F.lit(lanes[0][0]).alias("klen"),
+                                 F.lit(lanes[0][1]).alias("step"))
         else:
-            probe = (probe.select("*", F.explode(F.array(*[F.lit(s) for s in seeds]))
-                                  .alias("seed_len"))
-                     .filter(F.col("pos") + F.col("seed_len") - 1 <= seq_len))
-        probe = probe.withColumn("seed", F.expr("substr(sequence, pos, seed_len)"))
-
-        build = (plain.withColumn("blen", F.length("barcode"))
-                 .withColumn("b_seed_len", F.least(F.col("blen"), F.lit(t)))
-                 .withColumn("b_seed", F.expr("substr(barcode, 1, b_seed_len)"))
-                 .withColumnRenamed("barcode_set", "b_set"))
-        build = broadcast_if_small(build, BROADCAST_MAX_ROWS)
-        cond = [probe.seed == build.b_seed]
-        if len(seeds) > 1:
-            cond.append(probe.seed_len == build.b_seed_len)
+            lane_arr = F.array(*[F.struct(F.lit(a).alias("klen"), F.lit(b).alias("step"))
+                                 for a, b in lanes])
+            probe = reads.select(*keep, "sequence", F.inline(lane_arr))
+        # sequence(1, 0) would count down, hence the guard inside the explode
+        positions = F.when(seq_len >= F.col("klen"),
+                           F.sequence(F.lit(1), seq_len - F.col("klen") + 1, F.col("step")))
+        probe = (probe.select(*keep, "sequence", "klen", F.explode(positions).alias("pos"))
+                 .withColumn("h", F.xxhash64(F.expr("substr(sequence, pos, klen)"))))
+
+        blen = F.length("barcode")
+        offsets = (F.array(F.lit(0)) if s is None else
+                   F.when(blen < seed_min, F.array(F.lit(0)))
+                   .otherwise(F.sequence(F.lit(0), F.lit(s - 1))))
+        klen = blen if k is None else F.when(blen < seed_min, blen).otherwise(F.lit(k))
+        build = (lib.filter(is_literal_barcode("barcode"))
+                 .select(F.col("barcode_set").alias("b_set"), "ord", "barcode",
+                         blen.alias("blen"), klen.alias("b_klen"),
+                         F.explode(offsets).alias("o"))
+                 .withColumn("b_h", F.xxhash64(F.expr("substr(barcode, o + 1, b_klen)")))
+                 .drop("b_klen"))
+        build_rows = sum(c for n, c in prof["plain"].items() if n < seed_min) + \
+            sum(c for n, c in prof["plain"].items() if n >= seed_min) * (s or 0)
+        if build_rows <= _util.BROADCAST_MAX_ROWS:
+            build = F.broadcast(build)
+        cond = probe.h == build.b_h
         if by_set:
-            cond.append(probe.barcode_set == build.b_set)
-        verify = ((build.blen == build.b_seed_len)
-                  | (F.expr("substr(sequence, pos, blen)") == build.barcode))
-        joined = probe.join(build, cond[0] if len(cond) == 1 else cond, "inner").filter(verify)
+            cond = cond & (probe.barcode_set == build.b_set)
+        # every candidate is verified on the full barcode: seeds are hashed,
+        # so a collision only costs a comparison
+        start = F.col("pos") - F.col("o")
+        verify = (start >= 1) & (F.expr("substr(sequence, pos - o, blen)") == F.col("barcode"))
+        joined = probe.join(build, cond, "inner").filter(verify)
         parts.append(joined.select(*[c for c in keep if c != "barcode_set"],
                                    F.col("b_set").alias("barcode_set"), "ord"))
 
-    if regex.limit(1).count():
-        if not fits(regex, REGEX_MAX_ROWS):
+    if prof["regex"]:
+        if prof["regex"] > REGEX_MAX_ROWS:
             raise ValueError(f"more than {REGEX_MAX_ROWS} regular-expression barcodes")
+        regex = lib.filter(~is_literal_barcode("barcode"))
         rx = F.broadcast(regex.withColumnRenamed("barcode_set", "b_set"))
         cond = F.expr("sequence rlike barcode")
         if by_set:
@@ -114,7 +164,7 @@ def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFr
 
 def assign_first_match(reads: DataFrame, library: DataFrame,
                        manifest: DataFrame | None = None,
-                       carry: tuple[str, ...] = (), seed_len: int = SEED_LEN) -> DataFrame:
+                       carry: tuple[str, ...] = (), seed_min: int = SEED_MIN) -> DataFrame:
     """Each read goes to the first library barcode (smallest ``ord``) it
     contains; a read is counted at most once per barcode set ("without
     replacement").  Returns sample, read_key, barcode_set, ord, *carry.
@@ -122,18 +172,18 @@ def assign_first_match(reads: DataFrame, library: DataFrame,
     The aggregation is keyed by read, so it has a partial step inside the
     join stage and shuffles at most one row per assigned read."""
     reads, by_set = _with_manifest(reads, manifest)
-    cand = candidates(reads, library, by_set, carry, seed_len)
+    cand = candidates(reads, library, by_set, carry, seed_min)
     aggs = [F.min("ord").alias("ord")] + [F.any_value(c).alias(c) for c in carry]
     return cand.groupBy("sample", "read_key", "barcode_set").agg(*aggs)
 
 
 def match_all(reads: DataFrame, library: DataFrame,
               manifest: DataFrame | None = None,
-              carry: tuple[str, ...] = (), seed_len: int = SEED_LEN) -> DataFrame:
+              carry: tuple[str, ...] = (), seed_min: int = SEED_MIN) -> DataFrame:
     """Every (read, barcode) pair with the barcode contained in the read
     ("with replacement"); a pair is listed once however often it occurs."""
     reads, by_set = _with_manifest(reads, manifest)
-    cand = candidates(reads, library, by_set, carry, seed_len)
+    cand = candidates(reads, library, by_set, carry, seed_min)
     aggs = [F.any_value(c).alias(c) for c in carry]
     keys = ["sample", "read_key", "barcode_set", "ord"]
     if aggs:

@@ -148,3 +148,33 @@ def test_seed_join_plan_has_no_nested_loop(spark):
     lib = library_df(spark, [("g", "ACGTACGTA"), ("h", "TTTTTTTTT")])
     plan = assign_first_match(reads, lib)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("bound", [None, 30, 5])
+def test_long_barcodes_stepped_seeds(spark, monkeypatch, bound):
+    """Barcodes of 14..30 nt (seed 12, step up to 3), planted in reads at
+    random places, nested and overlapping; with a small broadcast bound the
+    step shrinks, and below it the index is joined without broadcast."""
+    from seqtally.operators import _util
+    from seqtally.operators.match import seed_lanes
+    if bound is not None:
+        monkeypatch.setattr(_util, "BROADCAST_MAX_ROWS", bound)
+    rnd = random.Random(11)
+    lib = []
+    for i in range(10):
+        b = "".join(rnd.choice("ACGT") for _ in range(rnd.randint(14, 30)))
+        if i and rnd.random() < 0.3:
+            b = lib[-1][1][:14]               # prefix of an earlier barcode
+        lib.append((f"g{i}", b))
+    reads = []
+    for i in range(150):
+        s = "".join(rnd.choice("ACGT") for _ in range(rnd.randint(10, 90)))
+        for _ in range(rnd.randint(0, 2)):
+            b = rnd.choice(lib)[1]
+            p = rnd.randint(0, len(s))
+            s = s[:p] + b + s[p:]
+        reads.append((f"r{i}", s))
+    lanes, k, step = seed_lanes({n: 1 for n in {len(b) for _, b in lib}}, max_build_rows=10 ** 9)
+    assert k == 12 and step >= 3
+    got = {k_: v[0] for k_, v in counts(spark, reads, lib).items()}
+    assert got == loop_first_match(reads, lib)
