@@ -16,6 +16,13 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def collect_bounded(df: DataFrame, max_rows: int):
+    """The rows of ``df`` when it has at most ``max_rows`` of them, else None.
+    One job; never more than ``max_rows + 1`` rows reach the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint behind a checked size; otherwise leave the join to the
     planner (shuffled hash / sort-merge join, AQE may still broadcast)."""

@@ -18,17 +18,24 @@ def compare_counts(src: DataFrame, dst: DataFrame, key: str = "key",
     return a.join(b, key, "left")
 
 
-def _mean(df: DataFrame, c: str) -> Column:
-    return df.select(F.avg(c)).scalar()
+def _stats(df: DataFrame, c: str) -> Column:
+    """Mean and sample std of one column as a single scalar subquery (a struct
+    with fields m, s); referenced twice, it is computed once."""
+    return df.select(F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s"))).scalar()
 
 
-def _std(df: DataFrame, c: str) -> Column:
-    return df.select(F.stddev_samp(c)).scalar()
+def _staged(df: DataFrame) -> DataFrame:
+    """Statistics need a second pass over the table; a comparison table is
+    small (one row per key), so it is checkpointed to the shared folder once
+    instead of recomputing its whole lineage for each pass."""
+    return df.checkpoint(eager=True)
 
 
 def drop_upper_outliers(df: DataFrame, col: str, z: float = Z_OUTLIER) -> DataFrame:
     """Keep rows with col <= mean + z * std (sample std); NULL is dropped."""
-    return df.filter(F.col(col) <= _mean(df, col) + F.lit(z) * _std(df, col))
+    df = _staged(df)
+    st = _stats(df, col)
+    return df.filter(F.col(col) <= st.getField("m") + F.lit(z) * st.getField("s"))
 
 
 def column_stats(df: DataFrame, cols) -> DataFrame:
@@ -42,7 +49,9 @@ def column_stats(df: DataFrame, cols) -> DataFrame:
 def zscore(df: DataFrame, cols) -> DataFrame:
     """(x - mean) / std for each column, statistics of ``df`` itself; NULL
     where the std is 0 or undefined."""
+    df = _staged(df)
     out = df
     for c in cols:
-        out = out.withColumn(c, F.try_divide(F.col(c) - _mean(df, c), _std(df, c)))
+        st = _stats(df, c)
+        out = out.withColumn(c, F.try_divide(F.col(c) - st.getField("m"), st.getField("s")))
     return out

@@ -34,12 +34,37 @@ def count_hits(hits: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("read_counts")))
 
 
+# A manifest is run configuration (samples x barcode sets); up to this many
+# pairs it is expanded on the library rows directly.
+MANIFEST_INLINE_MAX = 100_000
+
+
 def zero_fill(counts: DataFrame, library: DataFrame, manifest: DataFrame) -> DataFrame:
     """Every library row of every (sample, barcode set) of the manifest, with
-    count 0 where no read was assigned.  The expansion is an equi-join on the
-    barcode set, sized by the output, never a product with the reads."""
-    grid = manifest.select("sample", "barcode_set").distinct().join(
-        library.select("barcode_set", "ord", "gene", "barcode"), "barcode_set")
+    count 0 where no read was assigned.
+
+    The output has |library rows of the set| x |samples of the set| rows.  A
+    manifest of bounded size (checked) is turned into a literal map
+    set -> samples and each library row is exploded into its samples (a
+    Generate on the library; no join, no product with the reads).  A larger
+    manifest is joined on the barcode set instead."""
+    from seqtally.operators._util import collect_bounded
+    pairs = manifest.select("sample", "barcode_set").distinct()
+    rows = collect_bounded(pairs, MANIFEST_INLINE_MAX)
+    if rows is not None:
+        by_set: dict = {}
+        for r in rows:
+            by_set.setdefault(r.barcode_set, []).append(r.sample)
+        if not by_set:
+            return counts.sparkSession.createDataFrame(
+                [], "sample string, barcode_set string, ord long, gene string, "
+                    "barcode string, read_counts long")
+        m = F.create_map(*[x for k, v in sorted(by_set.items(), key=lambda kv: str(kv[0]))
+                           for x in (F.lit(k), F.array(*[F.lit(e) for e in sorted(v)]))])
+        grid = library.select(F.explode(F.element_at(m, F.col("barcode_set"))).alias("sample"),
+                              "barcode_set", "ord", "gene", "barcode")
+    else:
+        grid = pairs.join(library.select("barcode_set", "ord", "gene", "barcode"), "barcode_set")
     return (grid.join(counts, ["sample", "barcode_set", "ord"], "left")
             .select("sample", "barcode_set", "ord", "gene", "barcode",
                     F.coalesce(F.col("read_counts"), F.lit(0)).cast("long")

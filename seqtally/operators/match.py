@@ -33,6 +33,10 @@ SEED_LEN = SEED_MIN
 # Regex barcodes are matched by a nested loop; refuse libraries where that
 # would dominate (the rest of the library is not affected by this bound).
 REGEX_MAX_ROWS = 10_000
+# Up to this many barcodes shorter than SEED_MIN are tested with instr() on
+# each read instead of seeding every position (a 1-nt barcode would make
+# every position a candidate).
+SHORT_INLINE_MAX = 32
 
 
 def library_profile(library: DataFrame) -> dict:
@@ -92,6 +96,14 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         raise ValueError("barcode library contains empty barcodes")
     parts = []
 
+    short_n = sum(c for n, c in prof["plain"].items() if n < seed_min)
+    if 0 < short_n <= SHORT_INLINE_MAX:
+        short = (lib.filter(is_literal_barcode("barcode") & (F.length("barcode") < seed_min))
+                 .collect())
+        parts.append(_inline_contains(reads, short, keep, by_set))
+        prof["plain"] = {n: c for n, c in prof["plain"].items() if n >= seed_min}
+        lib = lib.filter(~is_literal_barcode("barcode") | (F.length("barcode") >= seed_min))
+
     if prof["plain"]:
         lanes, k, s = seed_lanes(prof["plain"], seed_min, max_build_rows=_util.BROADCAST_MAX_ROWS)
         seq_len = F.length("sequence")
@@ -154,6 +166,22 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     return out
 
 
+def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool) -> DataFrame:
+    """Matches of a few short barcodes: each read keeps the library entries
+    it contains (higher-order filter over a literal array), then explodes."""
+    entries = F.array(*[F.struct(F.lit(r.barcode_set).alias("b_set"),
+                                 F.lit(r.ord).cast("long").alias("ord"),
+                                 F.lit(r.barcode).alias("barcode")) for r in short_rows])
+
+    def hit(e):
+        c = F.instr(F.col("sequence"), e["barcode"]) > 0
+        return c & (e["b_set"] == F.col("barcode_set")) if by_set else c
+
+    found = reads.select(*keep, F.explode(F.filter(entries, hit)).alias("e"))
+    return found.select(*[c for c in keep if c != "barcode_set"],
+                        F.col("e.b_set").alias("barcode_set"), F.col("e.ord").alias("ord"))
+
+
 def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFrame, bool]:
     if manifest is None:
         return reads, False

@@ -19,6 +19,13 @@ from seqtally.operators._util import spread
 LIBRARY_SET = "part"
 
 
+def _nn(c: Column) -> Column:
+    """Derived text is never NULL; declaring it keeps Catalyst from inferring
+    an IS NOT NULL filter on it and pushing that (with the whole derivation)
+    below the spreading shuffle into the single scan task."""
+    return F.coalesce(c, F.lit(""))
+
+
 def _tbl(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -41,7 +48,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
                    (F.lit(80) + k % 17).cast("int"))
     return o.select(F.col("o_orderstatus").alias("sample"), k.alias("read_key"),
                     F.concat(F.lit("r"), k.cast("string")).alias("read_id"),
-                    seq.alias("sequence"))
+                    _nn(seq).alias("sequence"))
 
 
 READS_SQL = f"""
@@ -85,7 +92,7 @@ def length_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
                    (F.lit(180) + k % 110).cast("int"))
     return e.select(F.col("event_type").alias("sample"), k.alias("read_key"),
                     F.concat(F.lit("e"), k.cast("string")).alias("read_id"),
-                    seq.alias("sequence"))
+                    _nn(seq).alias("sequence"))
 
 
 LENGTH_READS_SQL = """
@@ -109,7 +116,7 @@ def flanked_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.repeat(_t("z", k), 3)))
     return e.select(F.col("event_type").alias("sample"), k.alias("read_key"),
                     F.concat(F.lit("e"), k.cast("string")).alias("read_id"),
-                    seq.alias("sequence"))
+                    _nn(seq).alias("sequence"))
 
 
 FLANKED_READS_SQL = f"""
