@@ -73,11 +73,15 @@ def zero_fill(counts: DataFrame, library: DataFrame, manifest: DataFrame) -> Dat
 
 def rpm(counts: DataFrame, by: tuple[str, ...] = ("sample",)) -> DataFrame:
     """Reads per million: count / (assigned reads of the sample) * 1e6; 0 for
-    a sample without any assigned read.  The per-sample total is a grouped
-    aggregate joined back (tiny, AQE broadcasts it), not a window, so no
-    sample's rows are gathered in one task."""
-    tot = counts.groupBy(*by).agg(F.sum("read_counts").alias("_tot"))
-    return (counts.join(tot, list(by), "left")
+    a sample without any assigned read.
+
+    The total is a window sum over the count table.  That table has one row
+    per (sample, library barcode), so a window partition holds one library's
+    worth of rows however many reads a sample has, and the counts (with the
+    matching behind them) are consumed once instead of twice."""
+    from pyspark.sql import Window
+    tot = F.sum("read_counts").over(Window.partitionBy(*by))
+    return (counts.withColumn("_tot", tot)
             .withColumn("rpm", _ratio("read_counts", "_tot", 1e6)).drop("_tot"))
 
 

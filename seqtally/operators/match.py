@@ -183,11 +183,28 @@ def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool) -> DataFr
 
 
 def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFrame, bool]:
+    """Attach the barcode set(s) of each read's sample.  A sample listed with
+    several sets is matched against each.  A bounded manifest (the usual
+    case: a run configuration) becomes a literal map sample -> sets that each
+    read explodes through (no join, so the planner can never choose to
+    broadcast the reads); a larger one is broadcast behind a size check, or
+    joined by a shuffle."""
+    from seqtally.operators._util import broadcast_if_small, collect_bounded
+    from seqtally.operators.counts import MANIFEST_INLINE_MAX
     if manifest is None:
         return reads, False
-    # A sample listed with several barcode sets is matched against each.
     m = manifest.select("sample", "barcode_set").distinct()
-    return reads.join(m, "sample", "inner"), True
+    rows = collect_bounded(m, MANIFEST_INLINE_MAX)
+    if rows is None:
+        return reads.join(broadcast_if_small(m), "sample", "inner"), True
+    by_sample: dict = {}
+    for r in rows:
+        by_sample.setdefault(r.sample, []).append(r.barcode_set)
+    if not by_sample:
+        return reads.withColumn("barcode_set", F.lit(None).cast("string")).limit(0), True
+    sets = F.create_map(*[x for k, v in sorted(by_sample.items(), key=lambda kv: str(kv[0]))
+                          for x in (F.lit(k), F.array(*[F.lit(e) for e in sorted(v, key=str)]))])
+    return reads.withColumn("barcode_set", F.explode(F.element_at(sets, F.col("sample")))), True
 
 
 def assign_first_match(reads: DataFrame, library: DataFrame,
