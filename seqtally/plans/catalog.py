@@ -228,9 +228,10 @@ def union_counts(spark, sf_dir):
     lib = _library(spark, sf_dir)
     first = (barcode_counts(reads, lib, barcode_set=D.LIBRARY_SET)
              .select(F.lit("first").alias("mode"), "sample", "gene", "barcode", "read_counts"))
+    from seqtally.operators.records import union_counts as stack
     every = (C.with_genes(C.count_hits(match_all(reads, lib)), lib)
              .select(F.lit("all").alias("mode"), "sample", "gene", "barcode", "read_counts"))
-    return first.unionByName(every)
+    return stack(first, every)
 
 
 # --- manifest-driven counting: each sample against its own barcode sets (JN7) --
@@ -264,9 +265,9 @@ def manifest_match(spark, sf_dir):
     reads = D.reads(spark, sf_dir)
     lib = prepare_library(D.library_typed_raw(spark, sf_dir))
     man = spark.createDataFrame(RUN_MANIFEST, MANIFEST)
-    hits = assign_first_match(reads, lib, man)
-    counts = C.rpm(C.zero_fill(C.count_hits(hits), lib, man), by=("sample", "barcode_set"))
-    return counts.select("sample", "barcode_set", "gene", "barcode", "read_counts", "rpm")
+    from seqtally.plans.counting import count_manifest
+    return count_manifest(reads, man, lib).select(
+        "sample", "barcode_set", "gene", "barcode", "read_counts", "rpm")
 
 
 # --- length windows and routing (JN3, FIL3, JN9) --------------------------------
@@ -382,7 +383,8 @@ GREP_PATTERN = "GATTACA"
 @query("grep_lines", D.cte(**FQ, lines=LINES_SQL) + f"""
 SELECT read_key, line_no, value FROM lines WHERE regexp_matches(value, '{GREP_PATTERN}')""")
 def grep_lines(spark, sf_dir):
-    return _lines(spark, sf_dir).filter(F.col("value").rlike(GREP_PATTERN))
+    from seqtally.operators.records import grep
+    return grep(_lines(spark, sf_dir), GREP_PATTERN)
 
 
 @query("reverse_complement", D.cte(**FQ) + f"""
@@ -412,10 +414,18 @@ SELECT read_key, coalesce(starts_with(header, '@') AND starts_with(spacer, '+')
                           AND regexp_matches(quality, '^[!-_]*$'), false) AS is_valid
 FROM fq""")
 def fastq_validate(spark, sf_dir):
-    from seqtally.functions.sequence import valid_fastq_record
-    fq = D.fastq_records(spark, sf_dir)
-    return fq.select("read_key", valid_fastq_record("header", "sequence", "spacer", "quality")
-                     .alias("is_valid"))
+    from seqtally.operators.records import validate_fastq
+    return validate_fastq(D.fastq_records(spark, sf_dir), mode="FLAG").select("read_key", "is_valid")
+
+
+@query("fastq_drop_invalid", D.cte(**FQ) + """
+SELECT read_key, header FROM fq
+WHERE coalesce(starts_with(header, '@') AND starts_with(spacer, '+')
+               AND length(sequence) = length(quality) AND length(sequence) > 0
+               AND regexp_matches(quality, '^[!-_]*$'), false)""")
+def fastq_drop_invalid(spark, sf_dir):
+    from seqtally.operators.records import validate_fastq
+    return validate_fastq(D.fastq_records(spark, sf_dir), mode="DROP").select("read_key", "header")
 
 
 @query("fastq_format", D.cte(**FQ) + """
@@ -529,6 +539,18 @@ def reconcile_samples_q(spark, sf_dir):
     return reconcile_samples(man, D.input_folders(spark, sf_dir)).select("sample", "side")
 
 
+@query("sample_counts", D.cte(mlines=D.MANIFEST_LINES_SQL, man=MANIFEST_PARSE_SQL,
+                              inputs=D.INPUT_FOLDERS_SQL) + """
+SELECT (SELECT count(*) FROM man) AS manifest_rows,
+       (SELECT count(DISTINCT sample) FROM man) AS manifest_samples,
+       (SELECT count(DISTINCT sample) FROM inputs) AS input_folders""")
+def sample_counts_q(spark, sf_dir):
+    from seqtally.operators.records import sample_counts
+    from seqtally.sources.text import parse_manifest_lines
+    man = parse_manifest_lines(D.manifest_lines(spark, sf_dir))
+    return sample_counts(man, D.input_folders(spark, sf_dir))
+
+
 # --- mates (JN8) ------------------------------------------------------------------
 
 @query("pair_mates", D.cte(**D.MATES_SQL) + """

@@ -24,6 +24,13 @@ def barcode_counts(reads: DataFrame, library: DataFrame,
     return rpm(zero_fill(count_hits(hits), library, m))
 
 
+def count_manifest(reads: DataFrame, manifest: DataFrame, library: DataFrame) -> DataFrame:
+    """Each sample against the barcode set(s) the manifest lists for it; RPM
+    within each (sample, barcode set) run."""
+    hits = assign_first_match(reads, library, manifest)
+    return rpm(zero_fill(count_hits(hits), library, manifest), by=("sample", "barcode_set"))
+
+
 def barcode_stats(reads: DataFrame, library: DataFrame,
                   manifest: DataFrame | None = None,
                   barcode_set: str | None = None) -> DataFrame:

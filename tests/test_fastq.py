@@ -100,3 +100,18 @@ def test_multiple_files_and_sample_dirs(spark, tmpdir_path):
     got = read_fastq(spark, tmpdir_path + "/*/*.fastq").groupBy("sample").count().collect()
     assert {r.sample: r["count"] for r in got} == {"A": 5, "B": 7}
     assert read_fastq_full(spark, [f"{tmpdir_path}/A", f"{tmpdir_path}/B"]).count() == 12
+
+
+def test_validate_modes(spark, tmpdir_path):
+    from seqtally.operators.records import validate_fastq
+    recs = [("@a", "ACGT", "+", "IIII"), ("@b", "ACGT", "+", "III")]
+    p = f"{tmpdir_path}/S/m.fastq"
+    write(p, recs)
+    df = read_fastq_full(spark, p)
+    assert [r.header for r in validate_fastq(df, "DROP").collect()] == ["@a"]
+    assert sorted((r.header, r.is_valid) for r in validate_fastq(df, "FLAG").collect()) == [
+        ("@a", True), ("@b", False)]
+    with pytest.raises(Exception, match="malformed FASTQ record: @b"):
+        validate_fastq(df, "FAILFAST").collect()
+    assert validate_fastq(df.filter("header = '@a'"), "FAILFAST").count() == 1
+    assert validate_fastq(df.filter("header = '@a'"), "DROP", max_qual=39).count() == 0
