@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The reference processes its inputs in batch only: its chunk loops bound
+memory and write per-chunk result files that are merged afterwards, with no
+watermark, window, state or late data.  In this library Spark's input splits
+play the role of the chunks (see ``operators.counts.chunk_counts`` and
+``merge_counts``), so nothing is built here.
+"""
