@@ -24,3 +24,19 @@ def with_index(df: DataFrame, order, name: str = "idx", start: int = 0) -> DataF
     return (s.join(F.broadcast(off), "_pid")
             .withColumn(name, F.col("_off") + local + F.lit(start))
             .drop("_pid", "_mid", "_off"))
+
+
+def occurrence(df: DataFrame, keys, order, name: str = "occ") -> DataFrame:
+    """``name`` = 0, 1, 2, ... over the rows sharing ``keys``, in ``order``.
+
+    No window per key (a key holding a third of the rows would land in one
+    task): rows get a global position in (keys, order), the first position
+    of each key comes from a partial aggregate, and the difference is the
+    occurrence number.  The join back pairs each row with one row per key, so
+    a hot key is split by AQE's skew handling, never multiplied."""
+    keys, order = list(keys), list(order)
+    g = with_index(df, keys + order, "_gidx")
+    first = g.groupBy(*keys).agg(F.min("_gidx").alias("_first"))
+    return (g.join(first, keys)
+            .withColumn(name, F.col("_gidx") - F.col("_first"))
+            .drop("_gidx", "_first"))

@@ -199,9 +199,10 @@ def mate_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
                     "o_orderpriority", k.alias("read_key"),
                     F.concat(_t("m", k), _t("n", k)).alias("fragment"))
     r1 = (base.filter(F.col("o_orderpriority") != "5-LOW")
-          .select("sample", "read_id", F.substr("fragment", F.lit(1), F.lit(40)).alias("sequence")))
+          .select("sample", "read_id", "read_key",
+                  F.substr("fragment", F.lit(1), F.lit(40)).alias("sequence")))
     r2 = (base.filter(F.col("sample") != "P")
-          .select("sample", "read_id",
+          .select("sample", "read_id", "read_key",
                   F.reverse(F.translate(F.substr("fragment", F.lit(25), F.lit(40)),
                                         "ACGT", "TGCA")).alias("sequence")))
     return r1, r2

@@ -103,6 +103,24 @@ def test_mates_and_routing(spark):
     assert got == [(1, "s_a"), (3, "s_b")]
 
 
+def test_pair_mates_repeated_ids_pair_by_occurrence(spark):
+    cols = "sample string, read_id string, read_key long, sequence string"
+    r1 = spark.createDataFrame([("S", "d", 1, "A1"), ("S", "d", 5, "A2"), ("S", "d", 9, "A3"),
+                                ("S", "u", 2, "U1")], cols)
+    r2 = spark.createDataFrame([("S", "d", 3, "B1"), ("S", "d", 4, "B2"), ("S", "u", 7, "V1")], cols)
+    got = sorted((r.read_id, r.sequence_1, r.sequence_2) for r in pair_mates(r1, r2).collect())
+    assert got == [("d", "A1", "B1"), ("d", "A2", "B2"), ("u", "U1", "V1")]
+
+
+def test_occurrence_hot_key(spark):
+    from seqtally.operators.index import occurrence
+    df = spark.range(0, 3000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id"))
+    got = occurrence(df, ["k"], ["id"]).filter("k = 'hot'").orderBy("id").collect()
+    assert [r.occ for r in got] == list(range(1000))
+
+
 def test_with_index_is_dense(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("v"))
     got = with_index(df, ["v"]).collect()
