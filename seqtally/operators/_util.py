@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Eager checkpoint into the shared folder named by ``spark.checkpoint.dir``
+    (registered on the context first if needed).  Used for small tables that
+    several jobs read; cuts their lineage, survives executor loss."""
+    from seqtally.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.  Reads at most
     ``max_rows + 1`` rows, whatever the size of ``df``."""

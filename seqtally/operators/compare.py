@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqtally.operators._util import checkpointed
+
 Z_OUTLIER = 1.96
 
 
@@ -28,7 +30,7 @@ def _staged(df: DataFrame) -> DataFrame:
     """Statistics need a second pass over the table; a comparison table is
     small (one row per key), so it is checkpointed to the shared folder once
     instead of recomputing its whole lineage for each pass."""
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def drop_upper_outliers(df: DataFrame, col: str, z: float = Z_OUTLIER) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqtally.operators._util import checkpointed
+
 
 def with_index(df: DataFrame, order, name: str = "idx", start: int = 0) -> DataFrame:
     """``name`` = position of the row in ``order`` (0-based by default).
@@ -15,8 +17,8 @@ def with_index(df: DataFrame, order, name: str = "idx", start: int = 0) -> DataF
     partition.  Only one row per partition reaches the offset table."""
     s = (df.orderBy(*order)
          .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id())
-         .checkpoint(eager=True))
+         .withColumn("_mid", F.monotonically_increasing_id()))
+    s = checkpointed(s)
     per = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))

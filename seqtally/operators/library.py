@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqtally.operators._util import checkpointed
+
 
 def normalize_barcodes(lib: DataFrame) -> DataFrame:
     """Upper-case every barcode (reads are not upper-cased)."""
@@ -28,7 +30,7 @@ def prepare_library(lib: DataFrame) -> DataFrame:
     The prepared library is small and read by several jobs (profile, index
     broadcast, zero-fill), so it is checkpointed to the shared checkpoint
     folder once; that also cuts its lineage."""
-    lib = dedup_barcodes(normalize_barcodes(lib)).checkpoint(eager=True)
+    lib = checkpointed(dedup_barcodes(normalize_barcodes(lib)))
     if lib.filter(F.col("barcode").isNull() | (F.length("barcode") == 0)).limit(1).count():
         raise ValueError("barcode library contains empty barcodes")
     return lib
