@@ -90,11 +90,36 @@ def with_genes(counts: DataFrame, library: DataFrame) -> DataFrame:
                        ["barcode_set", "ord"])
 
 
-def read_stats(reads: DataFrame, hits: DataFrame, manifest: DataFrame) -> DataFrame:
+def count_reads(hits: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
+                with_ids: bool = False) -> DataFrame:
+    """Assigned reads per library row, zero-filled for every (sample, barcode
+    set) of ``manifest`` (default: the pairs present in ``hits``).  With
+    ``with_ids`` the per-chunk ID lists are returned instead (``chunk_counts``;
+    ``hits`` must carry ``read_id``)."""
+    if with_ids:
+        return chunk_counts(hits, library)
+    m = manifest if manifest is not None else hits.select("sample", "barcode_set").distinct()
+    return zero_fill(count_hits(hits), library, m)
+
+
+def read_stats(reads: DataFrame, hits: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """Total reads, detected (assigned) reads and detection rate per
-    (sample, barcode set); rate is NULL for an empty pool."""
-    total = (reads.groupBy("sample").agg(F.count(F.lit(1)).alias("total_reads"))
-             .join(manifest.select("sample", "barcode_set").distinct(), "sample"))
+    (sample, barcode set); rate is NULL for an empty pool.  Without a
+    manifest the statistics are per sample (barcode_set NULL)."""
+    total = reads.groupBy("sample").agg(F.count(F.lit(1)).alias("total_reads"))
+    if manifest is None:
+        hits = hits.select("sample", "read_key").distinct().withColumn(
+            "barcode_set", F.lit(None).cast("string"))
+        total = total.withColumn("barcode_set", F.lit(None).cast("string"))
+        det = hits.groupBy("sample").agg(F.count(F.lit(1)).alias("detected_reads"))
+        out = (total.join(det, "sample", "left")
+               .withColumn("detected_reads",
+                           F.coalesce(F.col("detected_reads"), F.lit(0)).cast("long")))
+        rate = F.when(F.col("total_reads") > 0,
+                      F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
+        return out.select("sample", "barcode_set", "total_reads", "detected_reads",
+                          rate.alias("detection_rate"))
+    total = total.join(manifest.select("sample", "barcode_set").distinct(), "sample")
     det = hits.groupBy("sample", "barcode_set").agg(
         F.count(F.lit(1)).alias("detected_reads"))
     out = (total.join(det, ["sample", "barcode_set"], "left")

@@ -20,12 +20,16 @@ def length_windows(spark: SparkSession, windows=FRAGMENT_LENGTHS,
     return spark.createDataFrame([(f, int(t), int(tolerance)) for f, t in windows], WINDOWS)
 
 
-def split_by_length(reads: DataFrame, windows: DataFrame) -> DataFrame:
+def split_by_length(reads: DataFrame, windows=None,
+                    tolerance: int = LENGTH_TOLERANCE) -> DataFrame:
     """A read goes to every window with target-tol <= length <= target+tol;
     other reads are dropped.  The range condition becomes an equi-join: each
     window is expanded to its admissible lengths (a few rows per window) and
     joined on the read length, so the plan is a broadcast hash join instead of
-    a nested loop over windows."""
+    a nested loop over windows.  ``windows`` is a DataFrame (fragment,
+    target_len, tolerance) or a list of (fragment, target_len) pairs."""
+    if windows is None or isinstance(windows, (list, tuple)):
+        windows = length_windows(reads.sparkSession, windows or FRAGMENT_LENGTHS, tolerance)
     lens = windows.select(
         "fragment",
         F.explode(F.sequence(F.col("target_len") - F.col("tolerance"),

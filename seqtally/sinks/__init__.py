@@ -36,16 +36,22 @@ def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
     stats.write.mode(mode).option("header", True).csv(path)
 
 
-def write_stats_text(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """The three-line statistics text of the reference, one folder per sample."""
+def write_stats_text(stats: DataFrame, path: str, mode: str = "overwrite",
+                     by: str = "sample") -> None:
+    """The statistics text of the reference, one folder per ``by`` value:
+    three lines per sample, or four with a leading ``File: <name>`` line when
+    the statistics carry a ``file`` column (flank extraction)."""
     _dynamic(stats)
+    lines = []
+    if "file" in stats.columns:
+        lines.append(F.concat(F.lit("File: "), F.regexp_extract("file", r"([^/]+)$", 1)))
     body = F.concat_ws(
-        "\n",
+        "\n", *lines,
         F.concat(F.lit("Total read: "), F.col("total_reads").cast("string")),
         F.concat(F.lit("Detected read: "), F.col("detected_reads").cast("string")),
         F.concat(F.lit("Detection rate in the sequence pool: "),
                  F.coalesce(F.col("detection_rate").cast("string"), F.lit("nan"))))
-    stats.select("sample", body.alias("value")).write.mode(mode).partitionBy("sample").text(path)
+    stats.select(by, body.alias("value")).write.mode(mode).partitionBy(by).text(path)
 
 
 def write_fastq(reads: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> None:

@@ -167,3 +167,45 @@ def test_sinks(spark, tmpdir_path):
     write_barcode_list(spark.createDataFrame([("TT",), ("AA",)], "barcode string"), f"{tmpdir_path}/bl")
     got = sorted(tuple(r) for r in spark.read.csv(f"{tmpdir_path}/bl").collect())
     assert got == [("0", "AA"), ("1", "TT")]
+
+
+def test_count_reads_and_stats_without_manifest(spark):
+    from seqtally.operators.counts import count_reads, read_stats
+    from seqtally.operators.match import assign_first_match
+    reads = reads_df(spark, [("a", "AACGTT"), ("b", "GGGG"), ("c", "TTTT")])
+    lib = library_df(spark, [("g", "ACGT"), ("h", "GGGG"), ("z", "CCCC")])
+    hits = assign_first_match(reads, lib, carry=("read_id",))
+    got = sorted((r.gene, r.read_counts) for r in count_reads(hits, lib).collect())
+    assert got == [("g", 1), ("h", 1), ("z", 0)]
+    ids = sorted((r.gene, r.ids) for r in count_reads(hits, lib, with_ids=True).collect())
+    assert ids == [("g", ["a"]), ("h", ["b"])]
+    s = read_stats(reads, hits).first()
+    assert (s.total_reads, s.detected_reads) == (3, 2)
+
+
+def test_stats_and_flank_text_sinks(spark, tmpdir_path):
+    from seqtally.sinks import write_comparison_csv, write_hits_parquet, write_stats_text
+    stats = spark.createDataFrame([("S", 4, 2, 0.5)], "sample string, total_reads long, detected_reads long, detection_rate double")
+    write_stats_text(stats, f"{tmpdir_path}/st")
+    txt = "".join(open(f).read() for f in glob.glob(f"{tmpdir_path}/st/sample=S/*.txt"))
+    assert txt == "Total read: 4\nDetected read: 2\nDetection rate in the sequence pool: 0.5\n"
+    fl = spark.createDataFrame([("/x/run1.fastq", 10, 0, None)],
+                               "file string, total_reads long, detected_reads long, detection_rate double")
+    write_stats_text(fl, f"{tmpdir_path}/fl", by="file")
+    txt = "".join(open(f).read() for f in glob.glob(f"{tmpdir_path}/fl/*/*.txt"))
+    assert txt.startswith("File: run1.fastq\nTotal read: 10\n") and txt.endswith("pool: nan\n")
+    ch = spark.createDataFrame([("S", 0, "g", "ACGT", 2, ["r1", "r2"])],
+                               "sample string, chunk long, gene string, barcode string, read_counts long, ids array<string>")
+    write_hits_parquet(ch, f"{tmpdir_path}/hp")
+    from seqtally.sources.text import read_counts_parquet
+    back = read_counts_parquet(spark, f"{tmpdir_path}/hp").first()
+    assert (back.sample, back.read_counts, back.ids) == ("S", 2, ["r1", "r2"])
+    write_comparison_csv(spark.createDataFrame([("k", 1.0, None)], "key string, focused double, whole double"),
+                         f"{tmpdir_path}/cmp")
+    assert spark.read.option("header", True).csv(f"{tmpdir_path}/cmp").first().key == "k"
+
+
+def test_split_by_length_list_windows(spark):
+    reads = reads_df(spark, [("r", "A" * 50), ("s", "A" * 60)])
+    got = [r.fragment for r in split_by_length(reads, [("X", 51)], tolerance=1).collect()]
+    assert got == ["X"]
