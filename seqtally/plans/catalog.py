@@ -638,3 +638,62 @@ def counts_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "chunks")
     write_hits_parquet(C.chunk_counts(hits, lib), path)
     return C.merge_counts(read_counts_parquet(spark, path))
+
+
+@query("library_roundtrip", D.cte(lib_raw=D.LIBRARY_RAW_SQL, lib=D.LIBRARY_SQL)
+       + "SELECT barcode_set, ord, gene, barcode FROM lib")
+def library_roundtrip(spark, sf_dir):
+    """Library written as ``gene:barcode`` text in part order, read back:
+    ``ord`` must come back from file order alone."""
+    from seqtally.session import scratch_path
+    from seqtally.sources.text import read_barcodes
+    path = scratch_path(spark, "library")
+    raw = D.library_raw(spark, sf_dir)
+    (raw.orderBy("ord").select(F.concat_ws(":", "gene", "barcode").alias("value"))
+     .write.mode("overwrite").text(path))
+    return prepare_library(read_barcodes(spark, path, sep=":", barcode_set=D.LIBRARY_SET))
+
+
+@query("compare_files", D.cte(**COMPARE_SQL) + "SELECT key, focused, whole FROM joined")
+def compare_files(spark, sf_dir):
+    """Both count tables written as ``key:value`` summaries and compared from
+    the files, as the comparison notebook does."""
+    from seqtally.operators.compare import compare_counts
+    from seqtally.session import scratch_path
+    from seqtally.sources.text import read_key_values
+    j = _joined(spark, sf_dir)
+    paths = []
+    for col in ("focused", "whole"):
+        p = scratch_path(spark, f"kv-{col}")
+        (j.filter(F.col(col).isNotNull())
+         .select(F.concat_ws(":", "key", F.col(col).cast("string")).alias("value"))
+         .write.mode("overwrite").text(p))
+        paths.append(p)
+    return compare_counts(read_key_values(spark, paths[0]), read_key_values(spark, paths[1]))
+
+
+@query("barcode_list_roundtrip", D.cte(**FLANK_SQL) + """
+SELECT CAST(row_number() OVER (ORDER BY barcode) - 1 AS BIGINT) AS idx, barcode
+FROM (SELECT DISTINCT barcode FROM ext WHERE barcode IS NOT NULL)""")
+def barcode_list_roundtrip(spark, sf_dir):
+    from seqtally.operators.flank import distinct_barcodes
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_barcode_list
+    from seqtally.sources.text import read_barcode_list
+    path = scratch_path(spark, "barcode-list")
+    write_barcode_list(distinct_barcodes(_flank(spark, sf_dir)), path)
+    return read_barcode_list(spark, path)
+
+
+@query("counts_csv_roundtrip", D.cte(**COUNTED)
+       + "SELECT sample, gene, barcode, read_counts, rpm FROM counted")
+def counts_csv_roundtrip(spark, sf_dir):
+    from seqtally.schemas import COUNTS
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_counts_csv
+    path = scratch_path(spark, "counts-csv")
+    write_counts_csv(_counts(spark, sf_dir), path)
+    back = (spark.read.option("header", True)
+            .schema("gene string, barcode string, read_counts long, rpm double, sample string")
+            .csv(path))
+    return back.select(*[f.name for f in COUNTS.fields])
