@@ -131,6 +131,20 @@ def read_stats(reads: DataFrame, hits: DataFrame, manifest: DataFrame | None = N
                       rate.alias("detection_rate"))
 
 
+def outcome_stats(outcomes: DataFrame) -> DataFrame:
+    """``read_stats`` from one-pass read outcomes (``match.read_outcomes``)."""
+    by = ["sample"] + (["barcode_set"] if "barcode_set" in outcomes.columns else [])
+    out = outcomes.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("total_reads"),
+        F.count_if(F.col("detected")).alias("detected_reads"))
+    if "barcode_set" not in out.columns:
+        out = out.withColumn("barcode_set", F.lit(None).cast("string"))
+    rate = F.when(F.col("total_reads") > 0,
+                  F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
+    return out.select("sample", "barcode_set", "total_reads", "detected_reads",
+                      rate.alias("detection_rate"))
+
+
 def chunk_counts(hits: DataFrame, library: DataFrame,
                  chunk_reads: int = CHUNK_READS) -> DataFrame:
     """Per chunk of reads (``read_key div chunk_reads``) and barcode: count

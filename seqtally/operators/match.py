@@ -79,14 +79,23 @@ def seed_lanes(plain: dict, seed_min: int = SEED_MIN, seed_max: int = SEED_MAX,
 
 
 def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
-               carry: tuple[str, ...] = (), seed_min: int = SEED_MIN) -> DataFrame:
+               carry: tuple[str, ...] = (), seed_min: int = SEED_MIN,
+               keep_unmatched: bool = False) -> DataFrame:
     """Every (read, barcode) pair where the barcode occurs in the read.
 
     ``reads``: sample, read_key, sequence (+ barcode_set when ``by_set``,
     + ``carry`` columns).  ``library``: barcode_set, ord, barcode (upper-case,
     deduplicated).  Returns sample, read_key, barcode_set, ord, *carry; a pair
-    may occur more than once, callers aggregate.
+    may occur more than once, callers aggregate.  With ``keep_unmatched``
+    every read also yields rows with a NULL ``ord`` (outer joins), so one
+    pass over the reads sees matched and unmatched reads alike.
     """
+    gen = F.explode_outer if keep_unmatched else F.explode
+    how = "left" if keep_unmatched else "inner"
+
+    def out_set(probe_col, lib_col):
+        return F.col(probe_col if by_set else lib_col).alias("barcode_set")
+
     keep = ["sample", "read_key", *carry]
     if by_set:
         keep.append("barcode_set")
@@ -100,7 +109,7 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     if 0 < short_n <= SHORT_INLINE_MAX:
         short = (lib.filter(is_literal_barcode("barcode") & (F.length("barcode") < seed_min))
                  .collect())
-        parts.append(_inline_contains(reads, short, keep, by_set))
+        parts.append(_inline_contains(reads, short, keep, by_set, gen))
         prof["plain"] = {n: c for n, c in prof["plain"].items() if n >= seed_min}
         lib = lib.filter(~is_literal_barcode("barcode") | (F.length("barcode") >= seed_min))
 
@@ -117,7 +126,7 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         # sequence(1, 0) would count down, hence the guard inside the explode
         positions = F.when(seq_len >= F.col("klen"),
                            F.sequence(F.lit(1), seq_len - F.col("klen") + 1, F.col("step")))
-        probe = (probe.select(*keep, "sequence", "klen", F.explode(positions).alias("pos"))
+        probe = (probe.select(*keep, "sequence", "klen", gen(positions).alias("pos"))
                  .withColumn("h", F.xxhash64(F.expr("substr(sequence, pos, klen)"))))
 
         blen = F.length("barcode")
@@ -142,9 +151,12 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         # so a collision only costs a comparison
         start = F.col("pos") - F.col("o")
         verify = (start >= 1) & (F.expr("substr(sequence, pos - o, blen)") == F.col("barcode"))
-        joined = probe.join(build, cond, "inner").filter(verify)
+        if keep_unmatched:
+            joined = probe.join(build, cond & verify, how)
+        else:
+            joined = probe.join(build, cond, how).filter(verify)
         parts.append(joined.select(*[c for c in keep if c != "barcode_set"],
-                                   F.col("b_set").alias("barcode_set"), "ord"))
+                                   out_set("barcode_set", "b_set"), "ord"))
 
     if prof["regex"]:
         if prof["regex"] > REGEX_MAX_ROWS:
@@ -154,9 +166,9 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         cond = F.expr("sequence rlike barcode")
         if by_set:
             cond = cond & (F.col("barcode_set") == F.col("b_set"))
-        hits = reads.select(*keep, "sequence").join(rx, cond, "inner")
+        hits = reads.select(*keep, "sequence").join(rx, cond, how)
         parts.append(hits.select(*[c for c in keep if c != "barcode_set"],
-                                 F.col("b_set").alias("barcode_set"), "ord"))
+                                 out_set("barcode_set", "b_set"), "ord"))
 
     if not parts:
         raise ValueError("empty barcode library")
@@ -166,7 +178,8 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     return out
 
 
-def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool) -> DataFrame:
+def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool,
+                     gen=F.explode) -> DataFrame:
     """Matches of a few short barcodes: each read keeps the library entries
     it contains (higher-order filter over a literal array), then explodes."""
     entries = F.array(*[F.struct(F.lit(r.barcode_set).alias("b_set"),
@@ -177,9 +190,10 @@ def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool) -> DataFr
         c = F.instr(F.col("sequence"), e["barcode"]) > 0
         return c & (e["b_set"] == F.col("barcode_set")) if by_set else c
 
-    found = reads.select(*keep, F.explode(F.filter(entries, hit)).alias("e"))
+    found = reads.select(*keep, gen(F.filter(entries, hit)).alias("e"))
+    bset = F.col("barcode_set") if by_set else F.col("e.b_set")
     return found.select(*[c for c in keep if c != "barcode_set"],
-                        F.col("e.b_set").alias("barcode_set"), F.col("e.ord").alias("ord"))
+                        bset.alias("barcode_set"), F.col("e.ord").alias("ord"))
 
 
 def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFrame, bool]:
@@ -236,6 +250,18 @@ def match_all(reads: DataFrame, library: DataFrame,
     return cand.select(*keys).distinct()
 
 
+def read_outcomes(reads: DataFrame, library: DataFrame,
+                  manifest: DataFrame | None = None, seed_min: int = SEED_MIN) -> DataFrame:
+    """One row per read (per read and barcode set with a manifest): sample,
+    read_key[, barcode_set], detected.  A single pass over the reads: the
+    seed join is an outer join, so unmatched reads are counted in the same
+    scan (no second read of the input, no join back)."""
+    reads, by_set = _with_manifest(reads, manifest)
+    cand = candidates(reads, library, by_set, (), seed_min, keep_unmatched=True)
+    keys = ["sample", "read_key"] + (["barcode_set"] if by_set else [])
+    return cand.groupBy(*keys).agg(F.bool_or(F.col("ord").isNotNull()).alias("detected"))
+
+
 def flag_detected(reads: DataFrame, hits: DataFrame) -> DataFrame:
     """Per read: was it assigned to any barcode?  A left join of the read keys
     (only keys travel, the sequences are pruned away)."""

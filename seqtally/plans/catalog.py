@@ -88,17 +88,19 @@ SELECT t.sample, '{D.LIBRARY_SET}' AS barcode_set, t.total_reads,
 FROM (SELECT sample, count(*) AS total_reads FROM reads GROUP BY sample) t
 LEFT JOIN (SELECT sample, count(*) AS n FROM hits GROUP BY sample) d ON d.sample = t.sample""")
 def first_match_stats(spark, sf_dir):
-    reads, lib, hits = _first_match(spark, sf_dir, carry=())
-    return C.read_stats(reads, hits, C.default_manifest(reads, D.LIBRARY_SET))
+    from seqtally.operators.match import read_outcomes
+    reads = D.reads(spark, sf_dir)
+    man = C.default_manifest(reads, D.LIBRARY_SET)
+    return C.outcome_stats(read_outcomes(reads, _library(spark, sf_dir), man))
 
 
 @query("flag_detected", D.cte(**BASE, hits=HITS_SQL) + """
 SELECT r.sample, r.read_key, h.read_key IS NOT NULL AS detected
 FROM reads r LEFT JOIN hits h ON h.sample = r.sample AND h.read_key = r.read_key""")
 def flag_detected_q(spark, sf_dir):
-    from seqtally.operators.match import flag_detected
-    reads, lib, hits = _first_match(spark, sf_dir, carry=())
-    return flag_detected(reads, hits)
+    from seqtally.operators.match import read_outcomes
+    return read_outcomes(D.reads(spark, sf_dir), _library(spark, sf_dir)).select(
+        "sample", "read_key", "detected")
 
 
 # --- per-chunk ID lists and what the reference derives from them (AGG2, 3, 15, 16)

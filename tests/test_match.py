@@ -178,3 +178,22 @@ def test_long_barcodes_stepped_seeds(spark, monkeypatch, bound):
     assert k == 12 and step >= 3
     got = {k_: v[0] for k_, v in counts(spark, reads, lib).items()}
     assert got == loop_first_match(reads, lib)
+
+
+@pytest.mark.parametrize("lib", [
+    [("g", "ACGTACGTAA"), ("h", "TTTTTTTTTT")],                 # seeded only
+    [("g", "ACG"), ("h", "TTTTTTTTTT")],                        # inline short + seeded
+    [("g", "AC[GT]A"), ("h", "TTTTTTTTTT"), ("s", "GG")],      # regex + seeded + short
+])
+def test_read_outcomes_one_pass(spark, lib):
+    from seqtally.operators.counts import outcome_stats
+    from seqtally.operators.match import flag_detected, read_outcomes
+    reads = reads_df(spark, [("a", "CCACGTACGTAACC"), ("b", "TTTTTTTTTTTT"), ("c", "CC"),
+                             ("d", ""), ("e", "ACTAGG"), ("f", "CCCCCCCCCCCCCCCC")])
+    libdf = library_df(spark, lib)
+    one = {(r.read_key, r.detected) for r in read_outcomes(reads, libdf).collect()}
+    two = {(r.read_key, r.detected) for r in
+           flag_detected(reads, assign_first_match(reads, libdf)).collect()}
+    assert one == two and len(one) == 6
+    s = outcome_stats(read_outcomes(reads, libdf)).first()
+    assert s.total_reads == 6 and s.detected_reads == sum(d for _, d in one)
