@@ -37,6 +37,8 @@ REGEX_MAX_ROWS = 10_000
 # each read instead of seeding every position (a 1-nt barcode would make
 # every position a candidate).
 SHORT_INLINE_MAX = 32
+# Seed hash of the per-read sentinel row used by one-pass statistics.
+SENTINEL = -1
 
 
 def library_profile(library: DataFrame) -> dict:
@@ -87,8 +89,9 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     + ``carry`` columns).  ``library``: barcode_set, ord, barcode (upper-case,
     deduplicated).  Returns sample, read_key, barcode_set, ord, *carry; a pair
     may occur more than once, callers aggregate.  With ``keep_unmatched``
-    every read also yields rows with a NULL ``ord`` (outer joins), so one
-    pass over the reads sees matched and unmatched reads alike.
+    every read also yields a row with a NULL ``ord`` (a sentinel seed in the
+    seed join, outer joins elsewhere), so one pass over the reads sees
+    matched and unmatched reads alike.
     """
     gen = F.explode_outer if keep_unmatched else F.explode
     how = "left" if keep_unmatched else "inner"
@@ -126,8 +129,16 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         # sequence(1, 0) would count down, hence the guard inside the explode
         positions = F.when(seq_len >= F.col("klen"),
                            F.sequence(F.lit(1), seq_len - F.col("klen") + 1, F.col("step")))
-        probe = (probe.select(*keep, "sequence", "klen", gen(positions).alias("pos"))
-                 .withColumn("h", F.xxhash64(F.expr("substr(sequence, pos, klen)"))))
+        seed = F.xxhash64(F.expr("substr(sequence, pos, klen)"))
+        if keep_unmatched:
+            # position 0 is a sentinel seed that meets one sentinel index row
+            # (per barcode set): every read yields exactly one extra row, and
+            # the join stays an inner hash join
+            positions = F.concat(F.array(F.lit(0)),
+                                 F.coalesce(positions, F.array().cast("array<int>")))
+            seed = F.when(F.col("pos") == 0, F.lit(SENTINEL)).otherwise(seed)
+        probe = (probe.select(*keep, "sequence", "klen", F.explode(positions).alias("pos"))
+                 .withColumn("h", seed))
 
         blen = F.length("barcode")
         offsets = (F.array(F.lit(0)) if s is None else
@@ -140,6 +151,12 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
                          F.explode(offsets).alias("o"))
                  .withColumn("b_h", F.xxhash64(F.expr("substr(barcode, o + 1, b_klen)")))
                  .drop("b_klen"))
+        if keep_unmatched:
+            sentinel = (library.select(F.col("barcode_set").alias("b_set")).distinct()
+                        .select("b_set", F.lit(None).cast("long").alias("ord"),
+                                F.lit("").alias("barcode"), F.lit(0).alias("blen"),
+                                F.lit(0).alias("o"), F.lit(SENTINEL).cast("long").alias("b_h")))
+            build = build.unionByName(sentinel)
         build_rows = sum(c for n, c in prof["plain"].items() if n < seed_min) + \
             sum(c for n, c in prof["plain"].items() if n >= seed_min) * (s or 0)
         if build_rows <= _util.BROADCAST_MAX_ROWS:
@@ -152,9 +169,8 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         start = F.col("pos") - F.col("o")
         verify = (start >= 1) & (F.expr("substr(sequence, pos - o, blen)") == F.col("barcode"))
         if keep_unmatched:
-            joined = probe.join(build, cond & verify, how)
-        else:
-            joined = probe.join(build, cond, how).filter(verify)
+            verify = (F.col("pos") == 0) | verify
+        joined = probe.join(build, cond, "inner").filter(verify)
         parts.append(joined.select(*[c for c in keep if c != "barcode_set"],
                                    out_set("barcode_set", "b_set"), "ord"))
 
@@ -255,7 +271,8 @@ def read_outcomes(reads: DataFrame, library: DataFrame,
     """One row per read (per read and barcode set with a manifest): sample,
     read_key[, barcode_set], detected.  A single pass over the reads: the
     seed join is an outer join, so unmatched reads are counted in the same
-    scan (no second read of the input, no join back)."""
+    scan (no second read of the input, no join back), at the cost of one
+    sentinel row per read."""
     reads, by_set = _with_manifest(reads, manifest)
     cand = candidates(reads, library, by_set, (), seed_min, keep_unmatched=True)
     keys = ["sample", "read_key"] + (["barcode_set"] if by_set else [])
