@@ -28,3 +28,15 @@ def flank_stats(extracted: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 def distinct_barcodes(extracted: DataFrame) -> DataFrame:
     """Distinct extracted barcodes, case-sensitive, NULL dropped."""
     return extracted.select("barcode").dropna().distinct()
+
+
+def extract_from_lines(lines: DataFrame, up: str = UPSTREAM_FLANK,
+                       down: str = DOWNSTREAM_FLANK, n: int = FLANK_GAP,
+                       col: str = "value") -> DataFrame:
+    """The reference's text-line mode: keep lines that start like a sequence
+    (A/T/G/C/a/t/g/c/N; quality lines starting with those letters count too)
+    and extract from each.  ``extract_barcodes`` on parsed records is the
+    default; this reproduces the line-based statistics exactly."""
+    from seqtally.functions.sequence import is_sequence_line
+    return (lines.filter(is_sequence_line(col))
+            .withColumn("barcode", extract_between(col, up, down, n)))

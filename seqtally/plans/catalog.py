@@ -699,3 +699,17 @@ def counts_csv_roundtrip(spark, sf_dir):
             .schema("gene string, barcode string, read_counts long, rpm double, sample string")
             .csv(path))
     return back.select(*[f.name for f in COUNTS.fields])
+
+
+@query("flank_stats_lines", D.cte(flanked=D.FLANKED_READS_SQL, lines=D.FLANKED_LINES_SQL) + f"""
+SELECT count(*) AS total_reads, count(barcode) AS detected_reads,
+       CASE WHEN count(*) > 0 THEN count(barcode) * 1.0e0 / count(*) END AS detection_rate
+FROM (SELECT nullif(regexp_extract(value,
+         '(?i)(' || '{D.UPSTREAM_FLANK}' || ')(.{{30}})(' || '{D.DOWNSTREAM_FLANK}' || ')', 2), '')
+       AS barcode
+      FROM lines WHERE regexp_matches(value, '^[ATGCatgcN]'))""")
+def flank_stats_lines(spark, sf_dir):
+    """Flank statistics over raw FASTQ text lines, as the reference counts
+    them (sequence-like quality lines included)."""
+    from seqtally.operators.flank import extract_from_lines, flank_stats
+    return flank_stats(extract_from_lines(D.flanked_fastq_lines(spark, sf_dir)))

@@ -272,3 +272,25 @@ SYNTHETIC_SQL = """
 SELECT 'synthetic' AS sample, event_id AS read_key, concat('s', CAST(event_id AS VARCHAR)) AS read_id,
        repeat(list_extract(['A', 'T', 'G', 'C'], CAST(event_id % 4 + 1 AS INTEGER)), 300) AS sequence
 FROM events"""
+
+
+# --- flanked reads as FASTQ text lines (for the line-mode flank statistics) --
+
+def flanked_fastq_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = flanked_reads(spark, sf_dir)
+    k = F.col("read_key")
+    qual = F.substr(F.repeat(F.translate(F.md5(F.concat(F.lit("q"), k.cast("string"))),
+                                         _QUAL_FROM, _QUAL_TO), 10),
+                    F.lit(1), F.length("sequence"))
+    lines = F.array(F.concat(F.lit("@"), F.col("read_id")), F.col("sequence"), F.lit("+"), qual)
+    return r.select("read_key", F.posexplode(lines).alias("line_no", "value")).withColumn(
+        "line_no", F.col("line_no").cast("long"))
+
+
+FLANKED_LINES_SQL = f"""
+SELECT read_key, CAST(0 AS BIGINT) AS line_no, concat('@', read_id) AS value FROM flanked
+UNION ALL SELECT read_key, 1, sequence FROM flanked
+UNION ALL SELECT read_key, 2, '+' FROM flanked
+UNION ALL SELECT read_key, 3, substr(repeat(translate(md5(concat('q', CAST(read_key AS VARCHAR))),
+                                        '{_QUAL_FROM}', '{_QUAL_TO.replace("'", "''")}'), 10),
+                                  1, length(sequence)) FROM flanked"""
