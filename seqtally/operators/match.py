@@ -89,13 +89,11 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     + ``carry`` columns).  ``library``: barcode_set, ord, barcode (upper-case,
     deduplicated).  Returns sample, read_key, barcode_set, ord, *carry; a pair
     may occur more than once, callers aggregate.  With ``keep_unmatched``
-    every read also yields a row with a NULL ``ord`` (a sentinel seed in the
-    seed join, outer joins elsewhere), so one pass over the reads sees
-    matched and unmatched reads alike.
+    every read also yields exactly one row with a NULL ``ord`` (a sentinel
+    seed in the seed join, or a sentinel entry in whichever part is the only
+    one), so one pass over the reads sees matched and unmatched reads alike
+    and the sentinel rows count the reads.
     """
-    gen = F.explode_outer if keep_unmatched else F.explode
-    how = "left" if keep_unmatched else "inner"
-
     def out_set(probe_col, lib_col):
         return F.col(probe_col if by_set else lib_col).alias("barcode_set")
 
@@ -109,10 +107,15 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     parts = []
 
     short_n = sum(c for n, c in prof["plain"].items() if n < seed_min)
-    if 0 < short_n <= SHORT_INLINE_MAX:
+    inline = 0 < short_n <= SHORT_INLINE_MAX
+    seeded = any(n >= seed_min for n in prof["plain"]) or (short_n and not inline)
+    # with keep_unmatched exactly one part carries the per-read sentinel row
+    carrier = "seeded" if seeded else ("inline" if inline else "regex")
+    if inline:
         short = (lib.filter(is_literal_barcode("barcode") & (F.length("barcode") < seed_min))
                  .collect())
-        parts.append(_inline_contains(reads, short, keep, by_set, gen))
+        parts.append(_inline_contains(reads, short, keep, by_set,
+                                      sentinel=keep_unmatched and carrier == "inline"))
         prof["plain"] = {n: c for n, c in prof["plain"].items() if n >= seed_min}
         lib = lib.filter(~is_literal_barcode("barcode") | (F.length("barcode") >= seed_min))
 
@@ -130,7 +133,8 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         positions = F.when(seq_len >= F.col("klen"),
                            F.sequence(F.lit(1), seq_len - F.col("klen") + 1, F.col("step")))
         seed = F.xxhash64(F.expr("substr(sequence, pos, klen)"))
-        if keep_unmatched:
+        sentinel_here = keep_unmatched and carrier == "seeded"
+        if sentinel_here:
             # position 0 is a sentinel seed that meets one sentinel index row
             # (per barcode set): every read yields exactly one extra row, and
             # the join stays an inner hash join
@@ -151,7 +155,7 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
                          F.explode(offsets).alias("o"))
                  .withColumn("b_h", F.xxhash64(F.expr("substr(barcode, o + 1, b_klen)")))
                  .drop("b_klen"))
-        if keep_unmatched:
+        if sentinel_here:
             sentinel = (library.select(F.col("barcode_set").alias("b_set")).distinct()
                         .select("b_set", F.lit(None).cast("long").alias("ord"),
                                 F.lit("").alias("barcode"), F.lit(0).alias("blen"),
@@ -168,7 +172,7 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
         # so a collision only costs a comparison
         start = F.col("pos") - F.col("o")
         verify = (start >= 1) & (F.expr("substr(sequence, pos - o, blen)") == F.col("barcode"))
-        if keep_unmatched:
+        if sentinel_here:
             verify = (F.col("pos") == 0) | verify
         joined = probe.join(build, cond, "inner").filter(verify)
         parts.append(joined.select(*[c for c in keep if c != "barcode_set"],
@@ -177,12 +181,17 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     if prof["regex"]:
         if prof["regex"] > REGEX_MAX_ROWS:
             raise ValueError(f"more than {REGEX_MAX_ROWS} regular-expression barcodes")
-        regex = lib.filter(~is_literal_barcode("barcode"))
-        rx = F.broadcast(regex.withColumnRenamed("barcode_set", "b_set"))
+        regex = lib.filter(~is_literal_barcode("barcode")).select(
+            F.col("barcode_set").alias("b_set"), "ord", "barcode")
         cond = F.expr("sequence rlike barcode")
+        if keep_unmatched and carrier == "regex":
+            regex = regex.unionByName(library.select(F.col("barcode_set").alias("b_set")).distinct()
+                                      .select("b_set", F.lit(None).cast("long").alias("ord"),
+                                              F.lit(None).cast("string").alias("barcode")))
+            cond = F.col("barcode").isNull() | cond
         if by_set:
             cond = cond & (F.col("barcode_set") == F.col("b_set"))
-        hits = reads.select(*keep, "sequence").join(rx, cond, how)
+        hits = reads.select(*keep, "sequence").join(F.broadcast(regex), cond, "inner")
         parts.append(hits.select(*[c for c in keep if c != "barcode_set"],
                                  out_set("barcode_set", "b_set"), "ord"))
 
@@ -195,7 +204,7 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
 
 
 def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool,
-                     gen=F.explode) -> DataFrame:
+                     sentinel: bool = False) -> DataFrame:
     """Matches of a few short barcodes: each read keeps the library entries
     it contains (higher-order filter over a literal array), then explodes."""
     entries = F.array(*[F.struct(F.lit(r.barcode_set).alias("b_set"),
@@ -206,7 +215,14 @@ def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool,
         c = F.instr(F.col("sequence"), e["barcode"]) > 0
         return c & (e["b_set"] == F.col("barcode_set")) if by_set else c
 
-    found = reads.select(*keep, gen(F.filter(entries, hit)).alias("e"))
+    found_arr = F.filter(entries, hit)
+    if sentinel:
+        # one extra entry with a NULL ord for every read (one-pass statistics)
+        blank = F.struct(F.lit(None).cast("string").alias("b_set"),
+                         F.lit(None).cast("long").alias("ord"),
+                         F.lit(None).cast("string").alias("barcode"))
+        found_arr = F.concat(F.array(blank), found_arr)
+    found = reads.select(*keep, F.explode(found_arr).alias("e"))
     bset = F.col("barcode_set") if by_set else F.col("e.b_set")
     return found.select(*[c for c in keep if c != "barcode_set"],
                         bset.alias("barcode_set"), F.col("e.ord").alias("ord"))
@@ -279,6 +295,30 @@ def read_outcomes(reads: DataFrame, library: DataFrame,
     return cand.groupBy(*keys).agg(F.bool_or(F.col("ord").isNotNull()).alias("detected"))
 
 
+def one_pass_stats(reads: DataFrame, library: DataFrame,
+                   manifest: DataFrame | None = None, seed_min: int = SEED_MIN) -> DataFrame:
+    """Total reads, detected reads and detection rate per sample (and barcode
+    set with a manifest) in one pass over the reads.
+
+    Every read has one sentinel row, so totals are a plain count that is
+    pre-aggregated map-side (one row per task and sample crosses the
+    shuffle).  Only matched reads are grouped by read, to count each once."""
+    reads, by_set = _with_manifest(reads, manifest)
+    cand = candidates(reads, library, by_set, (), seed_min, keep_unmatched=True)
+    keys = ["sample"] + (["barcode_set"] if by_set else [])
+    rk = F.when(F.col("ord").isNotNull(), F.col("read_key")).alias("_rk")
+    per = cand.groupBy(*keys, rk).agg(F.count(F.lit(1)).alias("_n"))
+    out = per.groupBy(*keys).agg(
+        F.sum(F.when(F.col("_rk").isNull(), F.col("_n"))).cast("long").alias("total_reads"),
+        F.count("_rk").alias("detected_reads"))
+    if not by_set:
+        out = out.withColumn("barcode_set", F.lit(None).cast("string"))
+    rate = F.when(F.col("total_reads") > 0,
+                  F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
+    return out.select("sample", "barcode_set", "total_reads", "detected_reads",
+                      rate.alias("detection_rate"))
+
+
 def flag_detected(reads: DataFrame, hits: DataFrame) -> DataFrame:
     """Per read: was it assigned to any barcode?  A left join of the read keys
     (only keys travel, the sequences are pruned away)."""

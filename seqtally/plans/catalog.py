@@ -88,10 +88,10 @@ SELECT t.sample, '{D.LIBRARY_SET}' AS barcode_set, t.total_reads,
 FROM (SELECT sample, count(*) AS total_reads FROM reads GROUP BY sample) t
 LEFT JOIN (SELECT sample, count(*) AS n FROM hits GROUP BY sample) d ON d.sample = t.sample""")
 def first_match_stats(spark, sf_dir):
-    from seqtally.operators.match import read_outcomes
+    from seqtally.operators.match import one_pass_stats
     reads = D.reads(spark, sf_dir)
     man = C.default_manifest(reads, D.LIBRARY_SET)
-    return C.outcome_stats(read_outcomes(reads, _library(spark, sf_dir), man))
+    return one_pass_stats(reads, _library(spark, sf_dir), man)
 
 
 @query("flag_detected", D.cte(**BASE, hits=HITS_SQL) + """

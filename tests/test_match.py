@@ -184,6 +184,8 @@ def test_long_barcodes_stepped_seeds(spark, monkeypatch, bound):
     [("g", "ACGTACGTAA"), ("h", "TTTTTTTTTT")],                 # seeded only
     [("g", "ACG"), ("h", "TTTTTTTTTT")],                        # inline short + seeded
     [("g", "AC[GT]A"), ("h", "TTTTTTTTTT"), ("s", "GG")],      # regex + seeded + short
+    [("g", "AC[GT]A"), ("s", "GG")],                            # regex + short
+    [("g", "AC[GT]A"), ("r", "C{5}")],                          # regex only
 ])
 def test_read_outcomes_one_pass(spark, lib):
     from seqtally.operators.counts import outcome_stats
@@ -197,3 +199,8 @@ def test_read_outcomes_one_pass(spark, lib):
     assert one == two and len(one) == 6
     s = outcome_stats(read_outcomes(reads, libdf)).first()
     assert s.total_reads == 6 and s.detected_reads == sum(d for _, d in one)
+    from seqtally.operators.counts import default_manifest
+    from seqtally.operators.match import one_pass_stats
+    for man in (None, default_manifest(reads, "L")):
+        t = one_pass_stats(reads, libdf, man).first()
+        assert (t.total_reads, t.detected_reads) == (6, s.detected_reads)
