@@ -54,6 +54,15 @@ def read_fastq(spark: SparkSession, paths, sample: str | None = None) -> DataFra
         description_from_header("header").alias("description"), "sequence"))
 
 
+def manifest_from_paths(spark: SparkSession, paths, barcode_set: str) -> DataFrame:
+    """(sample, barcode_set) for every sample folder holding input files, from
+    the file listing alone (the binaryFile content column is never read): the
+    default manifest for FASTQ inputs without a second scan of the reads."""
+    files = spark.read.format("binaryFile").load(paths).select("path")
+    return (files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("sample"))
+            .distinct().withColumn("barcode_set", F.lit(barcode_set)))
+
+
 # ----------------------------------------------------------------------------
 # Full-record source
 

@@ -115,3 +115,13 @@ def test_validate_modes(spark, tmpdir_path):
         validate_fastq(df, "FAILFAST").collect()
     assert validate_fastq(df.filter("header = '@a'"), "FAILFAST").count() == 1
     assert validate_fastq(df.filter("header = '@a'"), "DROP", max_qual=39).count() == 0
+
+
+def test_manifest_from_paths_reads_no_content(spark, tmpdir_path):
+    from seqtally.sources.fastq import manifest_from_paths
+    write(f"{tmpdir_path}/A/x.fastq", make_records(3, 1))
+    write(f"{tmpdir_path}/B/y.fastq", make_records(2, 2))
+    m = manifest_from_paths(spark, tmpdir_path + "/*/*.fastq", "L")
+    assert sorted(tuple(r) for r in m.collect()) == [("A", "L"), ("B", "L")]
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
