@@ -97,6 +97,13 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
     def out_set(probe_col, lib_col):
         return F.col(probe_col if by_set else lib_col).alias("barcode_set")
 
+    def sentinel_sets() -> DataFrame:
+        # one sentinel row per barcode set a read is matched against: per set
+        # with a manifest, a single one without (the read meets it once)
+        if by_set:
+            return library.select(F.col("barcode_set").alias("b_set")).distinct()
+        return library.limit(1).select(F.lit(None).cast("string").alias("b_set"))
+
     keep = ["sample", "read_key", *carry]
     if by_set:
         keep.append("barcode_set")
@@ -156,7 +163,7 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
                  .withColumn("b_h", F.xxhash64(F.expr("substr(barcode, o + 1, b_klen)")))
                  .drop("b_klen"))
         if sentinel_here:
-            sentinel = (library.select(F.col("barcode_set").alias("b_set")).distinct()
+            sentinel = (sentinel_sets()
                         .select("b_set", F.lit(None).cast("long").alias("ord"),
                                 F.lit("").alias("barcode"), F.lit(0).alias("blen"),
                                 F.lit(0).alias("o"), F.lit(SENTINEL).cast("long").alias("b_h")))
@@ -185,7 +192,7 @@ def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
             F.col("barcode_set").alias("b_set"), "ord", "barcode")
         cond = F.expr("sequence rlike barcode")
         if keep_unmatched and carrier == "regex":
-            regex = regex.unionByName(library.select(F.col("barcode_set").alias("b_set")).distinct()
+            regex = regex.unionByName(sentinel_sets()
                                       .select("b_set", F.lit(None).cast("long").alias("ord"),
                                               F.lit(None).cast("string").alias("barcode")))
             cond = F.col("barcode").isNull() | cond
@@ -285,8 +292,8 @@ def match_all(reads: DataFrame, library: DataFrame,
 def read_outcomes(reads: DataFrame, library: DataFrame,
                   manifest: DataFrame | None = None, seed_min: int = SEED_MIN) -> DataFrame:
     """One row per read (per read and barcode set with a manifest): sample,
-    read_key[, barcode_set], detected.  A single pass over the reads: the
-    seed join is an outer join, so unmatched reads are counted in the same
+    read_key[, barcode_set], detected.  A single pass over the reads: each
+    read also meets a sentinel seed, so unmatched reads are seen in the same
     scan (no second read of the input, no join back), at the cost of one
     sentinel row per read."""
     reads, by_set = _with_manifest(reads, manifest)

@@ -204,3 +204,15 @@ def test_read_outcomes_one_pass(spark, lib):
     for man in (None, default_manifest(reads, "L")):
         t = one_pass_stats(reads, libdf, man).first()
         assert (t.total_reads, t.detected_reads) == (6, s.detected_reads)
+
+
+@pytest.mark.parametrize("lib2", [[("x", "TTTTTTTTTT")], [("x", "T{9}")], [("x", "TT")]])
+def test_one_pass_stats_two_sets_without_manifest(spark, lib2):
+    """A library with two barcode sets and no manifest: every read is still
+    counted once in the totals (one sentinel row per read)."""
+    from seqtally.operators.match import one_pass_stats, read_outcomes
+    reads = reads_df(spark, [("a", "CCACGTACGTAACC"), ("b", "TTTTTTTTTTTT"), ("c", "CC")])
+    lib = library_df(spark, [("g", "ACGTACGTAA")], "L1").unionByName(library_df(spark, lib2, "L2"))
+    rows = one_pass_stats(reads, lib).collect()
+    assert [(r.total_reads, r.detected_reads) for r in rows] == [(3, 2)]
+    assert read_outcomes(reads, lib).count() == 3
