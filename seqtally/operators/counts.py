@@ -86,8 +86,12 @@ def rpm(counts: DataFrame, by: tuple[str, ...] = ("sample",)) -> DataFrame:
 
 
 def with_genes(counts: DataFrame, library: DataFrame) -> DataFrame:
-    return counts.join(library.select("barcode_set", "ord", "gene", "barcode"),
-                       ["barcode_set", "ord"])
+    """Attach gene and barcode text to (barcode_set, ord) keyed rows; the
+    library side is broadcast behind a size check, so the (possibly large)
+    count rows are not shuffled for it."""
+    from seqtally.operators._util import broadcast_if_small
+    lib = broadcast_if_small(library.select("barcode_set", "ord", "gene", "barcode"))
+    return counts.join(lib, ["barcode_set", "ord"])
 
 
 def count_reads(hits: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
