@@ -235,6 +235,13 @@ def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool,
                         bset.alias("barcode_set"), F.col("e.ord").alias("ord"))
 
 
+def _prepare(reads: DataFrame, manifest: DataFrame | None, ignore_case: bool):
+    if ignore_case:
+        # the library is upper-case already; reads are upper-cased only here
+        reads = reads.withColumn("sequence", F.upper("sequence"))
+    return _with_manifest(reads, manifest)
+
+
 def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFrame, bool]:
     """Attach the barcode set(s) of each read's sample.  A sample listed with
     several sets is matched against each.  A bounded manifest (the usual
@@ -262,14 +269,17 @@ def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFr
 
 def assign_first_match(reads: DataFrame, library: DataFrame,
                        manifest: DataFrame | None = None,
-                       carry: tuple[str, ...] = (), seed_min: int = SEED_MIN) -> DataFrame:
+                       carry: tuple[str, ...] = (), seed_min: int = SEED_MIN,
+                       ignore_case: bool = False) -> DataFrame:
     """Each read goes to the first library barcode (smallest ``ord``) it
     contains; a read is counted at most once per barcode set ("without
     replacement").  Returns sample, read_key, barcode_set, ord, *carry.
+    Reads are matched as written (lower-case bases never match, as in the
+    reference) unless ``ignore_case``.
 
     The aggregation is keyed by read, so it has a partial step inside the
     join stage and shuffles at most one row per assigned read."""
-    reads, by_set = _with_manifest(reads, manifest)
+    reads, by_set = _prepare(reads, manifest, ignore_case)
     cand = candidates(reads, library, by_set, carry, seed_min)
     aggs = [F.min("ord").alias("ord")] + [F.any_value(c).alias(c) for c in carry]
     return cand.groupBy("sample", "read_key", "barcode_set").agg(*aggs)
@@ -277,10 +287,11 @@ def assign_first_match(reads: DataFrame, library: DataFrame,
 
 def match_all(reads: DataFrame, library: DataFrame,
               manifest: DataFrame | None = None,
-              carry: tuple[str, ...] = (), seed_min: int = SEED_MIN) -> DataFrame:
+              carry: tuple[str, ...] = (), seed_min: int = SEED_MIN,
+              ignore_case: bool = False) -> DataFrame:
     """Every (read, barcode) pair with the barcode contained in the read
     ("with replacement"); a pair is listed once however often it occurs."""
-    reads, by_set = _with_manifest(reads, manifest)
+    reads, by_set = _prepare(reads, manifest, ignore_case)
     cand = candidates(reads, library, by_set, carry, seed_min)
     aggs = [F.any_value(c).alias(c) for c in carry]
     keys = ["sample", "read_key", "barcode_set", "ord"]
@@ -290,27 +301,29 @@ def match_all(reads: DataFrame, library: DataFrame,
 
 
 def read_outcomes(reads: DataFrame, library: DataFrame,
-                  manifest: DataFrame | None = None, seed_min: int = SEED_MIN) -> DataFrame:
+                  manifest: DataFrame | None = None, seed_min: int = SEED_MIN,
+                  ignore_case: bool = False) -> DataFrame:
     """One row per read (per read and barcode set with a manifest): sample,
     read_key[, barcode_set], detected.  A single pass over the reads: each
     read also meets a sentinel seed, so unmatched reads are seen in the same
     scan (no second read of the input, no join back), at the cost of one
     sentinel row per read."""
-    reads, by_set = _with_manifest(reads, manifest)
+    reads, by_set = _prepare(reads, manifest, ignore_case)
     cand = candidates(reads, library, by_set, (), seed_min, keep_unmatched=True)
     keys = ["sample", "read_key"] + (["barcode_set"] if by_set else [])
     return cand.groupBy(*keys).agg(F.bool_or(F.col("ord").isNotNull()).alias("detected"))
 
 
 def one_pass_stats(reads: DataFrame, library: DataFrame,
-                   manifest: DataFrame | None = None, seed_min: int = SEED_MIN) -> DataFrame:
+                   manifest: DataFrame | None = None, seed_min: int = SEED_MIN,
+                   ignore_case: bool = False) -> DataFrame:
     """Total reads, detected reads and detection rate per sample (and barcode
     set with a manifest) in one pass over the reads.
 
     Every read has one sentinel row, so totals are a plain count that is
     pre-aggregated map-side (one row per task and sample crosses the
     shuffle).  Only matched reads are grouped by read, to count each once."""
-    reads, by_set = _with_manifest(reads, manifest)
+    reads, by_set = _prepare(reads, manifest, ignore_case)
     cand = candidates(reads, library, by_set, (), seed_min, keep_unmatched=True)
     keys = ["sample"] + (["barcode_set"] if by_set else [])
     rk = F.when(F.col("ord").isNotNull(), F.col("read_key")).alias("_rk")

@@ -690,15 +690,15 @@ def barcode_list_roundtrip(spark, sf_dir):
 @query("counts_csv_roundtrip", D.cte(**COUNTED)
        + "SELECT sample, gene, barcode, read_counts, rpm FROM counted")
 def counts_csv_roundtrip(spark, sf_dir):
-    from seqtally.schemas import COUNTS
     from seqtally.session import scratch_path
     from seqtally.sinks import write_counts_csv
     path = scratch_path(spark, "counts-csv")
     write_counts_csv(_counts(spark, sf_dir), path)
     back = (spark.read.option("header", True)
-            .schema("gene string, barcode string, read_counts long, rpm double, sample string")
+            .schema("Gene string, Barcode string, Read_counts long, RPM double, sample string")
             .csv(path))
-    return back.select(*[f.name for f in COUNTS.fields])
+    return back.select("sample", F.col("Gene").alias("gene"), F.col("Barcode").alias("barcode"),
+                       F.col("Read_counts").alias("read_counts"), F.col("RPM").alias("rpm"))
 
 
 @query("flank_stats_lines", D.cte(flanked=D.FLANKED_READS_SQL, lines=D.FLANKED_LINES_SQL) + f"""

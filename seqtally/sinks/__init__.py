@@ -22,13 +22,21 @@ def write_hits_parquet(chunks: DataFrame, path: str, mode: str = "overwrite") ->
     chunks.write.mode(mode).partitionBy("sample").parquet(path)
 
 
-def write_counts_csv(counts: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``gene, barcode, read_counts, rpm`` with header, one folder per sample,
+# --- fixed values: column headers of the reference's result table -------------
+RESULT_HEADER = ["Gene", "Barcode", "Read_counts", "RPM"]
+# ------------------------------------------------------------------------------
+
+
+def write_counts_csv(counts: DataFrame, path: str, mode: str = "overwrite",
+                     reference_header: bool = True) -> None:
+    """Gene, barcode, read count and RPM with a header row (the reference's
+    column names unless ``reference_header=False``), one folder per sample,
     rows in key order.  The global sort range-partitions the rows, so a large
     sample is written by many tasks."""
     _dynamic(counts)
-    (counts.select("sample", "gene", "barcode", "read_counts", "rpm")
-     .orderBy("sample", "gene", "barcode")
+    names = RESULT_HEADER if reference_header else ["gene", "barcode", "read_counts", "rpm"]
+    cols = [F.col(c).alias(a) for c, a in zip(["gene", "barcode", "read_counts", "rpm"], names)]
+    (counts.orderBy("sample", "gene", "barcode").select("sample", *cols)
      .write.mode(mode).option("header", True).partitionBy("sample").csv(path))
 
 

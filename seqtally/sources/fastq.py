@@ -31,22 +31,38 @@ from seqtally.schemas import FASTQ_RECORD
 RECORD_SEPARATOR = "\n+\n"
 
 
-def read_fastq(spark: SparkSession, paths, sample: str | None = None) -> DataFrame:
+def read_fastq(spark: SparkSession, paths, sample: str | None = None,
+               mode: str = "FAILFAST") -> DataFrame:
     """Reads with sample, read_key, read_id, description, sequence.
 
     ``read_key`` is taken on the scan itself (split index and position), so it
     is stable for the same files; ``sample`` defaults to the name of the
-    folder holding the file."""
+    folder holding the file.  A chunk that is neither a record nor the tail
+    of a file (the last quality line) is malformed: FAILFAST stops the job
+    at it (inside the plan, no extra pass), DROP skips it."""
+    mode = mode.upper()
+    if mode not in ("FAILFAST", "DROP"):
+        raise ValueError("mode must be FAILFAST or DROP")
     raw = (spark.read.option("lineSep", RECORD_SEPARATOR).text(paths)
            .select(F.col("value"), F.col("_metadata.file_path").alias("file"),
                    F.monotonically_increasing_id().alias("read_key")))
     parts = F.split(F.col("value"), "\n")
     n = F.size(parts)
     header = F.when(n >= 2, F.element_at(parts, n - 1))
-    seq = F.element_at(parts, n)
-    rec = raw.select("file", "read_key", header.alias("header"),
-                     F.regexp_replace(seq, "\r$", "").alias("sequence"))
-    rec = rec.filter(F.col("header").startswith("@") & (F.length("sequence") > 0))
+    seq = F.regexp_replace(F.element_at(parts, n), "\r$", "")
+    rec = raw.select("file", "read_key", "value", n.alias("_n"), header.alias("header"),
+                     seq.alias("sequence"))
+    is_record = F.coalesce(F.col("header").startswith("@") & (F.length("sequence") > 0),
+                           F.lit(False))
+    is_tail = (F.col("_n") == 1) | ((F.col("_n") == 2) & (F.length("sequence") == 0))
+    if mode == "FAILFAST":
+        bad = F.raise_error(F.concat(F.lit("malformed FASTQ chunk in "), F.col("file"),
+                                     F.lit(": "), F.substr("value", F.lit(1), F.lit(80))))
+        keep = F.when(is_record, F.lit(True)).when(is_tail, F.lit(False)).otherwise(
+            bad.cast("boolean"))
+    else:
+        keep = is_record
+    rec = rec.filter(keep)
     smp = F.lit(sample) if sample else F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
     return spread(rec.select(
         smp.alias("sample"), "read_key",

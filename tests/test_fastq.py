@@ -125,3 +125,32 @@ def test_manifest_from_paths_reads_no_content(spark, tmpdir_path):
     assert sorted(tuple(r) for r in m.collect()) == [("A", "L"), ("B", "L")]
     plan = m._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
+
+
+def test_native_reader_fails_on_malformed_and_drop_mode(spark, tmpdir_path):
+    good = make_records(20, seed=9)
+    p = f"{tmpdir_path}/S/bad.fastq"
+    text = "".join(f"{h}\n{s}\n{q_}\n{q}\n" for h, s, q_, q in good[:10])
+    text += "garbage line\nACGT\n+\nIIII\n"
+    text += "".join(f"{h}\n{s}\n{q_}\n{q}\n" for h, s, q_, q in good[10:])
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    open(p, "w").write(text)
+    with pytest.raises(Exception, match="malformed FASTQ chunk"):
+        read_fastq(spark, p).collect()
+    assert read_fastq(spark, p, mode="DROP").count() == 20
+
+
+def test_native_reader_rejects_named_spacers(spark, tmpdir_path):
+    p = f"{tmpdir_path}/S/named.fastq"
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    open(p, "w").write("@r1\nACGT\n+r1\nIIII\n@r2\nGGGG\n+r2\nIIII\n")
+    with pytest.raises(Exception, match="malformed FASTQ chunk"):
+        read_fastq(spark, p).collect()
+    assert read_fastq_full(spark, p).count() == 2
+
+
+def test_native_reader_without_trailing_newline(spark, tmpdir_path):
+    p = f"{tmpdir_path}/S/nonl.fastq"
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    open(p, "w").write("@r1\nACGT\n+\n@III\n@r2\nGGGG\n+\nIIII")
+    assert sorted(r.read_id for r in read_fastq(spark, p).collect()) == ["r1", "r2"]

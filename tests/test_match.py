@@ -216,3 +216,10 @@ def test_one_pass_stats_two_sets_without_manifest(spark, lib2):
     rows = one_pass_stats(reads, lib).collect()
     assert [(r.total_reads, r.detected_reads) for r in rows] == [(3, 2)]
     assert read_outcomes(reads, lib).count() == 3
+
+
+def test_ignore_case_option(spark):
+    reads = reads_df(spark, [("r1", "ttacgttt"), ("r2", "TTACGTTT")])
+    lib = library_df(spark, [("g", "ACGT")])
+    assert assign_first_match(reads, lib).count() == 1
+    assert assign_first_match(reads, lib, ignore_case=True).count() == 2

@@ -157,7 +157,8 @@ def test_sinks(spark, tmpdir_path):
     c = barcode_counts(reads, library_df(spark, [("g", "ACGT"), ("h", "CCCC")]), barcode_set="L")
     write_counts_csv(c, f"{tmpdir_path}/counts")
     back = spark.read.option("header", True).csv(f"{tmpdir_path}/counts")
-    assert sorted((r.sample, r.gene, r.read_counts) for r in back.collect()) == [
+    assert back.columns == ["Gene", "Barcode", "Read_counts", "RPM", "sample"]
+    assert sorted((r.sample, r.Gene, r.Read_counts) for r in back.collect()) == [
         ("S", "g", "1"), ("S", "h", "0")]
     recs = spark.createDataFrame([("@a", "ACGT", "+", "IIII", "F1")],
                                  "header string, sequence string, spacer string, quality string, fragment string")
