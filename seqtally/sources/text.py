@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from seqtally.operators.index import with_index
 from seqtally.schemas import BARCODE_LIST, CHUNK_COUNTS, KEY_VALUE
 
+# --- fixed values: input file suffixes ---------------------------------------
 FASTQ_SUFFIXES = "*.{fastq,fq,fastq.gz,fq.gz}"
+# ------------------------------------------------------------------------------
 
 
 def _strip_eol(c):
@@ -74,19 +76,28 @@ def read_counts_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHUNK_COUNTS).parquet(path)
 
 
-def discover_inputs(spark: SparkSession, root: str) -> DataFrame:
+def discover_inputs(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
     """Per sample folder (``root/<sample>/...``) the first FASTQ-suffixed file
-    by path.  Only file metadata is read (path, length), never contents."""
-    files = (spark.read.format("binaryFile")
-             .option("pathGlobFilter", FASTQ_SUFFIXES)
-             .option("recursiveFileLookup", "true")
+    by path (.fastq, .fq, .fastq.gz, .fq.gz).  Only file metadata is read
+    (path, length), never contents.  A folder without such a file gets a
+    NULL path; with ``strict`` (the default) that is an error naming up to
+    ten such folders."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .load(root).select("path", "length"))
     base = root.rstrip("/")
     rel = F.regexp_replace("path", r"^.*?" + _regex_escape(base.split("://")[-1]) + "/", "")
     files = files.withColumn("sample", F.regexp_extract(rel, r"^([^/]+)/", 1))
-    first = F.min(F.struct("path", "length")).alias("f")
-    return (files.filter(F.col("sample") != "").groupBy("sample").agg(first)
-            .select("sample", "f.path", "f.length"))
+    is_fastq = F.col("path").rlike(r"\.(fastq|fq)(\.gz)?$")
+    first = F.min(F.when(is_fastq, F.struct("path", "length"))).alias("f")
+    out = (files.filter(F.col("sample") != "").groupBy("sample").agg(first)
+           .select("sample", "f.path", "f.length"))
+    if strict:
+        from seqtally.operators._util import collect_bounded
+        missing = collect_bounded(out.filter(F.col("path").isNull()).select("sample"), 10)
+        if missing is None or missing:
+            names = ", ".join(r.sample for r in (missing or []))
+            raise ValueError(f"sample folders without a FASTQ file: {names or 'more than 10'}")
+    return out
 
 
 def _regex_escape(s: str) -> str:

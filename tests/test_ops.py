@@ -146,8 +146,11 @@ def test_key_values_and_discover(spark, tmpdir_path):
         os.makedirs(f"{root}/{s}")
         for n in names:
             open(f"{root}/{s}/{n}", "w").write("x")
-    got = {r.sample: os.path.basename(r.path) for r in discover_inputs(spark, root).collect()}
-    assert got == {"s1": "a.fq.gz", "s2": "z.fq"}
+    with pytest.raises(ValueError, match="s3"):
+        discover_inputs(spark, root)
+    got = {r.sample: r.path and os.path.basename(r.path)
+           for r in discover_inputs(spark, root, strict=False).collect()}
+    assert got == {"s1": "a.fq.gz", "s2": "z.fq", "s3": None}
 
 
 def test_sinks(spark, tmpdir_path):
