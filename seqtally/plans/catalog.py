@@ -713,3 +713,23 @@ def flank_stats_lines(spark, sf_dir):
     them (sequence-like quality lines included)."""
     from seqtally.operators.flank import extract_from_lines, flank_stats
     return flank_stats(extract_from_lines(D.flanked_fastq_lines(spark, sf_dir)))
+
+
+@query("length_split_files", D.cte(**FQ, ok="SELECT * FROM fq WHERE spacer = '+'",
+                                   windows=_windows_sql()) + """
+SELECT w.fragment, o.header, o.sequence, o.quality
+FROM ok o JOIN windows w
+  ON length(o.sequence) BETWEEN w.target_len - w.tolerance AND w.target_len + w.tolerance""")
+def length_split_files(spark, sf_dir):
+    """Length separation end to end: records split into windows, written as
+    one FASTQ folder per fragment, read back with the full-record source."""
+    from seqtally.operators.reshape import length_windows, split_by_length
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_fastq
+    from seqtally.sources.fastq import read_fastq_full
+    fq = D.fastq_records(spark, sf_dir).filter(F.col("spacer") == "+")
+    path = scratch_path(spark, "length-split")
+    write_fastq(split_by_length(fq, length_windows(spark)), path, partition_by=("fragment",))
+    back = read_fastq_full(spark, path, split_bytes=256 * 1024)
+    return back.select(F.regexp_extract("file", r"fragment=([^/]+)/", 1).alias("fragment"),
+                       "header", "sequence", "quality")
