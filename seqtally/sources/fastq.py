@@ -154,89 +154,105 @@ class _FastqReader(DataSourceReader):
         return parts or [_Range("", 0, 0, False)]
 
     def read(self, partition):
-        import pyarrow as pa
         if not partition.path:
             return
-        names = [f.name for f in FASTQ_RECORD.fields]
-        for rows in _records(partition):
-            cols = list(zip(*rows)) if rows else [[] for _ in names]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=pa.int64() if n == "offset" else pa.string())
-                 for n, c in zip(names, cols)], names=names)
+        yield from _record_batches(partition)
 
 
-_BATCH = 8192
-_BLOCK = 4 * 1024 * 1024
+_BLOCK = 8 * 1024 * 1024
+_FIELDS = [f.name for f in FASTQ_RECORD.fields]
 
 
-def _lines_from(stream, pos: int):
-    """(offset, line) pairs from a binary stream positioned at ``pos``."""
-    rest = b""
-    while True:
-        block = stream.read(_BLOCK)
-        if not block:
-            if rest:
-                yield pos, rest
-            return
-        buf = rest + block
-        lines = buf.split(b"\n")
-        rest = lines.pop()
-        for ln in lines:
-            yield pos, ln
-            pos += len(ln) + 1
+def _text(lines):
+    """bytes lines -> Arrow string array (UTF-8, trailing CR removed)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    arr = pa.array(lines, type=pa.binary())
+    try:
+        arr = arr.cast(pa.string())
+    except (pa.ArrowInvalid, UnicodeDecodeError):
+        arr = pa.array([b.decode("utf-8", "replace") if b is not None else None for b in lines],
+                       type=pa.string())
+    return pc.utf8_rtrim(arr, characters="\r")
 
 
-def _records(part: _Range):
+def _batch(path, starts, h, s, p, q):
+    import pyarrow as pa
+    cols = [pa.array([path] * len(starts), type=pa.string()),
+            pa.array(starts, type=pa.int64()), _text(h), _text(s), _text(p), _text(q)]
+    return pa.RecordBatch.from_arrays(cols, names=_FIELDS)
+
+
+def _record_batches(part: _Range):
+    """Arrow batches of the records whose header starts in the partition's
+    byte range.  Per block, lines are split in C and their start offsets come
+    from the newline positions (numpy); the four fields of all complete
+    records are then taken by slicing, not line by line."""
+    import numpy as np
     fs, path = _fs_and_path(part.path)
     if part.gz:
-        stream, pos = fs.open_input_stream(path, compression="gzip"), 0
+        stream, buf_off = fs.open_input_stream(path, compression="gzip"), 0
     else:
         stream = fs.open_input_file(path)
-        pos = max(0, part.start - 1)
-        stream.seek(pos)
-    lines = _lines_from(stream, pos)
-    if not part.gz and part.start > 0:
-        # the line holding byte start-1 belongs to the previous range unless
-        # it ends exactly there
-        first = next(lines, None)
-        if first is None:
-            return
-    window = []
-    batch = []
+        buf_off = max(0, part.start - 1)
+        stream.seek(buf_off)
     end = None if part.gz else part.end
-
-    def text(b):
-        return b.decode("utf-8", "replace").rstrip("\r")
-
-    synced = False
-    for item in lines:
-        window.append(item)
+    skip_first = (not part.gz) and part.start > 0   # the line holding start-1
+    pending, starts = [], np.empty(0, dtype=np.int64)
+    rest, synced = b"", False
+    while True:
+        block = stream.read(_BLOCK)
+        eof = not block
+        buf = rest + block
+        lines = buf.split(b"\n")
+        nl = np.flatnonzero(np.frombuffer(buf, dtype=np.uint8) == 10)
+        line_starts = np.concatenate(([0], nl + 1)).astype(np.int64) + buf_off
+        if eof:
+            rest = b""
+            if lines and lines[-1] == b"":
+                lines.pop()                      # the file's final newline
+                line_starts = line_starts[:-1]
+        else:
+            rest = lines.pop()
+            buf_off = int(line_starts[-1])
+            line_starts = line_starts[:-1]
+        if skip_first and lines:
+            lines, line_starts, skip_first = lines[1:], line_starts[1:], False
+        pending.extend(lines)
+        starts = np.concatenate((starts, line_starts))
         if not synced:
-            if len(window) < 3:
-                continue
-            (o0, l0), _, (_, l2) = window[0], window[1], window[2]
-            if l0.startswith(b"@") and l2.startswith(b"+"):
+            i = 0
+            while i + 2 < len(pending) and not (pending[i].startswith(b"@")
+                                                and pending[i + 2].startswith(b"+")):
+                i += 1
+            if i + 2 < len(pending):
                 synced = True
+            elif not eof:
+                i = max(0, len(pending) - 2)   # keep what could still start a record
             else:
-                window.pop(0)
+                i = len(pending)
+            del pending[:i]
+            starts = starts[i:]
+            if not synced:
+                if eof:
+                    break
                 continue
-        if len(window) < 4:
-            continue
-        (o0, h), (_, s), (_, p), (_, q) = window
-        window = []
-        if end is not None and o0 >= end:
+        n = len(pending) // 4
+        head = starts[:4 * n:4]
+        m = n if end is None else int(np.searchsorted(head, end, side="left"))
+        if m:
+            yield _batch(part.path, head[:m], pending[0:4 * m:4], pending[1:4 * m:4],
+                         pending[2:4 * m:4], pending[3:4 * m:4])
+        if m < n:
+            break
+        del pending[:4 * n]
+        starts = starts[4 * n:]
+        if eof:
+            # a truncated last record (fewer than four lines) is still returned
+            if pending and (end is None or starts[0] < end):
+                f = pending + [None] * (4 - len(pending))
+                yield _batch(part.path, starts[:1], [f[0]], [f[1]], [f[2]], [f[3]])
             break
-        batch.append((part.path, o0, text(h), text(s), text(p), text(q)))
-        if len(batch) >= _BATCH:
-            yield batch
-            batch = []
-    else:
-        # a truncated last record (fewer than four lines) is still returned
-        if synced and window and (end is None or window[0][0] < end):
-            f = [text(x[1]) for x in window] + [None] * (4 - len(window))
-            batch.append((part.path, window[0][0], *f))
-    if batch:
-        yield batch
 
 
 def register_fastq_source(spark: SparkSession) -> None:
