@@ -40,6 +40,35 @@ def get_spark(app: str = "seqtally", master: str | None = None,
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, read_bytes: int = 300,
+               shuffle_row_bytes: int = 40, split_bytes: int = 256 << 20,
+               shuffle_partition_bytes: int = 128 << 20) -> dict:
+    """Settings for one run over ``input_bytes`` of reads on ``cores`` cores.
+
+    * input splits of ``split_bytes`` (the reference's 256 MB text blocks):
+      a task holds one split's reads in its per-read partial aggregate,
+      about split_bytes / read_bytes entries (~0.9M for 256 MB), so it fits
+      in a few hundred MB of executor memory;
+    * the matching shuffles at most one small row (sample, read key, barcode
+      set, ord: ~``shuffle_row_bytes``) per read, so shuffle partitions are
+      sized for ~``shuffle_partition_bytes`` each, never fewer than 2x cores;
+      AQE coalesces them when fewer reads match and splits skewed ones.
+
+    For 100 TB of 300-byte reads this gives 256 MB splits (~400k tasks) and
+    ~100k shuffle partitions for the ~13 TB worst-case hit shuffle."""
+    import math
+    reads = max(1, input_bytes // read_bytes)
+    shuffle_parts = max(2 * cores, math.ceil(reads * shuffle_row_bytes / shuffle_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 

@@ -17,3 +17,11 @@ def test_entry_schema(spark):
     for r in rows:
         by_sample[r.sample] = by_sample.get(r.sample, 0) + r.rpm
     assert all(abs(v - 1e6) < 1e-6 or v == 0 for v in by_sample.values())
+
+
+def test_scale_conf_sizes():
+    from seqtally.session import scale_conf
+    c = scale_conf(100 * 10 ** 12, 8000)
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert 90_000 < int(c["spark.sql.shuffle.partitions"]) < 110_000
+    assert int(scale_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"]) == 16
