@@ -52,8 +52,11 @@ def read_fastq(spark: SparkSession, paths, sample: str | None = None,
     seq = F.regexp_replace(F.element_at(parts, n), "\r$", "")
     rec = raw.select("file", "read_key", "value", n.alias("_n"), header.alias("header"),
                      seq.alias("sequence"))
-    is_record = F.coalesce(F.col("header").startswith("@") & (F.length("sequence") > 0),
-                           F.lit(False))
+    # a well-formed chunk has 2 lines (a file's first record) or 3 (previous
+    # quality, header, sequence); more lines mean a record whose spacer is
+    # not a bare '+' was merged into this chunk
+    is_record = F.coalesce(F.col("header").startswith("@") & (F.length("sequence") > 0)
+                           & (F.col("_n") <= 3), F.lit(False))
     is_tail = (F.col("_n") == 1) | ((F.col("_n") == 2) & (F.length("sequence") == 0))
     if mode == "FAILFAST":
         bad = F.raise_error(F.concat(F.lit("malformed FASTQ chunk in "), F.col("file"),

@@ -154,3 +154,12 @@ def test_native_reader_without_trailing_newline(spark, tmpdir_path):
     os.makedirs(os.path.dirname(p), exist_ok=True)
     open(p, "w").write("@r1\nACGT\n+\n@III\n@r2\nGGGG\n+\nIIII")
     assert sorted(r.read_id for r in read_fastq(spark, p).collect()) == ["r1", "r2"]
+
+
+def test_native_reader_detects_merged_records(spark, tmpdir_path):
+    p = f"{tmpdir_path}/S/merged.fastq"
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    open(p, "w").write("@r1\nACGT\n+\nIIII\n@r2\nGGGG\n-\nIIII\n@r3\nTTTT\n+\nIIII\n")
+    with pytest.raises(Exception, match="malformed FASTQ chunk"):
+        read_fastq(spark, p).collect()
+    assert sorted(r.read_id for r in read_fastq(spark, p, mode="DROP").collect()) == ["r1"]
