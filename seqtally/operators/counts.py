@@ -49,7 +49,8 @@ def zero_fill(counts: DataFrame, library: DataFrame, manifest: DataFrame) -> Dat
     Generate on the library; no join, no product with the reads).  A larger
     manifest is joined on the barcode set instead."""
     from seqtally.operators._util import collect_bounded
-    pairs = manifest.select("sample", "barcode_set").distinct()
+    pairs = (manifest.select("sample", "barcode_set")
+             .filter(F.col("sample").isNotNull() & F.col("barcode_set").isNotNull()).distinct())
     rows = collect_bounded(pairs, MANIFEST_INLINE_MAX)
     if rows is not None:
         by_set: dict = {}

@@ -253,7 +253,10 @@ def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFr
     from seqtally.operators.counts import MANIFEST_INLINE_MAX
     if manifest is None:
         return reads, False
-    m = manifest.select("sample", "barcode_set").distinct()
+    # rows without a sample or a barcode set (one-field manifest lines) name
+    # nothing to match; they are reported by reconcile_samples, not matched
+    m = (manifest.select("sample", "barcode_set")
+         .filter(F.col("sample").isNotNull() & F.col("barcode_set").isNotNull()).distinct())
     rows = collect_bounded(m, MANIFEST_INLINE_MAX)
     if rows is None:
         return reads.join(broadcast_if_small(m), "sample", "inner"), True

@@ -223,3 +223,13 @@ def test_ignore_case_option(spark):
     lib = library_df(spark, [("g", "ACGT")])
     assert assign_first_match(reads, lib).count() == 1
     assert assign_first_match(reads, lib, ignore_case=True).count() == 2
+
+
+def test_manifest_with_incomplete_rows(spark):
+    from seqtally.plans.counting import count_manifest
+    reads = reads_df(spark, [("a", "AACGTT")], sample="S1")
+    lib = library_df(spark, [("g", "ACGT")])
+    man = spark.createDataFrame([("S1", "L"), ("S1", None), (None, "L")],
+                                "sample string, barcode_set string")
+    got = [(r.sample, r.barcode_set, r.read_counts) for r in count_manifest(reads, man, lib).collect()]
+    assert got == [("S1", "L", 1)]
