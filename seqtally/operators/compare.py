@@ -14,10 +14,21 @@ Z_OUTLIER = 1.96
 
 def compare_counts(src: DataFrame, dst: DataFrame, key: str = "key",
                    value: str = "value", names=("focused", "whole")) -> DataFrame:
-    """src LEFT JOIN dst on key; duplicate keys multiply as in any join."""
+    """src LEFT JOIN dst on key.
+
+    Count tables have one row per key, and then this is the plain left join.
+    If a key repeats (checked first, one aggregation per side), the k-th row
+    of a key in src pairs with the k-th in dst (in value order) and extra src
+    rows get NULL, so a repeated key never multiplies into all pairs."""
+    from seqtally.operators.index import occurrence
+    from seqtally.operators.reshape import has_repeats
     a = src.select(key, F.col(value).alias(names[0]))
     b = dst.select(key, F.col(value).alias(names[1]))
-    return a.join(b, key, "left")
+    if not (has_repeats(a, [key]) or has_repeats(b, [key])):
+        return a.join(b, key, "left")
+    a = occurrence(a, [key], [names[0]])
+    b = occurrence(b, [key], [names[1]])
+    return a.join(b, [key, "occ"], "left").drop("occ")
 
 
 def _stats(df: DataFrame, c: str) -> Column:
