@@ -28,7 +28,7 @@ RESULT_HEADER = ["Gene", "Barcode", "Read_counts", "RPM"]
 
 
 def write_counts_csv(counts: DataFrame, path: str, mode: str = "overwrite",
-                     reference_header: bool = True) -> None:
+                     reference_header: bool = True, partition_by=("sample",)) -> None:
     """Gene, barcode, read count and RPM with a header row (the reference's
     column names unless ``reference_header=False``), one folder per sample,
     rows in key order.  The global sort range-partitions the rows, so a large
@@ -36,8 +36,9 @@ def write_counts_csv(counts: DataFrame, path: str, mode: str = "overwrite",
     _dynamic(counts)
     names = RESULT_HEADER if reference_header else ["gene", "barcode", "read_counts", "rpm"]
     cols = [F.col(c).alias(a) for c, a in zip(["gene", "barcode", "read_counts", "rpm"], names)]
-    (counts.orderBy("sample", "gene", "barcode").select("sample", *cols)
-     .write.mode(mode).option("header", True).partitionBy("sample").csv(path))
+    parts = list(partition_by)
+    (counts.orderBy(*parts, "gene", "barcode").select(*parts, *cols)
+     .write.mode(mode).option("header", True).partitionBy(*parts).csv(path))
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -45,7 +46,7 @@ def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_stats_text(stats: DataFrame, path: str, mode: str = "overwrite",
-                     by: str = "sample") -> None:
+                     by="sample") -> None:
     """The statistics text of the reference, one folder per ``by`` value:
     three lines per sample, or four with a leading ``File: <name>`` line when
     the statistics carry a ``file`` column (flank extraction)."""
@@ -59,7 +60,8 @@ def write_stats_text(stats: DataFrame, path: str, mode: str = "overwrite",
         F.concat(F.lit("Detected read: "), F.col("detected_reads").cast("string")),
         F.concat(F.lit("Detection rate in the sequence pool: "),
                  F.coalesce(F.col("detection_rate").cast("string"), F.lit("nan"))))
-    stats.select(by, body.alias("value")).write.mode(mode).partitionBy(by).text(path)
+    keys = [by] if isinstance(by, str) else list(by)
+    stats.select(*keys, body.alias("value")).write.mode(mode).partitionBy(*keys).text(path)
 
 
 def write_fastq(reads: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> None:
