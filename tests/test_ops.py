@@ -215,3 +215,30 @@ def test_split_by_length_list_windows(spark):
     reads = reads_df(spark, [("r", "A" * 50), ("s", "A" * 60)])
     got = [r.fragment for r in split_by_length(reads, [("X", 51)], tolerance=1).collect()]
     assert got == ["X"]
+
+
+def test_synthetic_reads_and_library(spark):
+    from seqtally.operators.library import prepare_library
+    from seqtally.plans.counting import barcode_counts
+    from seqtally.sources.synthetic import synthetic_library, synthetic_reads
+    reads = synthetic_reads(spark, 50, read_len=30)
+    assert reads.count() == 200
+    lib = prepare_library(synthetic_library(spark))
+    got = {r.gene: (r.read_counts, r.rpm)
+           for r in barcode_counts(reads, lib, barcode_set="synthetic").collect()}
+    assert got == {n: (50, 250000.0) for n in "ATGC"}
+
+
+def test_text_lines_and_line_counts_sink(spark, tmpdir_path):
+    from seqtally.sinks import write_line_counts_csv
+    from seqtally.sources.text import read_barcode_list, read_text_lines
+    p = f"{tmpdir_path}/t.txt"
+    open(p, "w").write("ACGT\nGGGG\n")
+    lines = read_text_lines(spark, p, max_partition_bytes=4)
+    assert sorted(r.value for r in lines.collect()) == ["ACGT", "GGGG"]
+    write_line_counts_csv(spark.createDataFrame([("g", 3)], "name string, n long"),
+                          f"{tmpdir_path}/lc")
+    assert [tuple(r) for r in spark.read.csv(f"{tmpdir_path}/lc").collect()] == [("g", "3")]
+    open(f"{tmpdir_path}/bl.csv", "w").write("0,AAA\n1,CCC\n")
+    assert [(r.idx, r.barcode) for r in read_barcode_list(spark, f"{tmpdir_path}/bl.csv")
+            .orderBy("idx").collect()] == [(0, "AAA"), (1, "CCC")]
