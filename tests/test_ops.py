@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import library_df, reads_df
 from seqtally.functions.sequence import (DOWNSTREAM_FLANK, UPSTREAM_FLANK,
-                                         extract_between, reverse_complement)
+                                         reverse_complement)
 from seqtally.operators.compare import (column_stats, compare_counts,
                                         drop_upper_outliers, zscore)
 from seqtally.operators.flank import distinct_barcodes, extract_barcodes, flank_stats
