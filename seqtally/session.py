@@ -78,8 +78,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        # no cluster setting (local runs, tests): a private folder, registered
+        # on the context only (the setting itself is static)
         d = tempfile.mkdtemp(prefix="seqtally-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d

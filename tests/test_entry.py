@@ -25,3 +25,35 @@ def test_scale_conf_sizes():
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert 90_000 < int(c["spark.sql.shuffle.partitions"]) < 110_000
     assert int(scale_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_checkpoint_dir_fallback_without_cluster_setting():
+    """No spark.checkpoint.dir: a private folder is registered on the context
+    and the (static) setting itself is never written."""
+    from seqtally.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("static setting must not be modified")
+
+    class Context:
+        def __init__(self):
+            self.dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    s = Session()
+    d = checkpoint_dir(s)
+    assert d and s.sparkContext.dir == d
+    assert checkpoint_dir(s) == d
