@@ -95,11 +95,17 @@ class _Range(InputPartition):
 
 
 def _fs_and_path(uri: str):
+    """pyarrow filesystem and path for a Spark/Hadoop path or URI (local,
+    ``file:``, and whatever pyarrow supports, e.g. s3://, gs://, hdfs://
+    with libhdfs; Hadoop's s3a:// and s3n:// are read as s3://)."""
     import pyarrow.fs as pafs
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
     if "://" not in uri:
         return pafs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri.split(":", 1)[1].lstrip("/")
+    for hadoop_scheme in ("s3a://", "s3n://"):
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
     return pafs.FileSystem.from_uri(uri)
 
 

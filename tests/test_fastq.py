@@ -163,3 +163,11 @@ def test_native_reader_detects_merged_records(spark, tmpdir_path):
     with pytest.raises(Exception, match="malformed FASTQ chunk"):
         read_fastq(spark, p).collect()
     assert sorted(r.read_id for r in read_fastq(spark, p, mode="DROP").collect()) == ["r1"]
+
+
+def test_file_uri_paths(spark, tmpdir_path):
+    recs = make_records(5, seed=4)
+    write(f"{tmpdir_path}/U/u.fastq", recs)
+    for p in (f"file:{tmpdir_path}/U", f"file://{tmpdir_path}/U/u.fastq"):
+        got = read_fastq_full(spark, p).orderBy("offset").collect()
+        assert [(r.header, r.sequence) for r in got] == [(h, s) for h, s, _, _ in recs]
