@@ -36,7 +36,7 @@ def count_hits(hits: DataFrame) -> DataFrame:
 
 # A manifest is run configuration (samples x barcode sets); up to this many
 # pairs it is expanded on the library rows directly.
-MANIFEST_INLINE_MAX = 100_000
+MANIFEST_INLINE_MAX = 10_000
 
 
 def zero_fill(counts: DataFrame, library: DataFrame, manifest: DataFrame) -> DataFrame:
