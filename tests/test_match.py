@@ -233,3 +233,23 @@ def test_manifest_with_incomplete_rows(spark):
                                 "sample string, barcode_set string")
     got = [(r.sample, r.barcode_set, r.read_counts) for r in count_manifest(reads, man, lib).collect()]
     assert got == [("S1", "L", 1)]
+
+
+def test_large_manifest_join_paths(spark, monkeypatch):
+    """Manifests over the inline bound go through joins; same results."""
+    from seqtally.operators import counts as C
+    from seqtally.plans.counting import count_manifest
+    reads = reads_df(spark, [("a", "AACGTT"), ("b", "GGGGTT")], sample="S1").unionByName(
+        reads_df(spark, [("c", "ACGTAA")], sample="S2"))
+    lib = library_df(spark, [("g", "ACGT"), ("h", "GGGG")]).unionByName(
+        library_df(spark, [("t", "GTT")], barcode_set="M"))
+    man = spark.createDataFrame([("S1", "L"), ("S1", "M"), ("S2", "L")],
+                                "sample string, barcode_set string")
+
+    def run():
+        return sorted((r.sample, r.barcode_set, r.gene, r.read_counts, r.rpm)
+                      for r in count_manifest(reads, man, lib).collect())
+    inline = run()
+    monkeypatch.setattr(C, "MANIFEST_INLINE_MAX", 1)
+    assert run() == inline
+    assert ("S1", "M", "t", 2, 1e6) in inline and ("S2", "L", "h", 0, 0.0) in inline
