@@ -596,7 +596,7 @@ def synthetic_reads_q(spark, sf_dir):
 def _staged_fastq(spark, sf_dir, gz=False):
     from seqtally.session import scratch_path
     from seqtally.sinks import write_fastq
-    fq = D.fastq_records(spark, sf_dir).filter(F.col("spacer") == "+")
+    fq = D.fastq_records(spark, sf_dir, wellformed=True)
     path = scratch_path(spark, "fastq")
     if gz:
         spark.conf.set("spark.sql.text.compression.codec", "gzip")
@@ -609,7 +609,7 @@ def _staged_fastq(spark, sf_dir, gz=False):
     return path
 
 
-@query("fastq_roundtrip", D.cte(**FQ, ok="SELECT * FROM fq WHERE spacer = '+'") + r"""
+@query("fastq_roundtrip", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + r"""
 SELECT sample, regexp_extract(header, '^@(\S*)', 1) AS read_id, sequence FROM ok""")
 def fastq_roundtrip(spark, sf_dir):
     from seqtally.sources.fastq import read_fastq
@@ -619,7 +619,7 @@ def fastq_roundtrip(spark, sf_dir):
                     "read_id", "sequence")
 
 
-@query("fastq_full_roundtrip", D.cte(**FQ, ok="SELECT * FROM fq WHERE spacer = '+'") + """
+@query("fastq_full_roundtrip", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + """
 SELECT header, sequence, spacer, quality FROM ok""")
 def fastq_full_roundtrip(spark, sf_dir):
     from seqtally.sources.fastq import read_fastq_full
@@ -715,7 +715,7 @@ def flank_stats_lines(spark, sf_dir):
     return flank_stats(extract_from_lines(D.flanked_fastq_lines(spark, sf_dir)))
 
 
-@query("length_split_files", D.cte(**FQ, ok="SELECT * FROM fq WHERE spacer = '+'",
+@query("length_split_files", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL,
                                    windows=_windows_sql()) + """
 SELECT w.fragment, o.header, o.sequence, o.quality
 FROM ok o JOIN windows w
@@ -727,7 +727,7 @@ def length_split_files(spark, sf_dir):
     from seqtally.session import scratch_path
     from seqtally.sinks import write_fastq
     from seqtally.sources.fastq import read_fastq_full
-    fq = D.fastq_records(spark, sf_dir).filter(F.col("spacer") == "+")
+    fq = D.fastq_records(spark, sf_dir, wellformed=True)
     path = scratch_path(spark, "length-split")
     write_fastq(split_by_length(fq, length_windows(spark)), path, partition_by=("fragment",))
     back = read_fastq_full(spark, path, split_bytes=256 * 1024)

@@ -138,16 +138,22 @@ _QUAL_FROM = "0123456789abcdef"
 _QUAL_TO = "!+5?@IAFKE:,#-\"_"   # includes '@', '+', ',' and '"' on purpose
 
 
-def fastq_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four-field records.  Every 13th record has a quality one character
-    short, every 17th a spacer that is not '+'; they exercise validation."""
+def fastq_records(spark: SparkSession, sf_dir: str, wellformed: bool = False) -> DataFrame:
+    """Four-field records.  Unless ``wellformed``, every 13th record has a
+    quality one character short and every 17th a spacer that is not '+';
+    they exercise validation.  Well-formed records (all of them valid) feed
+    the file round trips."""
     r = length_reads(spark, sf_dir)
     k = F.col("read_key")
     qual_full = F.substr(F.repeat(F.translate(F.md5(F.concat(F.lit("q"), k.cast("string"))),
                                               _QUAL_FROM, _QUAL_TO), 10),
                          F.lit(1), F.length("sequence"))
-    qual = F.when(k % 13 == 5, F.substr(qual_full, F.lit(2), F.length("sequence"))).otherwise(qual_full)
-    spacer = F.when(k % 17 == 4, F.lit("-")).otherwise(F.lit("+"))
+    if wellformed:
+        qual, spacer = qual_full, F.lit("+")
+    else:
+        qual = F.when(k % 13 == 5, F.substr(qual_full, F.lit(2), F.length("sequence"))) \
+            .otherwise(qual_full)
+        spacer = F.when(k % 17 == 4, F.lit("-")).otherwise(F.lit("+"))
     header = F.concat(F.lit("@"), F.col("read_id"), F.lit(" "), F.col("sample"),
                       F.lit(":"), k.cast("string"))
     return r.select("sample", "read_key", header.alias("header"), "sequence",
@@ -166,6 +172,16 @@ FROM (SELECT *, substr(repeat(translate(md5(concat('q', CAST(read_key AS VARCHAR
       FROM len_reads)"""
 
 
+FASTQ_WELLFORMED_SQL = f"""
+SELECT sample, read_key,
+       concat('@', read_id, ' ', sample, ':', CAST(read_key AS VARCHAR)) AS header,
+       sequence, '+' AS spacer,
+       substr(repeat(translate(md5(concat('q', CAST(read_key AS VARCHAR))),
+                               '{_QUAL_FROM}', '{_QUAL_TO.replace("'", "''")}'), 10),
+              1, length(sequence)) AS quality
+FROM len_reads"""
+
+
 def cte(**bodies: str) -> str:
     """WITH clause from name=body pairs (order kept)."""
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in bodies.items()) + "\n"
