@@ -6,9 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.operators.counts import (count_hits, default_manifest, read_stats,
-                                       rpm, zero_fill)
-from seqtally.operators.match import assign_first_match
+from seqtally.operators.counts import count_hits, default_manifest, rpm, zero_fill
+from seqtally.operators.match import assign_first_match, one_pass_stats
 
 
 def barcode_counts(reads: DataFrame, library: DataFrame,
@@ -34,9 +33,10 @@ def count_manifest(reads: DataFrame, manifest: DataFrame, library: DataFrame) ->
 def barcode_stats(reads: DataFrame, library: DataFrame,
                   manifest: DataFrame | None = None,
                   barcode_set: str | None = None) -> DataFrame:
+    """Total reads, detected reads and detection rate per sample (and barcode
+    set), in one pass over the reads."""
     m = manifest if manifest is not None else default_manifest(reads, barcode_set)
-    hits = assign_first_match(reads, library, manifest)
-    return read_stats(reads, hits, m)
+    return one_pass_stats(reads, library, m)
 
 
 def counts_columns(counts: DataFrame) -> DataFrame:
