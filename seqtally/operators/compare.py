@@ -22,8 +22,11 @@ def compare_counts(src: DataFrame, dst: DataFrame, key: str = "key",
     rows get NULL, so a repeated key never multiplies into all pairs."""
     from seqtally.operators.index import occurrence
     from seqtally.operators.reshape import has_repeats
-    a = src.select(key, F.col(value).alias(names[0]))
-    b = dst.select(key, F.col(value).alias(names[1]))
+    # count tables are small (one row per key): staged once, the repeat
+    # checks and the join read the checkpoints instead of recomputing the
+    # counting behind each table
+    a = _staged(src.select(key, F.col(value).alias(names[0])))
+    b = _staged(dst.select(key, F.col(value).alias(names[1])))
     if not (has_repeats(a, [key]) or has_repeats(b, [key])):
         return a.join(b, key, "left")
     a = occurrence(a, [key], [names[0]])
