@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from seqtally.operators._util import checkpointed
 
+# --- fixed values: the reference's one-sided outlier cut (mean + 1.96 std) ---
 Z_OUTLIER = 1.96
+# ------------------------------------------------------------------------------
 
 
 def compare_counts(src: DataFrame, dst: DataFrame, key: str = "key",

@@ -22,8 +22,10 @@ def write_hits_parquet(chunks: DataFrame, path: str, mode: str = "overwrite") ->
     chunks.write.mode(mode).partitionBy("sample").parquet(path)
 
 
-# --- fixed values: column headers of the reference's result table -------------
+# --- fixed values: the reference's result headers and statistics text -------
 RESULT_HEADER = ["Gene", "Barcode", "Read_counts", "RPM"]
+STATS_FILE_LABEL = "File: "
+STATS_LABELS = ["Total read: ", "Detected read: ", "Detection rate in the sequence pool: "]
 # ------------------------------------------------------------------------------
 
 
@@ -53,13 +55,11 @@ def write_stats_text(stats: DataFrame, path: str, mode: str = "overwrite",
     _dynamic(stats)
     lines = []
     if "file" in stats.columns:
-        lines.append(F.concat(F.lit("File: "), F.regexp_extract("file", r"([^/]+)$", 1)))
-    body = F.concat_ws(
-        "\n", *lines,
-        F.concat(F.lit("Total read: "), F.col("total_reads").cast("string")),
-        F.concat(F.lit("Detected read: "), F.col("detected_reads").cast("string")),
-        F.concat(F.lit("Detection rate in the sequence pool: "),
-                 F.coalesce(F.col("detection_rate").cast("string"), F.lit("nan"))))
+        lines.append(F.concat(F.lit(STATS_FILE_LABEL), F.regexp_extract("file", r"([^/]+)$", 1)))
+    values = [F.col("total_reads").cast("string"), F.col("detected_reads").cast("string"),
+              F.coalesce(F.col("detection_rate").cast("string"), F.lit("nan"))]
+    body = F.concat_ws("\n", *lines,
+                       *[F.concat(F.lit(label), v) for label, v in zip(STATS_LABELS, values)])
     keys = [by] if isinstance(by, str) else list(by)
     stats.select(*keys, body.alias("value")).write.mode(mode).partitionBy(*keys).text(path)
 
