@@ -32,10 +32,12 @@ def collect_bounded(df: DataFrame, max_rows: int):
     return rows if len(rows) <= max_rows else None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a checked size; otherwise leave the join to the
-    planner (shuffled hash / sort-merge join, AQE may still broadcast)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast hint behind a checked size (default bound:
+    ``BROADCAST_MAX_ROWS``); otherwise leave the join to the planner
+    (shuffled hash / sort-merge join, AQE may still broadcast)."""
+    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if fits(df, bound) else df
 
 
 def spread(df: DataFrame) -> DataFrame:

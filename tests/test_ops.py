@@ -242,3 +242,28 @@ def test_text_lines_and_line_counts_sink(spark, tmpdir_path):
     open(f"{tmpdir_path}/bl.csv", "w").write("0,AAA\n1,CCC\n")
     assert [(r.idx, r.barcode) for r in read_barcode_list(spark, f"{tmpdir_path}/bl.csv")
             .orderBy("idx").collect()] == [(0, "AAA"), (1, "CCC")]
+
+
+def test_fallbacks_without_broadcast(spark, monkeypatch):
+    """With nothing allowed to be broadcast, the joins run shuffled and give
+    the same rows."""
+    from seqtally.operators import _util
+    from seqtally.operators.counts import count_hits, with_genes
+    from seqtally.operators.match import assign_first_match
+
+    reads = reads_df(spark, [(f"r{n}", "A" * n) for n in (193, 194, 268, 277)])
+    routing = spark.createDataFrame([("S", "F1", "x"), ("S", "F3", "y")],
+                                    "source string, fragment string, sample string")
+    lib = library_df(spark, [("g", "AAAA"), ("h", "CCCC")])
+
+    def run():
+        split = split_by_length(reads, length_windows(spark))
+        routed = relabel_samples(split.withColumnRenamed("sample", "source"), routing)
+        genes = with_genes(count_hits(assign_first_match(reads, lib)), lib)
+        return (sorted((r.read_id, r.fragment) for r in split.collect()),
+                sorted((r.read_id, r.sample) for r in routed.collect()),
+                sorted((r.gene, r.read_counts) for r in genes.collect()))
+    before = run()
+    monkeypatch.setattr(_util, "BROADCAST_MAX_ROWS", 0)
+    assert run() == before
+    assert before[0] == [("r193", "F3"), ("r194", "F3"), ("r268", "F2"), ("r277", "F1")]
