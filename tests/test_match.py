@@ -253,6 +253,9 @@ def test_large_manifest_join_paths(spark, monkeypatch):
     inline = run()
     monkeypatch.setattr(C, "MANIFEST_INLINE_MAX", 1)
     assert run() == inline
+    from seqtally.operators import _util
+    monkeypatch.setattr(_util, "BROADCAST_MAX_ROWS", 0)    # every join shuffled
+    assert run() == inline
     assert ("S1", "M", "t", 2, 1e6) in inline and ("S2", "L", "h", 0, 0.0) in inline
 
 
