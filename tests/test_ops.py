@@ -267,3 +267,13 @@ def test_fallbacks_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(_util, "BROADCAST_MAX_ROWS", 0)
     assert run() == before
     assert before[0] == [("r193", "F3"), ("r194", "F3"), ("r268", "F2"), ("r277", "F1")]
+
+
+def test_write_stats_csv(spark, tmpdir_path):
+    from seqtally.sinks import write_stats
+    stats = spark.createDataFrame([("S", "L", 4, 2, 0.5)],
+                                  "sample string, barcode_set string, total_reads long, "
+                                  "detected_reads long, detection_rate double")
+    write_stats(stats, f"{tmpdir_path}/stats")
+    back = spark.read.option("header", True).csv(f"{tmpdir_path}/stats").first()
+    assert (back.sample, back.total_reads, back.detection_rate) == ("S", "4", "0.5")
