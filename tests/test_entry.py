@@ -4,8 +4,11 @@ import __spark_entry__ as E
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 40
+    from seqtally.plans import catalog
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert len(catalog.QUERIES) >= 40
+    assert set(catalog.QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_schema(spark):
