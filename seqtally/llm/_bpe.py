@@ -154,7 +154,7 @@ class IdCache:
     """Ids of words seen by this worker; emptied when it holds ``limit`` words,
     so a worker's memory stays bounded (a dropped word is encoded again)."""
 
-    def __init__(self, tokenizer: WordTokenizer, limit: int = 1_000_000):
+    def __init__(self, tokenizer: WordTokenizer, limit: int = 150_000):
         self.tokenizer, self.limit = tokenizer, limit
         self.clear()
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once by a task (a longer text is a piece of its own).
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 #: Bytes hashed at once, cut between words.
 _SEGMENT = 1 << 20
 

@@ -28,7 +28,7 @@ from seqtally.llm._files import bucket_count, staged_buckets
 from seqtally.llm._words import pieces
 
 #: Characters of text in a chunk; bounds what a task holds at once.
-CHUNK_CHARS = 24 << 20
+CHUNK_CHARS = 12 << 20
 
 CHUNKS = "chunk long, doc_id long, low binary, mid binary, high binary, words array<string>"
 _CHUNKS = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("low", pa.binary()),
@@ -129,7 +129,7 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id and ``ids`` (little-endian unsigned 32-bit) of every document."""
     chunks = chunk_table(docs, tokenizer)
 
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
+    def join(left, right):
         def joined(column, kind):
             return np.frombuffer(b"".join(right.column(column).to_pylist()), kind)
         idx, lengths, ids = joined("idx", "<u4"), joined("lengths", "<u2").astype(np.int64), joined("ids", "<u4")

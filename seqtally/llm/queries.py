@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -22,11 +23,35 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_table(spark, _table(spark, sf_dir, "documents"), _tokenizer(), end_id=2)
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of 50 words and more removed from all documents."""
+    from seqtally.llm.substring import remove_repeats
+    out = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded and decoded through the distinct-word table."""
     from seqtally.llm.bpe_table import bpe_digests
     return bpe_digests(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op7_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_ids, op6_substring, op7_bpe)}
+
 ORACLES: dict[str, str] = {}
+
+# Windows are compared as lists of words; the smallest doc_id of each window.
+ORACLES["op6_substring"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 48, 1))) AS i FROM w WHERE len(ws) >= 50),
+h AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS k FROM p),
+m AS (SELECT k, min(doc_id) AS least FROM h GROUP BY k),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM h JOIN m USING (k) WHERE least < doc_id),
+r AS (SELECT doc_id, list(j) AS js FROM g GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN js IS NULL THEN ws ELSE
+    list_transform(list_filter(list_zip(ws, range(1, len(ws) + 1)), lambda x: NOT list_contains(js, x[2])), lambda x: x[1])
+    END, ' ')) AS kept_sha256
+FROM w LEFT JOIN r ON w.doc_id = r.doc_id"""
