@@ -23,6 +23,25 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_table(spark, _table(spark, sf_dir, "documents"), _tokenizer(), end_id=2)
 
 
+def op2_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by two compression dictionaries."""
+    from seqtally.llm.compress_quality import held_out, score_quality, train
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = score_quality(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from those that are not held out."""
+    from seqtally.llm.compress_quality import held_out
+    from seqtally.llm.langid import label_languages, train
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = label_languages(docs.select("doc_id", "text"), train(docs.filter(~held_out(F.col("doc_id")))))
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+                      F.size("spans").alias("n_spans"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of 50 words and more removed from all documents."""
     from seqtally.llm.substring import remove_repeats
@@ -37,6 +56,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(_table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all documents and the verdict of the boosted trees."""
+    from seqtally.llm.quality_rules import COUNTS, apply_rules, train
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = apply_rules(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", *COUNTS, "base_failed", "kept", "score")
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one of control strings, formatted, written and
     read back.  The tables have two layouts, told apart by their fingerprints."""
@@ -59,7 +86,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op6_substring, op7_bpe, op9_chat, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_ids, op2_compression, op4_language, op6_substring, op7_bpe,
+                                  op8_quality_rules, op9_chat, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
 
