@@ -90,16 +90,27 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+#: Separators and case of plain words: ASCII letters and digits and everything
+#: beyond ASCII make words, and A-Z are lower-cased.
+PLAIN_SEPARATOR = np.zeros(256, bool)
+PLAIN_SEPARATOR[[c for c in range(128) if not chr(c).isalnum()]] = True
+PLAIN_CASE = np.arange(256, dtype=np.uint8)
+PLAIN_CASE[ord("A"):ord("Z") + 1] += 32
+
+
 class Words:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a string array.
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a string array, or other words by a
+    table of separators and a table of byte cases.
 
     ``starts``/``ends``: byte bounds in ``data``; ``first``: index of the first
     word of each text, with the number of words at the end."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, separator: np.ndarray = SEPARATOR, case: np.ndarray | None = None):
         self.data, self.offsets = text_buffer(texts)
+        if case is not None:
+            self.data = case[self.data]
         n = len(self.data)
-        sep = SEPARATOR[self.data]
+        sep = separator[self.data]
         before, after = np.ones(n, bool), np.ones(n, bool)
         before[1:], after[:-1] = sep[:-1], sep[1:]
         edge = self.offsets[(self.offsets > 0) & (self.offsets < n)]

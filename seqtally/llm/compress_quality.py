@@ -3,7 +3,7 @@ labelled text.  A text is compressed with each, in blocks of ``BLOCK`` bytes
 (so that a long text can't learn its own style), and the difference of the
 compressed sizes per byte of text becomes a score by logistic calibration.
 
-Dictionaries are trained on at most ``SAMPLE_DOCS`` documents of each class of
+Dictionaries are trained on about ``SAMPLE_DOCS`` documents of each class of
 at most ``SAMPLE_BYTES`` bytes, and calibrated on as many others; both samples
 are picked by a hash of the id among the rows that may be learnt from.
 
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqtally.llm._sample import hashed_sample
 from seqtally.llm._words import pieces, text_buffer
 
 SAMPLE_DOCS, SAMPLE_BYTES = 3000, 16 << 10
@@ -105,8 +106,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled rows that are not held out.  The sampled ids are
-    broadcast; at most ``2 * SAMPLE_DOCS`` texts and as many pairs of a
-    difference and a label come to the driver."""
+    broadcast; about ``2 * SAMPLE_DOCS`` texts and as many pairs of a difference
+    and a label come to the driver (never more than twice as many)."""
     own = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("quality").cast("int").alias("_quality")))
     share = {r["_quality"]: r["count"] for r in own.groupBy("_quality").count().collect()}
@@ -115,7 +116,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(b"", b"", 0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))))
     picked = None
     for label in (0, 1):
-        one = own.filter(F.col("_quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * SAMPLE_DOCS)
+        one = hashed_sample(own.filter(F.col("_quality") == label), 2 * SAMPLE_DOCS, "doc_id")
         picked = one if picked is None else picked.unionByName(one)
     turn = F.pmod(F.xxhash64(F.lit("turn"), "doc_id"), F.lit(2))
     rows = docs.select("doc_id", "text").join(F.broadcast(picked.withColumn("_turn", turn)), "doc_id")

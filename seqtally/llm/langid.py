@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqtally.llm._sample import hashed_sample
 from seqtally.llm._words import pieces
 
 SAMPLE_DOCS = 8000
@@ -112,11 +113,7 @@ def train(docs: DataFrame) -> Model:
     (doc_id, text, lang) that may be learnt from; only the sums, at most
     languages x (``BUCKETS`` + scripts) rows, come to the driver."""
     rows = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    n = rows.count()
-    if not n:
-        return Model([], np.zeros((BUCKETS, 0)), np.zeros((len(_NAMES), 0), bool))
-    part = min(1.0, SAMPLE_DOCS / n)
-    rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int(np.ceil(part * (1 << 20)))))
+    rows = hashed_sample(rows, SAMPLE_DOCS, "doc_id", "text")
 
     def run(batches):
         for batch in batches:
@@ -133,6 +130,8 @@ def train(docs: DataFrame) -> Model:
                         names=["lang", "bucket", "n"])
     got = (rows.mapInArrow(run, "lang string, bucket long, n long")
            .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
+    if got.empty:
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros((len(_NAMES), 0), bool))
     languages = sorted(got["lang"].unique())
     table = np.zeros((BUCKETS + len(_NAMES), len(languages)))
     table[got["bucket"], got["lang"].map({x: i for i, x in enumerate(languages)})] = got["n"]

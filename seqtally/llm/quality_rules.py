@@ -22,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqtally.llm._sample import hashed_sample
 from seqtally.llm._words import SEPARATOR, Words, mix, pieces, rolling, span_hashes
 
-#: Labelled documents that the trees are fitted on, at most.
+#: Labelled documents that the trees are fitted on, about.
 TRAIN_ROWS = 20_000
 TREES, DEPTH, RATE, BINS, LEAST_WEIGHT = 40, 3, 0.3, 32, 0.5
 #: A document is kept from this score on.
@@ -206,11 +207,11 @@ def fit_trees(x: np.ndarray, y: np.ndarray, signs: list[int]) -> Trees | None:
 # --- Spark ----------------------------------------------------------------------
 
 def train(docs: DataFrame, labels: DataFrame) -> Trees | None:
-    """Fit on at most ``TRAIN_ROWS`` labelled documents; the sampled ids are
+    """Fit on about ``TRAIN_ROWS`` labelled documents; the sampled ids are
     broadcast (bounded by that number), and their features are collected."""
-    picked = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
-              .agg(F.max("quality").cast("int").alias("_quality"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS))
+    known = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
+             .agg(F.max("quality").cast("int").alias("_quality")))
+    picked = hashed_sample(known, TRAIN_ROWS, "doc_id")
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "_quality")
 
     def run(batches):

@@ -32,6 +32,13 @@ def op2_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written to archives and read back."""
+    from seqtally.llm.warc_zstd import archive_table
+    return archive_table(spark, _table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learnt from those that are not held out."""
     from seqtally.llm.compress_quality import held_out
@@ -42,6 +49,13 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").alias("n_spans"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near duplicates of all documents."""
+    from seqtally.llm.dart_minhash import near_duplicates
+    out = near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of 50 words and more removed from all documents."""
     from seqtally.llm.substring import remove_repeats
@@ -86,8 +100,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_ids, op2_compression, op4_language, op6_substring, op7_bpe,
-                                  op8_quality_rules, op9_chat, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_token_ids, op2_compression, op3_warc, op4_language, op5_near_duplicates,
+                                  op6_substring, op7_bpe, op8_quality_rules, op9_chat, op10_decontamination)}
 
 ORACLES: dict[str, str] = {}
 
@@ -142,3 +156,18 @@ t AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS items
 SELECT w.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN c ON w.doc_id = c.doc_id LEFT JOIN t ON w.doc_id = t.doc_id"""
+
+# base32 of the SHA-1: five bits a character
+ORACLES["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, html, min(page_id) OVER (PARTITION BY html) AS first, sha1(html) AS hex FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+  ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101',
+   '1110', '1111'][instr('0123456789abcdef', hex[i])]), '') AS bits FROM d)
+SELECT page_id, strlen(html) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + 16 * bits[5 * i + 1]::INT + 8 * bits[5 * i + 2]::INT + 4 * bits[5 * i + 3]::INT
+      + 2 * bits[5 * i + 4]::INT + bits[5 * i + 5]::INT]), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM b"""
