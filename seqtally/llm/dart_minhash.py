@@ -212,8 +212,8 @@ def _classes(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id and words (a fingerprint; null: no words) of every
-    document."""
+    """doc_id, class_id, text_key (a hash of the text) and class_no (a number of
+    the class; null: no words) of every document."""
     sigs = staged(signatures(docs), "signatures")
     nodes = (sigs.filter("words IS NOT NULL").groupBy("words")
              .agg(F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "text_key")).alias("own"), F.first("size").alias("size"), F.first("bands").alias("bands"),
@@ -259,6 +259,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     whole = nodes.select("id", "words", "doc").join(labels, "id", "left").withColumn("class", F.coalesce("class", "id"))
     least = whole.groupBy("class").agg(F.min("doc").alias("least"))
-    named = whole.join(least, "class").select("words", "least")
-    return (sigs.select("doc_id", "words").join(named, "words", "left")
-            .select("doc_id", F.when(F.col("words").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("class_id"), "words"))
+    named = whole.join(least, "class").select("words", "least", "class")
+    return (sigs.select("doc_id", "text_key", "words").join(named, "words", "left")
+            .select("doc_id", F.when(F.col("words").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("class_id"),
+                    "text_key", F.col("class").alias("class_no")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each class, that with the smallest doc_id;
+    wordless documents all stay.  Rows alike in doc_id and text are one
+    document."""
+    classes = staged(near_duplicates(docs).filter("class_no IS NOT NULL"), "classes")
+    first = classes.groupBy("class_no").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    own = F.struct("doc_id", "text_key")
+    gone = classes.join(first, "class_no").filter(~own.eqNullSafe(F.col("first"))).select("doc_id", "text_key").distinct()
+    key = F.xxhash64("text")
+    kept = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))
+                                & (F.xxhash64("d.text") == F.col("g.text_key")), "left_anti")
+    if classes.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
