@@ -1,11 +1,11 @@
 from seqtally.operators.counts import (  # noqa: F401
-    chunk_counts, count_barcodes_per_read, count_hits, count_lines_matching, count_reads,
-    default_manifest, fractional_counts, head, ids_by_barcode, merge_counts,
-    read_stats, rpm, top_barcodes, with_genes, zero_fill)
+    chunk_counts, count_barcodes_per_read, count_hits, count_lines_matching, count_matched,
+    fractional_counts, head, ids_by_barcode, merge_counts, read_stats, rpm, run_pairs,
+    top_barcodes, with_genes, zero_fill)
 from seqtally.operators.library import (  # noqa: F401
     dedup_barcodes, is_unique, normalize_barcodes, prepare_library)
 from seqtally.operators.match import (  # noqa: F401
-    assign_first_match, candidates, flag_detected, match_all)
+    assign_first_match, candidates, match_all, matched_reads, read_outcomes)
 from seqtally.operators.compare import (  # noqa: F401
     column_stats, compare_counts, drop_upper_outliers, zscore)
 from seqtally.operators.flank import (  # noqa: F401

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a bounded count proves it has at most this
-# many rows (a library row is a few dozen bytes: 2M rows ~ 100 MB).
-BROADCAST_MAX_ROWS = 2_000_000
+# A side is broadcast only when its measured size is within this bound.
+BROADCAST_BYTES = 256 << 20
+# What a row of a hashed relation costs beside its text.
+ROW_BYTES = 80
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -19,25 +22,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows, whatever the size of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read again: for
+    results of a pass over the reads that several outputs are made from."""
+    from seqtally.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def collect_bounded(df: DataFrame, max_rows: int):
-    """The rows of ``df`` when it has at most ``max_rows`` of them, else None.
-    One job; never more than ``max_rows + 1`` rows reach the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
+def size_bytes(df: DataFrame) -> int:
+    """Estimated size of ``df`` as a hashed relation: one aggregate over its
+    rows (a row per task is shuffled)."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema
+            if f.dataType.simpleString() in ("string", "binary")]
+    row = reduce(lambda a, b: a + b, text, F.lit(ROW_BYTES + 8 * len(df.columns)))
+    return int(df.agg(F.sum(row.cast("long"))).first()[0] or 0)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast hint behind a checked size (default bound:
-    ``BROADCAST_MAX_ROWS``); otherwise leave the join to the planner
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint behind a measured size (default bound:
+    ``BROADCAST_BYTES``); otherwise leave the join to the planner
     (shuffled hash / sort-merge join, AQE may still broadcast)."""
-    bound = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if fits(df, bound) else df
+    bound = BROADCAST_BYTES if max_bytes is None else max_bytes
+    return F.broadcast(df) if size_bytes(df) <= bound else df
 
 
 def spread(df: DataFrame) -> DataFrame:

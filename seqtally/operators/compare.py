@@ -16,30 +16,19 @@ Z_OUTLIER = 1.96
 
 def compare_counts(src: DataFrame, dst: DataFrame, key: str = "key",
                    value: str = "value", names=("focused", "whole")) -> DataFrame:
-    """src LEFT JOIN dst on key.
-
-    Count tables have one row per key, and then this is the plain left join.
-    If a key repeats (checked first, one aggregation per side), the k-th row
-    of a key in src pairs with the k-th in dst (in value order) and extra src
-    rows get NULL, so a repeated key never multiplies into all pairs."""
-    from seqtally.operators.index import occurrence
-    from seqtally.operators.reshape import has_repeats
-    # count tables are small (one row per key): staged once, the repeat
-    # checks and the join read the checkpoints instead of recomputing the
-    # counting behind each table
-    a = _staged(src.select(key, F.col(value).alias(names[0])))
-    b = _staged(dst.select(key, F.col(value).alias(names[1])))
-    if not (has_repeats(a, [key]) or has_repeats(b, [key])):
-        return a.join(b, key, "left")
-    a = occurrence(a, [key], [names[0]])
-    b = occurrence(b, [key], [names[1]])
-    return a.join(b, [key, "occ"], "left").drop("occ")
-
-
-def _stats(df: DataFrame, c: str) -> Column:
-    """Mean and sample std of one column as a single scalar subquery (a struct
-    with fields m, s); referenced twice, it is computed once."""
-    return df.select(F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s"))).scalar()
+    """src LEFT JOIN dst on key, as the reference merges them: a key that
+    repeats pairs each of its rows in src with each in dst (count tables have
+    one row per key)."""
+    a = src.select(key, F.col(value).alias(names[0]))
+    b = dst.select(key, F.col(value).alias(names[1]))
+    return a.join(b, key, "left")
+
+
+def _stats(df: DataFrame, cols) -> Column:
+    """Mean and sample std of all columns as one scalar subquery (a struct with
+    fields m_<col>, s_<col>): one aggregate, however many columns."""
+    return df.select(F.struct(*(f(c).alias(f"{p}_{c}") for c in cols
+                                for p, f in (("m", F.avg), ("s", F.stddev_samp))))).scalar()
 
 
 def _staged(df: DataFrame) -> DataFrame:
@@ -52,8 +41,8 @@ def _staged(df: DataFrame) -> DataFrame:
 def drop_upper_outliers(df: DataFrame, col: str, z: float = Z_OUTLIER) -> DataFrame:
     """Keep rows with col <= mean + z * std (sample std); NULL is dropped."""
     df = _staged(df)
-    st = _stats(df, col)
-    return df.filter(F.col(col) <= st.getField("m") + F.lit(z) * st.getField("s"))
+    st = _stats(df, [col])
+    return df.filter(F.col(col) <= st.getField(f"m_{col}") + F.lit(z) * st.getField(f"s_{col}"))
 
 
 def column_stats(df: DataFrame, cols) -> DataFrame:
@@ -67,9 +56,7 @@ def column_stats(df: DataFrame, cols) -> DataFrame:
 def zscore(df: DataFrame, cols) -> DataFrame:
     """(x - mean) / std for each column, statistics of ``df`` itself; NULL
     where the std is 0 or undefined."""
-    df = _staged(df)
-    out = df
-    for c in cols:
-        st = _stats(df, c)
-        out = out.withColumn(c, F.try_divide(F.col(c) - st.getField("m"), st.getField("s")))
-    return out
+    df, cols = _staged(df), list(cols)
+    st = _stats(df, cols)
+    z = {c: F.try_divide(F.col(c) - st.getField(f"m_{c}"), st.getField(f"s_{c}")).alias(c) for c in cols}
+    return df.select(*(z.get(c, F.col(c)) for c in df.columns))

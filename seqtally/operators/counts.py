@@ -3,18 +3,15 @@ lists and the operators of the multiple-detection report."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The reference processes reads in chunks of this many records (its default
-# for large files is 100,000; 10,000 is its advice for files under 1 GB).
-CHUNK_READS = 10_000
+from seqtally.operators._util import broadcast_if_small, staged
+from seqtally.operators.match import manifest_pairs
 
-
-def default_manifest(reads: DataFrame, barcode_set: str) -> DataFrame:
-    """Every sample present in ``reads`` paired with one barcode set."""
-    return (reads.select("sample").distinct()
-            .withColumn("barcode_set", F.lit(barcode_set)))
+# The reference processes reads in chunks of this many records by default
+# (10,000 is its advice for files under 1 GB).
+CHUNK_READS = 100_000
 
 
 def _ratio(num, den, scale: float = 1.0):
@@ -34,129 +31,94 @@ def count_hits(hits: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("read_counts")))
 
 
-# A manifest is run configuration (samples x barcode sets); up to this many
-# pairs it is expanded on the library rows directly.
-MANIFEST_INLINE_MAX = 10_000
-
-
-def zero_fill(counts: DataFrame, library: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Every library row of every (sample, barcode set) of the manifest, with
-    count 0 where no read was assigned.
-
-    The output has |library rows of the set| x |samples of the set| rows.  A
-    manifest of bounded size (checked) is turned into a literal map
-    set -> samples and each library row is exploded into its samples (a
-    Generate on the library; no join, no product with the reads).  A larger
-    manifest is joined on the barcode set instead."""
-    from seqtally.operators._util import collect_bounded
-    pairs = (manifest.select("sample", "barcode_set")
-             .filter(F.col("sample").isNotNull() & F.col("barcode_set").isNotNull()).distinct())
-    rows = collect_bounded(pairs, MANIFEST_INLINE_MAX)
-    if rows is not None:
-        by_set: dict = {}
-        for r in rows:
-            by_set.setdefault(r.barcode_set, []).append(r.sample)
-        if not by_set:
-            return counts.sparkSession.createDataFrame(
-                [], "sample string, barcode_set string, ord long, gene string, "
-                    "barcode string, read_counts long")
-        m = F.create_map(*[x for k, v in sorted(by_set.items(), key=lambda kv: str(kv[0]))
-                           for x in (F.lit(k), F.array(*[F.lit(e) for e in sorted(v)]))])
-        grid = library.select(F.explode(F.element_at(m, F.col("barcode_set"))).alias("sample"),
-                              "barcode_set", "ord", "gene", "barcode")
-    else:
-        grid = pairs.join(library.select("barcode_set", "ord", "gene", "barcode"), "barcode_set")
+def count_matched(matched: DataFrame) -> DataFrame:
+    """``match.matched_reads`` as a count table: sample, barcode_set, ord,
+    read_counts; rows with NULL barcode_set and ord are the samples' totals.
+    Stage it: zero-fill, RPM and statistics are all made from it."""
+    return (matched.groupBy("sample", "barcode_set", "ord")
+            .agg(F.sum("n").cast("long").alias("read_counts")))
+
+
+def run_pairs(tally: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
+              barcode_set: str | None = None) -> DataFrame:
+    """(sample, barcode_set) of a run: the manifest's, or every sample that has
+    reads with ``barcode_set``, or with the only set of the library.  Samples
+    come from the totals of ``count_matched``, not from a scan of the reads."""
+    if manifest is not None:
+        return manifest_pairs(manifest)
+    if barcode_set is None:
+        sets = [r.barcode_set for r in library.select("barcode_set").distinct().limit(2).collect()]
+        if len(sets) != 1:
+            raise ValueError("the library has several barcode sets: name one or give a manifest")
+        barcode_set = sets[0]
+    # staged, so that the set is a column to join on and not a constant, which
+    # would turn the join with the library into a nested loop
+    return staged(tally.filter("barcode_set IS NULL").select("sample")
+                  .withColumn("barcode_set", F.lit(barcode_set)), "pairs")
+
+
+def zero_fill(counts: DataFrame, library: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Every library row of every (sample, barcode_set) of ``pairs``, with
+    count 0 where no read was assigned: |library rows of the set| x |samples
+    of the set| rows."""
+    grid = pairs.select("sample", "barcode_set").join(
+        library.select("barcode_set", "ord", "gene", "barcode"), "barcode_set")
     return (grid.join(counts, ["sample", "barcode_set", "ord"], "left")
             .select("sample", "barcode_set", "ord", "gene", "barcode",
                     F.coalesce(F.col("read_counts"), F.lit(0)).cast("long")
                     .alias("read_counts")))
 
 
-def rpm(counts: DataFrame, by: tuple[str, ...] = ("sample",)) -> DataFrame:
-    """Reads per million: count / (assigned reads of the sample) * 1e6; 0 for
-    a sample without any assigned read.
+def rpm(counts: DataFrame, tally: DataFrame | None = None) -> DataFrame:
+    """Reads per million: count / (assigned reads of the run) * 1e6, a run
+    being a (sample, barcode_set); 0 for a run without any assigned read.
 
-    The total is a window sum over the count table.  That table has one row
-    per (sample, library barcode), so a window partition holds one library's
-    worth of rows however many reads a sample has, and the counts (with the
-    matching behind them) are consumed once instead of twice."""
-    from pyspark.sql import Window
-    tot = F.sum("read_counts").over(Window.partitionBy(*by))
-    return (counts.withColumn("_tot", tot)
+    The totals are an aggregate of ``tally`` (a staged count table; default:
+    ``counts`` itself) with a partial step, joined back by run: one row per
+    run is broadcast behind a size check, and no run's rows meet in one task."""
+    source = counts if tally is None else tally
+    total = (source.filter("barcode_set IS NOT NULL").groupBy("sample", "barcode_set")
+             .agg(F.sum("read_counts").alias("_tot")))
+    total = broadcast_if_small(total) if tally is not None else total
+    return (counts.join(total, ["sample", "barcode_set"], "left")
+            .withColumn("_tot", F.coalesce("_tot", F.lit(0)))
             .withColumn("rpm", _ratio("read_counts", "_tot", 1e6)).drop("_tot"))
 
 
+def read_stats(tally: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Total reads, detected (assigned) reads and detection rate of every
+    (sample, barcode_set) of ``pairs``, from a count table with totals
+    (``count_matched``).  A sample without reads has 0 and 0, a set that the
+    library lacks 0 detected; the rate is NULL for an empty pool."""
+    total = tally.filter("barcode_set IS NULL").select("sample", F.col("read_counts").alias("_total"))
+    found = (tally.filter("barcode_set IS NOT NULL").groupBy("sample", "barcode_set")
+             .agg(F.sum("read_counts").alias("_found")))
+    rate = F.when(F.col("total_reads") > 0,
+                  F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
+    return (pairs.select("sample", "barcode_set").join(total, "sample", "left")
+            .join(found, ["sample", "barcode_set"], "left")
+            .select("sample", "barcode_set", F.coalesce("_total", F.lit(0)).cast("long").alias("total_reads"),
+                    F.coalesce("_found", F.lit(0)).cast("long").alias("detected_reads"))
+            .withColumn("detection_rate", rate))
+
+
 def with_genes(counts: DataFrame, library: DataFrame) -> DataFrame:
     """Attach gene and barcode text to (barcode_set, ord) keyed rows; the
     library side is broadcast behind a size check, so the (possibly large)
     count rows are not shuffled for it."""
-    from seqtally.operators._util import broadcast_if_small
     lib = broadcast_if_small(library.select("barcode_set", "ord", "gene", "barcode"))
     return counts.join(lib, ["barcode_set", "ord"])
 
 
-def count_reads(hits: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
-                with_ids: bool = False) -> DataFrame:
-    """Assigned reads per library row, zero-filled for every (sample, barcode
-    set) of ``manifest`` (default: the pairs present in ``hits``).  With
-    ``with_ids`` the per-chunk ID lists are returned instead (``chunk_counts``;
-    ``hits`` must carry ``read_id``)."""
-    if with_ids:
-        return chunk_counts(hits, library)
-    m = manifest if manifest is not None else hits.select("sample", "barcode_set").distinct()
-    return zero_fill(count_hits(hits), library, m)
-
-
-def read_stats(reads: DataFrame, hits: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
-    """Total reads, detected (assigned) reads and detection rate per
-    (sample, barcode set); rate is NULL for an empty pool.  Without a
-    manifest the statistics are per sample (barcode_set NULL)."""
-    total = reads.groupBy("sample").agg(F.count(F.lit(1)).alias("total_reads"))
-    if manifest is None:
-        hits = hits.select("sample", "read_key").distinct().withColumn(
-            "barcode_set", F.lit(None).cast("string"))
-        total = total.withColumn("barcode_set", F.lit(None).cast("string"))
-        det = hits.groupBy("sample").agg(F.count(F.lit(1)).alias("detected_reads"))
-        out = (total.join(det, "sample", "left")
-               .withColumn("detected_reads",
-                           F.coalesce(F.col("detected_reads"), F.lit(0)).cast("long")))
-        rate = F.when(F.col("total_reads") > 0,
-                      F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
-        return out.select("sample", "barcode_set", "total_reads", "detected_reads",
-                          rate.alias("detection_rate"))
-    total = total.join(manifest.select("sample", "barcode_set").distinct(), "sample")
-    det = hits.groupBy("sample", "barcode_set").agg(
-        F.count(F.lit(1)).alias("detected_reads"))
-    out = (total.join(det, ["sample", "barcode_set"], "left")
-           .withColumn("detected_reads",
-                       F.coalesce(F.col("detected_reads"), F.lit(0)).cast("long")))
-    rate = F.when(F.col("total_reads") > 0,
-                  F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
-    return out.select("sample", "barcode_set", "total_reads", "detected_reads",
-                      rate.alias("detection_rate"))
-
-
-def outcome_stats(outcomes: DataFrame) -> DataFrame:
-    """``read_stats`` from one-pass read outcomes (``match.read_outcomes``)."""
-    by = ["sample"] + (["barcode_set"] if "barcode_set" in outcomes.columns else [])
-    out = outcomes.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_reads"),
-        F.count_if(F.col("detected")).alias("detected_reads"))
-    if "barcode_set" not in out.columns:
-        out = out.withColumn("barcode_set", F.lit(None).cast("string"))
-    rate = F.when(F.col("total_reads") > 0,
-                  F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
-    return out.select("sample", "barcode_set", "total_reads", "detected_reads",
-                      rate.alias("detection_rate"))
-
-
-def chunk_counts(hits: DataFrame, library: DataFrame,
-                 chunk_reads: int = CHUNK_READS) -> DataFrame:
-    """Per chunk of reads (``read_key div chunk_reads``) and barcode: count
-    and sorted list of assigned read IDs, as the reference's per-chunk result
-    files.  A group holds at most ``chunk_reads`` IDs, whatever the skew of
-    barcodes, so no list grows with the data."""
-    g = (hits.withColumn("chunk", F.floor(F.col("read_key") / F.lit(chunk_reads)).cast("long"))
+def chunk_counts(hits: DataFrame, library: DataFrame, chunk_reads: int = CHUNK_READS,
+                 chunk: Column | None = None) -> DataFrame:
+    """Per chunk of reads and barcode: count and sorted list of assigned read
+    IDs, as the reference's per-chunk result files.  The chunk is ``read_key
+    div chunk_reads`` unless another column says it (reads from files: their
+    place in the file).  A group holds at most one chunk's IDs, whatever the
+    skew of barcodes, so no list grows with the data."""
+    number = F.expr(f"read_key div {int(chunk_reads)}") if chunk is None else chunk
+    g = (hits.withColumn("chunk", number.cast("long"))
          .groupBy("sample", "barcode_set", "chunk", "ord")
          .agg(F.count(F.lit(1)).alias("read_counts"),
               F.array_sort(F.collect_list("read_id")).alias("ids")))
@@ -171,16 +133,16 @@ def merge_counts(chunks: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("n_chunks")))
 
 
-def ids_by_barcode(chunks: DataFrame) -> DataFrame:
-    """Classification list: one row per assigned read ID with its barcode."""
-    return chunks.select("sample", F.explode("ids").alias("read_id"), "gene", "barcode")
+def ids_by_barcode(hits: DataFrame, library: DataFrame) -> DataFrame:
+    """Classification list: one row per assigned read with its barcode; a join
+    of the hits with the library, no lists in between."""
+    return with_genes(hits, library).select("sample", "read_id", "gene", "barcode")
 
 
-def fractional_counts(chunks: DataFrame) -> DataFrame:
-    """Share each row's count over its IDs: read_counts / number of IDs."""
-    return chunks.select(
-        "sample", "gene", "barcode", F.explode("ids").alias("read_id"),
-        (F.col("read_counts").cast("double") / F.size("ids").cast("double")).alias("share"))
+def fractional_counts(hits: DataFrame, library: DataFrame) -> DataFrame:
+    """Each row's count shared over its IDs.  A chunk row has as many IDs as
+    its count, so every assigned read has the share 1."""
+    return with_genes(hits, library).select("sample", "gene", "barcode", "read_id", F.lit(1.0).alias("share"))
 
 
 def count_barcodes_per_read(hits_all: DataFrame) -> DataFrame:

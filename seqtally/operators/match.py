@@ -4,62 +4,92 @@ Containment (``barcode`` is a substring of ``sequence``) is a theta join that
 Spark would plan as a broadcast nested loop (reads x barcodes).  Here it is an
 equi-join instead.  Read positions yield seeds (the k-mer starting there,
 hashed to a long), the library yields the seeds of each barcode at a few
-offsets, and a broadcast hash join on the seed hash finds every candidate
-occurrence; the full barcode is then compared at the implied start.  No hit
-is lost (see ``seed_lanes``), hash collisions only add comparisons, and the
-work per read grows with its length, not with the library.
-
-Barcodes shorter than SEED_MIN seed on their own length (one probe lane per
-distinct short length).  Barcodes that are not plain letters are regular
-expressions, as in the reference, and go through an ``rlike`` join against a
-size-checked broadcast of just those rows.
+offsets, and a hash join on the seed finds every candidate occurrence; the full
+barcode is then compared at the implied start.  No hit is lost (see
+``seed_lanes``), hash collisions only add comparisons, and the work per read
+grows with its length, not with the library.
+
+The index is broadcast when its estimated size is within ``BROADCAST_BYTES``.
+Beyond, positions first meet a fixed-size bit table of the library's seeds, and
+what is left is shuffled with only the piece of the read that the comparison
+needs.
+
+Barcodes that are not plain letters are regular expressions, as in the
+reference.  A pattern that stands for a few plain texts is replaced by them; any
+other is seeded on a run of letters that each of its matches contains and then
+tested; patterns without such a run are tested as constants, a block of them in
+each pass over the reads.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqtally.functions.patterns import certain_run, plain_texts
 from seqtally.functions.sequence import is_literal_barcode
 from seqtally.operators import _util
-from seqtally.operators._util import BROADCAST_MAX_ROWS
+from seqtally.operators._util import ROW_BYTES, broadcast_if_small, checkpointed
 
-# Barcodes shorter than SEED_MIN seed on their own full length.  Longer ones
-# share one seed length k = min(shortest such barcode, SEED_MAX): 4^8 = 65,536
+# Texts shorter than SEED_MIN seed on their own full length.  Longer ones
+# share one seed length k = min(shortest such text, SEED_MAX): 4^8 = 65,536
 # seed values already make a read position meet few library seeds.
 SEED_MIN = 8
 SEED_MAX = 12
-SEED_LEN = SEED_MIN
-# Regex barcodes are matched by a nested loop; refuse libraries where that
-# would dominate (the rest of the library is not affected by this bound).
-REGEX_MAX_ROWS = 10_000
-# Up to this many barcodes shorter than SEED_MIN are tested with instr() on
-# each read instead of seeding every position (a 1-nt barcode would make
-# every position a candidate).
+# Up to this many texts shorter than SEED_MIN are tested with instr() on each
+# read instead of seeding every position (a 1-nt barcode would make every
+# position a candidate); both ways give the same rows.
 SHORT_INLINE_MAX = 32
-# Seed hash of the per-read sentinel row used by one-pass statistics.
+# Patterns without a certain run of letters that are tested in one pass.
+PATTERN_BLOCK = 100
+# Seed hash of the per-read sentinel row.
 SENTINEL = -1
-
-
-def library_profile(library: DataFrame) -> dict:
-    """One tiny action: barcode count per (length, literal?) class.  The result
-    has at most (max barcode length x 2) rows, whatever the library size."""
-    rows = (library.groupBy(F.length("barcode").alias("n"),
-                            is_literal_barcode("barcode").alias("lit"))
-            .count().collect())
-    prof = {"plain": {}, "regex": 0, "empty": 0}
-    for r in rows:
-        if r.n is None or r.n == 0:
-            prof["empty"] += r["count"]
-        elif r.lit:
-            prof["plain"][r.n] = r["count"]
-        else:
-            prof["regex"] += r["count"]
-    return prof
+# Bits of the seed table of the shuffled join (2^20 rows of 64 bits at most).
+TABLE_BITS = 26
+
+ENTRIES = "barcode_set string, ord long, text string, pattern string"
+
+
+def library_entries(library: DataFrame) -> DataFrame:
+    """barcode_set, ord, text, pattern: what is looked for in the reads.  A
+    plain barcode is its own text; a pattern becomes the texts it stands for,
+    or a text that each match contains plus the pattern, or (text NULL) the
+    pattern alone."""
+    literal = is_literal_barcode("barcode")
+    plain = library.filter(literal).select("barcode_set", "ord", F.col("barcode").alias("text"),
+                                           F.lit(None).cast("string").alias("pattern"))
+    regex = library.filter(~literal).select("barcode_set", "ord", "barcode")
+
+    def reduced(batches):
+        import pyarrow as pa
+        for batch in batches:
+            rows = []
+            for s, o, p in zip(*(batch.column(c).to_pylist() for c in ("barcode_set", "ord", "barcode"))):
+                texts = plain_texts(p)
+                if texts:
+                    rows += [(s, o, t, None) for t in texts]
+                else:
+                    rows.append((s, o, certain_run(p) or None, p))
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string())
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                             names=["barcode_set", "ord", "text", "pattern"])
+    if regex.isEmpty():
+        return plain
+    return checkpointed(plain.unionByName(regex.mapInArrow(reduced, ENTRIES)))
+
+
+def text_lengths(entries: DataFrame) -> dict[int, int]:
+    """Number of entries of each text length (0: no text); one small job, at
+    most one row for each length."""
+    rows = entries.groupBy(F.coalesce(F.length("text"), F.lit(0)).alias("n")).count().collect()
+    return {r.n: r["count"] for r in rows}
 
 
 def seed_lanes(plain: dict, seed_min: int = SEED_MIN, seed_max: int = SEED_MAX,
-               max_build_rows: int = BROADCAST_MAX_ROWS):
+               max_build_rows: int = 1 << 62):
     """Probe lanes (seed length, step) and the seed length / step of the
     long-barcode class.
 
@@ -67,7 +97,8 @@ def seed_lanes(plain: dict, seed_min: int = SEED_MIN, seed_max: int = SEED_MAX,
     positions, so probing every s-th read position (s <= Lmin - k + 1) hits
     one of them at an offset o in [0, s); the library is indexed at exactly
     those s offsets.  s shrinks so the indexed library stays within the
-    broadcast bound."""
+    broadcast bound; if it can't, the join is shuffled and s is as large as it
+    can be, for fewer probes."""
     short = sorted(n for n in plain if n < seed_min)
     long_n = sum(c for n, c in plain.items() if n >= seed_min)
     lanes = [(n, 1) for n in short]
@@ -75,199 +106,179 @@ def seed_lanes(plain: dict, seed_min: int = SEED_MIN, seed_max: int = SEED_MAX,
     if long_n:
         lmin = min(n for n in plain if n >= seed_min)
         k = min(lmin, seed_max)
-        s = max(1, min(lmin - k + 1, max_build_rows // long_n))
+        s = lmin - k + 1
+        if long_n <= max_build_rows:
+            s = max(1, min(s, max_build_rows // long_n))
         lanes.append((k, s))
     return lanes, k, s
 
 
-def candidates(reads: DataFrame, library: DataFrame, by_set: bool = False,
-               carry: tuple[str, ...] = (), seed_min: int = SEED_MIN,
-               keep_unmatched: bool = False) -> DataFrame:
+def candidates(reads: DataFrame, library: DataFrame, carry: tuple[str, ...] = (),
+               seed_min: int = SEED_MIN, keep_unmatched: bool = False) -> DataFrame:
     """Every (read, barcode) pair where the barcode occurs in the read.
 
-    ``reads``: sample, read_key, sequence (+ barcode_set when ``by_set``,
-    + ``carry`` columns).  ``library``: barcode_set, ord, barcode (upper-case,
-    deduplicated).  Returns sample, read_key, barcode_set, ord, *carry; a pair
-    may occur more than once, callers aggregate.  With ``keep_unmatched``
-    every read also yields exactly one row with a NULL ``ord`` (a sentinel
-    seed in the seed join, or a sentinel entry in whichever part is the only
-    one), so one pass over the reads sees matched and unmatched reads alike
-    and the sentinel rows count the reads.
-    """
-    def out_set(probe_col, lib_col):
-        return F.col(probe_col if by_set else lib_col).alias("barcode_set")
-
-    def sentinel_sets() -> DataFrame:
-        # one sentinel row per barcode set a read is matched against: per set
-        # with a manifest, a single one without (the read meets it once)
-        if by_set:
-            return library.select(F.col("barcode_set").alias("b_set")).distinct()
-        return library.limit(1).select(F.lit(None).cast("string").alias("b_set"))
-
+    ``reads``: sample, read_key, sequence (+ ``carry`` columns).  ``library``:
+    barcode_set, ord, barcode (upper-case, deduplicated).  Returns sample,
+    read_key, *carry, barcode_set, ord; a pair may occur more than once,
+    callers aggregate.  With ``keep_unmatched`` every read also yields exactly
+    one row with NULL barcode_set and ord, whatever the library holds, so the
+    pass that finds the matches also counts the reads."""
     keep = ["sample", "read_key", *carry]
-    if by_set:
-        keep.append("barcode_set")
-    lib = library.select("barcode_set", "ord", "barcode")
-    prof = library_profile(lib)
-    if prof["empty"]:
+    if library.filter(F.coalesce(F.length("barcode"), F.lit(0)) == 0).limit(1).count():
         raise ValueError("barcode library contains empty barcodes")
-    parts = []
-
-    short_n = sum(c for n, c in prof["plain"].items() if n < seed_min)
-    inline = 0 < short_n <= SHORT_INLINE_MAX
-    seeded = any(n >= seed_min for n in prof["plain"]) or (short_n and not inline)
-    # with keep_unmatched exactly one part carries the per-read sentinel row
-    carrier = "seeded" if seeded else ("inline" if inline else "regex")
-    if inline:
-        short = (lib.filter(is_literal_barcode("barcode") & (F.length("barcode") < seed_min))
-                 .collect())
-        parts.append(_inline_contains(reads, short, keep, by_set,
-                                      sentinel=keep_unmatched and carrier == "inline"))
-        prof["plain"] = {n: c for n, c in prof["plain"].items() if n >= seed_min}
-        lib = lib.filter(~is_literal_barcode("barcode") | (F.length("barcode") >= seed_min))
-
-    if prof["plain"]:
-        lanes, k, s = seed_lanes(prof["plain"], seed_min, max_build_rows=_util.BROADCAST_MAX_ROWS)
-        seq_len = F.length("sequence")
-        if len(lanes) == 1:
-            probe = reads.select(*keep, "sequence", F.lit(lanes[0][0]).alias("klen"),
-                                 F.lit(lanes[0][1]).alias("step"))
-        else:
-            lane_arr = F.array(*[F.struct(F.lit(a).alias("klen"), F.lit(b).alias("step"))
-                                 for a, b in lanes])
-            probe = reads.select(*keep, "sequence", F.inline(lane_arr))
-        # sequence(1, 0) would count down, hence the guard inside the explode
-        positions = F.when(seq_len >= F.col("klen"),
-                           F.sequence(F.lit(1), seq_len - F.col("klen") + 1, F.col("step")))
-        seed = F.xxhash64(F.expr("substr(sequence, pos, klen)"))
-        sentinel_here = keep_unmatched and carrier == "seeded"
-        if sentinel_here:
-            # position 0 is a sentinel seed that meets one sentinel index row
-            # (per barcode set): every read yields exactly one extra row, and
-            # the join stays an inner hash join
-            positions = F.concat(F.array(F.lit(0)),
-                                 F.coalesce(positions, F.array().cast("array<int>")))
-            seed = F.when(F.col("pos") == 0, F.lit(SENTINEL)).otherwise(seed)
-        probe = (probe.select(*keep, "sequence", "klen", F.explode(positions).alias("pos"))
-                 .withColumn("h", seed))
-
-        blen = F.length("barcode")
-        offsets = (F.array(F.lit(0)) if s is None else
-                   F.when(blen < seed_min, F.array(F.lit(0)))
-                   .otherwise(F.sequence(F.lit(0), F.lit(s - 1))))
-        klen = blen if k is None else F.when(blen < seed_min, blen).otherwise(F.lit(k))
-        build = (lib.filter(is_literal_barcode("barcode"))
-                 .select(F.col("barcode_set").alias("b_set"), "ord", "barcode",
-                         blen.alias("blen"), klen.alias("b_klen"),
-                         F.explode(offsets).alias("o"))
-                 .withColumn("b_h", F.xxhash64(F.expr("substr(barcode, o + 1, b_klen)")))
-                 .drop("b_klen"))
-        if sentinel_here:
-            sentinel = (sentinel_sets()
-                        .select("b_set", F.lit(None).cast("long").alias("ord"),
-                                F.lit("").alias("barcode"), F.lit(0).alias("blen"),
-                                F.lit(0).alias("o"), F.lit(SENTINEL).cast("long").alias("b_h")))
-            build = build.unionByName(sentinel)
-        build_rows = sum(c for n, c in prof["plain"].items() if n < seed_min) + \
-            sum(c for n, c in prof["plain"].items() if n >= seed_min) * (s or 0)
-        if build_rows <= _util.BROADCAST_MAX_ROWS:
-            build = F.broadcast(build)
-        cond = probe.h == build.b_h
-        if by_set:
-            cond = cond & (probe.barcode_set == build.b_set)
-        # every candidate is verified on the full barcode: seeds are hashed,
-        # so a collision only costs a comparison
-        start = F.col("pos") - F.col("o")
-        verify = (start >= 1) & (F.expr("substr(sequence, pos - o, blen)") == F.col("barcode"))
-        if sentinel_here:
-            verify = (F.col("pos") == 0) | verify
-        joined = probe.join(build, cond, "inner").filter(verify)
-        parts.append(joined.select(*[c for c in keep if c != "barcode_set"],
-                                   out_set("barcode_set", "b_set"), "ord"))
-
-    if prof["regex"]:
-        if prof["regex"] > REGEX_MAX_ROWS:
-            raise ValueError(f"more than {REGEX_MAX_ROWS} regular-expression barcodes")
-        regex = lib.filter(~is_literal_barcode("barcode")).select(
-            F.col("barcode_set").alias("b_set"), "ord", "barcode")
-        cond = F.expr("sequence rlike barcode")
-        if keep_unmatched and carrier == "regex":
-            regex = regex.unionByName(sentinel_sets()
-                                      .select("b_set", F.lit(None).cast("long").alias("ord"),
-                                              F.lit(None).cast("string").alias("barcode")))
-            cond = F.col("barcode").isNull() | cond
-        if by_set:
-            cond = cond & (F.col("barcode_set") == F.col("b_set"))
-        hits = reads.select(*keep, "sequence").join(F.broadcast(regex), cond, "inner")
-        parts.append(hits.select(*[c for c in keep if c != "barcode_set"],
-                                 out_set("barcode_set", "b_set"), "ord"))
-
-    if not parts:
+    entries = library_entries(library)
+    lengths = text_lengths(entries)
+    if not lengths:
         raise ValueError("empty barcode library")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _inline_contains(reads: DataFrame, short_rows, keep, by_set: bool,
-                     sentinel: bool = False) -> DataFrame:
-    """Matches of a few short barcodes: each read keeps the library entries
-    it contains (higher-order filter over a literal array), then explodes."""
-    entries = F.array(*[F.struct(F.lit(r.barcode_set).alias("b_set"),
-                                 F.lit(r.ord).cast("long").alias("ord"),
-                                 F.lit(r.barcode).alias("barcode")) for r in short_rows])
-
-    def hit(e):
-        c = F.instr(F.col("sequence"), e["barcode"]) > 0
-        return c & (e["b_set"] == F.col("barcode_set")) if by_set else c
-
-    found_arr = F.filter(entries, hit)
+    seeded, parts = entries.filter("text IS NOT NULL"), []
+    blocks = []
+    if 0 < sum(c for n, c in lengths.items() if 0 < n < seed_min) <= SHORT_INLINE_MAX:
+        blocks.append(seeded.filter(F.length("text") < seed_min).collect())
+        seeded = seeded.filter(F.length("text") >= seed_min)
+        lengths = {n: c for n, c in lengths.items() if n == 0 or n >= seed_min}
+    if lengths.get(0):
+        rest = entries.filter("text IS NULL").collect()
+        blocks += [rest[i:i + PATTERN_BLOCK] for i in range(0, len(rest), PATTERN_BLOCK)]
+    told = not keep_unmatched
+    for block in blocks:
+        parts.append(_constants(reads, block, keep, sentinel=not told))
+        told = True
+    lengths.pop(0, None)
+    if lengths:
+        part, told = _seeded(reads, seeded, lengths, keep, seed_min, told)
+        parts += part
+    if not told:
+        parts.append(reads.select(*keep, F.lit(None).cast("string").alias("barcode_set"),
+                                  F.lit(None).cast("long").alias("ord")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _constants(reads: DataFrame, block, keep, sentinel: bool) -> DataFrame:
+    """Matches of a few entries whose texts and patterns are constants: each
+    read keeps the entries it contains, then explodes."""
+    def entry(r):
+        hit = F.lit(True) if r.text is None else F.instr("sequence", r.text) > 0
+        if r.pattern is not None:
+            hit = hit & F.col("sequence").rlike(r.pattern)
+        return F.when(hit, F.struct(F.lit(r.barcode_set).alias("barcode_set"),
+                                    F.lit(r.ord).cast("long").alias("ord")))
+    found = F.filter(F.array(*map(entry, block)), lambda e: e.isNotNull())
     if sentinel:
-        # one extra entry with a NULL ord for every read (one-pass statistics)
-        blank = F.struct(F.lit(None).cast("string").alias("b_set"),
-                         F.lit(None).cast("long").alias("ord"),
-                         F.lit(None).cast("string").alias("barcode"))
-        found_arr = F.concat(F.array(blank), found_arr)
-    found = reads.select(*keep, F.explode(found_arr).alias("e"))
-    bset = F.col("barcode_set") if by_set else F.col("e.b_set")
-    return found.select(*[c for c in keep if c != "barcode_set"],
-                        bset.alias("barcode_set"), F.col("e.ord").alias("ord"))
-
-
-def _prepare(reads: DataFrame, manifest: DataFrame | None, ignore_case: bool):
-    if ignore_case:
-        # the library is upper-case already; reads are upper-cased only here
-        reads = reads.withColumn("sequence", F.upper("sequence"))
-    return _with_manifest(reads, manifest)
-
-
-def _with_manifest(reads: DataFrame, manifest: DataFrame | None) -> tuple[DataFrame, bool]:
-    """Attach the barcode set(s) of each read's sample.  A sample listed with
-    several sets is matched against each.  A bounded manifest (the usual
-    case: a run configuration) becomes a literal map sample -> sets that each
-    read explodes through (no join, so the planner can never choose to
-    broadcast the reads); a larger one is broadcast behind a size check, or
-    joined by a shuffle."""
-    from seqtally.operators._util import broadcast_if_small, collect_bounded
-    from seqtally.operators.counts import MANIFEST_INLINE_MAX
+        found = F.concat(F.array(F.struct(F.lit(None).cast("string").alias("barcode_set"),
+                                          F.lit(None).cast("long").alias("ord"))), found)
+    return reads.select(*keep, F.explode(found).alias("e")).select(*keep, "e.barcode_set", "e.ord")
+
+
+def _index(entries: DataFrame, k: int | None, s: int | None, seed_min: int) -> DataFrame:
+    """The library's seeds: a row for each text and offset."""
+    blen = F.length("text")
+    short = F.lit(True) if s is None else blen < seed_min
+    offsets = F.array(F.lit(0)) if s is None else F.when(short, F.array(F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.lit(s - 1)))
+    klen = blen if k is None else F.when(short, blen).otherwise(F.lit(k))
+    return (entries.select(F.col("barcode_set").alias("b_set"), "ord", "text", "pattern",
+                           blen.alias("blen"), klen.alias("b_klen"), F.explode(offsets).alias("o"))
+            .withColumn("b_h", F.xxhash64(F.expr("substr(text, o + 1, b_klen)"))).drop("b_klen"))
+
+
+def _seeded(reads: DataFrame, entries: DataFrame, lengths: dict, keep, seed_min: int,
+            told: bool) -> tuple[list[DataFrame], bool]:
+    """Matches through the seed join, and whether each read has its row."""
+    longest = max(lengths)
+    rows = max(1, _util.BROADCAST_BYTES // (ROW_BYTES + 2 * longest))
+    lanes, k, s = seed_lanes(lengths, seed_min, max_build_rows=rows)
+    size = sum(c * (1 if n < seed_min else s) for n, c in lengths.items())
+    index = _index(entries, k, s, seed_min)
+    small = size <= rows
+    sentinel = small and not told
+
+    length = F.length("sequence")
+    if len(lanes) == 1:
+        probe = reads.select(*keep, "sequence", F.lit(lanes[0][0]).alias("klen"), F.lit(lanes[0][1]).alias("step"),
+                             F.lit(True).alias("lead"))
+    else:
+        lane = F.array(*[F.struct(F.lit(a).alias("klen"), F.lit(b).alias("step"), F.lit(i == 0).alias("lead"))
+                         for i, (a, b) in enumerate(lanes)])
+        probe = reads.select(*keep, "sequence", F.inline(lane))
+    # sequence(1, 0) would count down, hence the guard inside the explode
+    positions = F.when(length >= F.col("klen"),
+                       F.sequence(F.lit(1), length - F.col("klen") + 1, F.col("step")))
+    seed = F.xxhash64(F.expr("substr(sequence, pos, klen)"))
+    if sentinel:
+        # position 0 of the first lane is a sentinel seed that meets one index
+        # row: every read yields exactly one extra row in the same hash join
+        lead = F.when(F.col("lead"), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+        positions = F.concat(lead, F.coalesce(positions, F.array().cast("array<int>")))
+        seed = F.when(F.col("pos") == 0, F.lit(SENTINEL)).otherwise(seed)
+        one = entries.sparkSession.range(1).select(
+            F.lit(None).cast("string").alias("b_set"), F.lit(None).cast("long").alias("ord"), F.lit("").alias("text"),
+            F.lit(None).cast("string").alias("pattern"), F.lit(0).alias("blen"), F.lit(0).alias("o"),
+            F.lit(SENTINEL).cast("long").alias("b_h"))
+        index = index.unionByName(one)
+    probe = probe.select(*keep, "sequence", F.explode(positions).alias("pos"), "klen").withColumn("h", seed)
+
+    out = [*keep, F.col("b_set").alias("barcode_set"), "ord"]
+    if small:
+        # candidates are compared with the whole text: a collision only costs
+        # a comparison
+        same = (F.col("pos") - F.col("o") >= 1) & (F.expr("substr(sequence, pos - o, blen)") == F.col("text"))
+        same = same & (F.col("pattern").isNull() | F.expr("sequence rlike pattern"))
+        if sentinel:
+            same = (F.col("pos") == 0) | same
+        joined = probe.join(F.broadcast(index), F.col("h") == F.col("b_h")).filter(same)
+        return [joined.select(*out)], told or sentinel
+
+    probe = probe.join(F.broadcast(_seed_table(index)), _table_word(F.col("h")) == F.col("word")).filter(
+        F.expr("shiftright(bits, cast(h & 63 AS int)) & 1 = 1"))
+    plain, tested = index.filter("pattern IS NULL").drop("pattern"), index.filter("pattern IS NOT NULL")
+    back = (s or 1) - 1
+    first = F.greatest(F.col("pos") - back, F.lit(1))
+    window = probe.select(*keep, "h", (F.col("pos") - first).alias("at"),
+                          F.substr("sequence", first, F.lit(back + longest)).alias("piece"))
+    same = (F.col("at") >= F.col("o")) & (F.expr("substr(piece, at - o + 1, blen)") == F.col("text"))
+    parts = [window.join(plain, F.col("h") == F.col("b_h")).filter(same).select(*out)]
+    if not tested.isEmpty():  # a pattern needs its whole read
+        whole = probe.select(*keep, "h", "sequence").join(broadcast_if_small(tested), F.col("h") == F.col("b_h"))
+        parts.append(whole.filter("sequence rlike pattern").select(*out))
+    return parts, told
+
+
+def _table_word(h: Column) -> Column:
+    return F.shiftright(h.bitwiseAND(F.lit((1 << TABLE_BITS) - 1)), 6)
+
+
+def _seed_table(index: DataFrame) -> DataFrame:
+    """A bit for each library seed, 64 to a row: at most 2^20 rows (16 MB)
+    whatever the library, so it can always be broadcast.  Read positions whose
+    bit is not set have no barcode and are not shuffled."""
+    return (index.groupBy(_table_word(F.col("b_h")).alias("word"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(b_h & 63 AS int)))").alias("bits")))
+
+
+def _cased(reads: DataFrame, ignore_case: bool) -> DataFrame:
+    """The library is upper-case already; reads are upper-cased only here."""
+    return reads.withColumn("sequence", F.upper("sequence")) if ignore_case else reads
+
+
+def manifest_pairs(manifest: DataFrame) -> DataFrame:
+    """Distinct (sample, barcode_set) of a manifest.  Rows without a sample or
+    a barcode set (one-field lines) name nothing to match; they are reported
+    by ``reconcile_samples``."""
+    return manifest.select("sample", "barcode_set").dropna().distinct()
+
+
+def _listed(found: DataFrame, manifest: DataFrame | None) -> DataFrame:
+    """Of the found pairs, those that the manifest lists, and the reads' own
+    rows of its samples.  The manifest is joined to the few rows that are
+    found, not to the reads."""
     if manifest is None:
-        return reads, False
-    # rows without a sample or a barcode set (one-field manifest lines) name
-    # nothing to match; they are reported by reconcile_samples, not matched
-    m = (manifest.select("sample", "barcode_set")
-         .filter(F.col("sample").isNotNull() & F.col("barcode_set").isNotNull()).distinct())
-    rows = collect_bounded(m, MANIFEST_INLINE_MAX)
-    if rows is None:
-        return reads.join(broadcast_if_small(m), "sample", "inner"), True
-    by_sample: dict = {}
-    for r in rows:
-        by_sample.setdefault(r.sample, []).append(r.barcode_set)
-    if not by_sample:
-        return reads.withColumn("barcode_set", F.lit(None).cast("string")).limit(0), True
-    sets = F.create_map(*[x for k, v in sorted(by_sample.items(), key=lambda kv: str(kv[0]))
-                          for x in (F.lit(k), F.array(*[F.lit(e) for e in sorted(v, key=str)]))])
-    return reads.withColumn("barcode_set", F.explode(F.element_at(sets, F.col("sample")))), True
+        return found
+    pairs = manifest_pairs(manifest)
+    own = pairs.select("sample", F.lit(None).cast("string").alias("barcode_set")).distinct()
+    m = broadcast_if_small(pairs.unionByName(own).select(F.col("sample").alias("m_sample"),
+                                                         F.col("barcode_set").alias("m_set")))
+    return found.join(m, (F.col("sample") == F.col("m_sample"))
+                      & F.col("barcode_set").eqNullSafe(F.col("m_set")), "left_semi")
 
 
 def assign_first_match(reads: DataFrame, library: DataFrame,
@@ -282,10 +293,9 @@ def assign_first_match(reads: DataFrame, library: DataFrame,
 
     The aggregation is keyed by read, so it has a partial step inside the
     join stage and shuffles at most one row per assigned read."""
-    reads, by_set = _prepare(reads, manifest, ignore_case)
-    cand = candidates(reads, library, by_set, carry, seed_min)
+    found = _listed(candidates(_cased(reads, ignore_case), library, carry, seed_min), manifest)
     aggs = [F.min("ord").alias("ord")] + [F.any_value(c).alias(c) for c in carry]
-    return cand.groupBy("sample", "read_key", "barcode_set").agg(*aggs)
+    return found.groupBy("sample", "read_key", "barcode_set").agg(*aggs)
 
 
 def match_all(reads: DataFrame, library: DataFrame,
@@ -294,59 +304,36 @@ def match_all(reads: DataFrame, library: DataFrame,
               ignore_case: bool = False) -> DataFrame:
     """Every (read, barcode) pair with the barcode contained in the read
     ("with replacement"); a pair is listed once however often it occurs."""
-    reads, by_set = _prepare(reads, manifest, ignore_case)
-    cand = candidates(reads, library, by_set, carry, seed_min)
+    found = _listed(candidates(_cased(reads, ignore_case), library, carry, seed_min), manifest)
     aggs = [F.any_value(c).alias(c) for c in carry]
     keys = ["sample", "read_key", "barcode_set", "ord"]
     if aggs:
-        return cand.groupBy(*keys).agg(*aggs)
-    return cand.select(*keys).distinct()
+        return found.groupBy(*keys).agg(*aggs)
+    return found.select(*keys).distinct()
 
 
-def read_outcomes(reads: DataFrame, library: DataFrame,
-                  manifest: DataFrame | None = None, seed_min: int = SEED_MIN,
+def matched_reads(reads: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
+                  every: bool = False, carry: tuple[str, ...] = (), seed_min: int = SEED_MIN,
+                  ignore_case: bool = False) -> DataFrame:
+    """sample, barcode_set, read_key, ord, n, *carry: a row (n = 1) for each
+    assigned read (``every``: each pair of a read and a barcode), and for each
+    sample one row with NULL barcode_set, read_key and ord whose ``n`` is the
+    number of its reads.  One pass over the reads: their number comes from the
+    pass that matches them, pre-aggregated in each task."""
+    found = _listed(candidates(_cased(reads, ignore_case), library, carry, seed_min, keep_unmatched=True), manifest)
+    own = F.when(F.col("ord").isNotNull(), F.col("read_key")).alias("read_key")
+    keys = ["sample", "barcode_set", own] + (["ord"] if every else [])
+    aggs = [F.count(F.lit(1)).alias("_n"), *([] if every else [F.min("ord").alias("ord")])]
+    aggs += [F.any_value(c).alias(c) for c in carry]
+    n = F.when(F.col("ord").isNull(), F.col("_n")).otherwise(1).alias("n")
+    return found.groupBy(*keys).agg(*aggs).select(
+        "sample", "barcode_set", "read_key", "ord", n,
+        *(F.when(F.col("ord").isNotNull(), F.col(c)).alias(c) for c in carry))
+
+
+def read_outcomes(reads: DataFrame, library: DataFrame, seed_min: int = SEED_MIN,
                   ignore_case: bool = False) -> DataFrame:
-    """One row per read (per read and barcode set with a manifest): sample,
-    read_key[, barcode_set], detected.  A single pass over the reads: each
-    read also meets a sentinel seed, so unmatched reads are seen in the same
-    scan (no second read of the input, no join back), at the cost of one
-    sentinel row per read."""
-    reads, by_set = _prepare(reads, manifest, ignore_case)
-    cand = candidates(reads, library, by_set, (), seed_min, keep_unmatched=True)
-    keys = ["sample", "read_key"] + (["barcode_set"] if by_set else [])
-    return cand.groupBy(*keys).agg(F.bool_or(F.col("ord").isNotNull()).alias("detected"))
-
-
-def one_pass_stats(reads: DataFrame, library: DataFrame,
-                   manifest: DataFrame | None = None, seed_min: int = SEED_MIN,
-                   ignore_case: bool = False) -> DataFrame:
-    """Total reads, detected reads and detection rate per sample (and barcode
-    set with a manifest) in one pass over the reads.
-
-    Every read has one sentinel row, so totals are a plain count that is
-    pre-aggregated map-side (one row per task and sample crosses the
-    shuffle).  Only matched reads are grouped by read, to count each once."""
-    reads, by_set = _prepare(reads, manifest, ignore_case)
-    cand = candidates(reads, library, by_set, (), seed_min, keep_unmatched=True)
-    keys = ["sample"] + (["barcode_set"] if by_set else [])
-    rk = F.when(F.col("ord").isNotNull(), F.col("read_key")).alias("_rk")
-    per = cand.groupBy(*keys, rk).agg(F.count(F.lit(1)).alias("_n"))
-    out = per.groupBy(*keys).agg(
-        F.sum(F.when(F.col("_rk").isNull(), F.col("_n"))).cast("long").alias("total_reads"),
-        F.count("_rk").alias("detected_reads"))
-    if not by_set:
-        out = out.withColumn("barcode_set", F.lit(None).cast("string"))
-    rate = F.when(F.col("total_reads") > 0,
-                  F.col("detected_reads").cast("double") / F.col("total_reads").cast("double"))
-    return out.select("sample", "barcode_set", "total_reads", "detected_reads",
-                      rate.alias("detection_rate"))
-
-
-def flag_detected(reads: DataFrame, hits: DataFrame) -> DataFrame:
-    """Per read: was it assigned to any barcode?  A left join of the read keys
-    (only keys travel, the sequences are pruned away)."""
-    h = hits.select("sample", "read_key").distinct().withColumn("_hit", F.lit(True))
-    return (reads.select("sample", "read_key")
-            .join(h, ["sample", "read_key"], "left")
-            .select("sample", "read_key",
-                    F.coalesce(F.col("_hit"), F.lit(False)).alias("detected")))
+    """One row per read: sample, read_key, detected (by any barcode).  A single
+    pass over the reads, at the cost of one more row for each."""
+    found = candidates(_cased(reads, ignore_case), library, (), seed_min, keep_unmatched=True)
+    return found.groupBy("sample", "read_key").agg(F.bool_or(F.col("ord").isNotNull()).alias("detected"))

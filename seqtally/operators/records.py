@@ -45,8 +45,12 @@ def union_counts(*tables: DataFrame) -> DataFrame:
 
 def sample_counts(manifest: DataFrame, inputs: DataFrame) -> DataFrame:
     """One row: manifest rows, distinct manifest samples, input folders; the
-    reference compares the first and the last before running."""
-    m = manifest.agg(F.count(F.lit(1)).alias("manifest_rows"),
-                     F.count_distinct("sample").alias("manifest_samples"))
-    i = inputs.agg(F.count_distinct("sample").alias("input_folders"))
-    return m.join(i, how="inner")
+    reference compares the first and the last before running.  One aggregate
+    over both tables."""
+    listed = F.col("side") == "manifest"
+    both = (manifest.select("sample", F.lit("manifest").alias("side"))
+            .unionByName(inputs.select("sample", F.lit("input").alias("side"))))
+    per = both.groupBy("side", "sample").agg(F.count(F.lit(1)).alias("n"))
+    return per.agg(F.coalesce(F.sum(F.when(listed, F.col("n"))), F.lit(0)).cast("long").alias("manifest_rows"),
+                   F.count(F.when(listed, F.col("sample"))).alias("manifest_samples"),
+                   F.count(F.when(~listed, F.col("sample"))).alias("input_folders"))

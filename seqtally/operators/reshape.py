@@ -50,47 +50,38 @@ def relabel_samples(reads: DataFrame, routing: DataFrame,
     return out.withColumnRenamed("_new", "sample")
 
 
-def has_repeats(df: DataFrame, key) -> bool:
-    """Does any key occur twice?  One aggregation with a map-side step; stops
-    at the first repeated key found."""
-    return df.groupBy(*key).count().filter(F.col("count") > 1).limit(1).count() > 0
-
-
-def _ordered(df: DataFrame, key, order) -> tuple:
-    order = [c for c in order if c in df.columns] or [c for c in df.columns if c not in key]
-    return order
-
-
 def pair_mates(r1: DataFrame, r2: DataFrame, key: tuple[str, ...] = ("sample", "read_id"),
-               fields: tuple[str, ...] = ("sequence",),
+               fields: tuple[str, ...] = ("sequence",), by_occurrence: bool = False,
                order: tuple[str, ...] = ("read_key",)) -> DataFrame:
-    """Forward and reverse reads of the same fragment, joined on the read ID.
-
-    A read ID that repeats within a file pairs its k-th occurrence in R1 (in
-    ``order``, file position by default) with its k-th occurrence in R2, so
-    the join is one-to-one and a repeated ID never produces all pairs.  With
-    unique IDs (checked first, one aggregation) this is the plain equi-join
-    on the ID."""
-    from seqtally.operators.index import occurrence
-    if not (has_repeats(r1, key) or has_repeats(r2, key)):
-        a = r1.select(*key, *[F.col(f).alias(f"{f}_1") for f in fields])
-        b = r2.select(*key, *[F.col(f).alias(f"{f}_2") for f in fields])
-        return a.join(b, list(key), "inner")
-    a = occurrence(r1, key, _ordered(r1, key, order)).select(
-        *key, "occ", *[F.col(f).alias(f"{f}_1") for f in fields])
-    b = occurrence(r2, key, _ordered(r2, key, order)).select(
-        *key, "occ", *[F.col(f).alias(f"{f}_2") for f in fields])
-    return a.join(b, [*key, "occ"], "inner").drop("occ")
+    """Forward and reverse reads of the same fragment: one join on the read ID.
+
+    IDs are unique in a sequencer's file.  Where they may repeat, say
+    ``by_occurrence=True``: the k-th occurrence of an ID in R1 (in ``order``,
+    file position by default) pairs with its k-th occurrence in R2, so a
+    repeated ID never produces all pairs."""
+    on = list(key)
+    if by_occurrence:
+        from seqtally.operators.index import occurrence
+        r1, r2 = occurrence(r1, key, order), occurrence(r2, key, order)
+        on.append("occ")
+    a = r1.select(*on, *[F.col(f).alias(f"{f}_1") for f in fields])
+    b = r2.select(*on, *[F.col(f).alias(f"{f}_2") for f in fields])
+    return a.join(b, on, "inner").select(*key, *[f"{f}_{i}" for i in (1, 2) for f in fields])
 
 
 def orphan_mates(r1: DataFrame, r2: DataFrame,
                  key: tuple[str, ...] = ("sample", "read_id")) -> DataFrame:
-    """Reads whose mate is missing, with the side (R1/R2) they come from
-    (left-anti joins; AQE splits a skewed key on the streamed side)."""
-    a = r1.select(*key).join(r2.select(*key), list(key), "left_anti")
-    b = r2.select(*key).join(r1.select(*key), list(key), "left_anti")
-    return (a.withColumn("side", F.lit("R1"))
-            .unionByName(b.withColumn("side", F.lit("R2"))))
+    """Reads whose mate is missing, with the side (R1/R2) they come from: each
+    side is read once, and one aggregate with a partial step tells what sides
+    an ID has.  An ID that repeats on its side is listed as often."""
+    both = (r1.select(*key, F.lit(1).alias("_side"))
+            .unionByName(r2.select(*key, F.lit(2).alias("_side"))))
+    sides = both.groupBy(*key).agg(F.count_if(F.col("_side") == 1).alias("_n1"),
+                                   F.count_if(F.col("_side") == 2).alias("_n2"))
+    alone = sides.filter((F.col("_n1") == 0) | (F.col("_n2") == 0))
+    copies = F.explode(F.sequence(F.lit(1), F.greatest("_n1", "_n2"))).alias("_copy")
+    return (alone.select(*key, F.when(F.col("_n2") == 0, "R1").otherwise("R2").alias("side"), copies)
+            .drop("_copy"))
 
 
 def reconcile_samples(manifest: DataFrame, inputs: DataFrame) -> DataFrame:

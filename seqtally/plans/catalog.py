@@ -17,7 +17,7 @@ from seqtally.operators import counts as C
 from seqtally.operators.library import prepare_library
 from seqtally.operators.match import assign_first_match
 from seqtally.plans import derive as D
-from seqtally.plans.counting import barcode_counts, counts_columns
+from seqtally.plans.counting import barcode_counts, barcode_stats, counts_columns, counts_of, tally
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,10 +88,7 @@ SELECT t.sample, '{D.LIBRARY_SET}' AS barcode_set, t.total_reads,
 FROM (SELECT sample, count(*) AS total_reads FROM reads GROUP BY sample) t
 LEFT JOIN (SELECT sample, count(*) AS n FROM hits GROUP BY sample) d ON d.sample = t.sample""")
 def first_match_stats(spark, sf_dir):
-    from seqtally.operators.match import one_pass_stats
-    reads = D.reads(spark, sf_dir)
-    man = C.default_manifest(reads, D.LIBRARY_SET)
-    return one_pass_stats(reads, _library(spark, sf_dir), man)
+    return barcode_stats(D.reads(spark, sf_dir), _library(spark, sf_dir), barcode_set=D.LIBRARY_SET)
 
 
 @query("flag_detected", D.cte(**BASE, hits=HITS_SQL) + """
@@ -105,10 +102,11 @@ def flag_detected_q(spark, sf_dir):
 
 # --- per-chunk ID lists and what the reference derives from them (AGG2, 3, 15, 16)
 
-CHUNK_SQL = """
-SELECT sample, CAST(floor(read_key / 10000) AS BIGINT) AS chunk, ord,
+CHUNK = 10_000  # the reference's advice for small files
+CHUNK_SQL = f"""
+SELECT sample, CAST(read_key // {CHUNK} AS BIGINT) AS chunk, ord,
        count(*) AS n, list_sort(list(read_id)) AS ids
-FROM hits GROUP BY sample, CAST(floor(read_key / 10000) AS BIGINT), ord"""
+FROM hits GROUP BY sample, CAST(read_key // {CHUNK} AS BIGINT), ord"""
 
 
 @query("first_match_ids", D.cte(**BASE, hits=HITS_SQL, ch=CHUNK_SQL) + """
@@ -116,7 +114,7 @@ SELECT c.sample, c.chunk, b.gene, b.barcode, CAST(c.n AS BIGINT) AS read_counts,
 FROM ch c JOIN lib b ON b.ord = c.ord""")
 def first_match_ids(spark, sf_dir):
     _, lib, hits = _first_match(spark, sf_dir)
-    return C.chunk_counts(hits, lib).select("sample", "chunk", "gene", "barcode",
+    return C.chunk_counts(hits, lib, CHUNK).select("sample", "chunk", "gene", "barcode",
                                             "read_counts", "ids")
 
 
@@ -126,14 +124,14 @@ SELECT c.sample, b.gene, b.barcode, CAST(sum(c.n) AS BIGINT) AS read_counts,
 FROM ch c JOIN lib b ON b.ord = c.ord GROUP BY c.sample, b.gene, b.barcode""")
 def merge_counts_q(spark, sf_dir):
     _, lib, hits = _first_match(spark, sf_dir)
-    return C.merge_counts(C.chunk_counts(hits, lib))
+    return C.merge_counts(C.chunk_counts(hits, lib, CHUNK))
 
 
 @query("ids_by_barcode", D.cte(**BASE, hits=HITS_SQL) + """
 SELECT h.sample, h.read_id, b.gene, b.barcode FROM hits h JOIN lib b ON b.ord = h.ord""")
 def ids_by_barcode_q(spark, sf_dir):
     _, lib, hits = _first_match(spark, sf_dir)
-    return C.ids_by_barcode(C.chunk_counts(hits, lib))
+    return C.ids_by_barcode(hits, lib)
 
 
 @query("fractional_counts", D.cte(**BASE, hits=HITS_SQL, ch=CHUNK_SQL) + """
@@ -141,7 +139,7 @@ SELECT c.sample, b.gene, b.barcode, u.read_id, c.n * 1.0e0 / len(c.ids) AS share
 FROM ch c JOIN lib b ON b.ord = c.ord, unnest(c.ids) AS u(read_id)""")
 def fractional_counts_q(spark, sf_dir):
     _, lib, hits = _first_match(spark, sf_dir)
-    return C.fractional_counts(C.chunk_counts(hits, lib))
+    return C.fractional_counts(hits, lib)
 
 
 # --- with replacement (JN2, AGG14) ---------------------------------------------
@@ -157,12 +155,9 @@ FROM (SELECT DISTINCT sample FROM reads) s JOIN lib b ON TRUE
 LEFT JOIN (SELECT sample, ord, count(*) AS n FROM hits GROUP BY sample, ord) c
   ON c.sample = s.sample AND c.ord = b.ord""")
 def match_all_counts(spark, sf_dir):
-    from seqtally.operators.match import match_all
-    reads = D.reads(spark, sf_dir)
     lib = _library(spark, sf_dir)
-    hits = match_all(reads, lib)
-    filled = C.zero_fill(C.count_hits(hits), lib, C.default_manifest(reads, D.LIBRARY_SET))
-    return filled.select("sample", "gene", "barcode", "read_counts")
+    counted = tally(D.reads(spark, sf_dir), lib, every=True)
+    return counts_of(counted, lib, barcode_set=D.LIBRARY_SET).select("sample", "gene", "barcode", "read_counts")
 
 
 @query("barcodes_per_read", D.cte(**BASE, hits=HITS_ALL_SQL) + """
@@ -225,22 +220,28 @@ UNION ALL
 SELECT 'all' AS mode, h.sample, b.gene, b.barcode, CAST(count(*) AS BIGINT)
 FROM hits_all h JOIN lib b ON b.ord = h.ord GROUP BY h.sample, b.gene, b.barcode""")
 def union_counts(spark, sf_dir):
-    from seqtally.operators.match import match_all
-    reads = D.reads(spark, sf_dir)
-    lib = _library(spark, sf_dir)
-    first = (barcode_counts(reads, lib, barcode_set=D.LIBRARY_SET)
-             .select(F.lit("first").alias("mode"), "sample", "gene", "barcode", "read_counts"))
+    """Both count tables from one matching pass: the first match of a read is
+    the smallest of all its matches."""
+    from seqtally.operators._util import staged
+    from seqtally.operators.match import matched_reads
     from seqtally.operators.records import union_counts as stack
-    every = (C.with_genes(C.count_hits(match_all(reads, lib)), lib)
+    lib = _library(spark, sf_dir)
+    found = staged(matched_reads(D.reads(spark, sf_dir), lib, every=True), "matched")
+    hits = found.filter("ord IS NOT NULL")
+    first = hits.groupBy("sample", "read_key", "barcode_set").agg(F.min("ord").alias("ord"))
+    pairs = C.run_pairs(found, lib, barcode_set=D.LIBRARY_SET)
+    filled = (C.zero_fill(C.count_hits(first), lib, pairs)
+              .select(F.lit("first").alias("mode"), "sample", "gene", "barcode", "read_counts"))
+    every = (C.with_genes(C.count_hits(hits), lib)
              .select(F.lit("all").alias("mode"), "sample", "gene", "barcode", "read_counts"))
-    return stack(first, every)
+    return stack(filled, every)
 
 
 # --- manifest-driven counting: each sample against its own barcode sets (JN7) --
 
 # Fixed run configuration (as a user's project file lists it): sample -> set.
 RUN_MANIFEST = [("F", "ECONOMY"), ("F", "PROMO"), ("O", "STANDARD"),
-                ("P", "LARGE"), ("P", "SMALL")]
+                ("P", "LARGE"), ("P", "SMALL"), ("P", "MEDIUM")]
 RUN_MANIFEST_SQL = "SELECT * FROM (VALUES " + ", ".join(
     f"('{s}', '{b}')" for s, b in RUN_MANIFEST) + ") AS m(sample, barcode_set)"
 LIB_TYPED_SQL = D.LIBRARY_SQL
@@ -267,11 +268,67 @@ def manifest_match(spark, sf_dir):
     reads = D.reads(spark, sf_dir)
     lib = prepare_library(D.library_typed_raw(spark, sf_dir))
     man = spark.createDataFrame(RUN_MANIFEST, MANIFEST)
-    from seqtally.plans.counting import count_manifest
-    return count_manifest(reads, man, lib).select(
+    return barcode_counts(reads, lib, man).select(
         "sample", "barcode_set", "gene", "barcode", "read_counts", "rpm")
 
 
+# A sample without reads, a set that the library lacks, and a set of 4-nt
+# barcodes beside those of 8 to 10 nt.
+STATS_MANIFEST = [*RUN_MANIFEST, ("F", "NATIONS"), ("O", "NATIONS"), ("F", "NOPE"), ("Z", "LARGE"), ("Z", "NOPE")]
+
+
+@query("manifest_stats", D.cte(reads=D.READS_SQL, lib_raw=D.LIBRARY_MIXED_RAW_SQL, lib=LIB_TYPED_SQL,
+                               man="SELECT * FROM (VALUES " + ", ".join(
+                                   f"('{s}', '{b}')" for s, b in STATS_MANIFEST) + ") AS m(sample, barcode_set)",
+                               hits="""
+SELECT DISTINCT r.sample, r.read_key, m.barcode_set FROM reads r JOIN man m ON m.sample = r.sample
+JOIN lib b ON b.barcode_set = m.barcode_set AND contains(r.sequence, b.barcode)""") + """
+SELECT m.sample, m.barcode_set, CAST(coalesce(t.n, 0) AS BIGINT) AS total_reads,
+       CAST(coalesce(h.n, 0) AS BIGINT) AS detected_reads,
+       CASE WHEN t.n > 0 THEN coalesce(h.n, 0) * 1.0e0 / t.n END AS detection_rate
+FROM man m LEFT JOIN (SELECT sample, count(*) AS n FROM reads GROUP BY sample) t ON t.sample = m.sample
+LEFT JOIN (SELECT sample, barcode_set, count(*) AS n FROM hits GROUP BY ALL) h
+  ON h.sample = m.sample AND h.barcode_set = m.barcode_set""")
+def manifest_stats(spark, sf_dir):
+    from seqtally.schemas import MANIFEST
+    lib = prepare_library(D.library_mixed_raw(spark, sf_dir))
+    return barcode_stats(D.reads(spark, sf_dir), lib, spark.createDataFrame(STATS_MANIFEST, MANIFEST))
+
+
+# --- other barcode shapes (FIL1, JN1): patterns, stepped seeds, mixed lengths ---
+
+def _shape(name, raw_sql, match="contains(r.sequence, b.barcode)"):
+    return D.cte(reads=D.READS_SQL, lib_raw=raw_sql, lib=D.LIBRARY_SQL, hits=f"""
+SELECT r.sample, r.read_key, min(b.ord) AS ord FROM reads r JOIN lib b ON {match}
+GROUP BY r.sample, r.read_key""") + """
+SELECT h.sample, b.gene, b.barcode, count(*) AS read_counts
+FROM hits h JOIN lib b ON b.ord = h.ord GROUP BY h.sample, b.gene, b.barcode"""
+
+
+def _shape_counts(spark, sf_dir, raw):
+    lib = prepare_library(raw(spark, sf_dir))
+    hits = assign_first_match(D.reads(spark, sf_dir), lib)
+    return C.with_genes(C.count_hits(hits), lib).select("sample", "gene", "barcode", "read_counts")
+
+
+@query("regex_match", _shape("regex", D.LIBRARY_REGEX_RAW_SQL, "regexp_matches(r.sequence, b.barcode)"))
+def regex_match(spark, sf_dir):
+    """Barcodes with classes, wildcards, repeats and choices, and plain ones."""
+    return _shape_counts(spark, sf_dir, D.library_regex_raw)
+
+
+@query("stepped_seed_match", _shape("stepped", D.LIBRARY_LONG_RAW_SQL))
+def stepped_seed_match(spark, sf_dir):
+    """Barcodes of 20 nt and more: only every s-th position is probed."""
+    return _shape_counts(spark, sf_dir, D.library_long_raw)
+
+
+@query("mixed_length_match", _shape("mixed", D.LIBRARY_LENGTHS_RAW_SQL))
+def mixed_length_match(spark, sf_dir):
+    """Barcodes of 5 to 7 nt and of 20 nt and more in one library."""
+    return _shape_counts(spark, sf_dir, D.library_lengths_raw)
+
+
 # --- length windows and routing (JN3, FIL3, JN9) --------------------------------
 
 def _windows_sql():
@@ -457,7 +514,7 @@ COMPARE_SQL = dict(**BASE, hits=HITS_SQL, filled=FILLED_SQL, src="""
 SELECT barcode AS key, CAST(read_counts AS DOUBLE) AS value FROM filled WHERE sample = 'F'""",
                    dst="""
 SELECT b.barcode AS key, CAST(count(*) AS DOUBLE) AS value
-FROM hits h JOIN lib b ON b.ord = h.ord WHERE h.sample = 'O' GROUP BY b.barcode""",
+FROM hits h JOIN lib b ON b.ord = h.ord WHERE h.sample <> 'F' GROUP BY b.barcode""",
                    joined="""
 SELECT s.key, s.value AS focused, d.value AS whole FROM src s LEFT JOIN dst d ON d.key = s.key""")
 CUT_SQL = """
@@ -465,16 +522,32 @@ SELECT key, focused, whole FROM joined
 WHERE whole <= (SELECT avg(whole) + 1.96e0 * stddev_samp(whole) FROM joined)"""
 
 
+def _sides(spark, sf_dir):
+    """Counts of sample F (zero-filled) and of the reads of all other samples,
+    from one matching pass."""
+    lib = _library(spark, sf_dir)
+    counted = tally(D.reads(spark, sf_dir), lib)
+    src = counts_of(counted, lib, barcode_set=D.LIBRARY_SET).filter("sample = 'F'")
+    other = (counted.filter("ord IS NOT NULL AND sample <> 'F'").groupBy("barcode_set", "ord")
+             .agg(F.sum("read_counts").alias("read_counts")))
+    return src, C.with_genes(other, lib)
+
+
 def _joined(spark, sf_dir):
     from seqtally.operators.compare import compare_counts
-    reads = D.reads(spark, sf_dir)
-    lib = _library(spark, sf_dir)
-    filled = barcode_counts(reads, lib, barcode_set=D.LIBRARY_SET)
-    src = filled.filter(F.col("sample") == "F").select(
-        F.col("barcode").alias("key"), F.col("read_counts").cast("double").alias("value"))
-    hits = assign_first_match(reads.filter(F.col("sample") == "O"), lib)
-    dst = C.with_genes(C.count_hits(hits), lib).select(
-        F.col("barcode").alias("key"), F.col("read_counts").cast("double").alias("value"))
+    value = F.col("read_counts").cast("double").alias("value")
+    src, dst = (side.select(F.col("barcode").alias("key"), value) for side in _sides(spark, sf_dir))
+    return compare_counts(src, dst)
+
+
+@query("compare_repeated_keys", D.cte(**COMPARE_SQL) + """
+SELECT substr(s.key, 1, 5) AS key, s.value AS focused, d.value AS whole
+FROM src s LEFT JOIN dst d ON substr(d.key, 1, 5) = substr(s.key, 1, 5)""")
+def compare_repeated_keys(spark, sf_dir):
+    """Keys that repeat on both sides (barcode prefixes): all their pairs."""
+    from seqtally.operators.compare import compare_counts
+    value = F.col("read_counts").cast("double").alias("value")
+    src, dst = (side.select(F.substring("barcode", 1, 5).alias("key"), value) for side in _sides(spark, sf_dir))
     return compare_counts(src, dst)
 
 
@@ -598,25 +671,45 @@ def _staged_fastq(spark, sf_dir, gz=False):
     from seqtally.sinks import write_fastq
     fq = D.fastq_records(spark, sf_dir, wellformed=True)
     path = scratch_path(spark, "fastq")
-    if gz:
-        spark.conf.set("spark.sql.text.compression.codec", "gzip")
-    try:
-        write_fastq(fq.withColumn("sample_dir", F.col("sample")), path,
-                    partition_by=("sample_dir",))
-    finally:
-        if gz:
-            spark.conf.unset("spark.sql.text.compression.codec")
+    write_fastq(fq.withColumn("sample_dir", F.col("sample")), path,
+                partition_by=("sample_dir",), compression="gzip" if gz else None)
     return path
 
 
+def _read_back(reads):
+    return reads.select(F.regexp_replace("sample", "^sample_dir=", "").alias("sample"), "read_id", "sequence")
+
+
+@query("fastq_plain_roundtrip", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + r"""
+SELECT sample, regexp_extract(header, '^@(\S*)', 1) AS read_id, sequence FROM ok""")
+def fastq_plain_roundtrip(spark, sf_dir):
+    """Plain files read in many splits."""
+    from seqtally.sources.fastq import read_fastq
+    return _read_back(read_fastq(spark, _staged_fastq(spark, sf_dir), split_bytes=64 * 1024))
+
+
+@query("fastq_named_spacers", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + r"""
+SELECT sample, regexp_extract(header, '^@(\S*)', 1) AS read_id, sequence FROM ok""")
+def fastq_named_spacers(spark, sf_dir):
+    """Spacers that repeat the header, and CRLF line ends."""
+    from seqtally.session import scratch_path
+    from seqtally.sources.fastq import read_fastq
+    path = scratch_path(spark, "fastq-crlf")
+    fq = D.fastq_records(spark, sf_dir, wellformed=True)
+    spacer = F.concat(F.lit("+"), F.substr("header", F.lit(2)))
+    lines = F.concat(*(F.concat(c, F.lit(end)) for c, end in (
+        (F.col("header"), "\r\n"), (F.col("sequence"), "\r\n"), (spacer, "\r\n"), (F.col("quality"), "\r"))))
+    (fq.select(lines.alias("value"), F.col("sample").alias("sample_dir"))
+     .write.partitionBy("sample_dir").text(path))
+    return _read_back(read_fastq(spark, path, split_bytes=256 * 1024))
+
+
 @query("fastq_roundtrip", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + r"""
 SELECT sample, regexp_extract(header, '^@(\S*)', 1) AS read_id, sequence FROM ok""")
 def fastq_roundtrip(spark, sf_dir):
     from seqtally.sources.fastq import read_fastq
     path = _staged_fastq(spark, sf_dir, gz=True)
-    r = read_fastq(spark, path)
-    return r.select(F.regexp_replace("sample", "^sample_dir=", "").alias("sample"),
-                    "read_id", "sequence")
+    return _read_back(read_fastq(spark, path))
 
 
 @query("fastq_full_roundtrip", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + """
@@ -638,7 +731,7 @@ def counts_roundtrip(spark, sf_dir):
     from seqtally.sources.text import read_counts_parquet
     _, lib, hits = _first_match(spark, sf_dir)
     path = scratch_path(spark, "chunks")
-    write_hits_parquet(C.chunk_counts(hits, lib), path)
+    write_hits_parquet(C.chunk_counts(hits, lib, CHUNK), path)
     return C.merge_counts(read_counts_parquet(spark, path))
 
 
@@ -733,3 +826,156 @@ def length_split_files(spark, sf_dir):
     back = read_fastq_full(spark, path, split_bytes=256 * 1024)
     return back.select(F.regexp_extract("file", r"fragment=([^/]+)/", 1).alias("fragment"),
                        "header", "sequence", "quality")
+
+
+# --- sinks read back (SNK6, SNK7, SNK8), text blocks (SRC10) ----------------------
+
+@query("comparison_csv_roundtrip", D.cte(**COMPARE_SQL) + "SELECT key, focused, whole FROM joined")
+def comparison_csv_roundtrip(spark, sf_dir):
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_comparison_csv
+    path = scratch_path(spark, "comparison")
+    write_comparison_csv(_joined(spark, sf_dir), path)
+    return spark.read.option("header", True).schema("key string, focused double, whole double").csv(path)
+
+
+@query("line_counts_csv_roundtrip", ORACLES["line_counts"])
+def line_counts_csv_roundtrip(spark, sf_dir):
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_line_counts_csv
+    path = scratch_path(spark, "line-counts")
+    write_line_counts_csv(line_counts(spark, sf_dir), path)
+    return spark.read.schema("gene string, barcode string, n_lines long").csv(path)
+
+
+@query("overwrite_roundtrip", D.cte(**COUNTED) + """
+SELECT sample, gene, barcode, CASE WHEN sample = 'P' THEN read_counts + 1 ELSE read_counts END AS read_counts
+FROM counted""")
+def overwrite_roundtrip(spark, sf_dir):
+    """Results written twice to one folder: the second write has samples F and
+    O only and replaces them, sample P stays as it was."""
+    from seqtally.operators._util import staged
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_counts_csv
+    path = scratch_path(spark, "overwrite")
+    counts = staged(_counts(spark, sf_dir), "counts")
+    write_counts_csv(counts.withColumn("read_counts", F.col("read_counts") + 1), path)
+    write_counts_csv(counts.filter("sample <> 'P'"), path)
+    back = (spark.read.option("header", True)
+            .schema("Gene string, Barcode string, Read_counts long, RPM double, sample string").csv(path))
+    return back.select("sample", F.col("Gene").alias("gene"), F.col("Barcode").alias("barcode"),
+                       F.col("Read_counts").alias("read_counts"))
+
+
+@query("text_lines", D.cte(**FQ, lines=LINES_SQL) + "SELECT value, count(*) AS n FROM lines GROUP BY value")
+def text_lines(spark, sf_dir):
+    """FASTQ lines written as text and read in blocks of 64 KB."""
+    from seqtally.session import scratch_path
+    from seqtally.sources.text import read_text_lines
+    path = scratch_path(spark, "lines")
+    _lines(spark, sf_dir).select("value").write.text(path)
+    lines = read_text_lines(spark, path, block_bytes=64 * 1024)
+    return lines.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- a whole project from files (SRC6, SRC7, FIL8, SRT3, SNK2, SNK3, JN7) ----------
+
+PROJECT_MANIFEST = [("F", "part.txt"), ("O", "part.txt"), ("O", "nations.txt"), ("P", "nations.txt"), ("Z", "part.txt")]
+PROJECT_SQL = dict(reads=D.READS_SQL, raw="""
+SELECT 'part.txt' AS barcode_set, ord, gene, barcode FROM (""" + D.LIBRARY_RAW_SQL + """)
+UNION ALL SELECT 'nations.txt', ord, gene, barcode FROM (""" + D.LIBRARY_NATIONS_RAW_SQL + ")",
+                   lib=D.LIBRARY_SQL.replace("lib_raw", "raw"),
+                   man="SELECT * FROM (VALUES " + ", ".join(f"('{s}', '{b}')" for s, b in PROJECT_MANIFEST)
+                       + ") AS m(sample, barcode_set)", hits="""
+SELECT r.sample, r.read_key, m.barcode_set, min(b.ord) AS ord
+FROM reads r JOIN man m ON m.sample = r.sample
+JOIN lib b ON b.barcode_set = m.barcode_set AND contains(r.sequence, b.barcode)
+GROUP BY r.sample, r.read_key, m.barcode_set""")
+
+
+def _one_file(spark, df, path):
+    """The rows of ``df`` (value) as one text file ``path``, as users have it."""
+    from seqtally.session import scratch_path
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = scratch_path(spark, "one-file")
+    df.coalesce(1).write.text(folder)
+    source = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = source.getFileSystem(conf)
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs.mkdirs(target.getParent())
+    found = [f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")]
+    if len(found) != 1 or not fs.rename(found[0], target):
+        raise OSError(f"cannot make {path}")
+
+
+def _project(spark, sf_dir):
+    """A project's folders and files from the driver tables: a FASTQ file per
+    sample with a leftover of split files beside it, an unlisted folder without
+    a FASTQ file, an empty folder, barcode files and a manifest."""
+    from seqtally.session import scratch_path
+    root = scratch_path(spark, "project")
+    reads = D.reads(spark, sf_dir)
+    record = F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), "sequence", F.lit("+"),
+                         F.repeat(F.lit("I"), F.length("sequence")))
+    for sample in ("F", "O", "P"):
+        own = reads.filter(F.col("sample") == sample).select(record.alias("value"))
+        _one_file(spark, own, f"{root}/Input/{sample}/reads.fastq")
+        _one_file(spark, own.limit(3), f"{root}/Input/{sample}/Split_files/split_000000.fastq")
+    lines = lambda rows: spark.createDataFrame([(r,) for r in rows], "value string")
+    _one_file(spark, lines(["no reads here"]), f"{root}/Input/notes/readme.txt")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/Input/empty")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    for name, raw in (("part.txt", D.library_raw), ("nations.txt", D.library_nations_raw)):
+        _one_file(spark, raw(spark, sf_dir).orderBy("ord").select(F.concat_ws(":", "gene", "barcode").alias("value")),
+                  f"{root}/Barcodes/{name}")
+    _one_file(spark, lines(["# sample,barcode file", *(f"{s},{b}" for s, b in PROJECT_MANIFEST), ""]), f"{root}/project.txt")
+    return root
+
+
+def _run(spark, sf_dir, with_ids=False):
+    from seqtally.plans.project import run_project
+    root = _project(spark, sf_dir)
+    run_project(spark, f"{root}/Input", f"{root}/project.txt", f"{root}/Barcodes", f"{root}/Output", with_ids=with_ids)
+    return f"{root}/Output"
+
+
+@query("project_run", D.cte(**PROJECT_SQL, filled="""
+SELECT m.sample, m.barcode_set, b.gene, b.barcode, CAST(coalesce(c.n, 0) AS BIGINT) AS read_counts
+FROM man m JOIN lib b ON b.barcode_set = m.barcode_set
+LEFT JOIN (SELECT sample, barcode_set, ord, count(*) AS n FROM hits GROUP BY ALL) c
+  ON c.sample = m.sample AND c.barcode_set = m.barcode_set AND c.ord = b.ord""") + """
+SELECT f.sample, f.barcode_set, f.gene, f.barcode, f.read_counts,
+       CASE WHEN t.tot > 0 THEN f.read_counts * 1.0e0 / t.tot * 1000000.0e0 ELSE 0.0e0 END AS rpm
+FROM filled f JOIN (SELECT sample, barcode_set, CAST(sum(read_counts) AS BIGINT) AS tot
+                    FROM filled GROUP BY ALL) t ON t.sample = f.sample AND t.barcode_set = f.barcode_set""")
+def project_run(spark, sf_dir):
+    """Files in, result CSV out and read back."""
+    back = (spark.read.option("header", True)
+            .schema("Gene string, Barcode string, Read_counts long, RPM double, barcode_set string, sample string")
+            .csv(f"{_run(spark, sf_dir)}/counts"))
+    return back.select("sample", "barcode_set", F.col("Gene").alias("gene"), F.col("Barcode").alias("barcode"),
+                       F.col("Read_counts").alias("read_counts"), F.col("RPM").alias("rpm"))
+
+
+@query("project_stats", D.cte(**PROJECT_SQL) + """
+SELECT m.sample, m.barcode_set, CAST(coalesce(t.n, 0) AS BIGINT) AS total_reads,
+       CAST(coalesce(h.n, 0) AS BIGINT) AS detected_reads
+FROM man m LEFT JOIN (SELECT sample, count(*) AS n FROM reads GROUP BY sample) t ON t.sample = m.sample
+LEFT JOIN (SELECT sample, barcode_set, count(*) AS n FROM hits GROUP BY ALL) h
+  ON h.sample = m.sample AND h.barcode_set = m.barcode_set""")
+def project_stats(spark, sf_dir):
+    """The statistics text of a run that also writes ID lists, read back."""
+    text = (spark.read.schema("value string, barcode_set string, sample string")
+            .text(f"{_run(spark, sf_dir, with_ids=True)}/stats", wholetext=True))
+    number = lambda label: F.regexp_extract("value", f"{label}: (\\d+)", 1).cast("long")
+    return text.select("sample", "barcode_set", number("Total read").alias("total_reads"),
+                       number("Detected read").alias("detected_reads"))
+
+
+@query("discover_inputs", """
+SELECT DISTINCT o_orderstatus AS sample, 'reads.fastq' AS file FROM orders
+UNION ALL SELECT * FROM (VALUES ('notes', NULL), ('empty', NULL)) AS t(sample, file)""")
+def discover_inputs_q(spark, sf_dir):
+    from seqtally.sources.text import discover_inputs
+    found = discover_inputs(spark, f"{_project(spark, sf_dir)}/Input", strict=False)
+    return found.select("sample", F.regexp_extract("path", "[^/]+$", 0).alias("file"))

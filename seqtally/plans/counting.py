@@ -1,13 +1,37 @@
 """The counting plan end to end: reads + library (+ manifest) -> zero-filled
-counts with RPM, and per-sample read statistics, for all samples at once."""
+counts with RPM and read statistics of all samples, from one pass over the
+reads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.operators.counts import count_hits, default_manifest, rpm, zero_fill
-from seqtally.operators.match import assign_first_match, one_pass_stats
+from seqtally.operators._util import staged
+from seqtally.operators.counts import count_matched, read_stats, rpm, run_pairs, zero_fill
+from seqtally.operators.match import matched_reads
+
+
+def tally(reads: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
+          every: bool = False, ignore_case: bool = False) -> DataFrame:
+    """The staged count table of one matching pass (sample, barcode_set, ord,
+    read_counts; NULL set and ord: the sample's reads).  It has at most as many
+    rows as the runs have library rows, however many reads there are."""
+    matched = matched_reads(reads, library, manifest, every, ignore_case=ignore_case)
+    return staged(count_matched(matched), "tally")
+
+
+def counts_of(counted: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
+              barcode_set: str | None = None) -> DataFrame:
+    """Zero-filled counts with RPM from a staged count table."""
+    pairs = run_pairs(counted, library, manifest, barcode_set)
+    return rpm(zero_fill(counted, library, pairs), counted)
+
+
+def stats_of(counted: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
+             barcode_set: str | None = None) -> DataFrame:
+    """Read statistics from a staged count table."""
+    return read_stats(counted, run_pairs(counted, library, manifest, barcode_set))
 
 
 def barcode_counts(reads: DataFrame, library: DataFrame,
@@ -15,28 +39,19 @@ def barcode_counts(reads: DataFrame, library: DataFrame,
                    barcode_set: str | None = None) -> DataFrame:
     """sample, barcode_set, ord, gene, barcode, read_counts, rpm.
 
-    ``library`` must already be prepared (upper-case, deduplicated).  Without
-    a manifest every sample is matched against ``barcode_set`` (or the only
-    set of the library)."""
-    m = manifest if manifest is not None else default_manifest(reads, barcode_set)
-    hits = assign_first_match(reads, library, manifest)
-    return rpm(zero_fill(count_hits(hits), library, m))
-
-
-def count_manifest(reads: DataFrame, manifest: DataFrame, library: DataFrame) -> DataFrame:
-    """Each sample against the barcode set(s) the manifest lists for it; RPM
-    within each (sample, barcode set) run."""
-    hits = assign_first_match(reads, library, manifest)
-    return rpm(zero_fill(count_hits(hits), library, manifest), by=("sample", "barcode_set"))
+    ``library`` must already be prepared (upper-case, deduplicated).  With a
+    manifest each sample is matched against the set(s) it lists, and RPM is
+    within each (sample, barcode_set).  Without one every sample is matched
+    against ``barcode_set`` (or the only set of the library)."""
+    return counts_of(tally(reads, library, manifest), library, manifest, barcode_set)
 
 
 def barcode_stats(reads: DataFrame, library: DataFrame,
                   manifest: DataFrame | None = None,
                   barcode_set: str | None = None) -> DataFrame:
-    """Total reads, detected reads and detection rate per sample (and barcode
-    set), in one pass over the reads."""
-    m = manifest if manifest is not None else default_manifest(reads, barcode_set)
-    return one_pass_stats(reads, library, m)
+    """Total reads, detected reads and detection rate per sample and barcode
+    set, in one pass over the reads."""
+    return stats_of(tally(reads, library, manifest), library, manifest, barcode_set)
 
 
 def counts_columns(counts: DataFrame) -> DataFrame:

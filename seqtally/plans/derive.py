@@ -204,6 +204,82 @@ SELECT p_type AS barcode_set, p_partkey AS ord, p_brand AS gene,
 FROM part"""
 
 
+# --- further library shapes ----------------------------------------------------
+
+def library_nations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A set of 4-nt barcodes, one for each nation."""
+    n = _tbl(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return n.select(F.lit("NATIONS").alias("barcode_set"), F.col("n_nationkey").cast("long").alias("ord"),
+                    F.col("n_name").alias("gene"), F.substr(_t("n", F.col("n_nationkey")), F.lit(1), F.lit(4)).alias("barcode"))
+
+
+LIBRARY_NATIONS_RAW_SQL = f"""
+SELECT 'NATIONS' AS barcode_set, CAST(n_nationkey AS BIGINT) AS ord, n_name AS gene,
+       substr({_sql_t('n', 'n_nationkey')}, 1, 4) AS barcode FROM nation"""
+
+
+def library_mixed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return library_typed_raw(spark, sf_dir).unionByName(library_nations_raw(spark, sf_dir))
+
+
+LIBRARY_MIXED_RAW_SQL = LIBRARY_TYPED_RAW_SQL + " UNION ALL " + LIBRARY_NATIONS_RAW_SQL
+
+
+def library_regex_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns of each kind by supplier: a class, a wildcard beside a run, a
+    repeat, a choice without a certain run, and plain barcodes."""
+    s = _tbl(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    k = F.col("s_suppkey")
+    b = lambda at, n: F.substr(_t("s", k), F.lit(at), F.lit(n))
+    kind = (F.when(k % 5 == 0, F.concat(b(1, 4), F.lit("[AG]"), b(6, 4)))
+            .when(k % 5 == 1, F.concat(b(1, 6), F.lit(".T")))
+            .when(k % 5 == 2, F.concat(b(1, 2), F.lit("C{2}G+"), b(6, 3)))
+            .when(k % 5 == 3, F.concat(F.lit("("), b(1, 5), F.lit("|"), b(11, 5), F.lit(")G")))
+            .otherwise(b(1, 8)))
+    return s.select(F.lit("REGEX").alias("barcode_set"), k.cast("long").alias("ord"), F.col("s_name").alias("gene"), kind.alias("barcode"))
+
+
+LIBRARY_REGEX_RAW_SQL = f"""
+SELECT 'REGEX' AS barcode_set, CAST(s_suppkey AS BIGINT) AS ord, s_name AS gene,
+       CASE s_suppkey % 5 WHEN 0 THEN concat(substr(t, 1, 4), '[AG]', substr(t, 6, 4))
+         WHEN 1 THEN concat(substr(t, 1, 6), '.T')
+         WHEN 2 THEN concat(substr(t, 1, 2), 'C{{2}}G+', substr(t, 6, 3))
+         WHEN 3 THEN concat('(', substr(t, 1, 5), '|', substr(t, 11, 5), ')G')
+         ELSE substr(t, 1, 8) END AS barcode
+FROM (SELECT s_suppkey, s_name, {_sql_t('s', 's_suppkey')} AS t FROM supplier)"""
+
+
+def library_long_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Barcodes of 20 to 26 nt that lie in the reads of the same key."""
+    p = _tbl(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    k = F.col("p_partkey")
+    bc = F.substr(F.concat(_t("a", k), _t("b", k)), (k % 9 + 1).cast("int"), (F.lit(20) + k % 7).cast("int"))
+    return p.select(F.lit("LONG").alias("barcode_set"), k.alias("ord"), F.col("p_brand").alias("gene"), bc.alias("barcode"))
+
+
+LIBRARY_LONG_RAW_SQL = f"""
+SELECT 'LONG' AS barcode_set, p_partkey AS ord, p_brand AS gene,
+       substr(concat({_sql_t('a', 'p_partkey')}, {_sql_t('b', 'p_partkey')}),
+              CAST(p_partkey % 9 + 1 AS INTEGER), CAST(20 + p_partkey % 7 AS INTEGER)) AS barcode
+FROM part"""
+
+
+def library_lengths_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the barcodes cut to 5 to 7 nt (and after the long ones, or
+    they would take all reads first)."""
+    k = F.col("ord")
+    own = library_long_raw(spark, sf_dir)
+    short = k % 4 == 0
+    return own.select("barcode_set", F.when(short, k + 10 ** 9).otherwise(k).alias("ord"), "gene",
+                      F.when(short, F.substr("barcode", F.lit(1), (F.lit(5) + k % 3).cast("int"))).otherwise(F.col("barcode")).alias("barcode"))
+
+
+LIBRARY_LENGTHS_RAW_SQL = f"""
+SELECT barcode_set, CASE WHEN ord % 4 = 0 THEN ord + 1000000000 ELSE ord END AS ord, gene,
+       CASE WHEN ord % 4 = 0 THEN substr(barcode, 1, CAST(5 + ord % 3 AS INTEGER)) ELSE barcode END AS barcode
+FROM ({LIBRARY_LONG_RAW_SQL})"""
+
+
 # --- mates: R1 lacks the '5-LOW' orders, R2 lacks status 'P' -----------------
 
 def mate_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -1,4 +1,4 @@
-"""A whole counting run over a project, as one Spark plan for all samples.
+"""A whole counting run over a project, from one pass over the reads.
 
 Layout (the reference's): ``input_root/<sample>/<reads>.fastq[.gz]``, a
 manifest of ``sample,barcode_file`` lines, barcode files (``gene<sep>barcode``)
@@ -15,15 +15,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtally.operators._util import collect_bounded
-from seqtally.operators.counts import MANIFEST_INLINE_MAX, chunk_counts
+from seqtally.operators._util import staged
+from seqtally.operators.counts import chunk_counts, count_matched
 from seqtally.operators.library import prepare_library
-from seqtally.operators.match import assign_first_match, one_pass_stats
+from seqtally.operators.match import manifest_pairs, matched_reads
 from seqtally.operators.reshape import reconcile_samples
-from seqtally.plans.counting import count_manifest
+from seqtally.plans.counting import counts_of, stats_of
 from seqtally.sinks import (write_counts_csv, write_hits_parquet,
                             write_stats_text)
-from seqtally.sources.fastq import read_fastq
+from seqtally.sources.fastq import file_chunk, read_fastq
 from seqtally.sources.text import discover_inputs, read_barcodes, read_manifest
 
 
@@ -32,39 +32,39 @@ def run_project(spark: SparkSession, input_root: str, manifest_path: str,
                 with_ids: bool = False) -> dict[str, DataFrame]:
     """Count every sample of the manifest against its barcode file(s).
 
-    Only bounded metadata reaches the driver: the manifest (checked against
-    ``MANIFEST_INLINE_MAX``) and one input path per sample.  Returns the
-    DataFrames that were written."""
+    The run configuration comes to the driver: the names of the barcode files
+    and one input path per sample.  A manifest sample whose folder has no FASTQ
+    file is an error, as in the reference; one without a folder is reported in
+    ``samples/`` and has zero counts.  A sample's input is the first FASTQ file
+    directly in its folder, and the reads take their sample from that folder.
+    Returns the DataFrames that were written."""
     out = output_dir.rstrip("/")
     manifest = read_manifest(spark, manifest_path).filter(F.col("barcode_set").isNotNull())
-    rows = collect_bounded(manifest, MANIFEST_INLINE_MAX)
-    if rows is None:
-        raise ValueError(f"manifest has more than {MANIFEST_INLINE_MAX} rows")
-    inputs = discover_inputs(spark, input_root, strict=True)
+    inputs = discover_inputs(spark, input_root, strict=True, samples=manifest)
     report = reconcile_samples(manifest, inputs)
     report.write.mode("overwrite").option("header", True).csv(f"{out}/samples")
 
     # barcode set = file name of the barcode file, as the output folders are
-    files = sorted({r.barcode_set for r in rows})
+    files = sorted(r.barcode_set for r in manifest.select("barcode_set").distinct().collect())
     lib = prepare_library(read_barcodes(
         spark, [f"{barcode_dir.rstrip('/')}/{f}" for f in files], sep=sep))
-    man = manifest.select("sample", F.regexp_extract("barcode_set", r"([^/]+)$", 1)
-                          .alias("barcode_set"))
-    wanted = {r.sample for r in rows}
-    paths = [r.path for r in collect_bounded(inputs.select("sample", "path"),
-                                             MANIFEST_INLINE_MAX) if r.sample in wanted]
+    man = manifest_pairs(manifest.select("sample", F.regexp_extract("barcode_set", r"([^/]+)$", 1)
+                                         .alias("barcode_set")))
+    paths = sorted(r.path for r in inputs.join(man.select("sample").distinct(), "sample", "left_semi")
+                   .select("path").collect())
     if not paths:
         raise ValueError("no input folder matches a manifest sample")
     reads = read_fastq(spark, paths)
 
-    counts = count_manifest(reads, man, lib)
-    write_counts_csv(counts, f"{out}/counts", partition_by=("barcode_set", "sample"))
-    stats = one_pass_stats(reads, lib, man)
-    write_stats_text(stats, f"{out}/stats", by=("barcode_set", "sample"))
-    result = {"counts": counts, "stats": stats, "samples": report}
     if with_ids:
-        hits = assign_first_match(reads, lib, man, carry=("read_id",))
-        chunks = chunk_counts(hits, lib)
-        write_hits_parquet(chunks, f"{out}/chunks")
-        result["chunks"] = chunks
+        matched = staged(matched_reads(reads, lib, man, carry=("read_id",)), "matched")
+    else:
+        matched = matched_reads(reads, lib, man)
+    tally = staged(count_matched(matched), "tally")
+    result = {"counts": counts_of(tally, lib, man), "stats": stats_of(tally, lib, man), "samples": report}
+    write_counts_csv(result["counts"], f"{out}/counts", partition_by=("barcode_set", "sample"))
+    write_stats_text(result["stats"], f"{out}/stats", by=("barcode_set", "sample"))
+    if with_ids:
+        result["chunks"] = chunk_counts(matched.filter("ord IS NOT NULL"), lib, chunk=file_chunk())
+        write_hits_parquet(result["chunks"], f"{out}/chunks")
     return result

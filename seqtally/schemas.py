@@ -1,17 +1,7 @@
 """Canonical schemas (explicit; sources never infer)."""
 
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType,
-                               LongType, StringType, StructField, StructType)
-
-READS = StructType([
-    StructField("sample", StringType()),
-    StructField("read_key", LongType()),
-    StructField("read_id", StringType()),
-    StructField("description", StringType()),
-    StructField("sequence", StringType()),
-    StructField("spacer", StringType()),
-    StructField("quality", StringType()),
-])
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
+                               StructField, StructType)
 
 FASTQ_RECORD = StructType([
     StructField("file", StringType()),
@@ -40,21 +30,6 @@ WINDOWS = StructType([
     StructField("tolerance", IntegerType()),
 ])
 
-HITS = StructType([
-    StructField("sample", StringType()),
-    StructField("read_key", LongType()),
-    StructField("barcode_set", StringType()),
-    StructField("ord", LongType()),
-])
-
-COUNTS = StructType([
-    StructField("sample", StringType()),
-    StructField("gene", StringType()),
-    StructField("barcode", StringType()),
-    StructField("read_counts", LongType()),
-    StructField("rpm", DoubleType()),
-])
-
 CHUNK_COUNTS = StructType([
     StructField("sample", StringType()),
     StructField("chunk", LongType()),
@@ -64,13 +39,6 @@ CHUNK_COUNTS = StructType([
     StructField("ids", ArrayType(StringType())),
 ])
 
-STATS = StructType([
-    StructField("sample", StringType()),
-    StructField("total_reads", LongType()),
-    StructField("detected_reads", LongType()),
-    StructField("detection_rate", DoubleType()),
-])
-
 KEY_VALUE = StructType([
     StructField("key", StringType()),
     StructField("value", DoubleType()),
@@ -81,6 +49,3 @@ BARCODE_LIST = StructType([
     StructField("barcode", StringType()),
 ])
 
-DETECTED = StructType([
-    StructField("detected", BooleanType()),
-])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -18,7 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -56,7 +58,6 @@ def scale_conf(input_bytes: int, cores: int, read_bytes: int = 300,
 
     For 100 TB of 300-byte reads this gives 256 MB splits (~400k tasks) and
     ~100k shuffle partitions for the ~13 TB worst-case hit shuffle."""
-    import math
     reads = max(1, input_bytes // read_bytes)
     shuffle_parts = max(2 * cores, math.ceil(reads * shuffle_row_bytes / shuffle_partition_bytes))
     return {
@@ -72,31 +73,39 @@ def scale_conf(input_bytes: int, cores: int, read_bytes: int = 300,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local runs, tests) a private folder is created.
+    The cluster names it in ``spark.checkpoint.dir`` (or on the context).  A
+    private folder is made only on a local master, where driver and executors
+    are one process; anywhere else a missing setting is an error, since other
+    machines would not see the driver's folder.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        # no cluster setting (local runs, tests): a private folder, registered
-        # on the context only (the setting itself is static)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        # registered on the context only (the setting itself is static)
         d = tempfile.mkdtemp(prefix="seqtally-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder for a staged table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/seqtally-stage/{name}-{os.getpid()}-{next(_counter)}"
+_run = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
+_counter = itertools.count(1)
+
 
+def scratch_root(spark: SparkSession) -> str:
+    """This process's folder of staged tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/seqtally-stage/{_run}"
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder for a staged table."""
+    return f"{scratch_root(spark)}/{name}-{next(_counter)}"
 
 
-_counter = _count()
+def remove_staged(spark: SparkSession) -> None:
+    """Delete the tables this process staged.  Results are lazy and read them,
+    so call it when no result is needed any more (end of a run)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,15 +11,16 @@ from seqtally.functions.sequence import format_fastq_record
 from seqtally.operators.index import with_index
 
 
-def _dynamic(df: DataFrame):
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def _writer(df: DataFrame, mode: str):
+    """A writer whose partitioned overwrite replaces only the partitions it
+    produces; an option of the write, the session's settings stay."""
+    return df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
 
 
 def write_hits_parquet(chunks: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Per-chunk count tables (gene, barcode, read_counts, ids), one folder
     per sample."""
-    _dynamic(chunks)
-    chunks.write.mode(mode).partitionBy("sample").parquet(path)
+    _writer(chunks, mode).partitionBy("sample").parquet(path)
 
 
 # --- fixed values: the reference's result headers and statistics text -------
@@ -35,12 +36,11 @@ def write_counts_csv(counts: DataFrame, path: str, mode: str = "overwrite",
     column names unless ``reference_header=False``), one folder per sample,
     rows in key order.  The global sort range-partitions the rows, so a large
     sample is written by many tasks."""
-    _dynamic(counts)
     names = RESULT_HEADER if reference_header else ["gene", "barcode", "read_counts", "rpm"]
     cols = [F.col(c).alias(a) for c, a in zip(["gene", "barcode", "read_counts", "rpm"], names)]
     parts = list(partition_by)
-    (counts.orderBy(*parts, "gene", "barcode").select(*parts, *cols)
-     .write.mode(mode).option("header", True).partitionBy(*parts).csv(path))
+    rows = counts.orderBy(*parts, "gene", "barcode").select(*parts, *cols)
+    _writer(rows, mode).option("header", True).partitionBy(*parts).csv(path)
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -52,7 +52,6 @@ def write_stats_text(stats: DataFrame, path: str, mode: str = "overwrite",
     """The statistics text of the reference, one folder per ``by`` value:
     three lines per sample, or four with a leading ``File: <name>`` line when
     the statistics carry a ``file`` column (flank extraction)."""
-    _dynamic(stats)
     lines = []
     if "file" in stats.columns:
         lines.append(F.concat(F.lit(STATS_FILE_LABEL), F.regexp_extract("file", r"([^/]+)$", 1)))
@@ -61,18 +60,18 @@ def write_stats_text(stats: DataFrame, path: str, mode: str = "overwrite",
     body = F.concat_ws("\n", *lines,
                        *[F.concat(F.lit(label), v) for label, v in zip(STATS_LABELS, values)])
     keys = [by] if isinstance(by, str) else list(by)
-    stats.select(*keys, body.alias("value")).write.mode(mode).partitionBy(*keys).text(path)
+    _writer(stats.select(*keys, body.alias("value")), mode).partitionBy(*keys).text(path)
 
 
-def write_fastq(reads: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> None:
+def write_fastq(reads: DataFrame, path: str, partition_by=(), mode: str = "overwrite",
+                compression: str | None = None) -> None:
     """Four-line FASTQ records; e.g. ``partition_by=("fragment",)`` gives one
-    folder per length window."""
-    _dynamic(reads)
+    folder per length window, ``compression="gzip"`` gz files."""
     rec = format_fastq_record("header", "sequence", "spacer", "quality").alias("value")
-    w = reads.select(rec, *partition_by).write.mode(mode)
+    w = _writer(reads.select(rec, *partition_by), mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.text(path)
+    w.option("compression", compression or "none").text(path)
 
 
 def write_barcode_list(barcodes: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,24 +1,21 @@
 """FASTQ readers.
 
-``read_fastq`` (ID + sequence, all counting needs) runs entirely in Spark's
-text source: with the record separator ``"\\n+\\n"`` every chunk is
-``[quality of the previous record \\n] @header \\n sequence``, so the last two
-lines of a chunk are the header and the sequence.  Hadoop's line reader
-handles separators that straddle split boundaries, so plain files split like
-any text file; ``.gz`` files are read whole (one task per file).  It needs
-four-line records with a bare ``+`` spacer and ``\\n`` line ends; files with
-another layout are read with the full-record source below.
-
 ``spark.read.format("fastq")`` (registered by ``register_fastq_source``) is a
-Python Data Source that yields all four fields.  A partition owns the records
-whose header line starts inside its byte range; it finds the first one by the
-rule "line starts with '@' and the line two further starts with '+'" (a
-quality line may start with '@', but then the line two further is a
-sequence).
-"""
+Python Data Source that yields Arrow batches of whole records: bare or named
+spacers (``+``, ``+read1``), ``\\n`` or ``\\r\\n`` line ends, plain files in
+splits, ``.gz`` files whole.  A partition owns the records whose header line
+starts inside its byte range; it finds the first one by the rule "line starts
+with '@' and the line two further starts with '+'" (a quality line may start
+with '@', but then the line two further is a sequence).  After a record that
+breaks the four-line layout it looks for the next one by the same rule.
+
+``read_fastq`` gives what counting needs, with every record verified as the
+reference does: equal lengths of sequence and quality, Phred+33 qualities."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -26,53 +23,44 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from seqtally.functions.sequence import (description_from_header,
                                          read_id_from_header)
 from seqtally.operators._util import spread
+from seqtally.operators.records import validate_fastq
 from seqtally.schemas import FASTQ_RECORD
 
-RECORD_SEPARATOR = "\n+\n"
+# Bytes of a FASTQ file whose reads make one chunk of the per-chunk ID lists.
+CHUNK_BYTES = 64 << 20
 
 
 def read_fastq(spark: SparkSession, paths, sample: str | None = None,
-               mode: str = "FAILFAST") -> DataFrame:
+               mode: str = "FAILFAST", verify: bool = True,
+               split_bytes: int | None = None) -> DataFrame:
     """Reads with sample, read_key, read_id, description, sequence.
 
-    ``read_key`` is taken on the scan itself (split index and position), so it
-    is stable for the same files; ``sample`` defaults to the name of the
-    folder holding the file.  A chunk that is neither a record nor the tail
-    of a file (the last quality line) is malformed: FAILFAST stops the job
-    at it (inside the plan, no extra pass), DROP skips it."""
+    ``read_key`` is (hash of the file, byte offset of the record), so it is
+    the same however the file is split and differs between any two scans'
+    files; ``sample`` defaults to the name of the folder holding the file.
+    A malformed record stops the job (FAILFAST, inside the plan) or is left
+    out (DROP: every valid record is kept); ``verify=False`` skips the check
+    of qualities and only asks for a header and a sequence."""
     mode = mode.upper()
     if mode not in ("FAILFAST", "DROP"):
         raise ValueError("mode must be FAILFAST or DROP")
-    raw = (spark.read.option("lineSep", RECORD_SEPARATOR).text(paths)
-           .select(F.col("value"), F.col("_metadata.file_path").alias("file"),
-                   F.monotonically_increasing_id().alias("read_key")))
-    parts = F.split(F.col("value"), "\n")
-    n = F.size(parts)
-    header = F.when(n >= 2, F.element_at(parts, n - 1))
-    seq = F.regexp_replace(F.element_at(parts, n), "\r$", "")
-    rec = raw.select("file", "read_key", "value", n.alias("_n"), header.alias("header"),
-                     seq.alias("sequence"))
-    # a well-formed chunk has 2 lines (a file's first record) or 3 (previous
-    # quality, header, sequence); more lines mean a record whose spacer is
-    # not a bare '+' was merged into this chunk
-    is_record = F.coalesce(F.col("header").startswith("@") & (F.length("sequence") > 0)
-                           & (F.col("_n") <= 3), F.lit(False))
-    is_tail = (F.col("_n") == 1) | ((F.col("_n") == 2) & (F.length("sequence") == 0))
-    if mode == "FAILFAST":
-        bad = F.raise_error(F.concat(F.lit("malformed FASTQ chunk in "), F.col("file"),
-                                     F.lit(": "), F.substr("value", F.lit(1), F.lit(80))))
-        keep = F.when(is_record, F.lit(True)).when(is_tail, F.lit(False)).otherwise(
-            bad.cast("boolean"))
+    rec = read_fastq_full(spark, paths, split_bytes)
+    if verify:
+        rec = validate_fastq(rec, mode)
     else:
-        keep = is_record
-    rec = rec.filter(keep)
+        rec = rec.filter(F.col("header").startswith("@") & (F.length("sequence") > 0))
     smp = F.lit(sample) if sample else F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
     return spread(rec.select(
-        smp.alias("sample"), "read_key",
+        smp.alias("sample"), F.struct(F.xxhash64("file").alias("file"), F.col("offset").alias("offset")).alias("read_key"),
         read_id_from_header("header").alias("read_id"),
         description_from_header("header").alias("description"), "sequence"))
 
 
+def file_chunk(read_key="read_key"):
+    """Chunk number of a read from a file, for ``counts.chunk_counts``."""
+    return F.expr(f"{read_key}.offset div {CHUNK_BYTES}")
+
+
 def manifest_from_paths(spark: SparkSession, paths, barcode_set: str) -> DataFrame:
     """(sample, barcode_set) for every sample folder holding input files, from
     the file listing alone (the binaryFile content column is never read): the
@@ -109,21 +97,49 @@ def _fs_and_path(uri: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+def _glob_pattern(path: str) -> re.Pattern:
+    """A path with ``*``, ``?``, ``[...]`` and ``{a,b}``, none of which crosses
+    a slash, as a regular expression."""
+    out, braces = "", 0
+    for part in re.findall(r"\[[^\]]*\]|.", path):
+        if part.startswith("[") and len(part) > 2:
+            out += part.replace("[!", "[^")
+        elif part in "{}":
+            braces += 1 if part == "{" else -1
+            out += "(?:" if part == "{" else ")"
+        else:
+            out += {"*": "[^/]*", "?": "[^/]", ",": "|" if braces else ","}.get(part, re.escape(part))
+    return re.compile(out)
+
+
 def _list_files(paths):
+    """(URI, size) of every file that the paths name: files, folders (with all
+    that lies below) and glob patterns of either."""
     import pyarrow.fs as pafs
     out = []
     for p in paths:
         fs, path = _fs_and_path(p)
-        info = fs.get_file_info(path)
-        if info.type == pafs.FileType.Directory:
-            sel = pafs.FileSelector(path, recursive=True)
-            for f in sorted(fs.get_file_info(sel), key=lambda x: x.path):
-                name = f.path.rsplit("/", 1)[-1]
-                if f.type == pafs.FileType.File and not name.startswith(("_", ".")):
-                    out.append((p.rstrip("/") + f.path[len(path.rstrip("/")):], f.size))
-        elif info.type == pafs.FileType.File:
-            out.append((p, info.size))
+        prefix = p[:len(p.rstrip("/")) - len(path.rstrip("/"))] if p.rstrip("/").endswith(path.rstrip("/")) else ""
+        if re.search(r"[*?\[{]", path):
+            pattern = _glob_pattern(path.rstrip("/"))
+            base = path[:re.search(r"[*?\[{]", path).start()].rpartition("/")[0] or "/"
+            depth = path.rstrip("/").count("/")
+            found = {"/".join(f.path.split("/")[:depth + 1]) for f in
+                     fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))}
+            tops = sorted(f for f in found if pattern.fullmatch(f))
         else:
+            tops = [path]
+        for info in fs.get_file_info(tops):
+            if info.type == pafs.FileType.Directory:
+                sel = pafs.FileSelector(info.path, recursive=True)
+                files = [f for f in fs.get_file_info(sel) if f.type == pafs.FileType.File
+                         and not f.base_name.startswith(("_", "."))]
+                out += [(prefix + f.path, f.size) for f in sorted(files, key=lambda f: f.path)]
+            elif info.type == pafs.FileType.File:
+                out.append((prefix + info.path, info.size))
+            else:
+                raise FileNotFoundError(p)
+        if not tops:
             raise FileNotFoundError(p)
     return out
 
@@ -192,11 +208,23 @@ def _batch(path, starts, h, s, p, q):
     return pa.RecordBatch.from_arrays(cols, names=_FIELDS)
 
 
+def _is_record(lines, i: int) -> bool:
+    return lines[i][:1] == b"@" and lines[i + 2][:1] == b"+"
+
+
+def _is_whole(lines, i: int) -> bool:
+    return _is_record(lines, i) and len(lines[i + 1].rstrip(b"\r")) == len(lines[i + 3].rstrip(b"\r"))
+
+
 def _record_batches(part: _Range):
     """Arrow batches of the records whose header starts in the partition's
     byte range.  Per block, lines are split in C and their start offsets come
-    from the newline positions (numpy); the four fields of all complete
-    records are then taken by slicing, not line by line."""
+    from the newline positions (numpy); the four fields of a run of records
+    are then taken by slicing, not line by line.
+
+    Lines that are no record where one should start give one row with what
+    they hold, for the caller to reject, and the search goes on behind them.
+    Blank lines between records are skipped."""
     import numpy as np
     fs, path = _fs_and_path(part.path)
     if part.gz:
@@ -206,9 +234,10 @@ def _record_batches(part: _Range):
         buf_off = max(0, part.start - 1)
         stream.seek(buf_off)
     end = None if part.gz else part.end
-    skip_first = (not part.gz) and part.start > 0   # the line holding start-1
+    synced = part.gz or part.start == 0
+    skip_first = not synced                     # the line holding start-1
     pending, starts = [], np.empty(0, dtype=np.int64)
-    rest, synced = b"", False
+    rest = b""
     while True:
         block = stream.read(_BLOCK)
         eof = not block
@@ -229,39 +258,36 @@ def _record_batches(part: _Range):
             lines, line_starts, skip_first = lines[1:], line_starts[1:], False
         pending.extend(lines)
         starts = np.concatenate((starts, line_starts))
-        if not synced:
-            i = 0
-            while i + 2 < len(pending) and not (pending[i].startswith(b"@")
-                                                and pending[i + 2].startswith(b"+")):
-                i += 1
-            if i + 2 < len(pending):
-                synced = True
-            elif not eof:
-                i = max(0, len(pending) - 2)   # keep what could still start a record
-            else:
-                i = len(pending)
-            del pending[:i]
-            starts = starts[i:]
+        i, size = 0, len(pending)
+        while i < size:
+            if end is not None and starts[i] >= end:
+                return
             if not synced:
-                if eof:
+                found = next((j for j in range(i, size - 2) if _is_record(pending, j)), None)
+                if found is None:
+                    i = size if eof else max(i, size - 2)
                     break
+                i, synced = found, True
                 continue
-        n = len(pending) // 4
-        head = starts[:4 * n:4]
-        m = n if end is None else int(np.searchsorted(head, end, side="left"))
-        if m:
-            yield _batch(part.path, head[:m], pending[0:4 * m:4], pending[1:4 * m:4],
-                         pending[2:4 * m:4], pending[3:4 * m:4])
-        if m < n:
-            break
-        del pending[:4 * n]
-        starts = starts[4 * n:]
+            n = (size - i) // 4
+            good = next((k for k in range(n) if not _is_whole(pending, i + 4 * k)), n)
+            if good:
+                m = good if end is None else int(np.searchsorted(starts[i:i + 4 * good:4], end))
+                stop = i + 4 * m
+                yield _batch(part.path, starts[i:stop:4], *(pending[i + k:stop:4] for k in range(4)))
+                i += 4 * good
+            elif not pending[i].strip():
+                i += 1
+            elif n or eof:
+                broken = (pending[i:i + 4] + [None] * 3)[:4]
+                yield _batch(part.path, starts[i:i + 1], *([x] for x in broken))
+                i, synced = i + 1, False
+            else:
+                break
+        del pending[:i]
+        starts = starts[i:]
         if eof:
-            # a truncated last record (fewer than four lines) is still returned
-            if pending and (end is None or starts[0] < end):
-                f = pending + [None] * (4 - len(pending))
-                yield _batch(part.path, starts[:1], [f[0]], [f[1]], [f[2]], [f[3]])
-            break
+            return
 
 
 def register_fastq_source(spark: SparkSession) -> None:

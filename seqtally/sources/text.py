@@ -3,6 +3,8 @@ barcode lists, plain text lines, input-folder listings and count parquet."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,21 +12,24 @@ from seqtally.operators.index import with_index
 from seqtally.schemas import BARCODE_LIST, CHUNK_COUNTS, KEY_VALUE
 
 # --- fixed values: input file suffixes ---------------------------------------
-FASTQ_SUFFIXES = "*.{fastq,fq,fastq.gz,fq.gz}"
+FASTQ_SUFFIXES = (".fastq", ".fq", ".fastq.gz", ".fq.gz")
 # ------------------------------------------------------------------------------
+# The reference reads text in blocks of this size.
+TEXT_BLOCK_BYTES = 256 << 20
 
 
 def _strip_eol(c):
     return F.regexp_replace(c, r"[\r\n]+$", "")
 
 
-def read_text_lines(spark: SparkSession, paths, max_partition_bytes: int | None = None) -> DataFrame:
-    """One row per line (``value``) with the file it came from; splits follow
-    ``spark.sql.files.maxPartitionBytes`` (the reference used 256 MB blocks)."""
-    r = spark.read
-    if max_partition_bytes:
-        r = r.option("maxPartitionBytes", str(max_partition_bytes))
-    return r.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+def read_text_lines(spark: SparkSession, paths, block_bytes: int = TEXT_BLOCK_BYTES) -> DataFrame:
+    """One row per line (``value``) with the file it came from, in splits of at
+    most ``block_bytes``.  Split sizes are a session setting, so the scan
+    belongs to a session of its own (same context, same tables); the caller's
+    settings stay as they are."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(int(block_bytes)))
+    return own.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def read_barcodes(spark: SparkSession, path: str, sep: str = ":",
@@ -76,30 +81,43 @@ def read_counts_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHUNK_COUNTS).parquet(path)
 
 
-def discover_inputs(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
-    """Per sample folder (``root/<sample>/...``) the first FASTQ-suffixed file
-    by path (.fastq, .fq, .fastq.gz, .fq.gz).  Only file metadata is read
-    (path, length), never contents.  A folder without such a file gets a
-    NULL path; with ``strict`` (the default) that is an error naming up to
-    ten such folders."""
+def _folder(spark: SparkSession, root: str):
+    """Hadoop file system and qualified path of a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(path)
+
+
+def sample_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders in ``root``, sorted: one listing of one folder."""
+    fs, path = _folder(spark, root)
+    names = (f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory())
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def discover_inputs(spark: SparkSession, root: str, strict: bool = True,
+                    samples: DataFrame | None = None) -> DataFrame:
+    """sample, path, length: per folder ``root/<sample>`` the first file (by
+    path) with a FASTQ suffix (.fastq, .fq, .fastq.gz, .fq.gz) among its direct
+    children; files deeper down (leftover splits) are not inputs.  Only file
+    metadata is read.  A folder without such a file, an empty one included, has
+    a NULL path; with ``strict`` (the default) that is an error naming up to
+    ten such folders, those of ``samples`` (sample) only if given."""
+    base = _folder(spark, root)[1].toString().rstrip("/") + "/"
+    names = spark.createDataFrame([(n,) for n in sample_folders(spark, root)], "sample string")
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(root).select("path", "length"))
-    base = root.rstrip("/")
-    rel = F.regexp_replace("path", r"^.*?" + _regex_escape(base.split("://")[-1]) + "/", "")
-    files = files.withColumn("sample", F.regexp_extract(rel, r"^([^/]+)/", 1))
-    is_fastq = F.col("path").rlike(r"\.(fastq|fq)(\.gz)?$")
-    first = F.min(F.when(is_fastq, F.struct("path", "length"))).alias("f")
-    out = (files.filter(F.col("sample") != "").groupBy("sample").agg(first)
-           .select("sample", "f.path", "f.length"))
+             .load(root).select("path", "length").filter(F.col("path").startswith(base)))
+    parts = F.split(F.substr("path", F.lit(len(base) + 1)), "/")
+    suffix = "(" + "|".join(re.escape(x) for x in FASTQ_SUFFIXES) + ")$"
+    first = (files.filter((F.size(parts) == 2) & F.col("path").rlike(suffix))
+             .groupBy(parts[0].alias("sample")).agg(F.min(F.struct("path", "length")).alias("f")))
+    out = names.join(first, "sample", "left").select("sample", "f.path", "f.length")
     if strict:
-        from seqtally.operators._util import collect_bounded
-        missing = collect_bounded(out.filter(F.col("path").isNull()).select("sample"), 10)
-        if missing is None or missing:
-            names = ", ".join(r.sample for r in (missing or []))
-            raise ValueError(f"sample folders without a FASTQ file: {names or 'more than 10'}")
+        missing = out.filter("path IS NULL").select("sample")
+        if samples is not None:
+            missing = missing.join(samples.select("sample").distinct(), "sample", "left_semi")
+        found = sorted(r.sample for r in missing.limit(11).collect())
+        if found:
+            more = " and more" if len(found) > 10 else ""
+            raise ValueError(f"sample folders without a FASTQ file: {', '.join(found[:10])}{more}")
     return out
-
-
-def _regex_escape(s: str) -> str:
-    import re
-    return re.escape(s)

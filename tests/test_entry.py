@@ -1,5 +1,7 @@
 """Driver contract: every registered query has an oracle, entry() runs."""
 
+import pytest
+
 import __spark_entry__ as E
 
 
@@ -43,6 +45,8 @@ def test_checkpoint_dir_fallback_without_cluster_setting():
             raise AssertionError("static setting must not be modified")
 
     class Context:
+        master = "local[4]"
+
         def __init__(self):
             self.dir = None
 
@@ -60,3 +64,19 @@ def test_checkpoint_dir_fallback_without_cluster_setting():
     d = checkpoint_dir(s)
     assert d and s.sparkContext.dir == d
     assert checkpoint_dir(s) == d
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        s.sparkContext = Context()
+        s.sparkContext.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(s)
+
+
+def test_staged_tables_can_be_removed(spark):
+    import os
+    from seqtally.operators._util import staged
+    from seqtally.session import remove_staged, scratch_root
+    staged(spark.range(3), "x")
+    root = scratch_root(spark).removeprefix("file:")
+    assert os.path.isdir(root)
+    remove_staged(spark)
+    assert not os.path.exists(root)

@@ -46,15 +46,11 @@ def test_full_record_source_every_split(spark, tmpdir_path, split):
 
 
 @pytest.mark.parametrize("max_bytes", [128, 1000, 1 << 20])
-def test_native_reader_every_split(spark, tmpdir_path, max_bytes):
+def test_reads_every_split(spark, tmpdir_path, max_bytes):
     recs = make_records(300, seed=3)
     p = f"{tmpdir_path}/S1/a.fastq"
     write(p, recs)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(max_bytes))
-    try:
-        got = read_fastq(spark, p).collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = read_fastq(spark, p, split_bytes=max_bytes).collect()
     want = sorted((h[1:].split(" ")[0], s) for h, s, _, _ in recs)
     assert sorted((r.read_id, r.sequence) for r in got) == want
     assert {r.sample for r in got} == {"S1"}
@@ -127,42 +123,61 @@ def test_manifest_from_paths_reads_no_content(spark, tmpdir_path):
     assert "content" not in plan.split("ReadSchema")[-1].split("\n")[0]
 
 
-def test_native_reader_fails_on_malformed_and_drop_mode(spark, tmpdir_path):
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        f.write(text)
+    return path
+
+
+def ids(df):
+    return sorted(r.read_id for r in df.collect())
+
+
+def test_malformed_records_fail_or_are_dropped(spark, tmpdir_path):
     good = make_records(20, seed=9)
-    p = f"{tmpdir_path}/S/bad.fastq"
     text = "".join(f"{h}\n{s}\n{q_}\n{q}\n" for h, s, q_, q in good[:10])
     text += "garbage line\nACGT\n+\nIIII\n"
     text += "".join(f"{h}\n{s}\n{q_}\n{q}\n" for h, s, q_, q in good[10:])
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    open(p, "w").write(text)
-    with pytest.raises(Exception, match="malformed FASTQ chunk"):
+    p = put(f"{tmpdir_path}/S/bad.fastq", text)
+    with pytest.raises(Exception, match="malformed FASTQ record: garbage line"):
         read_fastq(spark, p).collect()
     assert read_fastq(spark, p, mode="DROP").count() == 20
 
 
-def test_native_reader_rejects_named_spacers(spark, tmpdir_path):
-    p = f"{tmpdir_path}/S/named.fastq"
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    open(p, "w").write("@r1\nACGT\n+r1\nIIII\n@r2\nGGGG\n+r2\nIIII\n")
-    with pytest.raises(Exception, match="malformed FASTQ chunk"):
+@pytest.mark.parametrize("bad", ["@r2\nGGGG\n-\nIIII\n", "@r2\nGGGG\n", "@r2\nGGGG\n+\n", "@r2\n+\nII\n", "+\nIIII\n",
+                                 "@r2\nGGGG\n+\nII\n", "@r2\nGGGG\n+\n~~~~\n", "GGGG\n"])
+def test_drop_keeps_every_valid_record(spark, tmpdir_path, bad):
+    """Records with missing lines, other spacers, short or out-of-range
+    qualities: the reference rejects them, their neighbours stay."""
+    p = put(f"{tmpdir_path}/S/merged.fastq", "@r1\nACGT\n+\nIIII\n" + bad + "@r3\nTTTT\n+\nIIII\n@r4\nAAAA\n+r4\n@III\n")
+    assert ids(read_fastq(spark, p, mode="DROP")) == ["r1", "r3", "r4"]
+    with pytest.raises(Exception, match="malformed FASTQ record"):
         read_fastq(spark, p).collect()
-    assert read_fastq_full(spark, p).count() == 2
 
 
-def test_native_reader_without_trailing_newline(spark, tmpdir_path):
-    p = f"{tmpdir_path}/S/nonl.fastq"
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    open(p, "w").write("@r1\nACGT\n+\n@III\n@r2\nGGGG\n+\nIIII")
-    assert sorted(r.read_id for r in read_fastq(spark, p).collect()) == ["r1", "r2"]
+@pytest.mark.parametrize("split", [40, 1 << 20])
+def test_named_spacers_crlf_and_blank_lines(spark, tmpdir_path, split):
+    p = put(f"{tmpdir_path}/S/named.fastq", "@r1 d\r\nACGT\r\n+r1 d\r\n@III\r\n@r2\r\nGGGG\r\n+r2\r\nIIII\r\n\r\n@r3\r\nAC\r\n+\r\nII\r\n\r\n")
+    got = sorted((r.read_id, r.sequence) for r in read_fastq(spark, p, split_bytes=split).collect())
+    assert got == [("r1", "ACGT"), ("r2", "GGGG"), ("r3", "AC")]
 
 
-def test_native_reader_detects_merged_records(spark, tmpdir_path):
-    p = f"{tmpdir_path}/S/merged.fastq"
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    open(p, "w").write("@r1\nACGT\n+\nIIII\n@r2\nGGGG\n-\nIIII\n@r3\nTTTT\n+\nIIII\n")
-    with pytest.raises(Exception, match="malformed FASTQ chunk"):
-        read_fastq(spark, p).collect()
-    assert sorted(r.read_id for r in read_fastq(spark, p, mode="DROP").collect()) == ["r1"]
+def test_no_read_is_made_of_a_quality_line(spark, tmpdir_path):
+    p = put(f"{tmpdir_path}/S/nonl.fastq", "@r1\nACGT\n+\n@III\n@r2\nGGGG\n+\nIIII")
+    assert ids(read_fastq(spark, p)) == ["r1", "r2"]
+    p = put(f"{tmpdir_path}/T/cut.fastq", "@r1\nACG\n+\n@R2\n")
+    assert ids(read_fastq(spark, p)) == ["r1"]
+
+
+def test_read_keys_differ_between_scans(spark, tmpdir_path):
+    from conftest import library_df
+    from seqtally.plans.counting import barcode_counts
+    a = put(f"{tmpdir_path}/S/a.fastq", "@r1\nACGTA\n+\nIIIII\n")
+    b = put(f"{tmpdir_path}/x/S/b.fastq", "@r2\nACGTC\n+\nIIIII\n")
+    both = read_fastq(spark, a).unionByName(read_fastq(spark, b))
+    assert both.select("read_key").distinct().count() == 2
+    assert barcode_counts(both, library_df(spark, [("g", "ACGT")])).first().read_counts == 2
 
 
 def test_file_uri_paths(spark, tmpdir_path):

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import library_df, reads_df
-from seqtally.operators.counts import default_manifest, read_stats
-from seqtally.operators.match import assign_first_match, match_all
-from seqtally.plans.counting import barcode_counts
+from seqtally.functions.patterns import certain_run, plain_texts
+from seqtally.operators import _util, match
+from seqtally.operators.match import assign_first_match, match_all, matched_reads, read_outcomes
+from seqtally.plans.counting import barcode_counts, barcode_stats
 
 
 def counts(spark, reads, lib):
@@ -92,18 +93,28 @@ def test_regex_mixed_with_literal(spark):
 def test_empty_pool(spark):
     reads = spark.createDataFrame([], "sample string, read_key long, read_id string, sequence string")
     lib = library_df(spark, [("g", "ACGT")])
-    hits = assign_first_match(reads, lib)
-    assert hits.count() == 0
-    stats = read_stats(reads, hits, default_manifest(reads, "L"))
-    assert stats.count() == 0
+    assert assign_first_match(reads, lib).count() == 0
+    assert barcode_stats(reads, lib).count() == 0
+    assert barcode_counts(reads, lib).count() == 0
+    man = spark.createDataFrame([("S", "L")], "sample string, barcode_set string")
+    s = barcode_stats(reads, lib, man).first()
+    assert (s.sample, s.total_reads, s.detected_reads, s.detection_rate) == ("S", 0, 0, None)
 
 
 def test_stats_rate(spark):
     reads = reads_df(spark, [("a", "ACGTT"), ("b", "CCCC"), ("c", "GACGT"), ("d", "TT")])
+    s = barcode_stats(reads, library_df(spark, [("g", "ACGT")])).first()
+    assert (s.sample, s.barcode_set, s.total_reads, s.detected_reads, s.detection_rate) == ("S", "L", 4, 2, 0.5)
+
+
+def test_only_set_of_the_library(spark):
+    reads = reads_df(spark, [("a", "ACGTT")])
     lib = library_df(spark, [("g", "ACGT")])
-    hits = assign_first_match(reads, lib)
-    s = read_stats(reads, hits, default_manifest(reads, "L")).collect()[0]
-    assert (s.total_reads, s.detected_reads, s.detection_rate) == (4, 2, 0.5)
+    assert [(r.barcode_set, r.read_counts, r.rpm) for r in barcode_counts(reads, lib).collect()] == [("L", 1, 1e6)]
+    two = lib.unionByName(library_df(spark, [("h", "GGGG")], "M"))
+    with pytest.raises(ValueError, match="several"):
+        barcode_counts(reads, two)
+    assert [r.gene for r in barcode_counts(reads, two, barcode_set="M").collect()] == ["h"]
 
 
 def test_empty_barcode_rejected(spark):
@@ -151,15 +162,14 @@ def test_seed_join_plan_has_no_nested_loop(spark):
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
 
 
-@pytest.mark.parametrize("bound", [None, 30, 5])
+@pytest.mark.parametrize("bound", [None, 4000, 0])
 def test_long_barcodes_stepped_seeds(spark, monkeypatch, bound):
     """Barcodes of 14..30 nt (seed 12, step up to 3), planted in reads at
     random places, nested and overlapping; with a small broadcast bound the
-    step shrinks, and below it the index is joined without broadcast."""
-    from seqtally.operators import _util
+    step shrinks, and below it the index is joined by a shuffle."""
     from seqtally.operators.match import seed_lanes
     if bound is not None:
-        monkeypatch.setattr(_util, "BROADCAST_MAX_ROWS", bound)
+        monkeypatch.setattr(_util, "BROADCAST_BYTES", bound)
     rnd = random.Random(11)
     lib = []
     for i in range(10):
@@ -181,42 +191,131 @@ def test_long_barcodes_stepped_seeds(spark, monkeypatch, bound):
     assert got == loop_first_match(reads, lib)
 
 
-@pytest.mark.parametrize("lib", [
+@pytest.mark.parametrize("shape", ["short", "long", "mixed", "patterns"])
+def test_shuffled_index_gives_the_same_rows(spark, monkeypatch, shape):
+    """Every kind of library with an index that may not be broadcast."""
+    rnd = random.Random(21)
+    text = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    lib = {"short": [text(rnd.choice([2, 3, 5])) for _ in range(40)], "long": [text(20) for _ in range(9)],
+           "mixed": [text(rnd.choice([4, 5, 20, 26])) for _ in range(60)],
+           "patterns": ["AC.{3}" + text(9), "(ACGTA|TTTTT)G", text(8) + "[AG]T", text(9) + "A+" + text(3), text(12)]}[shape]
+    lib = library_df(spark, [(f"g{i}", b) for i, b in enumerate(lib)])
+    planted = [r.barcode for r in lib.collect() if r.barcode.isalpha()]
+    reads = reads_df(spark, [(f"r{i}", text(rnd.randrange(40)) + rnd.choice(planted or [""]) + text(rnd.randrange(20))) for i in range(200)]
+                     + [("p", "GGACAAATTTTTGAC"), ("e", "")])
+
+    def run():
+        return (sorted((r.read_key, r.ord) for r in match_all(reads, lib).collect()),
+                sorted((r.read_key, r.detected) for r in read_outcomes(reads, lib).collect()))
+    before = run()
+    monkeypatch.setattr(_util, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(match, "SHORT_INLINE_MAX", 0)
+    assert run() == before and len(before[1]) == 202
+
+
+def test_shuffled_seed_join_carries_a_window_not_the_read(spark, monkeypatch):
+    monkeypatch.setattr(_util, "BROADCAST_BYTES", 0)
+    reads = reads_df(spark, [("a", "ACGTACGTACGTACGTACGTGG" * 4)])
+    df = assign_first_match(reads, library_df(spark, [("g", "ACGTACGTACGTACGTACGT"), ("h", "T" * 24)]))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final and "NestedLoop" not in final
+    for line in final.splitlines():
+        if "Exchange hashpartitioning(h#" in line:
+            below = final.splitlines()[final.splitlines().index(line) + 1]
+            assert "piece#" in below and "sequence#" not in below.split("AS piece")[-1]
+
+
+LIBRARIES = [
     [("g", "ACGTACGTAA"), ("h", "TTTTTTTTTT")],                 # seeded only
-    [("g", "ACG"), ("h", "TTTTTTTTTT")],                        # inline short + seeded
-    [("g", "AC[GT]A"), ("h", "TTTTTTTTTT"), ("s", "GG")],      # regex + seeded + short
-    [("g", "AC[GT]A"), ("s", "GG")],                            # regex + short
-    [("g", "AC[GT]A"), ("r", "C{5}")],                          # regex only
-])
-def test_read_outcomes_one_pass(spark, lib):
-    from seqtally.operators.counts import outcome_stats
-    from seqtally.operators.match import flag_detected, read_outcomes
+    [("g", "ACG"), ("h", "TTTTTTTTTT")],                        # constants + seeded
+    [("g", "AC[GT]A"), ("h", "TTTTTTTTTT"), ("s", "GG")],      # pattern + seeded + short
+    [("g", "AC[GT]A"), ("s", "GG")],                            # pattern + short
+    [("g", "AC[GT]A"), ("r", "C{5}")],                          # patterns only
+    [("g", "(ACGTA|TTTT)")],                                    # a pattern without a certain run
+]
+
+
+@pytest.mark.parametrize("lib", LIBRARIES)
+@pytest.mark.parametrize("inline", [32, 0])
+def test_one_pass_sees_every_read_once(spark, monkeypatch, lib, inline):
+    """Short barcodes as constants or as seeds: the same rows."""
+    monkeypatch.setattr(match, "SHORT_INLINE_MAX", inline)
     reads = reads_df(spark, [("a", "CCACGTACGTAACC"), ("b", "TTTTTTTTTTTT"), ("c", "CC"),
                              ("d", ""), ("e", "ACTAGG"), ("f", "CCCCCCCCCCCCCCCC")])
     libdf = library_df(spark, lib)
     one = {(r.read_key, r.detected) for r in read_outcomes(reads, libdf).collect()}
-    two = {(r.read_key, r.detected) for r in
-           flag_detected(reads, assign_first_match(reads, libdf)).collect()}
-    assert one == two and len(one) == 6
-    s = outcome_stats(read_outcomes(reads, libdf)).first()
-    assert s.total_reads == 6 and s.detected_reads == sum(d for _, d in one)
-    from seqtally.operators.counts import default_manifest
-    from seqtally.operators.match import one_pass_stats
-    for man in (None, default_manifest(reads, "L")):
-        t = one_pass_stats(reads, libdf, man).first()
-        assert (t.total_reads, t.detected_reads) == (6, s.detected_reads)
-
-
-@pytest.mark.parametrize("lib2", [[("x", "TTTTTTTTTT")], [("x", "T{9}")], [("x", "TT")]])
-def test_one_pass_stats_two_sets_without_manifest(spark, lib2):
-    """A library with two barcode sets and no manifest: every read is still
-    counted once in the totals (one sentinel row per read)."""
-    from seqtally.operators.match import one_pass_stats, read_outcomes
-    reads = reads_df(spark, [("a", "CCACGTACGTAACC"), ("b", "TTTTTTTTTTTT"), ("c", "CC")])
-    lib = library_df(spark, [("g", "ACGTACGTAA")], "L1").unionByName(library_df(spark, lib2, "L2"))
-    rows = one_pass_stats(reads, lib).collect()
-    assert [(r.total_reads, r.detected_reads) for r in rows] == [(3, 2)]
-    assert read_outcomes(reads, lib).count() == 3
+    hit = {r.read_key for r in assign_first_match(reads, libdf).collect()}
+    assert one == {(k, k in hit) for k in range(6)}
+    found = matched_reads(reads, libdf).collect()
+    assert [r.n for r in found if r.ord is None] == [6]
+    assert {r.read_key for r in found if r.ord is not None} == hit
+    s = barcode_stats(reads, libdf).first()
+    assert (s.total_reads, s.detected_reads) == (6, len(hit))
+
+
+@pytest.mark.parametrize("set4", [[("x", "ACGT")], [("x", "ACGTACGTAA")], [("x", "AC[GT]T")]])
+def test_manifest_rows_without_set_or_reads(spark, set4):
+    """A listed set that the library lacks and a listed sample without reads
+    have their row, whatever the barcodes look like."""
+    reads = reads_df(spark, [("a", "CCACGTACGTAACC"), ("b", "TTTTTTTTTTTT")], sample="S")
+    man = spark.createDataFrame([("S", "L"), ("S", "NOPE"), ("T", "L")], "sample string, barcode_set string")
+    lib = library_df(spark, set4)
+    got = {(r.sample, r.barcode_set): (r.total_reads, r.detected_reads) for r in barcode_stats(reads, lib, man).collect()}
+    assert got == {("S", "L"): (2, 1), ("S", "NOPE"): (2, 0), ("T", "L"): (0, 0)}
+    filled = {(r.sample, r.barcode_set): (r.read_counts, r.rpm) for r in barcode_counts(reads, lib, man).collect()}
+    assert filled == {("S", "L"): (1, 1e6), ("T", "L"): (0, 0.0)}
+
+
+def test_rpm_is_within_each_run(spark):
+    reads = reads_df(spark, [("a", "AACGTT"), ("b", "AACGTC"), ("c", "AACGTG"), ("d", "GGGGTT")])
+    lib = library_df(spark, [("g", "ACGT")]).unionByName(library_df(spark, [("h", "GGGG")], "M"))
+    man = spark.createDataFrame([("S", "L"), ("S", "M")], "sample string, barcode_set string")
+    assert sorted((r.gene, r.read_counts, r.rpm) for r in barcode_counts(reads, lib, man).collect()) == [
+        ("g", 3, 1e6), ("h", 1, 1e6)]
+
+
+def test_ten_thousand_manifest_rows(spark):
+    reads = reads_df(spark, [("a", "AACGTT")], sample="s7")
+    lib = library_df(spark, [("g", "ACGT")])
+    man = spark.range(10_001).selectExpr("concat('s', id) AS sample", "'L' AS barcode_set")
+    got = barcode_counts(reads, lib, man)
+    assert got.count() == 10_001 and got.filter("read_counts > 0").first().sample == "s7"
+    assert barcode_stats(reads, lib, man).count() == 10_001
+
+
+def test_patterns():
+    assert plain_texts("AC[GT]A") == ["ACGA", "ACTA"]
+    assert plain_texts("A{2}[C-D]") == ["AAC", "AAD"]
+    assert plain_texts("A.C") is None and plain_texts("AB?") is None and plain_texts("(A|C)") is None
+    assert plain_texts("[ACGT]" * 5) is None
+    assert certain_run("AC.GTTA") == "GTTA" and certain_run("ACG+TTT") == "GTTT"
+    assert certain_run("AC?GGG") == "GGG" and certain_run("(ACGT|A)CC") == "" and certain_run("A{2,3}C") == "AAC"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_patterns_match_python_re(spark, seed):
+    import re
+    rnd = random.Random(seed)
+    text = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    piece = lambda: rnd.choice([text(2), text(5), "[AC]", "[A-G]", ".", "G+", "T?", "A{2}", "C{1,2}", "(AC|GT)", "."])
+    lib = [(f"g{i}", "".join(piece() for _ in range(rnd.randint(2, 4)))) for i in range(60)]
+    libdf = library_df(spark, lib)
+    kept = {r.ord: r.barcode for r in libdf.collect()}
+    reads = [(f"r{i}", text(rnd.randrange(50))) for i in range(150)]
+    got = {(r.read_key, r.ord) for r in match_all(reads_df(spark, reads), libdf).collect()}
+    assert got == {(k, o) for k, (_, s) in enumerate(reads) for o, b in kept.items() if re.search(b, s)}
+
+
+def test_many_patterns_need_no_nested_loop(spark, monkeypatch):
+    monkeypatch.setattr(match, "PATTERN_BLOCK", 2)
+    lib = library_df(spark, [(f"g{i}", p) for i, p in enumerate(["(A|C)G", "T?T?G", "AC.GT", "G[AC]T", "(AA|TT)", ".C."])])
+    df = match_all(reads_df(spark, [("a", "ACGGT"), ("b", "TTTT"), ("c", "")]), lib)
+    got = {(r.read_key, r.ord) for r in df.collect()}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert got == {(0, 0), (0, 1), (0, 2), (0, 5), (1, 4)}
 
 
 def test_ignore_case_option(spark):
@@ -227,19 +326,15 @@ def test_ignore_case_option(spark):
 
 
 def test_manifest_with_incomplete_rows(spark):
-    from seqtally.plans.counting import count_manifest
     reads = reads_df(spark, [("a", "AACGTT")], sample="S1")
     lib = library_df(spark, [("g", "ACGT")])
     man = spark.createDataFrame([("S1", "L"), ("S1", None), (None, "L")],
                                 "sample string, barcode_set string")
-    got = [(r.sample, r.barcode_set, r.read_counts) for r in count_manifest(reads, man, lib).collect()]
+    got = [(r.sample, r.barcode_set, r.read_counts) for r in barcode_counts(reads, lib, man).collect()]
     assert got == [("S1", "L", 1)]
 
 
-def test_large_manifest_join_paths(spark, monkeypatch):
-    """Manifests over the inline bound go through joins; same results."""
-    from seqtally.operators import counts as C
-    from seqtally.plans.counting import count_manifest
+def test_every_join_shuffled(spark, monkeypatch):
     reads = reads_df(spark, [("a", "AACGTT"), ("b", "GGGGTT")], sample="S1").unionByName(
         reads_df(spark, [("c", "ACGTAA")], sample="S2"))
     lib = library_df(spark, [("g", "ACGT"), ("h", "GGGG")]).unionByName(
@@ -249,14 +344,11 @@ def test_large_manifest_join_paths(spark, monkeypatch):
 
     def run():
         return sorted((r.sample, r.barcode_set, r.gene, r.read_counts, r.rpm)
-                      for r in count_manifest(reads, man, lib).collect())
-    inline = run()
-    monkeypatch.setattr(C, "MANIFEST_INLINE_MAX", 1)
-    assert run() == inline
-    from seqtally.operators import _util
-    monkeypatch.setattr(_util, "BROADCAST_MAX_ROWS", 0)    # every join shuffled
-    assert run() == inline
-    assert ("S1", "M", "t", 2, 1e6) in inline and ("S2", "L", "h", 0, 0.0) in inline
+                      for r in barcode_counts(reads, lib, man).collect())
+    before = run()
+    monkeypatch.setattr(_util, "BROADCAST_BYTES", 0)
+    assert run() == before
+    assert ("S1", "M", "t", 2, 1e6) in before and ("S2", "L", "h", 0, 0.0) in before
 
 
 @pytest.mark.parametrize("seed", [5, 6])
@@ -265,7 +357,6 @@ def test_manifest_sets_match_python_loop(spark, seed):
     one or both sets: per (sample, set) counts equal the reference loop run
     for that sample against that set's library."""
     import re as _re
-    from seqtally.plans.counting import count_manifest
     rnd = random.Random(seed)
     nt = "ACGT"
     sets = {}
@@ -288,7 +379,7 @@ def test_manifest_sets_match_python_loop(spark, seed):
     man = spark.createDataFrame([(s, b) for s, bs in samples.items() for b in bs],
                                 "sample string, barcode_set string")
     got = {(r.sample, r.barcode_set, r.gene): r.read_counts
-           for r in count_manifest(rdf, man, lib).collect()}
+           for r in barcode_counts(rdf, lib, man).collect()}
 
     def loop(rs, library):
         seen, order = set(), []

@@ -64,7 +64,8 @@ def test_compare_chain(spark):
     dst = spark.createDataFrame([("a", 10.0), ("c", 30.0), ("c", 31.0)], "key string, value double")
     j = compare_counts(src, dst)
     rows = sorted([(r.key, r.focused, r.whole) for r in j.collect()], key=str)
-    assert rows == [("a", 1.0, 10.0), ("b", 2.0, None), ("c", 3.0, 30.0), ("c", 4.0, 31.0)]
+    assert rows == [("a", 1.0, 10.0), ("b", 2.0, None), ("c", 3.0, 30.0), ("c", 3.0, 31.0),
+                    ("c", 4.0, 30.0), ("c", 4.0, 31.0)]
     uniq = compare_counts(src.filter("value < 4"), dst.filter("value < 31"))
     assert sorted((r.key, r.focused, r.whole) for r in uniq.collect()) == [
         ("a", 1.0, 10.0), ("b", 2.0, None), ("c", 3.0, 30.0)]
@@ -110,7 +111,7 @@ def test_pair_mates_repeated_ids_pair_by_occurrence(spark):
     r1 = spark.createDataFrame([("S", "d", 1, "A1"), ("S", "d", 5, "A2"), ("S", "d", 9, "A3"),
                                 ("S", "u", 2, "U1")], cols)
     r2 = spark.createDataFrame([("S", "d", 3, "B1"), ("S", "d", 4, "B2"), ("S", "u", 7, "V1")], cols)
-    got = sorted((r.read_id, r.sequence_1, r.sequence_2) for r in pair_mates(r1, r2).collect())
+    got = sorted((r.read_id, r.sequence_1, r.sequence_2) for r in pair_mates(r1, r2, by_occurrence=True).collect())
     assert got == [("d", "A1", "B1"), ("d", "A2", "B2"), ("u", "U1", "V1")]
 
 
@@ -144,7 +145,8 @@ def test_key_values_and_discover(spark, tmpdir_path):
         f.write("a:1\nb:2.5\n")
     assert [(r.key, r.value) for r in read_key_values(spark, p).collect()] == [("a", 1.0), ("b", 2.5)]
     root = f"{tmpdir_path}/in"
-    for s, names in {"s1": ["b.fastq", "a.fq.gz", "x.txt"], "s2": ["z.fq"], "s3": ["n.txt"]}.items():
+    for s, names in {"s1": ["b.fastq", "a.fq.gz", "x.txt"], "s2": ["z.fq"], "s3": ["n.txt"], "s4": [],
+                     "s1/Split_files": ["a.fastq"], "s3/deeper": ["nested.fastq"]}.items():
         os.makedirs(f"{root}/{s}")
         for n in names:
             open(f"{root}/{s}/{n}", "w").write("x")
@@ -152,7 +154,11 @@ def test_key_values_and_discover(spark, tmpdir_path):
         discover_inputs(spark, root)
     got = {r.sample: r.path and os.path.basename(r.path)
            for r in discover_inputs(spark, root, strict=False).collect()}
-    assert got == {"s1": "a.fq.gz", "s2": "z.fq", "s3": None}
+    assert got == {"s1": "a.fq.gz", "s2": "z.fq", "s3": None, "s4": None}
+    only = spark.createDataFrame([("s1",), ("s2",), ("absent",)], "sample string")
+    assert discover_inputs(spark, root, samples=only).count() == 4
+    with pytest.raises(ValueError, match="s4"):
+        discover_inputs(spark, root, samples=spark.createDataFrame([("s4",)], "sample string"))
 
 
 def test_sinks(spark, tmpdir_path):
@@ -175,18 +181,36 @@ def test_sinks(spark, tmpdir_path):
     assert got == [("0", "AA"), ("1", "TT")]
 
 
-def test_count_reads_and_stats_without_manifest(spark):
-    from seqtally.operators.counts import count_reads, read_stats
+def test_ids_and_chunks(spark):
+    from seqtally.operators.counts import chunk_counts, fractional_counts, ids_by_barcode
     from seqtally.operators.match import assign_first_match
-    reads = reads_df(spark, [("a", "AACGTT"), ("b", "GGGG"), ("c", "TTTT")])
+    reads = reads_df(spark, [("a", "AACGTT"), ("b", "GGGG"), ("c", "TTTT"), ("d", "ACGT")])
     lib = library_df(spark, [("g", "ACGT"), ("h", "GGGG"), ("z", "CCCC")])
     hits = assign_first_match(reads, lib, carry=("read_id",))
-    got = sorted((r.gene, r.read_counts) for r in count_reads(hits, lib).collect())
-    assert got == [("g", 1), ("h", 1), ("z", 0)]
-    ids = sorted((r.gene, r.ids) for r in count_reads(hits, lib, with_ids=True).collect())
-    assert ids == [("g", ["a"]), ("h", ["b"])]
-    s = read_stats(reads, hits).first()
-    assert (s.total_reads, s.detected_reads) == (3, 2)
+    assert sorted((r.chunk, r.gene, r.ids) for r in chunk_counts(hits, lib, 2).collect()) == [
+        (0, "g", ["a"]), (0, "h", ["b"]), (1, "g", ["d"])]
+    assert sorted((r.gene, r.ids) for r in chunk_counts(hits, lib).collect()) == [("g", ["a", "d"]), ("h", ["b"])]
+    assert sorted((r.read_id, r.gene) for r in ids_by_barcode(hits, lib).collect()) == [("a", "g"), ("b", "h"), ("d", "g")]
+    assert {r.share for r in fractional_counts(hits, lib).collect()} == {1.0}
+
+
+def test_orphans_are_listed_as_often_as_they_occur(spark):
+    cols = "sample string, read_id string"
+    r1 = spark.createDataFrame([("S", "x"), ("S", "x"), ("S", "y"), ("S", None)], cols)
+    r2 = spark.createDataFrame([("S", "y"), ("S", "z")], cols)
+    df = orphan_mates(r1, r2)
+    assert sorted((r.side, str(r.read_id)) for r in df.collect()) == [("R1", "None"), ("R1", "x"), ("R1", "x"), ("R2", "z")]
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sample_counts_without_a_join(spark):
+    from seqtally.operators.records import sample_counts
+    m = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "sample string")
+    i = spark.createDataFrame([("b",), ("c",), ("c",)], "sample string")
+    df = sample_counts(m, i)
+    assert tuple(df.first()) == (4, 2, 2)
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+    assert tuple(sample_counts(m.limit(0), i.limit(0)).first()) == (0, 0, 0)
 
 
 def test_stats_and_flank_text_sinks(spark, tmpdir_path):
@@ -234,8 +258,11 @@ def test_text_lines_and_line_counts_sink(spark, tmpdir_path):
     from seqtally.sources.text import read_barcode_list, read_text_lines
     p = f"{tmpdir_path}/t.txt"
     open(p, "w").write("ACGT\nGGGG\n")
-    lines = read_text_lines(spark, p, max_partition_bytes=4)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    lines = read_text_lines(spark, p, block_bytes=4)
     assert sorted(r.value for r in lines.collect()) == ["ACGT", "GGGG"]
+    assert lines.rdd.getNumPartitions() == 3 and read_text_lines(spark, p).rdd.getNumPartitions() == 1
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     write_line_counts_csv(spark.createDataFrame([("g", 3)], "name string, n long"),
                           f"{tmpdir_path}/lc")
     assert [tuple(r) for r in spark.read.csv(f"{tmpdir_path}/lc").collect()] == [("g", "3")]
@@ -264,7 +291,7 @@ def test_fallbacks_without_broadcast(spark, monkeypatch):
                 sorted((r.read_id, r.sample) for r in routed.collect()),
                 sorted((r.gene, r.read_counts) for r in genes.collect()))
     before = run()
-    monkeypatch.setattr(_util, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(_util, "BROADCAST_BYTES", 0)
     assert run() == before
     assert before[0] == [("r193", "F3"), ("r194", "F3"), ("r268", "F2"), ("r277", "F1")]
 
