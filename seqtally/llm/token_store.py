@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from seqtally.llm._bpe import IdCache, WordTokenizer
 from seqtally.llm._files import filesystem, new_folder, own_name, staged
+from seqtally.llm._sample import hashed_sample
 from seqtally.llm._words import pieces
 
 MAGIC = b"SQTOK1\0\0"
@@ -42,7 +43,7 @@ _HEAD = struct.Struct("<8sB32s")
 _TAIL = struct.Struct("<QQ8s")
 #: A task starts another shard beyond so many bytes of frames.
 SHARD_BYTES = 256 << 20
-#: The dictionary's sample: so many documents of at most so many characters.
+#: The dictionary's sample: about so many documents of at most so many characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 1000, 8192
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
@@ -70,12 +71,12 @@ def _encode(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> bytes:
-    """A dictionary trained on the id arrays of ``SAMPLE_DOCS`` short documents
-    (a bounded sample, picked by a hash of the id); empty where there are too
+    """A dictionary trained on the id arrays of about ``SAMPLE_DOCS`` short
+    documents (a bounded sample, picked by a hash); empty where there are too
     few to train on."""
     import zstandard
-    sample = (docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS))
-              .orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS).collect())
+    short = docs.select("doc_id", "text").filter(F.length("text").between(1, SAMPLE_CHARS))
+    sample = sorted(hashed_sample(short, SAMPLE_DOCS, "doc_id", "text").collect(), key=lambda r: r.text)
     arrays = []
     for row in sample:
         ids, _ = _encode([row.text], tokenizer)
