@@ -66,7 +66,8 @@ MAPPINGS = (
             fields=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
     Mapping("question and answer", fields=(("user", "question"), ("assistant", "answer"))),
 )
-#: Canonical names of roles that layouts spell differently.
+#: Canonical names of roles that layouts spell differently (turn rows are
+#: canonical already, their roles stay as they are).
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -105,7 +106,7 @@ def to_turns(df: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     if m.rows:
         return df.select("conv_id", F.col("turn").cast("long").alias("turn"),
-                         _role(F.col(m.role)).alias("role"), text(m.text).alias("text"))
+                         text(m.role).alias("role"), text(m.text).alias("text"))
     if m.turns:
         each = df.select("conv_id", F.posexplode(m.turns).alias("turn", "t"))
         return each.select("conv_id", F.col("turn").cast("long").alias("turn"),

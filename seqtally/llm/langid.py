@@ -78,12 +78,12 @@ class _Text:
         ends = 1 + np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
         self.bounds = np.concatenate(([1], ends))
         kind = _letters()[self.codes]
-        inside = kind > 0
-        inside[1:] &= (kind[1:] == 2) | inside[:-1]
+        place = np.arange(len(kind))
+        letter = np.maximum.accumulate(np.where(kind == 2, place, -1))
+        other = np.maximum.accumulate(np.where(kind == 0, place, -1))
+        inside = (kind > 0) & (letter > other)
         edge = np.flatnonzero(np.diff(inside.astype(np.int8)))
         self.starts, self.ends = edge[::2] + 1, edge[1::2] + 1
-        real = kind[self.starts] == 2 if len(self.starts) else np.zeros(0, bool)
-        self.starts, self.ends = self.starts[real], self.ends[real]
         self.first = np.searchsorted(self.starts, self.bounds)
         self.inside = inside
 

@@ -83,6 +83,12 @@ def test_mixed_language_spans(spark):
     assert abs(spans[0][1]["start"] - len(pick["en"]) - 1) < 40
 
 
+def test_words_are_runs_that_begin_with_a_letter():
+    text = langid._Text(["\u0301\u0301a\u0301b c1d", "", "\u0301 2", "É", "\U0001f600x"])
+    words = ["".join(map(chr, text.codes[a:b])) for a, b in zip(text.starts, text.ends)]
+    assert words == ["a\u0301b", "c", "d", "é", "x"] and text.first.tolist() == [0, 3, 3, 3, 4, 5]
+
+
 def test_viterbi_matches_all_paths():
     import itertools
     rng = np.random.default_rng(1)
