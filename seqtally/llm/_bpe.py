@@ -166,7 +166,7 @@ class IdCache:
     def numbers(self, words: list[str]) -> np.ndarray:
         if len(self.number) + len(words) > self.limit:
             self.clear()
-        new = [w for w in words if w not in self.number]
+        new = list(dict.fromkeys(w for w in words if w not in self.number))
         if new:
             ids, lengths = self.tokenizer.encode_words(new)
             at = len(self.number)

@@ -12,9 +12,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at once by a task (a longer text is a piece of its own).
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 #: Bytes hashed at once, cut between words.
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 
 _U = np.uint64
 #: Word separators: space and the bytes 0x09-0x0D.

@@ -2,14 +2,16 @@
 
 Documents are split into words chunk by chunk (a chunk is a run of documents of
 ``CHUNK_CHARS`` characters); a chunk keeps its distinct words once and each
-document as word numbers.  The chunks' distinct words are dealt out by word, so
-that every distinct word of the corpus is encoded in one place, and the ids go
-back to the chunks, where they are joined to the documents by position.  What
-is shuffled are distinct words per chunk, never word positions or texts: a word
-that makes up a third of all positions costs one row per chunk.  The chunk
-table is bucketed by chunk, so it is written once and never shuffled.
+document as word numbers.  A chunk's words are dealt out by a hash of the word,
+one compressed row for each range of the hash, so that every distinct word of
+the corpus is encoded in one place; the ids go back to the chunks in the same
+order and are joined to the documents by position.  What is shuffled are
+distinct words per chunk, never word positions or texts: a word that makes up a
+third of all positions costs one entry per chunk.  The chunk table is bucketed
+by chunk, so it is written once and never shuffled.
 
-Decoding joins ids to pieces with the vocabulary, whose size is fixed.
+Decoding joins ids to pieces with the vocabulary, whose size is fixed; pieces
+are separated by blanks, as the library decodes a tokenizer without a decoder.
 
 Defined results: a null or empty text has no ids and decodes to the empty
 string; null and repeated doc_ids are kept row by row; further columns are
@@ -17,39 +19,42 @@ ignored; a text longer than a chunk is a chunk of its own."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.llm._bpe import IdCache, WordTokenizer, load, take_runs
+from seqtally.llm._bpe import WordTokenizer, load, take_runs
 from seqtally.llm._files import bucket_count, staged_buckets
+from seqtally.llm._planes import pack, unpack
 from seqtally.llm._words import pieces
 
 #: Characters of text in a chunk; bounds what a task holds at once.
 CHUNK_CHARS = 12 << 20
 
-CHUNKS = "chunk long, doc_id long, low binary, mid binary, high binary, words array<string>"
-_CHUNKS = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("low", pa.binary()),
-                     ("mid", pa.binary()), ("high", pa.binary()), ("words", pa.list_(pa.string()))])
-_ENCODED = pa.schema([("chunk", pa.int64()), ("idx", pa.binary()), ("lengths", pa.binary()), ("ids", pa.binary())])
-_IDS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+_CHUNKS = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("low", pa.binary()),
+                     ("mid", pa.binary()), ("high", pa.binary()), ("words", pa.binary()), ("places", pa.binary())])
+CHUNKS = ("chunk long, part long, doc_id long, low binary, mid binary, high binary, words binary, places binary")
+_ENCODED = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("ids", pa.binary())])
+_DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
-_workers: dict[str, IdCache] = {}
+_workers: dict[str, WordTokenizer] = {}
 
 
-def _cache(path: str) -> IdCache:
+def _tokenizer(path: str) -> WordTokenizer:
     if path not in _workers:
-        _workers[path] = IdCache(WordTokenizer(path))
+        _workers[path] = WordTokenizer(path)
     return _workers[path]
 
 
 class _Chunk:
     """Documents as word numbers, and the chunk's distinct words."""
 
-    def __init__(self, number: int):
-        self.number, self.chars = number, 0
+    def __init__(self, number: int, parts: int):
+        self.number, self.parts, self.chars = number, parts, 0
         self.words: dict[str, int] = {}
         self.ids, self.refs = [], []
 
@@ -60,8 +65,9 @@ class _Chunk:
         self.refs += [ref[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
     def batches(self):
-        """Documents, then the words row; frequent words get small numbers, so
-        that the three byte planes of the numbers compress well."""
+        """Documents, then a row for each range with its words in order and
+        their numbers.  Frequent words get small numbers, so that the three
+        byte planes of the documents' numbers compress well."""
         if not self.ids:
             return
         uses = np.bincount(np.concatenate(self.refs), minlength=len(self.words))
@@ -71,108 +77,138 @@ class _Chunk:
         for i in range(0, len(self.ids), 500):
             planes = [rank[r].astype("<u4").view(np.uint8).reshape(-1, 4) for r in self.refs[i:i + 500]]
             n = len(planes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([self.number] * n, pa.int64()), pa.array(self.ids[i:i + n], pa.int64()),
-                 *(pa.array([p[:, k].tobytes() for p in planes], pa.binary()) for k in range(3)),
-                 pa.nulls(n, pa.list_(pa.string()))], schema=_CHUNKS)
-        names = list(self.words)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([self.number], pa.int64()), *(pa.nulls(1, t) for t in _CHUNKS.types[1:5]),
-             pa.array([[names[i] for i in order]], pa.list_(pa.string()))], schema=_CHUNKS)
+            yield self._rows(n, doc_id=self.ids[i:i + n], **{
+                name: [p[:, k].tobytes() for p in planes] for k, name in enumerate(("low", "mid", "high"))})
+        self.ids, self.refs = [], []
+        dealt: dict[int, list[str]] = {}
+        for word in self.words:
+            dealt.setdefault(zlib.crc32(word.encode()) % self.parts, []).append(word)
+        import zstandard
+        press = zstandard.ZstdCompressor(level=3)
+        for part, words in dealt.items():
+            words.sort()
+            places = rank[np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))]
+            yield self._rows(1, part=[part], words=[press.compress("\n".join(words).encode())], places=[pack((places, 4))])
+
+    def _rows(self, n: int, **columns) -> pa.RecordBatch:
+        columns["chunk"] = [self.number] * n
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(f.name, [None] * n), f.type) for f in _CHUNKS], schema=_CHUNKS)
 
 
 def chunk_table(docs: DataFrame, tokenizer: str) -> DataFrame:
     """The chunks of ``docs`` (doc_id, text), bucketed by chunk."""
+    parts = bucket_count(docs)
+
     def run(batches):
-        split = _cache(tokenizer).tokenizer.split
+        split = _tokenizer(tokenizer).split
         number = TaskContext.get().partitionId() << 32
-        chunk = _Chunk(number)
+        chunk = _Chunk(number, parts)
         for batch in batches:
             for part in pieces(batch):
                 texts = [t or "" for t in part.column("text").to_pylist()]
-                if chunk.chars + sum(map(len, texts)) > CHUNK_CHARS and chunk.ids:
+                size = sum(map(len, texts))
+                if chunk.chars + size > CHUNK_CHARS and chunk.ids:
                     yield from chunk.batches()
                     number += 1
-                    chunk = _Chunk(number)
-                chunk.chars += sum(map(len, texts))
+                    chunk = _Chunk(number, parts)
+                chunk.chars += size
                 chunk.add(part.column("doc_id").cast(pa.int64()).to_pylist(), *split(texts))
         yield from chunk.batches()
-    docs = docs.select("doc_id", "text")
-    return staged_buckets(docs.mapInArrow(run, CHUNKS), "bpe-chunks", "chunk", bucket_count(docs))
+    return staged_buckets(docs.select("doc_id", "text").mapInArrow(run, CHUNKS), "bpe-chunks", "chunk", parts)
 
 
 def encode_words(chunks: DataFrame, tokenizer: str) -> DataFrame:
-    """Ids of the chunks' distinct words; every word is dealt to one task, so
-    each is encoded once.  Rows hold the words of one chunk in a batch."""
-    def run(batches):
-        cache = _cache(tokenizer)
-        for batch in batches:
-            chunk = batch.column("chunk").to_numpy()
-            order = np.argsort(chunk, kind="stable")
-            numbers = cache.numbers(batch.column("word").to_pylist())[order]
-            ids, bounds = cache.ids(numbers)
-            idx, chunk = batch.column("idx").to_numpy()[order].astype("<u4"), chunk[order]
-            first = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
-            cuts = list(zip(first, np.append(first[1:], len(chunk))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(chunk[first]), pa.array([idx[a:b].tobytes() for a, b in cuts], pa.binary()),
-                 pa.array([np.diff(bounds[a:b + 1]).astype("<u2").tobytes() for a, b in cuts], pa.binary()),
-                 pa.array([ids[bounds[a]:bounds[b]].astype("<u4").tobytes() for a, b in cuts], pa.binary())],
-                schema=_ENCODED)
-    words = (chunks.filter("words IS NOT NULL")
-             .select("chunk", F.posexplode("words").alias("idx", "word")))
-    return (words.repartition("word")
-            .mapInArrow(run, "chunk long, idx binary, lengths binary, ids binary"))
-
-
-def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id and ``ids`` (little-endian unsigned 32-bit) of every document."""
+    """For each chunk and range, the ids of its words in their order.  All
+    chunks' words of a range meet in one task, and each is encoded once."""
+    def run(key, table):
+        import zstandard
+        unpress = zstandard.ZstdDecompressor()
+        number: dict[str, int] = {}
+        own = []
+        for data in table.column("words").to_pylist():
+            words = unpress.decompress(data).decode().split("\n")
+            own.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
+        flat, lengths = _tokenizer(tokenizer).encode_words(list(number))
+        bounds = np.concatenate(([0], np.cumsum(lengths)))
+        packed = [pack((lengths[which], 4), (take_runs(flat, bounds, which)[0], 4)) for which in own]
+        return pa.Table.from_arrays([table.column("chunk"), table.column("part"), pa.array(packed, pa.binary())], schema=_ENCODED)
+    words = chunks.filter("words IS NOT NULL").select("chunk", "part", "words")
+    return words.groupBy("part").applyInArrow(run, "chunk long, part long, ids binary")
+
+
+def vocabulary(tokenizer: str) -> list[str]:
+    """The piece of each id."""
+    known = load(tokenizer).get_vocab(with_added_tokens=True)
+    piece = [""] * (max(known.values()) + 1)
+    for text, i in known.items():
+        piece[i] = text
+    return piece
+
+
+def decode(ids: np.ndarray, piece: list[str]) -> str:
+    return " ".join(map(piece.__getitem__, ids.tolist()))
+
+
+def encode_documents(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataFrame:
+    """doc_id, ``ids`` (little-endian unsigned 32-bit) and, if asked for,
+    ``decoded``: the text that the ids are decoded to (else null)."""
     chunks = chunk_table(docs, tokenizer)
+    piece = vocabulary(tokenizer) if decoded else None
 
     def join(left, right):
-        def joined(column, kind):
-            return np.frombuffer(b"".join(right.column(column).to_pylist()), kind)
-        idx, lengths, ids = joined("idx", "<u4"), joined("lengths", "<u2").astype(np.int64), joined("ids", "<u4")
-        begins = np.cumsum(lengths) - lengths
-        size = int(idx.max()) + 1 if len(idx) else 0
-        start, count = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        start[idx], count[idx] = begins, lengths
-        order = np.argsort(idx)
-        flat, bounds = take_runs(ids, np.append(begins, len(ids)), order)
-        out = []
-        for lo, mid, hi in zip(*(left.column(c).to_pylist() for c in ("low", "mid", "high"))):
-            planes = [np.frombuffer(x, np.uint8).astype(np.int64) for x in (lo, mid, hi)]
-            ref = planes[0] | planes[1] << 8 | planes[2] << 16
-            out.append(take_runs(flat, bounds, ref)[0].tobytes() if len(ref) else b"")
-        return pa.Table.from_arrays([left.column("doc_id"), pa.array(out, pa.binary())], schema=_IDS)
-
-    rows = chunks.filter("words IS NULL").select("chunk", "doc_id", "low", "mid", "high")
-    return (rows.groupBy("chunk").cogroup(encode_words(chunks, tokenizer).groupBy("chunk"))
-            .applyInArrow(join, "doc_id long, ids binary"))
+        lists = left.column("places").to_pylist()
+        places = {p: unpack(x, 4)[0].astype(np.int64) for p, x in zip(left.column("part").to_pylist(), lists) if x is not None}
+        size = sum(map(len, places.values()))
+        start, count, flat, at = np.zeros(size, np.int64), np.zeros(size, np.int64), [], 0
+        for p, data in zip(right.column("part").to_pylist(), right.column("ids").to_pylist()):
+            lengths, ids = unpack(data, 4, 4)
+            lengths = lengths.astype(np.int64)
+            start[places[p]], count[places[p]] = at + np.cumsum(lengths) - lengths, lengths
+            flat.append(ids.astype("<u4"))
+            at += len(ids)
+        order = np.cumsum(count) - count
+        ids = np.concatenate(flat) if flat else np.empty(0, "<u4")
+        ids = ids[np.arange(at) + np.repeat(start - order, count)]
+        bounds = np.append(order, at)
+        out, found = [], []
+        for doc, lo, mid, hi in zip(*(left.column(c).to_pylist() for c in ("doc_id", "low", "mid", "high"))):
+            if lo is None:
+                continue
+            ref = (np.frombuffer(lo, np.uint8).astype(np.int64) | np.frombuffer(mid, np.uint8).astype(np.int64) << 8
+                   | np.frombuffer(hi, np.uint8).astype(np.int64) << 16)
+            own = take_runs(ids, bounds, ref)[0]
+            found.append((doc, own.tobytes(), decode(own, piece) if piece else None))
+            if len(found) >= 200:
+                out.append(_documents(found))
+                found = []
+        return pa.Table.from_batches([*out, _documents(found)])
+    return (chunks.drop("words").groupBy("chunk").cogroup(encode_words(chunks, tokenizer).groupBy("chunk"))
+            .applyInArrow(join, "doc_id long, ids binary, decoded string"))
+
+
+def _documents(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else ([], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _DOCUMENTS)], schema=_DOCUMENTS)
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """``encoded`` with ``decoded``: every id joined to its piece, as the
-    library decodes without skipping special tokens.  The vocabulary is loaded
-    by each worker; its size does not depend on the data."""
+    """doc_id, ids and ``decoded`` of a table of ids (little-endian unsigned
+    32-bit) from any source."""
+    piece = vocabulary(tokenizer)
+
     def run(batches):
-        vocabulary = load(tokenizer).get_vocab(with_added_tokens=True)
-        piece = [""] * (max(vocabulary.values()) + 1)
-        for text, i in vocabulary.items():
-            piece[i] = text
         for batch in batches:
             for part in pieces(batch, "ids"):
-                text = [" ".join(map(piece.__getitem__, np.frombuffer(b, "<u4").tolist()))
-                        for b in part.column("ids").to_pylist()]
+                text = [decode(np.frombuffer(b or b"", "<u4"), piece) for b in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())],
                                                  names=[*part.schema.names, "decoded"])
-    return encoded.mapInArrow(run, "doc_id long, ids binary, decoded string")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded string")
 
 
 def bpe_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Encode and decode every document: doc_id, n_tokens and the digests of
     its ids and of its decoded text."""
-    both = decode_documents(encode_documents(docs, tokenizer), tokenizer)
+    both = encode_documents(docs, tokenizer, decoded=True)
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.llm._files import bucket_count, staged_buckets
+from seqtally.llm._planes import pack_sorted, unpack_sorted
 from seqtally.llm._words import Words, pieces, rolling
 
 #: Words in a window, and in a block of the anchor grid.
@@ -76,38 +77,6 @@ def _ranges(chunks: DataFrame) -> int:
     return max(1, max(total // RANGE_BYTES, least - 1).bit_length())
 
 
-# --- sorted hashes as bytes ---------------------------------------------------
-
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """Bytes of the values by significance, which compress well."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _unplanes(data, n: int, width: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, n).T
-    return out.view("<u8").ravel()
-
-
-def _pack(sorted_keys: np.ndarray, *columns: tuple[np.ndarray, int]) -> bytes:
-    """A count, the keys' differences, and further columns of given widths."""
-    import zstandard
-    raw = _planes(np.diff(sorted_keys, prepend=np.uint64(0)), 8)
-    raw += b"".join(_planes(c, w) for c, w in columns)
-    return len(sorted_keys).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(raw)
-
-
-def _unpack(data: bytes, *widths: int) -> list[np.ndarray]:
-    import zstandard
-    n = int.from_bytes(data[:8], "little")
-    raw = zstandard.ZstdDecompressor().decompress(data[8:])
-    out, at = [np.cumsum(_unplanes(raw[:8 * n], n, 8), dtype=np.uint64)], 8 * n
-    for w in widths:
-        out.append(_unplanes(raw[at:at + w * n], n, w))
-        at += w * n
-    return out
-
-
 # --- one chunk ----------------------------------------------------------------
 
 class _Chunk:
@@ -137,7 +106,7 @@ def _sent(chunk: int, bits: int, keys: np.ndarray, low: int, *columns):
     part = (keys >> np.uint64(low)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
     mask = np.uint64((1 << low) - 1)
-    rows = [(int(part[a]), _pack(keys[a:b] & mask, *((c[a:b], w) for c, w in columns)))
+    rows = [(int(part[a]), pack_sorted(keys[a:b] & mask, *((c[a:b], w) for c, w in columns)))
             for a, b in zip(cuts[:-1], cuts[1:])]
     return pa.table({"part": pa.array([r[0] for r in rows], pa.int64()),
                      "chunk": pa.array([chunk] * len(rows), pa.int64()),
@@ -178,7 +147,7 @@ def _share():
     def run(key, table):
         base = np.uint64(key[0].as_py() << 32)
         chunks = table.column("chunk").to_pylist()
-        sent = [_unpack(e.as_py(), 1) for e in table.column("entries")]
+        sent = [unpack_sorted(e.as_py(), 1) for e in table.column("entries")]
         keys = np.concatenate([s[0] for s in sent])
         flags = np.concatenate([s[1] for s in sent]).astype(np.uint8)
         order = np.argsort(keys, kind="stable")
@@ -193,7 +162,7 @@ def _share():
             own = s[0][shared[at:at + len(s[0])]]
             at += len(s[0])
             if len(own):
-                rows.append((c, _pack(own | base)))
+                rows.append((c, pack_sorted(own | base)))
         return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()),
                          "entries": pa.array([r[1] for r in rows], pa.binary())})
     return run
@@ -201,7 +170,7 @@ def _share():
 
 def _replies(table: pa.Table) -> np.ndarray:
     """All keys that a chunk was told, sorted."""
-    got = [_unpack(e.as_py())[0] for e in table.column("entries")]
+    got = [unpack_sorted(e.as_py())[0] for e in table.column("entries")]
     return np.sort(np.concatenate(got)) if got else np.empty(0, np.uint64)
 
 
@@ -241,7 +210,7 @@ def _earlier(bits: int):
     def run(key, table):
         base = np.uint64(key[0].as_py() << (64 - bits))
         chunks = table.column("chunk").to_pylist()
-        sent = [_unpack(e.as_py(), 2, 8, 8) for e in table.column("entries")]
+        sent = [unpack_sorted(e.as_py(), 2, 8, 8) for e in table.column("entries")]
         keys, more = (np.concatenate([s[k] for s in sent]) for k in (0, 1))
         docs = np.concatenate([(s[2] + s[3]).astype(np.int64) for s in sent])
         order = np.lexsort((more, keys))
@@ -255,7 +224,7 @@ def _earlier(bits: int):
             own = s[0][later[at:at + len(s[0])]]
             at += len(s[0])
             if len(own):
-                rows.append((c, _pack(own | base)))
+                rows.append((c, pack_sorted(own | base)))
         return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int64()),
                          "entries": pa.array([r[1] for r in rows], pa.binary())})
     return run

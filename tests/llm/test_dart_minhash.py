@@ -4,7 +4,6 @@ import random
 import re
 from collections import Counter
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 

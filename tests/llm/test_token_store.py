@@ -88,6 +88,24 @@ def test_word_table_matches_the_library(spark, make_docs, tokenizer, monkeypatch
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_decode_a_table_of_ids(spark, tokenizer):
+    texts = ["Hello world's <|endoftext|>", "", "é 12"]
+    rows = [(i, bytearray(np.array(tokenizer.whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes())) for i, t in enumerate(texts)]
+    got = bpe_table.decode_documents(spark.createDataFrame([*rows, (9, None)], "doc_id long, ids binary"), PATH).collect()
+    want = {i: tokenizer.whole.decode(tokenizer.whole.encode(t, add_special_tokens=False).ids, skip_special_tokens=False) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.decoded for r in got} == {**want, 9: ""}
+
+
+def test_words_that_repeat_in_a_batch(tokenizer):
+    from seqtally.llm._bpe import IdCache
+    cache, rnd = IdCache(tokenizer, limit=300), random.Random(2)
+    for _ in range(40):
+        words = ["".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 6))) for _ in range(200)]
+        ids, bounds = cache.ids(cache.numbers(words))
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [
+            e.ids for e in tokenizer.whole.encode_batch(words, add_special_tokens=False)]
+
+
 def test_empty_tables(spark, make_docs):
     assert token_store.token_file_table(spark, make_docs([]), PATH, 2).count() == 0
     assert bpe_table.bpe_digests(make_docs([]), PATH).count() == 0
