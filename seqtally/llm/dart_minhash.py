@@ -15,11 +15,15 @@ dropped: five standard deviations) and decided by the exact weighted Jaccard
 similarity of their shingles.
 
 No bucket is ever turned into all its pairs: texts with equal words are one
-node; a bucket's nodes are compared with its first node; classes are joined;
+node; a bucket's nodes are compared with its first node; classes are joined; its nodes
+are compared with a central one of its largest class, classes are joined again;
 and only nodes of a bucket that are in *different* classes by then are compared
-with each other, save those that the triangle inequality of the Jaccard
-distance rules out through their distance to the bucket's first node.  So every
-candidate pair is either decided, or inside one class, or impossible.
+with each other, save the pairs that cannot be alike: a node's difference from
+the bucket's first node is kept as counts and small bit sets, which bound the
+shingles that two nodes can have in common.  The bound is tight for copies with
+a few edits, and it is evaluated inside the join, so what comes out of a bucket
+are nearly only links.  So every candidate pair is decided, or inside one class,
+or impossible.
 
 Classes are the connected components of the decided links, by label propagation
 with pointer jumping over staged tables; nothing but counts comes to the driver.
@@ -33,6 +37,7 @@ its own; repeated rows are kept; further columns are ignored."""
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +52,12 @@ BANDS, ROWS = 30, 6
 DARTS = BANDS * ROWS
 #: Darts thrown at first; a signature with holes throws again.
 THROWN = int(DARTS * (math.log(DARTS) + 2))
-#: Least share of agreeing coordinates of a pair worth deciding, and the slack
-#: of two estimated distances (five standard deviations).
-SCREEN, SLACK = SIMILARITY - 0.15, 0.2
+#: Least share of agreeing coordinates of a pair worth deciding (five standard
+#: deviations below the similarity).
+SCREEN = SIMILARITY - 0.15
+#: Longs of the bit sets of a node's difference from its bucket's first node.
+MASK = 16
+_MASKS = [f"{kind}{k}" for kind in "me" for k in range(MASK)]
 
 SIGNATURES = "doc_id long, text_key long, words binary, size long, bands array<long>, sketch binary"
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -111,14 +119,14 @@ def signatures(docs: DataFrame) -> DataFrame:
                 words = Words(part.column("text"), PLAIN_SEPARATOR, PLAIN_CASE)
                 hashes = words.hashes()
                 units, bounds = shingle_units(words)
-                print_, size, bands, sketch = [], [], [], []
+                prints, size, bands, sketch = [], [], [], []
                 for d in range(part.num_rows):
                     own = units[bounds[d]:bounds[d + 1]]
                     size.append(len(own))
                     if not len(own):
-                        print_.append(None), bands.append(None), sketch.append(None)
+                        prints.append(None), bands.append(None), sketch.append(None)
                         continue
-                    print_.append(_fingerprint(hashes[words.first[d]:words.first[d + 1]]))
+                    prints.append(_fingerprint(hashes[words.first[d]:words.first[d + 1]]))
                     darts = mix(signature(own))
                     sketch.append((darts & np.uint64(255)).astype(np.uint8).tobytes())
                     key = bands_of.copy()
@@ -126,7 +134,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                         key = mix(key ^ column) + column
                     bands.append(key.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(print_, pa.binary()),
+                    [part.column("doc_id").cast(pa.int64()), part.column("text_key"), pa.array(prints, pa.binary()),
                      pa.array(size, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
                     names=["doc_id", "text_key", "words", "size", "bands", "sketch"])
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, SIGNATURES)
@@ -135,13 +143,13 @@ def signatures(docs: DataFrame) -> DataFrame:
 # --- links ----------------------------------------------------------------------
 
 def _units_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """id and sorted unit names (32 bits) of the wanted nodes, from the text of
-    one document of each."""
+    """id and sorted unit names of the wanted nodes, from the text of one
+    document of each."""
     def run(batches):
         for batch in batches:
             for part in pieces(batch):
                 units, bounds = shingle_units(Words(part.column("text"), PLAIN_SEPARATOR, PLAIN_CASE))
-                own = [np.sort(units[a:b] >> np.uint64(32)).astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+                own = [np.sort(units[a:b]).astype("<u8").tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(own, pa.binary())], names=["id", "units"])
     found = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), "text").join(
         wanted.select("id", "own.*"), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key")))
@@ -166,49 +174,109 @@ def _agreement(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.mapInArrow(run, ", ".join([*fields, "alike double"]))
 
 
+def _paired(pairs: DataFrame, units: DataFrame) -> DataFrame:
+    """a, b and their units x, y."""
+    return (pairs.select("a", "b").join(units.select(F.col("id").alias("b"), F.col("units").alias("y")), "b")
+            .join(units.select(F.col("id").alias("a"), F.col("units").alias("x")), "a").select("a", "b", "x", "y"))
+
+
 def _links(pairs: DataFrame, units: DataFrame) -> DataFrame:
     """The pairs (a, b) whose exact weighted Jaccard similarity is enough."""
-    both = (pairs.select("a", "b").join(units.select(F.col("id").alias("b"), F.col("units").alias("y")), "b")
-            .join(units.select(F.col("id").alias("a"), F.col("units").alias("x")), "a"))
-
     def run(batches):
         for batch in batches:
             ok = []
             for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = (np.frombuffer(v.as_buffer(), "<u4") for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=False))
+                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
+                common = len(np.intersect1d(x, y))
                 ok.append(common >= SIMILARITY * (len(x) + len(y) - common) - 1e-9)
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return _paired(pairs, units).mapInArrow(run, "a long, b long")
+
+
+def _profiles(pairs: DataFrame, units: DataFrame) -> DataFrame:
+    """a, b, size_a, size_b, common, and hashed bit sets (``MASK`` longs each) of
+    what b lacks of a's units (m0, m1, ...) and has beside them (e0, e1, ...);
+    m_over and e_over: how many more units than bits there are."""
+    places = np.uint64(64 * MASK)
+
+    def mask(found):
+        bits = np.zeros(64 * MASK, np.uint8)
+        bits[(found % places).astype(np.int64)] = 1
+        return np.packbits(bits, bitorder="little").view("<i8"), len(found) - int(bits.sum())
+
+    def run(batches):
+        for batch in filter(len, batches):
+            numbers, masks = [], []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
+                lacks, adds = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                (m, m_over), (e, e_over) = mask(lacks), mask(adds)
+                numbers.append((len(x), len(y), len(x) - len(lacks), m_over, e_over))
+                masks.append(np.concatenate((m, e)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), *(pa.array(c, pa.int64()) for c in zip(*numbers)),
+                 *map(pa.array, np.ascontiguousarray(np.stack(masks).T))], names=names)
+    names = ["a", "b", "size_a", "size_b", "common", "m_over", "e_over", *_MASKS]
+    return _paired(pairs, units).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+
+
+def _possible(x: str, y: str):
+    """Whether two nodes of a bucket can be alike, by their profiles against
+    its first node.  With L the first node's units, M what a node lacks of them
+    and E what it adds, |X & Y| = |L| - |Mx| - |My| + |Mx & My| + |Ex & Ey|; the
+    last two are at most what the bit sets have in common, plus the units of
+    one side that share a bit."""
+    def c(side, name):
+        return F.col(f"{side}.{name}")
+
+    def overlap(kind):
+        both = (F.bit_count(c(x, f"{kind}{k}").bitwiseAND(c(y, f"{kind}{k}"))) for k in range(MASK))
+        return reduce(lambda p, q: p + q, both) + F.least(c(x, f"{kind}_over"), c(y, f"{kind}_over"))
+    common = c(x, "common") + c(y, "common") - c(x, "size_a") + overlap("m") + overlap("e")
+    return common >= SIMILARITY / (1 + SIMILARITY) * (c(x, "size_b") + c(y, "size_b")) - 1e-6
 
 
 def components(links: DataFrame) -> DataFrame:
     """id and class (the smallest id reached) of every node of ``links`` (a, b):
     labels spread to neighbours, then jump to their label's label, until no
     label changes."""
-    ends = staged(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "ends")
-    labels = staged(ends.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("class")), "labels")
+    parts = 4 + links.count() // 500_000  # small tables in few files
+
+    def kept(df, name):
+        return staged(df.coalesce(parts), name)
+    ends = kept(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "ends")
+    labels = kept(ends.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("class")), "labels")
     while True:
         near = (ends.join(labels.select(F.col("id").alias("b"), "class"), "b")
                 .groupBy(F.col("a").alias("id")).agg(F.min("class").alias("near")))
         spread = labels.join(near, "id").select("id", "class", F.least("class", "near").alias("low"))
         far = labels.select(F.col("id").alias("low"), F.col("class").alias("far"))
-        step = staged(spread.join(far, "low", "left").select("id", F.col("class").alias("old"),
-                                                             F.least("low", "far").alias("class")), "labels")
+        step = kept(spread.join(far, "low", "left").select("id", F.col("class").alias("old"),
+                                                           F.least("low", "far").alias("class")), "labels")
         labels = step.select("id", "class")
         if step.filter("old <> class").isEmpty():
             return labels
 
 
-def _classes(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``pairs`` with the classes of both ends; those within a class go."""
-    if labels is None:
-        return pairs.withColumn("class_a", F.col("a")).withColumn("class_b", F.col("b"))
-    for end in ("a", "b"):
-        own = labels.select(F.col("id").alias(end), F.col("class").alias("found"))
-        pairs = pairs.join(own, end, "left").withColumn(f"class_{end}", F.coalesce("found", end)).drop("found")
-    return pairs.filter("class_a <> class_b")
+def _mixed(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Bucket entries (key, a, b, ...) with b's class, of buckets that hold
+    several classes."""
+    own = labels.select(F.col("id").alias("b"), F.col("class").alias("found"))
+    entries = entries.join(own, "b", "left").withColumn("class", F.coalesce("found", "b")).drop("found")
+    several = (entries.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+               .filter("low <> high").select("key"))
+    return entries.join(several, "key", "left_semi")
+
+
+def _across(x: DataFrame, y: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of nodes of one bucket and different classes that
+    can be alike."""
+    able = (F.col("x.key") == F.col("y.key")) & (F.col("x.class") != F.col("y.class")) & _possible("x", "y")
+    if x is y:
+        able = (F.col("x.b") < F.col("y.b")) & able
+    return (x.alias("x").join(y.alias("y"), able)
+            .select(F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -216,8 +284,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     the class; null: no words) of every document."""
     sigs = staged(signatures(docs), "signatures")
     nodes = (sigs.filter("words IS NOT NULL").groupBy("words")
-             .agg(F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "text_key")).alias("own"), F.first("size").alias("size"), F.first("bands").alias("bands"),
-                  F.first("sketch").alias("sketch")))
+             .agg(F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "text_key")).alias("own"),
+                  F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     # numbered in the order of doc_id, so a bucket's first node is its oldest text
     nodes = staged(nodes.orderBy("doc", "words").withColumn("id", F.monotonically_increasing_id()), "nodes")
 
@@ -230,30 +298,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = staged(_agreement(stars, nodes), "stars")
     units = staged(_units_of(docs, nodes.join(members, "id", "left_semi")), "units")
 
-    # the best first node of each node, then the other first nodes
-    close = stars.filter(F.col("alike") >= SCREEN)
-    best = close.groupBy("b").agg(F.max(F.struct("alike", "a")).alias("top")).select("top.a", "b")
-    links = staged(_links(best, units), "links")
-    labels = components(links)
-    rest = _classes(close.select("a", "b"), labels)
-    links = staged(links.unionByName(_links(rest, units)), "links")
+    links = staged(_links(stars.filter(F.col("alike") >= SCREEN), units), "links")
     labels = components(links)
 
-    # nodes of one bucket in different classes that may still be alike (those
-    # that are its first node have met all others)
-    away = (buckets.filter("a <> b").join(stars, ["a", "b"]).select("key", "b", (1 - F.col("alike")).alias("d"))
-            .join(labels.select(F.col("id").alias("b"), F.col("class").alias("found")), "b", "left")
-            .select("key", F.col("b").alias("id"), "d", F.coalesce("found", "b").alias("class")))
-    mixed = (away.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-             .filter("low <> high").select("key"))
-    away = staged(away.join(mixed, "key", "left_semi"), "mixed")
-    x, y = away.alias("x"), away.alias("y")
-    across = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
-                     & (F.col("x.class") != F.col("y.class"))
-                     & (F.abs(F.col("x.d") - F.col("y.d")) <= 1 - SIMILARITY + SLACK))
-              .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    across = _agreement(across, nodes).filter(F.col("alike") >= SCREEN).select("a", "b")
-    more = staged(_links(across, units), "links")
+    # nodes of one bucket in different classes (its first node has met all)
+    mixed = staged(_mixed(buckets.filter("a <> b"), labels), "mixed")
+    profiles = staged(_profiles(mixed.select("a", "b").distinct(), units), "profiles")
+    mixed = staged(mixed.join(profiles, ["a", "b"]), "mixed")
+    # first with the node of the bucket's largest class that is closest to the
+    # first node, then, if classes are left, with each other
+    far = F.col("size_a") + F.col("size_b") - 2 * F.col("common")
+    sizes = mixed.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(far, "b")).alias("near"))
+    central = (sizes.groupBy("key").agg(F.max(F.struct("n", "class", "near")).alias("top"))
+               .select("key", F.col("top.near.b").alias("b")))
+    more = staged(_links(_across(mixed, mixed.join(central, ["key", "b"], "left_semi")), units), "links")
+    if not more.isEmpty():
+        links = staged(links.unionByName(more), "links")
+        labels = components(links)
+        mixed = staged(_mixed(mixed.drop("class"), labels), "mixed")
+    more = staged(_links(_across(mixed, mixed), units), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
