@@ -41,6 +41,8 @@ from seqtally.llm._words import pieces
 MAGIC = b"SQTOK1\0\0"
 _HEAD = struct.Struct("<8sB32s")
 _TAIL = struct.Struct("<QQ8s")
+#: Text that is split and encoded at once.
+PIECE_BYTES = 2 << 20
 #: A task starts another shard beyond so many bytes of frames.
 SHARD_BYTES = 256 << 20
 #: The dictionary's sample: about so many documents of at most so many characters.
@@ -107,7 +109,7 @@ def encode_frames(docs: DataFrame, tokenizer: str, end_id: int, width: int, dict
     def run(batches):
         press = _compressor(dictionary)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, max_bytes=PIECE_BYTES):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 ids, bounds = _encode(texts, tokenizer)
                 counts, frames = [], []
