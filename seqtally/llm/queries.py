@@ -100,8 +100,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to their sources' targets, sorted by position."""
+    from seqtally.llm.curriculum import mixing_plan
+    return mixing_plan(_table(spark, sf_dir, "documents")).drop("times")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings by k-means with adaptive bounds."""
+    from seqtally.llm.vector_codes import vector_table
+    return vector_table(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, by pairs and by terms."""
+    from seqtally.llm.divergence import audit
+    return audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_ids, op2_compression, op3_warc, op4_language, op5_near_duplicates,
-                                  op6_substring, op7_bpe, op8_quality_rules, op9_chat, op10_decontamination)}
+                                  op6_substring, op7_bpe, op8_quality_rules, op9_chat, op10_decontamination,
+                                  op11_curriculum, op12_vector_codes, op13_divergence)}
 
 ORACLES: dict[str, str] = {}
 
@@ -171,3 +190,91 @@ SELECT page_id, strlen(html) AS payload_bytes,
   CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM b"""
+
+# Sources above their cap are the first in order of cap per weight.
+ORACLES["op11_curriculum"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k
+  FROM d GROUP BY source),
+w AS (
+  SELECT source, source_size, 3.0::DOUBLE * source_size AS most, [5.0, 2.0, 1.0][k % 3 + 1]::DOUBLE AS weight,
+    [0.5, 0.0, -0.5][k % 3 + 1]::DOUBLE AS tilt FROM s),
+o AS (
+  SELECT *, (SELECT sum(size) FROM d)::DOUBLE - coalesce(sum(most) OVER (
+      ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(weight) OVER (ORDER BY most / weight, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM w),
+l AS (
+  SELECT arg_max(rest, weights) AS rest, max(weights) AS weights FROM o WHERE weight * rest <= most * weights),
+t AS (
+  SELECT o.source, source_size, weight, weight * (1 + tilt) AS w0, weight * (1 - tilt) AS w1,
+    CASE WHEN weight * l.rest > most * l.weights THEN most ELSE weight * l.rest / l.weights END AS target
+  FROM o, l),
+p AS (
+  SELECT doc_id, d.source, size, source_size, target, weight, w0, w1, floor(target + 0.5)::BIGINT AS length,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15),
+      doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+x AS (
+  SELECT *, CASE WHEN source_size > 0 THEN length // source_size ELSE 0 END AS whole,
+    start::DOUBLE / length AS share FROM p),
+y AS (SELECT *, share * weight AS area FROM x)
+SELECT doc_id, source, size, source_size, target,
+  (whole * size + greatest(0, least(size, length - whole * source_size - start)))::BIGINT AS taken,
+  CASE WHEN length = 0 THEN 2 + start::DOUBLE / greatest(source_size, 1) WHEN share >= 1 THEN share
+    WHEN area > 0 THEN least(2 * area / (w0 + sqrt(w0 * w0 + 2 * (w1 - w0) * area)), 1) ELSE 0 END AS position
+FROM y"""
+
+# Every distance of every part, round after round.
+_ROUND = """
+n{0} AS MATERIALIZED (
+  SELECT r, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+    SELECT v.r, v.p, b.e, list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM v JOIN b{0} b USING (p)) GROUP BY r, p)"""
+_BOOK = """
+m{0} AS (
+  SELECT p, e, i, floor(sum(x) / count(*))::BIGINT AS x FROM (
+    SELECT v.p, n.e, unnest(range(1, len(v.x) + 1)) AS i, unnest(v.x) AS x FROM v JOIN n{0} n USING (r, p))
+  GROUP BY p, e, i),
+b{1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM b{0} b
+  LEFT JOIN (SELECT p, e, list(x ORDER BY i) AS x FROM m{0} GROUP BY p, e) m USING (p, e))"""
+ORACLES["op12_vector_codes"] = f"""
+WITH k AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) AS r,
+    list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (
+  SELECT r, p, x[p * (len(x) // 16) + 1:(p + 1) * (len(x) // 16)] AS x FROM k, range(16) t(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM v WHERE r <= 64),{_ROUND.format(0)},{_BOOK.format(0, 1)},{_ROUND.format(1)},{
+    _BOOK.format(1, 2)},{_ROUND.format(2)},
+c AS (SELECT r, string_agg(lpad(lower(hex(e)), 2, '0'), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM n2 GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN c USING (r), h"""
+
+# Prices are summed term by term.
+ORACLES["op13_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS MATERIALIZED (SELECT r, lang, source, term, count(*) AS n FROM (
+  SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d) GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, sum(n)::HUGEINT AS total FROM t GROUP BY lang, term HAVING count(*) >= 3),
+c AS (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+l AS (SELECT lang, sum(total)::HUGEINT AS size, count(*)::HUGEINT AS v FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce(size, 0)::HUGEINT AS size FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS size FROM c GROUP BY ALL) USING (lang, source)),
+p AS MATERIALIZED (SELECT g.lang, g.source, term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 1)) // (g.size + v) AS p,
+  1 + (1000000000 * (total + 1)) // (l.size + v) AS q
+  FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+a AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+  FROM p x JOIN p y USING (lang, term) WHERE x.source <> y.source GROUP BY ALL),
+b AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g x JOIN g y USING (lang) LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+  WHERE x.source <> y.source
+  UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM b QUALIFY part = 'pair' OR rank <= 200"""

@@ -1,0 +1,129 @@
+"""Vector codes against a plain k-means on integers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from seqtally.llm import vector_codes
+from seqtally.llm.vector_codes import Book, compress, decode, distances, nearest, reassigned, vector_table
+
+ROWS = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, parts, entries, rounds):
+    """(vec_id, code, error, label_error) and the digest, by plain loops."""
+    kept = [(i, [math.floor(256 * float(np.float32(x))) for x in v], lab) for i, v, lab in rows
+            if v is not None and all(x is not None and math.isfinite(np.float32(x)) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    cut = lambda v, p: v[p * len(v) // parts:(p + 1) * len(v) // parts]
+    books = [[cut(v, p) for _, v, _ in kept[:entries]] for p in range(parts)]
+
+    def best(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), i) for i, e in enumerate(books[p]))
+    for _ in range(rounds):
+        for p in range(parts):
+            own = [[] for _ in books[p]]
+            for _, v, _ in kept:
+                own[best(p, cut(v, p))[1]].append(cut(v, p))
+            books[p] = [[sum(c) // len(o) for c in zip(*o)] if o else e for o, e in zip(own, books[p])]
+    out = []
+    for i, v, lab in kept:
+        found = [best(p, cut(v, p)) for p in range(parts)]
+        out.append((i, "".join(f"{e:02x}" for _, e in found), sum(d for d, _ in found), lab))
+    total = {}
+    for *_, d, lab in out:
+        total[lab] = total.get(lab, 0) + d
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return [(i, c, d, total[lab]) for i, c, d, lab in out], digest
+
+
+def vectors(n=400, dims=32, seed=3):
+    rnd = random.Random(seed)
+    centres = [[rnd.gauss(0, 0.4) for _ in range(dims)] for _ in range(12)]
+    rows = [(i, [x + rnd.gauss(0, 0.1) for x in rnd.choice(centres)], rnd.choice([0, 1, 1, 1, None])) for i in range(n)]
+    rows += [(n, None, 1), (n + 1, [0.5] * (dims - 1) + [None], 1), (n + 2, [float("nan")] + [0.0] * (dims - 1), 0),
+             (n + 3, [float("-inf")] * dims, 0), (None, rows[5][1], None), (None, rows[5][1], 2)]
+    rows += [rows[7]] * 150 + [(n + 4, [0.0] * dims, 1), (n + 5, [-0.001] * dims, 1), (n + 6, [1e4] * dims, 3)]
+    return rows
+
+
+def result(df):
+    rows = df.collect()
+    return sorted(((r.vec_id, r.code, r.error, r.label_error) for r in rows), key=str), {r.codebooks_sha256 for r in rows}
+
+
+def test_matches_plain_k_means(spark):
+    rows = vectors()
+    df = spark.createDataFrame(rows, ROWS).withColumn("code", F.lit("clash")).withColumn("error", F.lit(0))
+    want, digest = plain(rows, 16, 64, 2)
+    assert result(vector_table(df.repartition(5))) == (sorted(want, key=str), {digest})
+
+
+@pytest.mark.parametrize("parts, entries, rounds", [(4, 200, 5), (16, 3, 4), (1, 8, 1), (2, 1, 2)])
+def test_other_sizes(spark, parts, entries, rounds):
+    rows = vectors(250, seed=parts)
+    state, book = compress(spark.createDataFrame(rows, ROWS).repartition(3), parts, entries, rounds)
+    want, digest = plain(rows, parts, entries, rounds)
+    got = sorted(((r.vec_id, bytes(r.code).hex(), r.error) for r in state.collect()), key=str)
+    assert got == sorted(((i, c, d) for i, c, d, _ in want), key=str) and book.digest() == digest
+
+
+def test_bounds_never_miss_the_nearest_entry():
+    """Ties, equal entries and moves of every size; and few parts meet the whole
+    codebook once entries move little."""
+    rnd = np.random.default_rng(4)
+    measured = []
+    for k, length, spread, step in ((64, 4, 6, 1), (64, 4, 300, 3), (64, 4, 300, 200), (5, 2, 3, 1), (64, 2, 10 ** 8, 10 ** 5)):
+        x = rnd.integers(-spread, spread, (600, length))
+        book = rnd.integers(-spread, spread, (k, length))
+        b = max(1, min(8, k - 1))
+        ids, low, d2 = nearest(x, book, b)
+        for _ in range(6):
+            low = vector_codes._half(low)
+            new = book + rnd.integers(-step, step + 1, book.shape) * rnd.integers(0, 2, (k, 1))
+            moves = np.sqrt(((new - book) ** 2).sum(axis=1)) * (1 + vector_codes.MARGIN)
+            book, b = new, max(1, b - 1)
+            ids, low, d2, need = reassigned(x, ids, low, book, moves, b)
+            exact = distances(x, book)
+            assert (ids[:, 0] == exact.argmin(axis=1)).all() and (d2 == exact.min(axis=1)).all()
+            rest = np.sort(np.sqrt(exact), axis=1)[:, 1] if k > 1 else None
+            assert (low[:, 0] <= rest + 1e-9).all()
+            measured.append((spread, step, (need > b).mean()))
+    assert np.mean([m for s, t, m in measured if (s, t) == (300, 3)]) < 0.5
+
+
+def test_codes_decode_to_their_entries(spark):
+    rows = vectors(120)
+    state, book = compress(spark.createDataFrame(rows, ROWS))
+    got = state.select("ints", "error", decode(F.col("code"), book).alias("x")).collect()
+    for r in got:
+        own = np.frombuffer(bytes(r.ints), np.int32).astype(np.int64)
+        assert ((own - np.array(r.x)) ** 2).sum() == r.error
+
+
+def test_lengths_and_empty_tables(spark):
+    assert vector_table(spark.createDataFrame([], ROWS)).collect() == []
+    assert vector_table(spark.createDataFrame([(1, None, 1), (2, [], 1), (3, [1.0] * 15, 0)], ROWS)).collect() == []
+    odd = [(1, [1.0] * 15, 0), (2, [1.0] * 16, 0), (3, [2.0] * 32, 0), (4, [1.5] * 16, 0)]
+    assert sorted(r.vec_id for r in vector_table(spark.createDataFrame(odd, ROWS)).collect()) == [2, 4]
+
+
+def test_too_large_components_are_an_error(spark):
+    with pytest.raises(ValueError, match="too large"):
+        vector_table(spark.createDataFrame([(1, [3e38] * 16, 0)], ROWS))
+
+
+def test_joined_label_errors(spark, monkeypatch):
+    from seqtally.operators import _util
+    monkeypatch.setattr(_util, "BROADCAST_BYTES", 0)
+    rows = vectors(80)
+    want, digest = plain(rows, 16, 64, 2)
+    assert result(vector_table(spark.createDataFrame(rows, ROWS))) == (sorted(want, key=str), {digest})
+
+
+def test_book_digest():
+    assert Book(np.array([[[1, -2]], [[3, 4]]])).digest() == hashlib.sha256(b"1,-2,3,4").hexdigest()
