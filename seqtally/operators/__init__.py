@@ -5,7 +5,7 @@ from seqtally.operators.counts import (  # noqa: F401
 from seqtally.operators.library import (  # noqa: F401
     dedup_barcodes, is_unique, normalize_barcodes, prepare_library)
 from seqtally.operators.match import (  # noqa: F401
-    assign_first_match, candidates, match_all, matched_reads, read_outcomes)
+    assign_first_match, candidates, match_all, match_counts, matched_reads, read_outcomes)
 from seqtally.operators.compare import (  # noqa: F401
     column_stats, compare_counts, drop_upper_outliers, zscore)
 from seqtally.operators.flank import (  # noqa: F401

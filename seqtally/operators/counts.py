@@ -32,9 +32,9 @@ def count_hits(hits: DataFrame) -> DataFrame:
 
 
 def count_matched(matched: DataFrame) -> DataFrame:
-    """``match.matched_reads`` as a count table: sample, barcode_set, ord,
-    read_counts; rows with NULL barcode_set and ord are the samples' totals.
-    Stage it: zero-fill, RPM and statistics are all made from it."""
+    """``match.matched_reads`` or ``match.match_counts`` as a count table: sample,
+    barcode_set, ord, read_counts; rows with NULL barcode_set and ord are the
+    samples' totals.  Stage it: zero-fill, RPM and statistics are all made from it."""
     return (matched.groupBy("sample", "barcode_set", "ord")
             .agg(F.sum("n").cast("long").alias("read_counts")))
 
@@ -53,7 +53,7 @@ def run_pairs(tally: DataFrame, library: DataFrame, manifest: DataFrame | None =
         barcode_set = sets[0]
     # staged, so that the set is a column to join on and not a constant, which
     # would turn the join with the library into a nested loop
-    return staged(tally.filter("barcode_set IS NULL").select("sample")
+    return staged(tally.filter("barcode_set IS NULL").select("sample").distinct()
                   .withColumn("barcode_set", F.lit(barcode_set)), "pairs")
 
 

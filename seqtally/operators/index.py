@@ -28,6 +28,21 @@ def with_index(df: DataFrame, order, name: str = "idx", start: int = 0) -> DataF
             .drop("_pid", "_mid", "_off"))
 
 
+def with_scan_index(scan: DataFrame, split, name: str = "idx", start: int = 0) -> DataFrame:
+    """``name`` = position of the row in a file scan: by ``split`` (columns that
+    name the scan's splits, in order: file and byte offset), then as the scan
+    reads them.  No row is sorted, shuffled or stored.  A task numbers its rows as
+    it reads them; one aggregate has each split's number of rows and its first
+    number, and the prefix sums of the counts (a row per split) are joined back."""
+    split = list(split)
+    rows = scan.withColumn("_mid", F.monotonically_increasing_id())
+    per = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    off = per.select(*split, (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    return (rows.join(F.broadcast(off), split).withColumn(name, F.col("_off") + F.col("_mid") + F.lit(start))
+            .drop("_mid", "_off"))
+
+
 def occurrence(df: DataFrame, keys, order, name: str = "occ") -> DataFrame:
     """``name`` = 0, 1, 2, ... over the rows sharing ``keys``, in ``order``.
 

@@ -311,9 +311,16 @@ def _shape_counts(spark, sf_dir, raw):
     return C.with_genes(C.count_hits(hits), lib).select("sample", "gene", "barcode", "read_counts")
 
 
-@query("regex_match", _shape("regex", D.LIBRARY_REGEX_RAW_SQL, "regexp_matches(r.sequence, b.barcode)"))
+# Choices are first looked up as texts: a pair of plain searches is much cheaper
+# for the oracle than a regular expression that changes with every row.
+@query("regex_match", _shape("regex", D.LIBRARY_REGEX_RAW_SQL, """CASE
+  WHEN b.one IS NOT NULL AND NOT contains(r.sequence, b.one) AND NOT contains(r.sequence, b.two) THEN false
+  ELSE regexp_matches(r.sequence, b.barcode) END""").replace("JOIN lib b ON CASE", """JOIN (
+  SELECT *, CASE WHEN starts_with(barcode, '(') THEN split_part(substr(barcode, 2), '|', 1) END AS one,
+    split_part(split_part(barcode, '|', 2), ')', 1) AS two FROM lib) b ON CASE"""))
 def regex_match(spark, sf_dir):
-    """Barcodes with classes, wildcards, repeats and choices, and plain ones."""
+    """Barcodes with classes, wildcards, repeats and choices (two thousand
+    at sf0.01), and plain ones, in one pass over the reads."""
     return _shape_counts(spark, sf_dir, D.library_regex_raw)
 
 
@@ -649,6 +656,24 @@ def orphan_mates_q(spark, sf_dir):
     return orphan_mates(r1, r2)
 
 
+@query("mate_files", f"""
+SELECT 'pool' AS sample, concat('r', CAST(o_orderkey AS VARCHAR)) AS read_id, substr(f, 1, 40) AS sequence_1,
+       reverse(translate(substr(f, 25, 40), 'ACGT', 'TGCA')) AS sequence_2
+FROM (SELECT o_orderkey, concat({D._sql_t('m', 'o_orderkey')}, {D._sql_t('n', 'o_orderkey')}) AS f FROM orders)""")
+def mate_files(spark, sf_dir):
+    """Two FASTQ files read side by side in splits of 64 KB; records out of step
+    are found by their IDs."""
+    from seqtally.functions.sequence import format_fastq_record
+    from seqtally.session import scratch_path
+    from seqtally.sources.mates import pair_mate_files
+    root = scratch_path(spark, "mates")
+    files = [f"{root}/pool/reads_{i}.fastq" for i in (1, 2)]
+    for path, records in zip(files, D.mate_records(spark, sf_dir)):
+        text = format_fastq_record("header", "sequence", "spacer", "quality").alias("value")
+        _one_file(spark, records.orderBy("place", "key").select(text), path)
+    return pair_mate_files(spark, *files, split_bytes=64 * 1024)
+
+
 # --- homopolymer load (SRC12) ------------------------------------------------------
 
 @query("synthetic_reads", D.cte(reads=D.SYNTHETIC_SQL, lib="""
@@ -663,6 +688,19 @@ def synthetic_reads_q(spark, sf_dir):
     return counts_columns(barcode_counts(reads, lib, barcode_set="synthetic"))
 
 
+@query("synthetic_source", """
+SELECT 'synthetic' AS sample, gene, gene AS barcode, n AS read_counts,
+       CASE WHEN n > 0 THEN n * 1.0e0 / (4 * n) * 1000000.0e0 ELSE 0.0e0 END AS rpm
+FROM (SELECT count(*) AS n FROM events), (VALUES ('A'), ('T'), ('G'), ('C')) AS t(gene)""")
+def synthetic_source(spark, sf_dir):
+    """The load generator itself: as many reads of each nucleotide as there are
+    events, counted."""
+    from seqtally.sources.synthetic import synthetic_library, synthetic_reads
+    n = D._tbl(spark, sf_dir, "events").count()
+    lib = prepare_library(synthetic_library(spark))
+    return counts_columns(barcode_counts(synthetic_reads(spark, n), lib, barcode_set="synthetic"))
+
+
 # --- round trips through files in the shared checkpoint folder (SRC1-3, SNK1,
 # SNK4, SRC8) ------------------------------------------------------------------
 
@@ -712,6 +750,17 @@ def fastq_roundtrip(spark, sf_dir):
     return _read_back(read_fastq(spark, path))
 
 
+@query("fastq_block_gzip", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + r"""
+SELECT regexp_extract(header, '^@(\S*)', 1) AS read_id, sequence FROM ok""")
+def fastq_block_gzip(spark, sf_dir):
+    """Block-gzip files read in splits that are smaller than a block and larger."""
+    from seqtally.session import scratch_path
+    from seqtally.sinks import write_fastq_blocks
+    from seqtally.sources.fastq import read_fastq
+    paths = write_fastq_blocks(D.fastq_records(spark, sf_dir, wellformed=True), scratch_path(spark, "fastq-blocks"))
+    return read_fastq(spark, paths, split_bytes=100_000).select("read_id", "sequence")
+
+
 @query("fastq_full_roundtrip", D.cte(len_reads=D.LENGTH_READS_SQL, ok=D.FASTQ_WELLFORMED_SQL) + """
 SELECT header, sequence, spacer, quality FROM ok""")
 def fastq_full_roundtrip(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seqtally.operators._util import staged
 from seqtally.operators.counts import count_matched, read_stats, rpm, run_pairs, zero_fill
-from seqtally.operators.match import matched_reads
+from seqtally.operators.match import match_counts
 
 
 def tally(reads: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
@@ -17,7 +17,7 @@ def tally(reads: DataFrame, library: DataFrame, manifest: DataFrame | None = Non
     """The staged count table of one matching pass (sample, barcode_set, ord,
     read_counts; NULL set and ord: the sample's reads).  It has at most as many
     rows as the runs have library rows, however many reads there are."""
-    matched = matched_reads(reads, library, manifest, every, ignore_case=ignore_case)
+    matched = match_counts(reads, library, manifest, every, ignore_case=ignore_case)
     return staged(count_matched(matched), "tally")
 
 

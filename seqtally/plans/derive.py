@@ -226,8 +226,9 @@ LIBRARY_MIXED_RAW_SQL = LIBRARY_TYPED_RAW_SQL + " UNION ALL " + LIBRARY_NATIONS_
 
 
 def library_regex_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patterns of each kind by supplier: a class, a wildcard beside a run, a
-    repeat, a choice without a certain run, and plain barcodes."""
+    """Patterns of each kind by supplier (a class, a wildcard beside a run, a
+    repeat, a choice, and plain barcodes), and behind them a choice for each
+    part, with a wildcard or an optional class after it."""
     s = _tbl(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     k = F.col("s_suppkey")
     b = lambda at, n: F.substr(_t("s", k), F.lit(at), F.lit(n))
@@ -236,7 +237,13 @@ def library_regex_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 5 == 2, F.concat(b(1, 2), F.lit("C{2}G+"), b(6, 3)))
             .when(k % 5 == 3, F.concat(F.lit("("), b(1, 5), F.lit("|"), b(11, 5), F.lit(")G")))
             .otherwise(b(1, 8)))
-    return s.select(F.lit("REGEX").alias("barcode_set"), k.cast("long").alias("ord"), F.col("s_name").alias("gene"), kind.alias("barcode"))
+    own = s.select(F.lit("REGEX").alias("barcode_set"), k.cast("long").alias("ord"), F.col("s_name").alias("gene"), kind.alias("barcode"))
+    p = _tbl(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    j = F.col("p_partkey")
+    c = lambda at, n: F.substr(_t("p", j), F.lit(at), F.lit(n))
+    choice = F.concat(F.lit("("), c(1, 7), F.lit("|"), c(9, 8), F.when(j % 2 == 0, ").").otherwise(")[AG]?"), c(20, 1))
+    return own.unionByName(p.select(F.lit("REGEX").alias("barcode_set"), (j + 10 ** 9).cast("long").alias("ord"),
+                                    F.col("p_brand").alias("gene"), choice.alias("barcode")))
 
 
 LIBRARY_REGEX_RAW_SQL = f"""
@@ -246,7 +253,11 @@ SELECT 'REGEX' AS barcode_set, CAST(s_suppkey AS BIGINT) AS ord, s_name AS gene,
          WHEN 2 THEN concat(substr(t, 1, 2), 'C{{2}}G+', substr(t, 6, 3))
          WHEN 3 THEN concat('(', substr(t, 1, 5), '|', substr(t, 11, 5), ')G')
          ELSE substr(t, 1, 8) END AS barcode
-FROM (SELECT s_suppkey, s_name, {_sql_t('s', 's_suppkey')} AS t FROM supplier)"""
+FROM (SELECT s_suppkey, s_name, {_sql_t('s', 's_suppkey')} AS t FROM supplier)
+UNION ALL
+SELECT 'REGEX', CAST(p_partkey + 1000000000 AS BIGINT), p_brand,
+       concat('(', substr(t, 1, 7), '|', substr(t, 9, 8), CASE p_partkey % 2 WHEN 0 THEN ').' ELSE ')[AG]?' END, substr(t, 20, 1))
+FROM (SELECT p_partkey, p_brand, {_sql_t('p', 'p_partkey')} AS t FROM part)"""
 
 
 def library_long_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,6 +321,22 @@ WHERE o_orderpriority <> '5-LOW'""",
 FROM frag WHERE sample <> 'P'""")
 
 
+def mate_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """FASTQ records of both mates of every order, with the order of each file:
+    in the reverse file some records are a little behind their mates."""
+    o = spread(_tbl(spark, sf_dir, "orders").select("o_orderkey"))
+    k = F.col("o_orderkey")
+    fragment = F.concat(_t("m", k), _t("n", k))
+
+    def side(i, sequence, place):
+        return o.select(F.concat(F.lit("@r"), k.cast("string"), F.lit(f" {i}:N:0")).alias("header"),
+                        sequence.alias("sequence"), F.lit("+").alias("spacer"),
+                        F.repeat(F.lit("I"), F.length(sequence)).alias("quality"), place.alias("place"), k.alias("key"))
+    return (side(1, F.substr(fragment, F.lit(1), F.lit(40)), k),
+            side(2, F.reverse(F.translate(F.substr(fragment, F.lit(25), F.lit(40)), "ACGT", "TGCA")),
+                 k + F.when(k % 1024 == 0, 40).otherwise(0)))
+
+
 # --- manifest text lines: comments, blanks, one-, two- and three-field lines -
 
 def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from seqtally.operators._util import staged
 from seqtally.operators.counts import chunk_counts, count_matched
 from seqtally.operators.library import prepare_library
-from seqtally.operators.match import manifest_pairs, matched_reads
+from seqtally.operators.match import manifest_pairs, match_counts, matched_reads
 from seqtally.operators.reshape import reconcile_samples
 from seqtally.plans.counting import counts_of, stats_of
 from seqtally.sinks import (write_counts_csv, write_hits_parquet,
@@ -59,7 +59,7 @@ def run_project(spark: SparkSession, input_root: str, manifest_path: str,
     if with_ids:
         matched = staged(matched_reads(reads, lib, man, carry=("read_id",)), "matched")
     else:
-        matched = matched_reads(reads, lib, man)
+        matched = match_counts(reads, lib, man)
     tally = staged(count_matched(matched), "tally")
     result = {"counts": counts_of(tally, lib, man), "stats": stats_of(tally, lib, man), "samples": report}
     write_counts_csv(result["counts"], f"{out}/counts", partition_by=("barcode_set", "sample"))

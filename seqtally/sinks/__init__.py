@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.functions.sequence import format_fastq_record
+from seqtally.operators._util import staged
 from seqtally.operators.index import with_index
 
 
@@ -74,6 +75,37 @@ def write_fastq(reads: DataFrame, path: str, partition_by=(), mode: str = "overw
     w.option("compression", compression or "none").text(path)
 
 
+def write_fastq_blocks(reads: DataFrame, path: str) -> list[str]:
+    """Four-line FASTQ records as block-gzip files, which ``read_fastq`` reads in
+    splits: one for each partition, in the order of its rows.  A task writes under
+    a name of its own, and only the names that are returned count, so a repeated
+    task leaves nothing that is read."""
+    rec = format_fastq_record("header", "sequence", "spacer", "quality").alias("value")
+
+    def write(batches):
+        import itertools
+        import uuid
+
+        import pyarrow as pa
+
+        from seqtally.sources._framing import blocked
+        from seqtally.sources.fastq import _fs_and_path
+        batches = (b for b in batches if b.num_rows)
+        first = next(batches, None)
+        if first is None:
+            return
+        fs, folder = _fs_and_path(path)
+        fs.create_dir(folder, recursive=True)
+        name, end = f"part-{uuid.uuid4().hex}.fastq.gz", len(blocked(b""))
+        with fs.open_output_stream(f"{folder.rstrip('/')}/{name}", compression=None) as out:
+            for batch in itertools.chain([first], batches):
+                text = "".join(f"{x}\n" for x in batch.column("value").to_pylist())
+                out.write(blocked(text.encode())[:-end])
+            out.write(blocked(b""))
+        yield pa.RecordBatch.from_arrays([pa.array([f"{path.rstrip('/')}/{name}"])], names=["path"])
+    return sorted(r.path for r in staged(reads.select(rec).mapInArrow(write, "path string"), "fastq-blocks").collect())
+
+
 def write_barcode_list(barcodes: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Headerless ``idx,barcode`` CSV, idx in barcode order."""
     (with_index(barcodes.select("barcode"), ["barcode"]).select("idx", "barcode")

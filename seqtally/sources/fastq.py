@@ -2,12 +2,14 @@
 
 ``spark.read.format("fastq")`` (registered by ``register_fastq_source``) is a
 Python Data Source that yields Arrow batches of whole records: bare or named
-spacers (``+``, ``+read1``), ``\\n`` or ``\\r\\n`` line ends, plain files in
-splits, ``.gz`` files whole.  A partition owns the records whose header line
-starts inside its byte range; it finds the first one by the rule "line starts
-with '@' and the line two further starts with '+'" (a quality line may start
-with '@', but then the line two further is a sequence).  After a record that
-breaks the four-line layout it looks for the next one by the same rule.
+spacers (``+``, ``+read1``), ``\\n`` or ``\\r\\n`` line ends; plain and block-gzip
+files in splits, other ``.gz`` files whole.  A partition owns the records whose
+header line starts inside its byte range; it finds the first one by the rule
+"line starts with '@' and the line two further starts with '+'" (a quality line
+may start with '@', but then the line two further is a sequence).  After a record
+that breaks the four-line layout it looks for the next one by the same rule.
+Records are framed on vectors of line starts, lengths and first bytes
+(``_framing``), never one by one.
 
 ``read_fastq`` gives what counting needs, with every record verified as the
 reference does: equal lengths of sequence and quality, Phred+33 qualities."""
@@ -25,6 +27,7 @@ from seqtally.functions.sequence import (description_from_header,
 from seqtally.operators._util import spread
 from seqtally.operators.records import validate_fastq
 from seqtally.schemas import FASTQ_RECORD
+from seqtally.sources._framing import VIRTUAL, Blocks, Lines, Stream, block_size
 
 # Bytes of a FASTQ file whose reads make one chunk of the per-chunk ID lists.
 CHUNK_BYTES = 64 << 20
@@ -35,9 +38,9 @@ def read_fastq(spark: SparkSession, paths, sample: str | None = None,
                split_bytes: int | None = None) -> DataFrame:
     """Reads with sample, read_key, read_id, description, sequence.
 
-    ``read_key`` is (hash of the file, byte offset of the record), so it is
-    the same however the file is split and differs between any two scans'
-    files; ``sample`` defaults to the name of the folder holding the file.
+    ``read_key`` is (hash of the file, byte offset of the record; in block-gzip
+    files its virtual offset), so it is the same however the file is split and
+    differs between any two scans' files; ``sample`` defaults to the name of the folder holding the file.
     A malformed record stops the job (FAILFAST, inside the plan) or is left
     out (DROP: every valid record is kept); ``verify=False`` skips the check
     of qualities and only asks for a header and a sequence."""
@@ -57,8 +60,10 @@ def read_fastq(spark: SparkSession, paths, sample: str | None = None,
 
 
 def file_chunk(read_key="read_key"):
-    """Chunk number of a read from a file, for ``counts.chunk_counts``."""
-    return F.expr(f"{read_key}.offset div {CHUNK_BYTES}")
+    """Chunk number of a read from a file, for ``counts.chunk_counts``; in
+    block-gzip files by the compressed bytes."""
+    at = f"{read_key}.offset"
+    return F.expr(f"if({at} >= {VIRTUAL}, shiftright({at} - {VIRTUAL}, 16), {at}) div {CHUNK_BYTES}")
 
 
 def manifest_from_paths(spark: SparkSession, paths, barcode_set: str) -> DataFrame:
@@ -112,6 +117,46 @@ def _glob_pattern(path: str) -> re.Pattern:
     return re.compile(out)
 
 
+def _children(fs, folder: str) -> list:
+    """What lies directly in a folder (nothing if there is none)."""
+    import pyarrow.fs as pafs
+    return fs.get_file_info(pafs.FileSelector(folder, recursive=False, allow_not_found=True))
+
+
+def _named(fs, path: str) -> list:
+    """What a glob pattern names, found level by level: only folders that match
+    the pattern so far are listed."""
+    import pyarrow.fs as pafs
+    parts = path.rstrip("/").split("/")
+    first = next((i for i, p in enumerate(parts) if re.search(r"[*?\[{]", p)), len(parts))
+    if first == len(parts):
+        return [f for f in fs.get_file_info([path]) if f.type != pafs.FileType.NotFound]
+    found = [pafs.FileInfo("/".join(parts[:first]) or "/", type=pafs.FileType.Directory)]
+    for part in parts[first:]:
+        folders = [f.path for f in found if f.type == pafs.FileType.Directory]
+        if re.search(r"[*?\[{]", part):
+            pattern = _glob_pattern(part)
+            found = [c for f in folders for c in _children(fs, f) if pattern.fullmatch(c.base_name)]
+        else:
+            found = fs.get_file_info([f"{f.rstrip('/')}/{part}" for f in folders]) if folders else []
+    return sorted((f for f in found if f.type != pafs.FileType.NotFound), key=lambda f: f.path)
+
+
+def _below(fs, folder: str) -> list:
+    """All files in a folder and below, but for hidden ones."""
+    import pyarrow.fs as pafs
+    files = [f for f in fs.get_file_info(pafs.FileSelector(folder, recursive=True)) if f.type == pafs.FileType.File]
+    return sorted((f for f in files if not f.base_name.startswith(("_", "."))), key=lambda f: f.path)
+
+
+def _spelled(path: str) -> list[str]:
+    """A pattern whose braces hold slashes, as patterns without such braces."""
+    group = re.search(r"\{([^{}]*/[^{}]*)\}", path)
+    if not group:
+        return [path]
+    return [p for part in group[1].split(",") for p in _spelled(path[:group.start()] + part + path[group.end():])]
+
+
 def _list_files(paths):
     """(URI, size) of every file that the paths name: files, folders (with all
     that lies below) and glob patterns of either."""
@@ -121,29 +166,44 @@ def _list_files(paths):
         fs, path = _fs_and_path(p)
         prefix = p[:len(p.rstrip("/")) - len(path.rstrip("/"))] if p.rstrip("/").endswith(path.rstrip("/")) else ""
         if re.search(r"[*?\[{]", path):
-            pattern = _glob_pattern(path.rstrip("/"))
-            base = path[:re.search(r"[*?\[{]", path).start()].rpartition("/")[0] or "/"
-            depth = path.rstrip("/").count("/")
-            found = {"/".join(f.path.split("/")[:depth + 1]) for f in
-                     fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))}
-            tops = sorted(f for f in found if pattern.fullmatch(f))
+            tops = [t for one in _spelled(path) for t in _named(fs, one)]
         else:
-            tops = [path]
-        for info in fs.get_file_info(tops):
-            if info.type == pafs.FileType.Directory:
-                sel = pafs.FileSelector(info.path, recursive=True)
-                files = [f for f in fs.get_file_info(sel) if f.type == pafs.FileType.File
-                         and not f.base_name.startswith(("_", "."))]
-                out += [(prefix + f.path, f.size) for f in sorted(files, key=lambda f: f.path)]
-            elif info.type == pafs.FileType.File:
-                out.append((prefix + info.path, info.size))
-            else:
-                raise FileNotFoundError(p)
-        if not tops:
+            tops = fs.get_file_info([path])
+        if not tops or any(t.type == pafs.FileType.NotFound for t in tops):
             raise FileNotFoundError(p)
+        for info in tops:
+            files = _below(fs, info.path) if info.type == pafs.FileType.Directory else [info]
+            out += [(prefix + f.path, f.size) for f in files]
     return out
 
 
+def _is_blocked(uri: str) -> bool:
+    """Whether a gzip file begins like a block-gzip file."""
+    fs, path = _fs_and_path(uri)
+    with fs.open_input_file(path) as file:
+        return block_size(file.read(1 << 16)) is not None
+
+
+def file_ranges(paths, split: int) -> list:
+    """The parts that files are read in."""
+    parts = []
+    for path, size in _list_files(paths):
+        gz = path.endswith(".gz")
+        if size <= split or gz and not _is_blocked(path):
+            parts.append(_Range(path, 0, size, gz))
+        else:
+            parts += [_Range(path, s, min(size, s + split), gz) for s in range(0, size, split)]
+    return parts
+
+
+def option_paths(options) -> list[str]:
+    paths = options.get("paths") or options.get("path")
+    if isinstance(paths, str) and paths.startswith("["):
+        import json
+        paths = json.loads(paths)
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
 class FastqDataSource(DataSource):
     """``spark.read.format("fastq").option("splitBytes", n).load(paths)``."""
 
@@ -160,23 +220,11 @@ class FastqDataSource(DataSource):
 
 class _FastqReader(DataSourceReader):
     def __init__(self, options):
-        paths = options.get("paths") or options.get("path")
-        if isinstance(paths, str) and paths.startswith("["):
-            import json
-            paths = json.loads(paths)
-        self.paths = [paths] if isinstance(paths, str) else list(paths)
+        self.paths = option_paths(options)
         self.split = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
 
     def partitions(self):
-        parts = []
-        for path, size in _list_files(self.paths):
-            gz = path.endswith(".gz")
-            if gz or size <= self.split:
-                parts.append(_Range(path, 0, size, gz))
-                continue
-            for s in range(0, size, self.split):
-                parts.append(_Range(path, s, min(size, s + self.split), False))
-        return parts or [_Range("", 0, 0, False)]
+        return file_ranges(self.paths, self.split) or [_Range("", 0, 0, False)]
 
     def read(self, partition):
         if not partition.path:
@@ -184,110 +232,87 @@ class _FastqReader(DataSourceReader):
         yield from _record_batches(partition)
 
 
-_BLOCK = 8 * 1024 * 1024
-_FIELDS = [f.name for f in FASTQ_RECORD.fields]
-
-
-def _text(lines):
-    """bytes lines -> Arrow string array (UTF-8, trailing CR removed)."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    arr = pa.array(lines, type=pa.binary())
-    try:
-        arr = arr.cast(pa.string())
-    except (pa.ArrowInvalid, UnicodeDecodeError):
-        arr = pa.array([b.decode("utf-8", "replace") if b is not None else None for b in lines],
-                       type=pa.string())
-    return pc.utf8_rtrim(arr, characters="\r")
+def open_part(part: _Range):
+    """The bytes of a part, and whether its first line belongs to the part before."""
+    fs, path = _fs_and_path(part.path)
+    if part.gz:
+        file = fs.open_input_file(path)
+        if part.start or block_size(file.read(1 << 16)) is not None:
+            return Blocks(file, file.size(), part.start, part.end), part.start > 0
+        return Stream(fs.open_input_stream(path, compression="gzip"), 0, None), False
+    stream = fs.open_input_file(path)
+    at = max(0, part.start - 1)
+    stream.seek(at)
+    return Stream(stream, at, part.end), part.start > 0
 
 
-def _batch(path, starts, h, s, p, q):
+def _batch(path: str, lines: Lines, heads):
     import pyarrow as pa
-    cols = [pa.array([path] * len(starts), type=pa.string()),
-            pa.array(starts, type=pa.int64()), _text(h), _text(s), _text(p), _text(q)]
-    return pa.RecordBatch.from_arrays(cols, names=_FIELDS)
-
+    columns = [pa.repeat(pa.scalar(path, pa.string()), len(heads)), pa.array(lines.source.offsets(lines.places[heads]))]
+    columns += [lines.strings(heads + k) for k in range(4)]
+    return pa.RecordBatch.from_arrays(columns, names=[f.name for f in FASTQ_RECORD.fields])
 
-def _is_record(lines, i: int) -> bool:
-    return lines[i][:1] == b"@" and lines[i + 2][:1] == b"+"
 
-
-def _is_whole(lines, i: int) -> bool:
-    return _is_record(lines, i) and len(lines[i + 1].rstrip(b"\r")) == len(lines[i + 3].rstrip(b"\r"))
+def _record_batches(part: _Range):
+    """Arrow batches of the records of a part."""
+    for lines, heads in record_heads(part):
+        yield _batch(part.path, lines, heads)
 
 
-def _record_batches(part: _Range):
-    """Arrow batches of the records whose header starts in the partition's
-    byte range.  Per block, lines are split in C and their start offsets come
-    from the newline positions (numpy); the four fields of a run of records
-    are then taken by slicing, not line by line.
+def record_heads(part: _Range):
+    """(lines, numbers of the header lines) of the records whose header starts in
+    the part, a block of the file at a time.  A line
+    starts a whole record if it begins with '@', the line two further with '+',
+    and the lines one and three further are equally long: three vector
+    operations on the lines of a block.  In each of the four phases the whole
+    records up to the next that isn't are taken as one run.
 
     Lines that are no record where one should start give one row with what
     they hold, for the caller to reject, and the search goes on behind them.
     Blank lines between records are skipped."""
     import numpy as np
-    fs, path = _fs_and_path(part.path)
-    if part.gz:
-        stream, buf_off = fs.open_input_stream(path, compression="gzip"), 0
-    else:
-        stream = fs.open_input_file(path)
-        buf_off = max(0, part.start - 1)
-        stream.seek(buf_off)
-    end = None if part.gz else part.end
-    synced = part.gz or part.start == 0
-    skip_first = not synced                     # the line holding start-1
-    pending, starts = [], np.empty(0, dtype=np.int64)
-    rest = b""
-    while True:
-        block = stream.read(_BLOCK)
-        eof = not block
-        buf = rest + block
-        lines = buf.split(b"\n")
-        nl = np.flatnonzero(np.frombuffer(buf, dtype=np.uint8) == 10)
-        line_starts = np.concatenate(([0], nl + 1)).astype(np.int64) + buf_off
-        if eof:
-            rest = b""
-            if lines and lines[-1] == b"":
-                lines.pop()                      # the file's final newline
-                line_starts = line_starts[:-1]
-        else:
-            rest = lines.pop()
-            buf_off = int(line_starts[-1])
-            line_starts = line_starts[:-1]
-        if skip_first and lines:
-            lines, line_starts, skip_first = lines[1:], line_starts[1:], False
-        pending.extend(lines)
-        starts = np.concatenate((starts, line_starts))
-        i, size = 0, len(pending)
-        while i < size:
-            if end is not None and starts[i] >= end:
-                return
+    source, skip = open_part(part)
+    lines, synced, going = Lines(source), not skip, True
+    while going:
+        going = lines.more()
+        n = lines.n
+        i = 1 if skip and n else 0
+        skip = skip and not n
+        at, plus = lines.first == 64, lines.first == 43
+        heads = at[:-2] & plus[2:]
+        whole = heads[:-1] & (lines.lengths[1:n - 2] == lines.lengths[3:]) if n > 3 else np.zeros(0, bool)
+        heads = np.flatnonzero(heads)
+        broken = [np.flatnonzero(~whole[phase::4]) for phase in range(4)]
+        own, runs, done = lines.owned(), [], False
+        while i < n:
+            if i >= own:
+                done = True
+                break
             if not synced:
-                found = next((j for j in range(i, size - 2) if _is_record(pending, j)), None)
-                if found is None:
-                    i = size if eof else max(i, size - 2)
+                k = int(np.searchsorted(heads, i))
+                if k == len(heads):
+                    i = max(i, n - 2) if going else n
                     break
-                i, synced = found, True
+                i, synced = int(heads[k]), True
                 continue
-            n = (size - i) // 4
-            good = next((k for k in range(n) if not _is_whole(pending, i + 4 * k)), n)
+            full, b = (n - i) // 4, broken[i % 4]
+            k = int(np.searchsorted(b, i // 4))
+            good = min(full, int(b[k]) - i // 4) if k < len(b) else full
             if good:
-                m = good if end is None else int(np.searchsorted(starts[i:i + 4 * good:4], end))
-                stop = i + 4 * m
-                yield _batch(part.path, starts[i:stop:4], *(pending[i + k:stop:4] for k in range(4)))
+                runs.append(np.arange(i, min(i + 4 * good, own), 4))
                 i += 4 * good
-            elif not pending[i].strip():
+            elif lines.blank(i):
                 i += 1
-            elif n or eof:
-                broken = (pending[i:i + 4] + [None] * 3)[:4]
-                yield _batch(part.path, starts[i:i + 1], *([x] for x in broken))
+            elif full or not going:
+                runs.append(np.array([i]))
                 i, synced = i + 1, False
             else:
                 break
-        del pending[:i]
-        starts = starts[i:]
-        if eof:
+        if runs:
+            yield lines, np.concatenate(runs)
+        if done:
             return
+        lines.keep(i)
 
 
 def register_fastq_source(spark: SparkSession) -> None:

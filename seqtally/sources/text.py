@@ -3,12 +3,12 @@ barcode lists, plain text lines, input-folder listings and count parquet."""
 
 from __future__ import annotations
 
-import re
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqtally.operators.index import with_index
+from seqtally.operators.index import with_scan_index
 from seqtally.schemas import BARCODE_LIST, CHUNK_COUNTS, KEY_VALUE
 
 # --- fixed values: input file suffixes ---------------------------------------
@@ -24,12 +24,22 @@ def _strip_eol(c):
 
 def read_text_lines(spark: SparkSession, paths, block_bytes: int = TEXT_BLOCK_BYTES) -> DataFrame:
     """One row per line (``value``) with the file it came from, in splits of at
-    most ``block_bytes``.  Split sizes are a session setting, so the scan
-    belongs to a session of its own (same context, same tables); the caller's
-    settings stay as they are."""
-    own = spark.newSession()
-    own.conf.set("spark.sql.files.maxPartitionBytes", str(int(block_bytes)))
-    return own.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    most ``block_bytes``, an option of the scan (``lines``).  Paths that only
+    Spark's file systems know are read by Spark's text source, whose split size is
+    a session setting: that scan belongs to a session of its own."""
+    from seqtally.sources.fastq import _fs_and_path
+    from seqtally.sources.lines import LinesDataSource
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    try:
+        for p in listed:
+            _fs_and_path(p)
+    except Exception:  # pyarrow has no file system for it
+        own = spark.newSession()
+        own.conf.set("spark.sql.files.maxPartitionBytes", str(int(block_bytes)))
+        return own.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    spark.dataSource.register(LinesDataSource)
+    return (spark.read.format("byte_lines").option("splitBytes", str(int(block_bytes)))
+            .option("paths", json.dumps(listed)).load())
 
 
 def read_barcodes(spark: SparkSession, path: str, sep: str = ":",
@@ -40,11 +50,10 @@ def read_barcodes(spark: SparkSession, path: str, sep: str = ":",
     raw = (spark.read.text(path)
            .select(_strip_eol(F.col("value")).alias("value"),
                    F.col("_metadata.file_path").alias("_file"),
-                   F.col("_metadata.file_block_start").alias("_block"),
-                   F.monotonically_increasing_id().alias("_mid"))
+                   F.col("_metadata.file_block_start").alias("_block"))
            .filter(F.length(F.trim("value")) > 0))
     set_name = F.lit(barcode_set) if barcode_set else F.regexp_extract("_file", r"([^/]+)$", 1)
-    return with_index(raw, ["_file", "_block", "_mid"], "ord").select(
+    return with_scan_index(raw, ["_file", "_block"], "ord").select(
                       set_name.alias("barcode_set"), "ord",
                       F.split_part("value", F.lit(sep), F.lit(1)).alias("gene"),
                       F.split_part("value", F.lit(sep), F.lit(2)).alias("barcode"))
@@ -88,36 +97,40 @@ def _folder(spark: SparkSession, root: str):
     return fs, fs.makeQualified(path)
 
 
+def _listed(fs, path) -> list:
+    """(name, is a folder, path, length) of what lies directly in a folder."""
+    return [(f.getPath().getName(), f.isDirectory(), f.getPath().toString(), f.getLen()) for f in fs.listStatus(path)]
+
+
 def sample_folders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders in ``root``, sorted: one listing of one folder."""
     fs, path = _folder(spark, root)
-    names = (f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory())
-    return sorted(n for n in names if not n.startswith(("_", ".")))
+    return sorted(name for name, folder, *_ in _listed(fs, path) if folder and not name.startswith(("_", ".")))
 
 
 def discover_inputs(spark: SparkSession, root: str, strict: bool = True,
                     samples: DataFrame | None = None) -> DataFrame:
     """sample, path, length: per folder ``root/<sample>`` the first file (by
     path) with a FASTQ suffix (.fastq, .fq, .fastq.gz, .fq.gz) among its direct
-    children; files deeper down (leftover splits) are not inputs.  Only file
+    children; files deeper down (leftover splits) are not inputs and are not
+    listed: one listing for ``root`` and one for each folder in it.  Only file
     metadata is read.  A folder without such a file, an empty one included, has
     a NULL path; with ``strict`` (the default) that is an error naming up to
     ten such folders, those of ``samples`` (sample) only if given."""
-    base = _folder(spark, root)[1].toString().rstrip("/") + "/"
-    names = spark.createDataFrame([(n,) for n in sample_folders(spark, root)], "sample string")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(root).select("path", "length").filter(F.col("path").startswith(base)))
-    parts = F.split(F.substr("path", F.lit(len(base) + 1)), "/")
-    suffix = "(" + "|".join(re.escape(x) for x in FASTQ_SUFFIXES) + ")$"
-    first = (files.filter((F.size(parts) == 2) & F.col("path").rlike(suffix))
-             .groupBy(parts[0].alias("sample")).agg(F.min(F.struct("path", "length")).alias("f")))
-    out = names.join(first, "sample", "left").select("sample", "f.path", "f.length")
+    fs, base = _folder(spark, root)
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    rows = []
+    for name in sample_folders(spark, root):
+        files = [(path, length) for child, folder, path, length in _listed(fs, path_of(base, name))
+                 if not folder and child.endswith(FASTQ_SUFFIXES) and not child.startswith(("_", "."))]
+        rows.append((name, *min(files, default=(None, None))))
     if strict:
-        missing = out.filter("path IS NULL").select("sample")
-        if samples is not None:
-            missing = missing.join(samples.select("sample").distinct(), "sample", "left_semi")
-        found = sorted(r.sample for r in missing.limit(11).collect())
-        if found:
-            more = " and more" if len(found) > 10 else ""
-            raise ValueError(f"sample folders without a FASTQ file: {', '.join(found[:10])}{more}")
-    return out
+        missing = [name for name, path, _ in rows if path is None]
+        if missing and samples is not None:
+            named = spark.createDataFrame([(m,) for m in missing], "sample string")
+            found = named.join(samples.select("sample").distinct(), "sample", "left_semi").limit(11).collect()
+            missing = sorted(r.sample for r in found)
+        if missing:
+            more = " and more" if len(missing) > 10 else ""
+            raise ValueError(f"sample folders without a FASTQ file: {', '.join(missing[:10])}{more}")
+    return spark.createDataFrame(rows, "sample string, path string, length long")

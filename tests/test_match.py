@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import library_df, reads_df
-from seqtally.functions.patterns import certain_run, plain_texts
+from seqtally.functions.patterns import cover, facts, plain_texts
 from seqtally.operators import _util, match
 from seqtally.operators.match import assign_first_match, match_all, matched_reads, read_outcomes
 from seqtally.plans.counting import barcode_counts, barcode_stats
@@ -249,7 +249,7 @@ def test_one_pass_sees_every_read_once(spark, monkeypatch, lib, inline):
     hit = {r.read_key for r in assign_first_match(reads, libdf).collect()}
     assert one == {(k, k in hit) for k in range(6)}
     found = matched_reads(reads, libdf).collect()
-    assert [r.n for r in found if r.ord is None] == [6]
+    assert sum(r.n for r in found if r.ord is None) == 6
     assert {r.read_key for r in found if r.ord is not None} == hit
     s = barcode_stats(reads, libdf).first()
     assert (s.total_reads, s.detected_reads) == (6, len(hit))
@@ -285,13 +285,140 @@ def test_ten_thousand_manifest_rows(spark):
     assert barcode_stats(reads, lib, man).count() == 10_001
 
 
-def test_patterns():
+def test_patterns_with_few_texts():
     assert plain_texts("AC[GT]A") == ["ACGA", "ACTA"]
     assert plain_texts("A{2}[C-D]") == ["AAC", "AAD"]
-    assert plain_texts("A.C") is None and plain_texts("AB?") is None and plain_texts("(A|C)") is None
-    assert plain_texts("[ACGT]" * 5) is None
-    assert certain_run("AC.GTTA") == "GTTA" and certain_run("ACG+TTT") == "GTTT"
-    assert certain_run("AC?GGG") == "GGG" and certain_run("(ACGT|A)CC") == "" and certain_run("A{2,3}C") == "AAC"
+    assert plain_texts("(ACGTA|TTGCA)G") == ["ACGTAG", "TTGCAG"]
+    assert plain_texts("A(?:C|G(T|))A?") == ["AC", "ACA", "AG", "AGA", "AGT", "AGTA"]
+    assert plain_texts("A{0,2}C") == ["AAC", "AC", "C"] and plain_texts(r"A\.C") == ["A.C"]
+    for p in ("A.C", "A+", "A*", "A?", "[ACGT]" * 5, "^AC", "AC$", "(?=AC)AC", r"\bAC", "A?+C", "(?>A|AC)G", "(?I)AC", "AC)", "(AC",
+              "A{2,1}", "*A", r"\QAC\E", r"\X41", "[A[C]]", "[^A]C", ""):
+        assert plain_texts(p) is None, p
+
+
+def test_required_factors():
+    assert cover("AC.GTTA") == ["GTTA"] and cover("ACG+TTTT") == ["GTTTT"]
+    assert cover("AC[GT]A.") == ["ACGA", "ACTA"]
+    assert cover("(ACGTA|TTGCA).*G") == ["ACGTA", "TTGCA"]
+    assert cover("(ACGTA.+C|G.TTGCAT?)") == ["ACGTA", "TTGCA"]  # an AND in each alternative, the better factor of each
+    assert cover("A(C|G.)TTTTA(A|C)") == ["TTTTAA", "TTTTAC"]
+    assert cover("(ACGTT)+") == ["ACGTT"] and cover("(ACGTT){2,}C") == ["ACGTTACGTTC"]
+    assert cover("^ACGTA$") == ["ACGTA"] and cover("(?<!C)ACGTA(?=GG).") == ["ACGTA"]
+    assert cover("(ACGTA|CACGTAC).") == ["ACGTA"]  # the other contains it
+    for p in (".", "A*", "(ACGTA|.)", "(ACGTA)?C.", "AC.", "(?I)ACGTA.", "[ACGT]{3}.[ACGT]"):
+        assert cover(p) is None, p
+    assert cover("(" * 5000 + "A" + ")" * 5000) is None
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_facts_hold_for_every_match(seed):
+    """Random patterns: each match in random text is one of the exact texts,
+    starts and ends as told, and holds a text of the cover."""
+    import re
+    rnd = random.Random(seed)
+
+    def pattern(depth):
+        kind = rnd.randrange(8 if depth else 3)
+        if kind < 3:
+            return rnd.choice(["A", "C", "GT", "ACA", "[AC]", "[A-G]", ".", "TTG"])
+        if kind < 5:
+            return pattern(depth - 1) + pattern(depth - 1)
+        if kind == 5:
+            return "(" + "|".join(pattern(depth - 1) for _ in range(rnd.randint(1, 3))) + ")"
+        if kind == 6:
+            return f"(?:{pattern(depth - 1)})" + rnd.choice(["?", "*", "+", "{2}", "{0,2}", "{1,}", "+?"])
+        return pattern(depth - 1) + rnd.choice(["", "^", "$", "(?=A)"])
+    for _ in range(300):
+        p = pattern(3)
+        f, texts = facts(p), plain_texts(p)
+        for _ in range(6):
+            s = "".join(rnd.choice("ACGT") for _ in range(rnd.randrange(30)))
+            for m in re.finditer(p, s):
+                t = m[0]
+                assert f.exact is None or t in f.exact, p
+                assert any(t.startswith(x) for x in f.starts) and any(t.endswith(x) for x in f.ends), p
+                assert f.cover is None or any(x in t for x in f.cover), p
+            if texts:
+                assert bool(re.search(p, s)) == any(x in s for x in texts), p
+
+
+def test_thousand_choices_take_one_pass(spark, tmpdir_path):
+    """Patterns with choices, short barcodes, patterns without factors: one scan
+    of the reads, no pattern collected, no exchange by read."""
+    import re
+    rnd = random.Random(9)
+    text = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    lib = [f"({text(5)}|{text(5)})G" for _ in range(400)] + [f"({text(6)}|{text(7)}).{text(2)}" for _ in range(600)]
+    lib += [text(3)] + [f"{text(1)}.{text(1)}[AC].{text(1)}{i % 7 + 1}" for i in range(4)] + ["TT.*TTT.AA"]
+    libdf = library_df(spark, [(f"g{i}", b) for i, b in enumerate(lib)])
+    rows = [(f"r{i}", text(rnd.randrange(60))) for i in range(300)]
+    reads_df(spark, rows).write.parquet(f"{tmpdir_path}/reads")
+    reads = spark.read.parquet(f"{tmpdir_path}/reads")
+    df = assign_first_match(reads, libdf)
+    got = {r.read_key: r.ord for r in df.collect()}
+    kept = sorted((r.ord, r.barcode) for r in libdf.collect())
+    want = {k: next((o for o, b in kept if re.search(b, s)), None) for k, (_, s) in enumerate(rows)}
+    assert got == {k: o for k, o in want.items() if o is not None} and len(got) > 100
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count(f"{tmpdir_path}/reads") == 1 and "read_key" not in "".join(
+        x for x in plan.splitlines() if "Exchange" in x)
+
+
+def test_patterns_without_factors_beyond_the_constants(spark, monkeypatch):
+    import re
+    monkeypatch.setattr(match, "PATTERN_INLINE_MAX", 0)
+    lib = [f"{a}.{b}{c}?" for a in "ACGT" for b in "ACGT" for c in "AG"]
+    libdf = library_df(spark, [(f"g{i}", b) for i, b in enumerate(lib)])
+    rows = [("a", "ACGGT"), ("b", "TTTT"), ("c", ""), ("d", "CAG" * 20)]
+    kept = {r.ord: r.barcode for r in libdf.collect()}
+    want = {(k, o) for k, (_, s) in enumerate(rows) for o, b in kept.items() if re.search(b, s)}
+    for bound in (None, 0):
+        if bound is not None:
+            monkeypatch.setattr(_util, "BROADCAST_BYTES", bound)
+        df = match_all(reads_df(spark, rows), libdf)
+        assert {(r.read_key, r.ord) for r in df.collect()} == want
+        assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_match_shuffles_nothing_by_read(spark, tmpdir_path):
+    """The count table of a broadcast index: exchanges by count keys only."""
+    from seqtally.operators.counts import count_matched
+    from seqtally.operators.match import match_counts
+    rnd = random.Random(3)
+    text = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    reads = reads_df(spark, [(f"r{i}", text(40)) for i in range(2000)]).repartition(6)
+    libdf = library_df(spark, [(f"g{i}", text(rnd.choice([4, 8]))) for i in range(60)])
+    df = count_matched(match_counts(reads, libdf))
+    got = {r.ord: r.read_counts for r in df.collect()}
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    by = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert by and not any("read_key" in x or "_read" in x for x in by)
+    hits = [r.ord for r in assign_first_match(reads, libdf).collect()]
+    assert got == {None: 2000} | {o: hits.count(o) for o in set(hits)}
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 50])
+def test_reads_across_batches(spark, size):
+    """Rows of a read that reach over any number of Arrow batches."""
+    import pyarrow as pa
+
+    from seqtally.operators.match import _by_read
+    rnd = random.Random(size)
+    rows = [(r, rnd.choice(["a", "b", None]), rnd.choice([None, 1, 2, 3])) for r in range(12) for _ in range(rnd.randrange(9))]
+    rows = [(r, s, o if s else None) for r, s, o in rows]
+    schema = pa.schema([("_read", pa.int64()), ("barcode_set", pa.string()), ("ord", pa.int64())])
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in rows[i:i + size]], schema)
+               for i in range(0, len(rows), size)]
+    big = 10 ** 9
+    for by, key in ((("barcode_set",), lambda x: x[:2]), (("barcode_set", "ord"), lambda x: x), ((), lambda x: x[:1])):
+        want = {}
+        for x in rows:
+            want[key(x)] = min(want.get(key(x), big), big if x[2] is None else x[2])
+        got = [tuple(x.values()) for b in _by_read(batches, by) for x in b.to_pylist()]
+        assert {key(x): big if x[2] is None else x[2] for x in got} == want and len(got) == len(want)
+    if len(rows) > 2:
+        with pytest.raises(RuntimeError, match="not together"):
+            list(_by_read(batches[::-1] if size < len(rows) else [batches[0].take(list(range(len(rows)))[::-1])], ()))
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -309,7 +436,7 @@ def test_patterns_match_python_re(spark, seed):
 
 
 def test_many_patterns_need_no_nested_loop(spark, monkeypatch):
-    monkeypatch.setattr(match, "PATTERN_BLOCK", 2)
+    monkeypatch.setattr(match, "PATTERN_INLINE_MAX", 2)
     lib = library_df(spark, [(f"g{i}", p) for i, p in enumerate(["(A|C)G", "T?T?G", "AC.GT", "G[AC]T", "(AA|TT)", ".C."])])
     df = match_all(reads_df(spark, [("a", "ACGGT"), ("b", "TTTT"), ("c", "")]), lib)
     got = {(r.read_key, r.ord) for r in df.collect()}
