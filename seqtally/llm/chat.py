@@ -1,11 +1,15 @@
 """Chat formatting with DataFrame operations only.
 
-Layouts are told apart by a *schema fingerprint*: the sorted nested field paths
-that matter to some layout, hashed.  The fingerprint selects a declarative
-mapping (where turns, roles and texts lie), and the mapping makes canonical
-turns ``(conv_id, turn, role, text)``.  A typed DataFrame has one fingerprint
-(``to_turns``); JSON records have one each (``json_to_turns``), and records of
-no known layout come back with a null mapping instead of being guessed at.
+Layouts are told apart by *schema fingerprints*, record by record.  A record is a
+JSON object (a typed row is written as one); its nested field paths are listed,
+and a mapping fits if the hash of the paths that the record shares with it is the
+hash of all the mapping's paths.  Of the mappings that fit, turn rows come first,
+then the one with the most paths, then the first in ``MAPPINGS`` (``ORDER``); so
+further fields, known to other layouts or not, change nothing.  A mapping says
+declaratively where turns, roles and texts lie and makes canonical turns
+``(conv_id, turn, role, text)``.  Records that no mapping fits come back with a
+null mapping instead of being guessed at (``json_to_turns``); a table whose schema
+no mapping fits is an error (``to_turns``).
 
 A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n``.  In roles and
 texts a backslash is put before every backslash and between ``<`` and ``|``
@@ -13,8 +17,11 @@ texts a backslash is put before every backslash and between ``<`` and ``|``
 and unescaping restores it exactly.
 
 Defined results: a null role or text is empty; turns that share a number are
-ordered by role and text; a null turn comes first; a null conv_id is a
-conversation of its own; further columns are ignored."""
+ordered by role and text; a null turn comes first; repeated rows are turns of
+their own; a null conv_id is a conversation of its own; further columns play no
+part, whatever their names; a list of turns has the paths that all its elements
+have, so an empty list, or one whose elements share no layout, fits no mapping; a
+null prompt, answer or the like makes no turn."""
 
 from __future__ import annotations
 
@@ -33,9 +40,9 @@ ASSISTANT = "assistant"
 class Mapping:
     """Where a layout keeps its turns.
 
-    ``turns``: path of an array of turn objects, with ``role`` and ``text``
-    paths in each; or ``None``: ``fields`` lists (role, path) of the record in
-    turn order; or ``rows``: each record is one turn."""
+    ``fields``: (role, path) of single turns in their order; ``turns``: path of an
+    array of turn objects behind these, with ``role`` and ``text`` paths in each;
+    or ``rows``: each record is one turn."""
     name: str
     turns: str | None = None
     role: str = ""
@@ -44,11 +51,10 @@ class Mapping:
     rows: bool = False
 
     def paths(self) -> list[str]:
-        if self.turns:
-            return [f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"]
         if self.rows:
             return ["turn", self.role, self.text]
-        return [path for _, path in self.fields]
+        listed = [f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"] if self.turns else []
+        return [path for _, path in self.fields] + listed
 
 
 #: The layouts that are known.
@@ -56,7 +62,9 @@ MAPPINGS = (
     Mapping("turn rows", rows=True, role="role", text="text"),
     Mapping("messages", turns="messages", role="role", text="content"),
     Mapping("messages with text", turns="messages", role="role", text="text"),
+    Mapping("system and messages", fields=(("system", "system"),), turns="messages", role="role", text="content"),
     Mapping("conversations", turns="conversations", role="from", text="value"),
+    Mapping("system and conversations", fields=(("system", "system"),), turns="conversations", role="from", text="value"),
     Mapping("prompt and completion", fields=(("user", "prompt"), ("assistant", "completion"))),
     Mapping("prompt and response", fields=(("user", "prompt"), ("assistant", "response"))),
     Mapping("system, prompt and response",
@@ -76,8 +84,11 @@ def fingerprint(paths) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
 
 
-KNOWN = {fingerprint(m.paths()): m for m in MAPPINGS}
-_PATHS = sorted({p for m in MAPPINGS for p in m.paths()})
+#: The order in which mappings are tried.
+ORDER = tuple(sorted(MAPPINGS, key=lambda m: (not m.rows, -len(m.paths()))))
+_LISTS = sorted({m.turns for m in MAPPINGS if m.turns})
+_TOP = sorted({p.split("[")[0] for m in MAPPINGS for p in m.paths()})
+TURN = "struct<turn:bigint,role:string,text:string>"
 
 
 def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
@@ -91,71 +102,73 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     return out
 
 
-def _role(role: Column) -> Column:
-    named = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
-    return F.coalesce(F.element_at(named, role), role, F.lit(""))
-
-
 def to_turns(df: DataFrame) -> DataFrame:
-    """Canonical turns of a typed DataFrame, by its schema's fingerprint; the
-    identifier is ``conv_id``.  Raises ``ValueError`` on an unknown layout."""
-    found = fingerprint(p for p in schema_paths(df.schema) if p in _PATHS)
-    if found not in KNOWN:
-        raise ValueError(f"no mapping for the fields {schema_paths(df.schema)}")
-    m = KNOWN[found]
-    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    if m.rows:
-        return df.select("conv_id", F.col("turn").cast("long").alias("turn"),
-                         text(m.role).alias("role"), text(m.text).alias("text"))
+    """Canonical turns (conv_id, turn, role, text) of a typed DataFrame, each row
+    by its own fingerprint; rows that no mapping fits have none.  Raises
+    ``ValueError`` if no mapping fits the schema."""
+    have = set(schema_paths(df.schema))
+    if not any(have.issuperset(m.paths()) for m in MAPPINGS):
+        raise ValueError(f"no mapping for the fields {sorted(have)}")
+    known = F.struct(*(F.col(c) for c in df.columns if c in _TOP))
+    records = df.select("conv_id", F.to_json(known, {"ignoreNullFields": "false"}).alias("record"))
+    return json_to_turns(records).filter("mapping IS NOT NULL").drop("mapping")
+
+
+def record_paths(record: Column) -> Column:
+    """The field paths of a JSON record, and of the lists that some layout uses
+    those that all their elements have."""
+    none = F.array().cast("array<string>")
+    paths = [F.coalesce(F.json_object_keys(record), none)]
+    for name in _LISTS:
+        each = F.from_json(record, f"struct<`{name}`:array<string>>")[name]
+        keys = F.transform(each, lambda e: F.coalesce(F.json_object_keys(e), none))
+        shared = F.aggregate(F.slice(keys, 2, F.greatest(F.size(keys) - 1, F.lit(0))), F.get(keys, F.lit(0)), F.array_intersect)
+        paths.append(F.transform(F.coalesce(shared, none), lambda k: F.concat(F.lit(f"{name}[]."), k)))
+    return F.concat(*paths)
+
+
+def fits(paths: Column, m: Mapping) -> Column:
+    """Whether what a record shares with a mapping has the mapping's fingerprint."""
+    shared = F.array_intersect(F.array(*map(F.lit, sorted(m.paths()))), paths)
+    return F.sha2(F.array_join(shared, "\n"), 256) == F.lit(fingerprint(m.paths()))
+
+
+def _turns(record: Column, m: Mapping) -> Column:
+    """The turns of a record by a mapping that fits it."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    names = ["turn", m.role, m.text] if m.rows else [path for _, path in m.fields]
+    kinds = [f"`{n}`:string" for n in names]
     if m.turns:
-        each = df.select("conv_id", F.posexplode(m.turns).alias("turn", "t"))
-        return each.select("conv_id", F.col("turn").cast("long").alias("turn"),
-                           _role(F.col(f"t.{m.role}")).alias("role"), text(f"t.{m.text}").alias("text"))
-    turns = F.array(*(F.struct(F.lit(r).alias("role"), text(p).alias("text"),
-                               F.col(p).isNull().alias("none")) for r, p in m.fields))
-    each = df.select("conv_id", F.posexplode(turns).alias("turn", "t")).filter("NOT t.none")
-    return each.select("conv_id", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
-
-
-def record_fingerprint(record: Column) -> Column:
-    """Fingerprint of a JSON record: its own field paths that some layout uses;
-    an array's paths are those of its first element."""
-    top = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
-    paths = [top]
-    for name in sorted({m.turns for m in MAPPINGS if m.turns}):
-        own = F.json_object_keys(F.get_json_object(record, f"$.{name}[0]"))
-        nested = F.transform(F.coalesce(own, F.array().cast("array<string>")), lambda k: F.concat(F.lit(f"{name}[]."), k))
-        paths.append(nested)
-    known = F.array_intersect(F.concat(*paths), F.array(*map(F.lit, _PATHS)))
-    return F.sha2(F.array_join(F.sort_array(known), "\n"), 256)
-
-
-def _canonical(m: Mapping):
-    return lambda t: F.struct(_role(t[m.role]).alias("role"), F.coalesce(t[m.text], F.lit("")).alias("text"))
+        kinds.append(f"`{m.turns}`:array<struct<`{m.role}`:string,`{m.text}`:string>>")
+    read = F.from_json(record, f"struct<{','.join(kinds)}>")
+    if m.rows:
+        return F.array(F.struct(read["turn"].cast("long").alias("turn"), text(read[m.role]).alias("role"),
+                                text(read[m.text]).alias("text")))
+    named = F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair))
+    single = F.filter(F.array(*(F.when(read[path].isNotNull(), F.struct(F.lit(role).alias("role"), read[path].alias("text")))
+                                for role, path in m.fields)), lambda t: t.isNotNull()) if m.fields else None
+    listed = F.transform(read[m.turns], lambda t: F.struct(
+        F.coalesce(F.element_at(named, t[m.role]), t[m.role], F.lit("")).alias("role"), text(t[m.text]).alias("text"))) \
+        if m.turns else None
+    kind = "array<struct<role:string,text:string>>"
+    turns = F.concat(*(x.cast(kind) for x in (single, listed) if x is not None))
+    return F.transform(turns, lambda t, i: F.struct(i.cast("long").alias("turn"), t["role"].alias("role"), t["text"].alias("text")))
 
 
 def json_to_turns(df: DataFrame, record: str = "record") -> DataFrame:
     """Canonical turns of JSON records of mixed layouts, with ``mapping``, the
     name of the layout used; a record of no known layout is one row with a null
     mapping, turn, role and text."""
-    rows = df.select("conv_id", F.col(record).alias("r"), record_fingerprint(F.col(record)).alias("f"))
-    turn = "array<struct<role:string,text:string>>"
-    turns = F.lit(None).cast(turn)
+    rows = df.select("conv_id", F.col(record).alias("r"), record_paths(F.col(record)).alias("paths"))
     name = F.lit(None).cast("string")
-    for found, m in KNOWN.items():
-        if m.rows:
-            continue
-        if m.turns:
-            schema = f"struct<{m.turns}:array<struct<`{m.role}`:string,`{m.text}`:string>>>"
-            own = F.transform(F.from_json("r", schema)[m.turns], _canonical(m))
-        else:
-            read = F.from_json("r", "struct<" + ",".join(f"`{p}`:string" for _, p in m.fields) + ">")
-            own = F.filter(F.array(*(F.when(read[p].isNotNull(), F.struct(F.lit(r).alias("role"), read[p].alias("text")))
-                                     for r, p in m.fields)), lambda t: t.isNotNull())
-        turns = F.when(F.col("f") == found, own.cast(turn)).otherwise(turns)
-        name = F.when(F.col("f") == found, F.lit(m.name)).otherwise(name)
-    each = rows.select("conv_id", name.alias("mapping"), F.posexplode_outer(turns).alias("turn", "t"))
-    return each.select("conv_id", "mapping", F.col("turn").cast("long").alias("turn"), "t.role", "t.text")
+    for m in reversed(ORDER):
+        name = F.when(fits(F.col("paths"), m), F.lit(m.name)).otherwise(name)
+    rows = rows.select("conv_id", "r", name.alias("mapping"))
+    turns = F.lit(None).cast(f"array<{TURN}>")
+    for m in ORDER:
+        turns = F.when(F.col("mapping") == m.name, _turns(F.col("r"), m).cast(f"array<{TURN}>")).otherwise(turns)
+    each = rows.select("conv_id", "mapping", F.explode_outer(turns).alias("t"))
+    return each.select("conv_id", "mapping", "t.turn", "t.role", "t.text")
 
 
 def escape(text: Column) -> Column:

@@ -61,3 +61,61 @@ def test_typed_layouts(spark):
 
 def test_empty_table(spark):
     assert format_turns(spark.createDataFrame([], TURNS)).count() == 0
+
+
+def test_extra_columns_known_to_other_layouts(spark):
+    """Each name of the layouts as one more column, of several types, and all of
+    them at once: the same turns."""
+    from pyspark.sql import functions as F
+
+    from seqtally.llm.chat import _TOP
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (None, None, None, "x"), (1, 0, "user", "q")]
+    base = spark.createDataFrame(rows, TURNS)
+    turns = lambda df: sorted(map(str, (tuple(r) for r in to_turns(df).collect())))
+    want = sorted(str((c, t, r or "", x or "")) for c, t, r, x in rows)
+    assert turns(base) == want
+    free = [n for n in _TOP if n not in ("turn", "role", "text")]
+    every = base
+    for i, name in enumerate(free):
+        value = [F.lit("v"), F.lit(7), F.lit(None).cast("string"), F.array(F.struct(F.lit("user").alias("role"), F.lit("z").alias("content"))),
+                 F.array(F.lit("s"))][i % 5]
+        assert turns(base.withColumn(name, value)) == want, name
+        every = every.withColumn(name, F.lit("v"))
+    assert turns(every) == want
+
+
+def test_more_fields_than_a_layout_needs(spark):
+    """Layouts with a field of another one, and lists whose elements differ."""
+    say = [{"role": "user", "content": "q", "text": "other"}, {"role": "assistant", "content": "a", "text": None}]
+    records = [
+        ("system and messages", {"system": "s", "messages": say}, [("system", "s"), ("user", "q"), ("assistant", "a")]),
+        ("system and messages", {"messages": say, "system": None}, [("user", "q"), ("assistant", "a")]),
+        ("messages", {"messages": say}, [("user", "q"), ("assistant", "a")]),
+        ("prompt and response", {"prompt": "q", "response": "a", "text": "t"}, [("user", "q"), ("assistant", "a")]),
+        ("prompt and completion", {"prompt": "q", "completion": "a", "input": "i", "role": "r"}, [("user", "q"), ("assistant", "a")]),
+        ("messages with text", {"messages": [{"role": "user", "text": "q", "content": "c"}, {"role": "gpt", "text": "a"}]},
+         [("user", "q"), ("assistant", "a")]),
+        ("system and conversations", {"system": "s", "conversations": [{"from": "human", "value": "q"}]}, [("system", "s"), ("user", "q")]),
+        ("prompt and response", {"messages": [], "prompt": "q", "response": "a"}, [("user", "q"), ("assistant", "a")]),
+        ("turn rows", {"turn": 3, "role": "human", "text": "q", "prompt": "p", "response": "r"}, [("human", "q")]),
+        (None, {"messages": []}, [(None, None)]),
+        (None, {"messages": [{"role": "user", "content": "q"}, {"from": "gpt", "value": "a"}]}, [(None, None)]),
+        (None, {"messages": [{"role": "user", "content": "q"}, "a"]}, [(None, None)]),
+        (None, {"messages": "text"}, [(None, None)]),
+        (None, {"prompt": "q"}, [(None, None)]),
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, (_, r, _) in enumerate(records)], "conv_id long, record string")
+    rows = json_to_turns(df).collect()
+    for i, (name, _, want) in enumerate(records):
+        own = sorted((r.turn or 0, r.role, r.text, r.mapping) for r in rows if r.conv_id == i)
+        assert [(r, t) for _, r, t, _ in own] == want and {m for *_, m in own} == {name}, records[i]
+
+
+def test_query_passes_by_fingerprints_without_python(spark):
+    import re
+
+    from seqtally.llm.chat import chat_digests
+    df = chat_digests(format_turns(to_turns(spark.createDataFrame([(1, 0, "user", "q")], TURNS))))
+    plan = df._jdf.queryExecution().toString()
+    assert "json_object_keys" in plan or "jsonObjectKeys" in plan
+    assert not re.search("ArrowEval|BatchEvalPython|MapInArrow|MapInPandas|FlatMapGroups", plan)
