@@ -26,6 +26,13 @@ def own_name(prefix: str, suffix: str) -> str:
     return f"{prefix}-{uuid.uuid4().hex}{suffix}"
 
 
+def free_name(name: str, taken) -> str:
+    """``name``, longer by underscores until no column is called so."""
+    while name in taken:
+        name += "_"
+    return name
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read again:
     cuts the lineage with files that survive a lost executor."""
@@ -48,17 +55,22 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def staged_buckets(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     """``df`` written once to the shared folder, bucketed and sorted by
     ``column``.  Later joins and groups on ``column`` leave these rows where
-    they are and shuffle only the other side."""
+    they are and shuffle only the other side.  The catalog's entry, which writing
+    buckets needs, is dropped again; the files and what reads them stay."""
     from seqtally.session import scratch_path
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
     (df.write.bucketBy(buckets, column).sortBy(column).option("compression", "zstd")
      .option("path", scratch_path(spark, name)).saveAsTable(table))
-    return spark.table(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return out
 
 
 def bucket_count(df: DataFrame) -> int:
-    """Buckets for a table made from ``df`` without a shuffle: as many as it
-    has partitions, and no fewer than a shuffle has."""
-    spark = df.sparkSession
-    return max(df.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Buckets for a table made from ``df`` without a shuffle: as many as it has
+    partitions, and no fewer than a shuffle has, up to the most that Spark takes;
+    beyond, a bucket holds the rows of several partitions."""
+    conf = df.sparkSession.conf
+    return min(max(df.rdd.getNumPartitions(), int(conf.get("spark.sql.shuffle.partitions"))),
+               int(conf.get("spark.sql.sources.bucketing.maxBuckets")))

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.llm._files import staged
+from seqtally.llm._files import free_name, staged
 from seqtally.llm._words import PLAIN_CASE, PLAIN_SEPARATOR, Words, mix, pieces, rolling
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -280,11 +280,12 @@ def _across(x: DataFrame, y: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, text_key (a hash of the text) and class_no (a number of
-    the class; null: no words) of every document."""
+    """doc_id, class_id, text_key (a hash of the text), class_no (a number of the
+    class; null: no words) and first (doc_id and text_key of the class's first
+    document) of every document."""
     sigs = staged(signatures(docs), "signatures")
     nodes = (sigs.filter("words IS NOT NULL").groupBy("words")
-             .agg(F.min("doc_id").alias("doc"), F.min(F.struct("doc_id", "text_key")).alias("own"),
+             .agg(F.min("doc_id").alias("doc"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("own"),
                   F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     # numbered in the order of doc_id, so a bucket's first node is its oldest text
     nodes = staged(nodes.orderBy("doc", "words").withColumn("id", F.monotonically_increasing_id()), "nodes")
@@ -320,25 +321,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
-    whole = nodes.select("id", "words", "doc").join(labels, "id", "left").withColumn("class", F.coalesce("class", "id"))
-    least = whole.groupBy("class").agg(F.min("doc").alias("least"))
-    named = whole.join(least, "class").select("words", "least", "class")
+    whole = (nodes.select("id", "words", "own").join(labels, "id", "left")
+             .withColumn("class", F.coalesce("class", "id")))
+    # staged, so that a class of very many nodes can be split in the join
+    least = staged(whole.groupBy("class").agg(F.min("own").dropFields("none").alias("first")), "classes")
+    named = staged(whole.join(least, "class").select("words", "first", "class"), "named")
     return (sigs.select("doc_id", "text_key", "words").join(named, "words", "left")
-            .select("doc_id", F.when(F.col("words").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("class_id"),
-                    "text_key", F.col("class").alias("class_no")))
+            .select("doc_id", F.when(F.col("words").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
+                    "text_key", F.col("class").alias("class_no"), "first"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each class, that with the smallest doc_id;
-    wordless documents all stay.  Rows alike in doc_id and text are one
-    document."""
+    """``docs`` with one document of each class, that with the smallest doc_id
+    (then the smallest hash of its text); rows alike in doc_id and text are one
+    document.  Documents without words are in no class and all stay, repeated rows
+    too.  Every document is told its class's first where the classes are named, so
+    nothing meets by class."""
     classes = staged(near_duplicates(docs).filter("class_no IS NOT NULL"), "classes")
-    first = classes.groupBy("class_no").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
     own = F.struct("doc_id", "text_key")
-    gone = classes.join(first, "class_no").filter(~own.eqNullSafe(F.col("first"))).select("doc_id", "text_key").distinct()
-    key = F.xxhash64("text")
-    kept = docs.alias("d").join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))
-                                & (F.xxhash64("d.text") == F.col("g.text_key")), "left_anti")
-    if classes.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty():
+    gone = classes.filter(~own.eqNullSafe(F.col("first"))).select("doc_id", "text_key").distinct()
+    again = (classes.filter(own.eqNullSafe(F.col("first"))).groupBy("doc_id", "text_key").count()
+             .filter("count > 1").select("doc_id", "text_key"))
+
+    def among(df: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return df.alias("d").join(keys.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+                                  & (F.xxhash64("d.text") == F.col("k.text_key")), how)
+    kept = among(docs, gone, "left_anti")
+    again = staged(again, "repeated")
+    if again.isEmpty():
         return kept
-    return kept.withColumn("_key", key).dropDuplicates(["doc_id", "_key"]).drop("_key")
+    key = free_name("_key", docs.columns)
+    once = among(kept, again, "left_semi").withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key)
+    return among(kept, again, "left_anti").unionByName(once)

@@ -116,3 +116,18 @@ def test_components(spark):
 def test_empty_table(spark, make_docs):
     assert D.near_duplicates(make_docs([])).count() == 0
     assert [tuple(r)[:2] for r in D.near_duplicates(make_docs([(4, None)])).collect()] == [(4, 4)]
+
+
+def test_one_of_each_is_told_row_by_row(spark, make_docs):
+    """Wordless rows stay whatever else is in the table; repeated rows of a class
+    are one document; a user's ``_key`` column is kept."""
+    text = "one two three four five six seven"
+    wordless = [(8, None), (8, None), (9, "..."), (9, "..."), (None, ""), (None, "")]
+    for more, want in (([(1, text)], [1]), ([(1, text), (1, text)], [1]), ([(2, text), (1, text), (1, text)], [1]),
+                       ([(None, text), (4, text), (4, text)], [4]), ([(None, text), (None, text)], [None]),
+                       ([(5, text * 4), (5, text * 4 + " eight"), (6, "x"), (6, "x")], [5, 6]), ([], [])):
+        docs = make_docs(wordless + more).withColumn("_key", F.lit("own")).withColumn("first", F.lit(1))
+        kept = D.one_of_each(docs.repartition(3))
+        rows = kept.collect()
+        assert kept.columns == docs.columns and all(r._key == "own" for r in rows)
+        assert sorted(map(str, (r.doc_id for r in rows))) == sorted(map(str, [8, 8, 9, 9, None, None, *want])), more
