@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.llm._files import bucket_count, staged_buckets
+from seqtally.llm._files import bucket_count, free_name, staged_buckets
 from seqtally.llm._planes import pack_sorted, unpack_sorted
 from seqtally.llm._words import Words, pieces, rolling
 
@@ -65,7 +65,7 @@ def chunked(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([number] * part.num_rows, pa.int64()), own.cast(pa.int64())],
                     names=[*part.schema.names, "_chunk", "_bytes"])
-    docs = docs.drop(*RESULT, "_chunk", "_bytes")
+    docs = docs.drop(*RESULT)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["_chunk long", "_bytes long"]
     return staged_buckets(docs.mapInArrow(run, ", ".join(fields)), "chunks", "_chunk", bucket_count(docs))
 
@@ -288,7 +288,8 @@ def _remove(columns: list[str]):
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with ``text`` without repeated words, ``n_words`` (before) and
     ``n_removed``."""
-    chunks = chunked(docs)
+    names = {c: free_name(c, docs.columns) for c in ("_chunk", "_bytes") if c in docs.columns}
+    chunks = chunked(docs.withColumnsRenamed(names))
     bits = _ranges(chunks)
     columns = [c for c in chunks.columns if c not in ("_chunk", "_bytes")]
     texts = chunks.select("_chunk", "doc_id", "text").groupBy("_chunk")
@@ -298,4 +299,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chunks.schema if f.name in columns]
     schema = ", ".join([*fields, "n_words long", "n_removed long"])
     return (chunks.drop("_bytes").groupBy("_chunk").cogroup(found.groupBy("chunk"))
-            .applyInArrow(_remove(columns), schema))
+            .applyInArrow(_remove(columns), schema).withColumnsRenamed({new: c for c, new in names.items()}))

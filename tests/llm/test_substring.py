@@ -75,3 +75,32 @@ def test_untouched_texts_stay_and_cuts_keep_the_rest(spark, make_docs):
 @pytest.mark.parametrize("n", [0])
 def test_empty_table(spark, make_docs, n):
     assert remove_repeats(make_docs([])).count() == n
+
+
+def test_internal_names_as_columns(spark, make_docs):
+    """A user's columns keep their names and values, the internal ones' too."""
+    from pyspark.sql import functions as F
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = (make_docs([(1, text), (2, text + " tail"), (3, None)]).withColumn("_chunk", F.col("doc_id") * 10)
+            .withColumn("_bytes", F.lit("b")).withColumn("_chunk_", F.lit("c")))
+    from seqtally.llm.substring import remove_repeats
+    out = remove_repeats(docs)
+    assert out.columns == [*docs.columns, "n_words", "n_removed"]
+    got = sorted((r.doc_id, r._chunk, r._bytes, r._chunk_, r.n_words, r.n_removed) for r in out.collect())
+    assert got == [(1, 10, "b", "c", 60, 0), (2, 20, "b", "c", 61, 60), (3, 30, "b", "c", 0, 0)]
+
+
+def test_more_partitions_than_buckets(spark, make_docs):
+    """Beyond the most buckets that Spark takes, a bucket holds several chunks'
+    rows; no table is left in the catalog."""
+    from seqtally.llm import substring
+    rows = [(i, " ".join(f"w{i % 7}x{j}" for j in range(80))) for i in range(120)]
+    want = sorted((r.doc_id, r.n_removed) for r in substring.remove_repeats(make_docs(rows)).collect())
+    before = spark.conf.get("spark.sql.sources.bucketing.maxBuckets")
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "8")
+    try:
+        got = sorted((r.doc_id, r.n_removed) for r in substring.remove_repeats(make_docs(rows).repartition(50)).collect())
+    finally:
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", before)
+    assert got == want and sum(n for _, n in want) == 113 * 80
+    assert spark.catalog.listTables() == []
