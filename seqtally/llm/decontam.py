@@ -55,18 +55,23 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return grams.select(sized.alias("h"), "gram", "item_id")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text_key, n_words, at, n, item_id: a row for each occurrence of a
-    window, and a row with n = 0 for each document."""
+def window_set(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """h, gram, number: the distinct windows of all items, numbered; staged."""
     from seqtally.llm._files import staged
-    grams = staged(item_windows(benchmark, window), "item-windows")
+    grams = item_windows(benchmark, window).select("h", "gram").distinct()
+    return staged(grams.withColumn("number", F.monotonically_increasing_id()), "item-windows")
+
+
+def hits(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """doc_id, text_key, n_words, at, n, number: a row for each occurrence of a
+    window of ``window_set``, and a row with n = 0 for each document."""
     sizes = grams.groupBy(F.size("gram").alias("n")).agg(
         F.sum(F.octet_length(F.array_join("gram", " ")) + 64).alias("bytes")).collect()  # a row per length
     lengths = sorted(r.n for r in sizes)
     small = sum(r.bytes for r in sizes) <= BROADCAST_BYTES
     own = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("h"),
                                             F.array().cast("array<string>").alias("gram"),
-                                            F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"))
+                                            F.lit(None).cast("long").alias("number"))
     index = grams.unionByName(own)
 
     split = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("ws"))
@@ -90,17 +95,37 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     else:
         probe = probe.select("doc_id", "text_key", "at", "n", "key", F.size("ws").alias("n_words"),
                              F.when(F.col("at") >= 0, found).otherwise(F.array().cast("array<string>")).alias("seen"))
-        itself = probe.filter("at < 0").withColumn("item_id", F.lit(None).cast(benchmark.schema["item_id"].dataType))
+        itself = probe.filter("at < 0").withColumn("number", F.lit(None).cast("long"))
         joined = (probe.filter("at >= 0").join(grams, (F.col("key") == F.col("h")) & (F.col("seen") == F.col("gram")))
                   .select(itself.columns).unionByName(itself))
     return joined.select("doc_id", "text_key", F.col("n_words").cast("long").alias("n_words"), "at",
-                         F.when(F.col("at") < 0, 0).otherwise(F.col("n")).alias("n"), "item_id")
+                         F.when(F.col("at") < 0, 0).otherwise(F.col("n")).alias("n"), "number")
+
+
+def _same(left: str, right: str) -> Column:
+    """Whether two rows are of one document."""
+    return F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & (
+        F.col(f"{left}.text_key").eqNullSafe(F.col(f"{right}.text_key")))
+
+
+def document_items(rows: DataFrame, benchmark: DataFrame, grams: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, text_key, items: the sorted item_ids (as strings) whose windows
+    occur in each document with a hit.  Each distinct window of a document meets
+    its items once."""
+    from seqtally.operators._util import broadcast_if_small
+    items = (item_windows(benchmark, window).join(broadcast_if_small(grams), ["h", "gram"])
+             .select("number", F.col("item_id").cast("string").alias("item")).distinct())
+    seen = rows.filter("n > 0").select("doc_id", "text_key", "number").distinct()
+    return (seen.join(broadcast_if_small(items), "number").groupBy("doc_id", "text_key")
+            .agg(F.sort_array(F.collect_set("item")).alias("items")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """A row per document: doc_id, text_key, n_words, n_hit (words inside a
     window that occurs), items (sorted item_ids as strings)."""
-    rows = hits(docs, benchmark, window)
+    from seqtally.llm._files import staged
+    grams = window_set(benchmark, window)
+    rows = staged(hits(docs, grams), "window-hits")
     key = ["doc_id", "text_key"]
     before = Window.partitionBy(*key).orderBy("at", "n").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("at") + F.col("n")
@@ -108,15 +133,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     per = (rows.withColumn("new", F.when(F.col("n") > 0, new).otherwise(0))
            .groupBy(*key)
            .agg(F.max("n_words").alias("n_words"), F.sum("new").cast("long").alias("n_hit"),
-                F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
                 F.count_if(F.col("n") == 0).alias("copies")))
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return per.withColumn("copy", copies).drop("copy", "copies")
+    found = document_items(rows, benchmark, grams, window)
+    both = per.alias("p").join(found.alias("f"), _same("p", "f"), "left")
+    return (both.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select("p.doc_id", "p.text_key", "n_words", "n_hit",
+                    F.coalesce("items", F.array().cast("array<string>")).alias("items")))
 
 
 def contaminated_keys(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id and text_key of the documents with a hit, once each."""
-    return hits(docs, benchmark, window).filter("n > 0").select("doc_id", "text_key").distinct()
+    return hits(docs, window_set(benchmark, window)).filter("n > 0").select("doc_id", "text_key").distinct()
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -130,7 +157,7 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` whose texts have lost every hit word with the separators before
     it; other characters stay as they are."""
-    spans = (hits(docs, benchmark, window).filter("n > 0")
+    spans = (hits(docs, window_set(benchmark, window)).filter("n > 0")
              .select("doc_id", "text_key", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("p"))
              .groupBy("doc_id", "text_key").agg(F.collect_set("p").alias("gone")).alias("s"))
     word, other = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"

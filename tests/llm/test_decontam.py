@@ -87,3 +87,20 @@ def test_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert result(contamination(make_docs([(1, "a b")]), none)) == [(1, 2, 0, ())]
     assert contamination(make_docs([]), none).count() == 0
+
+
+def test_items_that_share_windows_do_not_multiply_hits(spark, make_docs):
+    """300 items with one beginning, in 200 documents: a row for each occurrence
+    and one for each document, and every item is told."""
+    start = " ".join(f"s{i}" for i in range(10))
+    items = [(i, f"{start} own{i}") for i in range(300)] + [(300, None)]
+    rows = [(d, f"text {d} {start} more") for d in range(200)] + [(900, "clean"), (900, "clean"), (None, start)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    grams = decontam.window_set(bench)
+    assert grams.count() == 301
+    assert decontam.hits(make_docs(rows), grams).count() == 201 + 203
+    got = contamination(make_docs(rows), bench)
+    assert {(r.doc_id, r.n_hit, len(r["items"])) for r in got.collect()} == (
+        {(d, 10, 300) for d in range(200)} | {(None, 10, 300), (900, 0, 0)})
+    assert got.count() == 203
+    assert sorted(r.doc_id for r in remove_documents(make_docs(rows), bench).collect()) == [900, 900]
