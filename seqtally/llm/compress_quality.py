@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.llm._sample import hashed_sample
+from seqtally.llm._sample import hashed_sample, one_text_each
 from seqtally.llm._words import pieces, text_buffer
 
 SAMPLE_DOCS, SAMPLE_BYTES = 3000, 16 << 10
@@ -132,7 +132,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled rows that are not held out.  The sampled ids are
     broadcast; about ``2 * SAMPLE_DOCS`` texts and as many pairs of a difference
-    and a label come to the driver (never more than twice as many)."""
+    and a label come to the driver (never more than twice as many), one text of an
+    id however often it occurs."""
     own = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("quality").cast("int").alias("_quality")))
     share = {r["_quality"]: r["count"] for r in own.groupBy("_quality").count().collect()}
@@ -144,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         one = hashed_sample(own.filter(F.col("_quality") == label), 2 * SAMPLE_DOCS, "doc_id")
         picked = one if picked is None else picked.unionByName(one)
     turn = F.pmod(F.xxhash64(F.lit("turn"), "doc_id"), F.lit(2))
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked.withColumn("_turn", turn)), "doc_id")
+    rows = one_text_each(docs, picked.withColumn("_turn", turn))
     short = rows.filter(F.octet_length("text").between(1, SAMPLE_BYTES) & (F.col("_turn") == 0))
     texts = {0: [], 1: []}
     for r in sorted(short.select("doc_id", "text", "_quality").collect(), key=lambda r: (r.doc_id, r.text)):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.llm._sample import hashed_sample
+from seqtally.llm._sample import distinct_sample
 from seqtally.llm._words import pieces
 
 SAMPLE_DOCS = 8000
@@ -113,7 +113,7 @@ def train(docs: DataFrame) -> Model:
     (doc_id, text, lang) that may be learnt from; only the sums, at most
     languages x (``BUCKETS`` + scripts) rows, come to the driver."""
     rows = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
-    rows = hashed_sample(rows, SAMPLE_DOCS, "doc_id", "text")
+    rows = distinct_sample(rows, SAMPLE_DOCS, "doc_id", "text", "lang")
 
     def run(batches):
         for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.llm._sample import hashed_sample
+from seqtally.llm._sample import hashed_sample, one_text_each
 from seqtally.llm._words import SEPARATOR, Words, mix, pieces, rolling, span_hashes
 
 #: Labelled documents that the trees are fitted on, about.
@@ -208,11 +208,12 @@ def fit_trees(x: np.ndarray, y: np.ndarray, signs: list[int]) -> Trees | None:
 
 def train(docs: DataFrame, labels: DataFrame) -> Trees | None:
     """Fit on about ``TRAIN_ROWS`` labelled documents; the sampled ids are
-    broadcast (bounded by that number), and their features are collected."""
+    broadcast (bounded by that number), and the features of one text of each are
+    collected."""
     known = (labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
              .agg(F.max("quality").cast("int").alias("_quality")))
     picked = hashed_sample(known, TRAIN_ROWS, "doc_id")
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "_quality")
+    rows = one_text_each(docs, picked).select("text", "_quality")
 
     def run(batches):
         for batch in batches:
