@@ -10,8 +10,10 @@ distinct words per chunk, never word positions or texts: a word that makes up a
 third of all positions costs one entry per chunk.  The chunk table is bucketed
 by chunk, so it is written once and never shuffled.
 
-Decoding joins ids to pieces with the vocabulary, whose size is fixed; pieces
-are separated by blanks, as the library decodes a tokenizer without a decoder.
+Decoding joins ids to pieces: the distinct ids of each chunk meet the table of the
+vocabulary (id, piece; its size is fixed) in a join, and the chunk's documents are
+written out with the pieces that come back, separated by blanks, as the library
+decodes a tokenizer without a decoder.
 
 Defined results: a null or empty text has no ids and decodes to the empty
 string; null and repeated doc_ids are kept row by row; further columns are
@@ -28,19 +30,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqtally.llm._bpe import WordTokenizer, load, take_runs
-from seqtally.llm._files import bucket_count, staged_buckets
+from seqtally.llm._files import bucket_count, staged, staged_buckets
 from seqtally.llm._planes import pack, unpack
 from seqtally.llm._words import pieces
+from seqtally.operators._util import broadcast_if_small
 
 #: Characters of text in a chunk; bounds what a task holds at once.
 CHUNK_CHARS = 12 << 20
 
 _CHUNKS = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("low", pa.binary()),
-                     ("mid", pa.binary()), ("high", pa.binary()), ("words", pa.binary()), ("places", pa.binary())])
-CHUNKS = ("chunk long, part long, doc_id long, low binary, mid binary, high binary, words binary, places binary")
-_ENCODED = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("ids", pa.binary())])
+                     ("mid", pa.binary()), ("high", pa.binary()), ("top", pa.binary()), ("words", pa.binary()), ("places", pa.binary())])
+CHUNKS = ("chunk long, part long, doc_id long, low binary, mid binary, high binary, top binary, words binary, places binary")
+_ENCODED = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("ids", pa.binary()), ("used", pa.list_(pa.int32()))])
 _DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
 
+PLANES = ("low", "mid", "high", "top")
+
 _workers: dict[str, WordTokenizer] = {}
 
 
@@ -66,8 +71,9 @@ class _Chunk:
 
     def batches(self):
         """Documents, then a row for each range with its words in order and
-        their numbers.  Frequent words get small numbers, so that the three
-        byte planes of the documents' numbers compress well."""
+        their numbers.  Frequent words get small numbers, so that the byte
+        planes of the documents' numbers compress well; the fourth one is
+        written only where a chunk has more than 2^24 words."""
         if not self.ids:
             return
         uses = np.bincount(np.concatenate(self.refs), minlength=len(self.words))
@@ -78,7 +84,7 @@ class _Chunk:
             planes = [rank[r].astype("<u4").view(np.uint8).reshape(-1, 4) for r in self.refs[i:i + 500]]
             n = len(planes)
             yield self._rows(n, doc_id=self.ids[i:i + n], **{
-                name: [p[:, k].tobytes() for p in planes] for k, name in enumerate(("low", "mid", "high"))})
+                name: [p[:, k].tobytes() for p in planes] for k, name in enumerate(PLANES[:3 + (len(order) > 1 << 24)])})
         self.ids, self.refs = [], []
         dealt: dict[int, list[str]] = {}
         for word in self.words:
@@ -118,8 +124,9 @@ def chunk_table(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def encode_words(chunks: DataFrame, tokenizer: str) -> DataFrame:
-    """For each chunk and range, the ids of its words in their order.  All
-    chunks' words of a range meet in one task, and each is encoded once."""
+    """For each chunk and range, the ids of its words in their order, and the
+    distinct ones (``used``).  All chunks' words of a range meet in one task, and
+    each is encoded once."""
     def run(key, table):
         import zstandard
         unpress = zstandard.ZstdDecompressor()
@@ -130,10 +137,25 @@ def encode_words(chunks: DataFrame, tokenizer: str) -> DataFrame:
             own.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
         flat, lengths = _tokenizer(tokenizer).encode_words(list(number))
         bounds = np.concatenate(([0], np.cumsum(lengths)))
-        packed = [pack((lengths[which], 4), (take_runs(flat, bounds, which)[0], 4)) for which in own]
-        return pa.Table.from_arrays([table.column("chunk"), table.column("part"), pa.array(packed, pa.binary())], schema=_ENCODED)
+        packed, used = [], []
+        for which in own:
+            ids = take_runs(flat, bounds, which)[0]
+            packed.append(pack((lengths[which], 4), (ids, 4)))
+            used.append(np.unique(ids).astype(np.int32))
+        return pa.Table.from_arrays([table.column("chunk"), table.column("part"), pa.array(packed, pa.binary()),
+                                     pa.array(used, pa.list_(pa.int32()))], schema=_ENCODED)
     words = chunks.filter("words IS NOT NULL").select("chunk", "part", "words")
-    return words.groupBy("part").applyInArrow(run, "chunk long, part long, ids binary")
+    return words.groupBy("part").applyInArrow(run, "chunk long, part long, ids binary, used array<int>")
+
+
+def chunk_pieces(encoded: DataFrame, tokenizer: str) -> DataFrame:
+    """chunk and its ``pieces`` (id, piece): the distinct ids of each chunk joined
+    to the vocabulary; at most as many rows for a chunk as there are ids."""
+    spark = encoded.sparkSession
+    table = spark.createDataFrame(list(enumerate(vocabulary(tokenizer))), "id int, piece string")
+    used = encoded.select("chunk", F.explode("used").alias("id")).distinct()
+    return (used.join(broadcast_if_small(table), "id").groupBy("chunk")
+            .agg(F.collect_list(F.struct("id", "piece")).alias("pieces")))
 
 
 def vocabulary(tokenizer: str) -> list[str]:
@@ -145,7 +167,8 @@ def vocabulary(tokenizer: str) -> list[str]:
     return piece
 
 
-def decode(ids: np.ndarray, piece: list[str]) -> str:
+def decode(ids: np.ndarray, piece) -> str:
+    """The pieces (a list or a dictionary by id) of ids."""
     return " ".join(map(piece.__getitem__, ids.tolist()))
 
 
@@ -153,9 +176,18 @@ def encode_documents(docs: DataFrame, tokenizer: str, decoded: bool = False) ->
     """doc_id, ``ids`` (little-endian unsigned 32-bit) and, if asked for,
     ``decoded``: the text that the ids are decoded to (else null)."""
     chunks = chunk_table(docs, tokenizer)
-    piece = vocabulary(tokenizer) if decoded else None
+    encoded = staged(encode_words(chunks, tokenizer), "bpe-words")
+    nothing = F.lit(None).cast("array<struct<id:int,piece:string>>")
+    right = encoded.select("chunk", "part", "ids", nothing.alias("pieces"))
+    if decoded:
+        right = right.unionByName(chunk_pieces(encoded, tokenizer), allowMissingColumns=True)
 
     def join(left, right):
+        piece = None
+        if decoded:
+            told = [x for x in right.column("pieces").to_pylist() if x is not None]
+            piece = {t["id"]: t["piece"] for t in told[0]} if told else {}
+            right = right.filter(right.column("ids").is_valid())
         lists = left.column("places").to_pylist()
         places = {p: unpack(x, 4)[0].astype(np.int64) for p, x in zip(left.column("part").to_pylist(), lists) if x is not None}
         size = sum(map(len, places.values()))
@@ -171,18 +203,20 @@ def encode_documents(docs: DataFrame, tokenizer: str, decoded: bool = False) ->
         ids = ids[np.arange(at) + np.repeat(start - order, count)]
         bounds = np.append(order, at)
         out, found = [], []
-        for doc, lo, mid, hi in zip(*(left.column(c).to_pylist() for c in ("doc_id", "low", "mid", "high"))):
-            if lo is None:
+        for doc, *planes in zip(*(left.column(c).to_pylist() for c in ("doc_id", *PLANES))):
+            if planes[0] is None:
                 continue
-            ref = (np.frombuffer(lo, np.uint8).astype(np.int64) | np.frombuffer(mid, np.uint8).astype(np.int64) << 8
-                   | np.frombuffer(hi, np.uint8).astype(np.int64) << 16)
+            ref = np.zeros(len(planes[0]), np.int64)
+            for k, plane in enumerate(planes):
+                if plane is not None:
+                    ref |= np.frombuffer(plane, np.uint8).astype(np.int64) << 8 * k
             own = take_runs(ids, bounds, ref)[0]
-            found.append((doc, own.tobytes(), decode(own, piece) if piece else None))
+            found.append((doc, own.tobytes(), decode(own, piece) if decoded else None))
             if len(found) >= 200:
                 out.append(_documents(found))
                 found = []
         return pa.Table.from_batches([*out, _documents(found)])
-    return (chunks.drop("words").groupBy("chunk").cogroup(encode_words(chunks, tokenizer).groupBy("chunk"))
+    return (chunks.drop("words").groupBy("chunk").cogroup(right.groupBy("chunk"))
             .applyInArrow(join, "doc_id long, ids binary, decoded string"))
 
 
