@@ -8,12 +8,14 @@ the data beyond the number of languages.
 
 Defined results: a null text, or one without a letter, has no span and is
 ``und`` with score 0; a word of a script that no language was seen in speaks for
-none; equal paths and equal totals go to the language first by name; without
-anything to learn from every text is ``und``; null doc_ids are labelled and
+none; equal paths and equal totals go to the language first by name; any number
+of languages and any length of text is labelled, a very long text a part at a
+time with the scores carried over; without anything to learn from every text is ``und``; null doc_ids are labelled and
 never learnt from; further columns are kept, but the result's own give way."""
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -33,6 +35,15 @@ SWITCH = 8.0
 SCRIPT_SHARE = 0.001
 UNKNOWN = "und"
 PIECE_BYTES = 4 << 20
+#: A longer text is labelled a part of so many characters at a time.
+LONG_CHARS = 1 << 20
+#: Words up to which texts step together, and languages up to which the runs of a
+#: longer one do.
+STEPS, MATRIX = 4096, 24
+#: Scores are counted in parts of a nat.
+UNIT = 1 << 16
+_SWITCH = round(SWITCH * UNIT)
+_SPACE = re.compile(r"\s")
 
 RESULT = ("lang_pred", "score", "spans")
 
@@ -154,21 +165,32 @@ def word_scores(text: _Text, model: Model) -> np.ndarray:
     return scores
 
 
+def whole(scores: np.ndarray) -> np.ndarray:
+    """Scores as integers of ``UNIT``, whose sums don't depend on their order, so
+    that a text's labels don't depend on how it is cut."""
+    return np.rint(scores.astype(np.float64) * UNIT).astype(np.int64)
+
+
 def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Best language of every word under the switching penalty; all texts of a
-    piece step together, the longest first, so that a step is a few vector
-    operations over the texts that still have words."""
+    """Best language of every word under the switching penalty.  Texts of up to
+    ``STEPS`` words step together, the longest first, so that a step is a few
+    vector operations over the texts that still have words; longer ones are cut
+    into runs that step together (``_Run``)."""
+    scores = whole(scores)
     counts = np.diff(first)
-    path = np.zeros(len(scores), np.int8)
-    order = np.argsort(-counts, kind="stable")
-    begin, counts = first[:-1][order], counts[order]
+    path = np.zeros(len(scores), np.int32)
+    for d in np.flatnonzero(counts > STEPS):
+        own = _Run(scores[first[d]:first[d + 1]], np.zeros(scores.shape[1], np.int64))
+        path[first[d]:first[d + 1]] = own.trace(int(own.end.argmax()))[0]
+    order = np.argsort(-np.where(counts > STEPS, 0, counts), kind="stable")
+    begin, counts = first[:-1][order], np.where(counts > STEPS, 0, counts)[order]
     if not len(counts) or not counts[0]:
         return path
     active = np.searchsorted(-counts, -np.arange(counts[0]), "left")  # texts with more words than t
     stay = np.ones(scores.shape, bool)
-    best = np.zeros(len(scores), np.int8)
-    now = scores[begin[:active[0]]].astype(np.float64)
-    finals = np.zeros((len(counts), scores.shape[1]))
+    best = np.zeros(len(scores), np.int32)
+    now = scores[begin[:active[0]]]
+    finals = np.zeros((len(counts), scores.shape[1]), np.int64)
     for t in range(1, int(counts[0])):
         m = active[t]
         if m < len(now):
@@ -176,7 +198,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
             now = now[:m]
         at = begin[:m] + t
         top = now.argmax(1)
-        other = now[np.arange(m), top] - SWITCH
+        other = now[np.arange(m), top] - _SWITCH
         keeps = now >= other[:, None]
         stay[at], best[at] = keeps, top
         now = np.where(keeps, now, other[:, None]) + scores[at]
@@ -191,23 +213,139 @@ def viterbi(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
     return path
 
 
+class _Run:
+    """The forward pass over a run of words from a ``start`` (a score for each
+    language before the first word), and its back pointers, compactly: ``end``
+    holds the scores behind the last word.
+
+    The words are cut into runs of equal length that step together.  What a run
+    does to the scores is a (max, +) matrix, found by starting it from each
+    language; the matrices in turn give every run its start.  Back pointers are
+    followed from each language at once in the same way.  With many languages the
+    matrices would cost more than they save, and there is one run."""
+
+    def __init__(self, scores: np.ndarray, start: np.ndarray):
+        n, k = scores.shape
+        self.n, self.k = n, k
+        runs = max(1, int(n ** 0.5)) if k <= MATRIX else 1
+        self.length = -(-n // runs)
+        self.runs = -(-n // self.length)
+        self.fill = self.runs * self.length - n  # words before the first: no score, no switch
+        padded = np.concatenate([np.zeros((self.fill, k), np.int64), scores]).reshape(self.runs, self.length, k)
+        starts = start[None]
+        if self.runs > 1:
+            m = np.full((self.runs, k, k), -(1 << 60))
+            m[:, np.arange(k), np.arange(k)] = 0
+            for t in range(self.length):
+                m = np.maximum(m, m.max(2, keepdims=True) - _SWITCH) + padded[:, t, None]
+            starts = np.empty((self.runs, k), np.int64)
+            now = start
+            for r in range(self.runs):
+                starts[r] = now
+                now = (now[:, None] + m[r]).max(0)
+                now = now - now.max()
+        self.top = np.empty((self.length, self.runs), np.uint8 if k <= 256 else np.int32)
+        self.stay = np.empty((self.length, self.runs, -(-k // 8)), np.uint8)
+        now = starts
+        for t in range(self.length):
+            top = now.argmax(1)
+            other = now[np.arange(len(now)), top] - _SWITCH
+            keeps = now >= other[:, None]
+            self.top[t], self.stay[t] = top, np.packbits(keeps, axis=1)
+            now = np.where(keeps, now, other[:, None]) + padded[:, t]
+        self.end = now[-1] - now[-1].max()
+
+    def _before(self, t: int, lang: np.ndarray) -> np.ndarray:
+        """The languages before step t on the best paths to ``lang`` (runs, m)."""
+        byte = np.take_along_axis(self.stay[t], lang >> 3, 1)
+        keeps = (byte >> (7 - (lang & 7)).astype(np.uint8)) & 1
+        return np.where(keeps == 1, lang, self.top[t][:, None].astype(np.int64))
+
+    def trace(self, lang: int) -> tuple[np.ndarray, int]:
+        """The best path that ends in ``lang``, and the language before it."""
+        last = np.full(self.runs, lang, np.int64)
+        if self.runs > 1:
+            back = np.tile(np.arange(self.k), (self.runs, 1))
+            for t in range(self.length - 1, -1, -1):
+                back = self._before(t, back)
+            for r in range(self.runs - 1, 0, -1):
+                last[r - 1] = back[r, last[r]]
+        path = np.empty((self.runs, self.length), np.int32)
+        now = last[:, None]
+        for t in range(self.length - 1, -1, -1):
+            path[:, t] = now[:, 0]
+            now = self._before(t, now)
+        return path.ravel()[self.fill:], int(now[0, 0])
+
+
+def _spans(base: np.ndarray, owner: np.ndarray, starts, ends, path, languages, n: int) -> list[list]:
+    """Runs of words of one language, text by text; ``base`` is where each begins."""
+    change = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(path, prepend=-1) != 0))
+    last = np.append(change[1:], len(path)) - 1 if len(change) else change
+    spans: list[list] = [[] for _ in range(n)]
+    for o, a, b, lang in zip(owner[change].tolist(), starts[change].tolist(), ends[last].tolist(), path[change].tolist()):
+        spans[o].append({"start": a - int(base[o]), "end": b - int(base[o]), "lang": languages[lang]})
+    return spans
+
+
+def _blocks(text: str):
+    """(place, part) of the parts of a long text, cut at a space where there is one
+    nearby, and never inside a word."""
+    at = 0
+    while at < len(text):
+        end = at + LONG_CHARS
+        if end < len(text):
+            end = next((m.end() for m in _SPACE.finditer(text, end, end + LONG_CHARS)), end)
+            kind = _letters()
+            while end < len(text) and kind[ord(text[end])] and kind[ord(text[end - 1])]:
+                end += 1
+        yield at, text[at:end]
+        at = end
+
+
+def _label_long(text: str, model: Model):
+    """``_label`` of one long text, a part at a time: scores live for a part only,
+    and what is kept of each are its words' places and compact back pointers."""
+    k = len(model.languages)
+    now, parts = np.zeros(k, np.int64), []
+    for at, part in _blocks(text):
+        own = _Text([part])
+        if not len(own.starts):
+            continue
+        run = _Run(whole(word_scores(own, model)), now)
+        now = run.end
+        parts.append((own.starts + (at - 1), own.ends + (at - 1), run))
+    if not parts:
+        return UNKNOWN, 0.0, []
+    lang, paths = int(now.argmax()), []
+    for *_, run in reversed(parts):
+        path, lang = run.trace(lang)
+        paths.append(path)
+    path = np.concatenate(paths[::-1])
+    starts, ends = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    letters = np.bincount(path, ends - starts, minlength=k)
+    spans = _spans(np.zeros(1, np.int64), np.zeros(len(path), np.int64), starts, ends, path, model.languages, 1)
+    return model.languages[int(letters.argmax())], letters.max() / letters.sum(), spans[0]
+
+
 def _label(texts: list[str], model: Model):
     """lang_pred, score and spans of the texts."""
-    text = _Text(texts)
     n, k = len(texts), len(model.languages)
     if not k:
         return [UNKNOWN] * n, np.zeros(n), [[] for _ in range(n)]
+    long = [i for i, t in enumerate(texts) if len(t) > LONG_CHARS]
+    if long:
+        pred, score, spans = _label([t if len(t) <= LONG_CHARS else "" for t in texts], model)
+        for i in long:
+            pred[i], score[i], spans[i] = _label_long(texts[i], model)
+        return pred, score, spans
+    text = _Text(texts)
     path = viterbi(word_scores(text, model), text.first)
     owner = np.repeat(np.arange(n), np.diff(text.first))
     letters = np.bincount(owner * k + path, text.ends - text.starts, minlength=n * k).reshape(n, k)
     total, top = letters.sum(1), letters.argmax(1)
     pred = [model.languages[i] if x else UNKNOWN for i, x in zip(top, total)]
-    change = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(path, prepend=-1) != 0))
-    last = np.append(change[1:], len(path)) - 1 if len(change) else change
-    spans: list[list] = [[] for _ in range(n)]
-    for o, a, b, lang in zip(owner[change].tolist(), text.starts[change].tolist(), text.ends[last].tolist(), path[change].tolist()):
-        base = int(text.bounds[o])
-        spans[o].append({"start": a - base, "end": b - base, "lang": model.languages[lang]})
+    spans = _spans(text.bounds, owner, text.starts, text.ends, path, model.languages, n)
     return pred, letters.max(1) / np.maximum(total, 1), spans
 
 

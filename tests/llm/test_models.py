@@ -105,6 +105,90 @@ def test_viterbi_matches_all_paths():
             assert value(path[a:b], scores[a:b]) == pytest.approx(best)
 
 
+def plain_path(scores, start):
+    """One word after the other: the best path, and its language before the first."""
+    now, back = start.copy(), []
+    for row in scores:
+        top = int(now.argmax())
+        other = now[top] - langid._SWITCH
+        back.append([i if now[i] >= other else top for i in range(len(now))])
+        now = np.maximum(now, other) + row
+    lang = int(now.argmax())
+    path = []
+    for b in reversed(back):
+        path.append(lang)
+        lang = b[lang]
+    return path[::-1], lang, now - now.max()
+
+
+@pytest.mark.parametrize("k", [1, 2, 5, 24, 25, 300])
+@pytest.mark.parametrize("n", [1, 2, 17, 100, 401])
+def test_runs_of_a_long_text(k, n):
+    """Runs that step together find the path that word by word finds, from any
+    start, with ties and with more languages than a byte holds."""
+    rng = np.random.default_rng(n * k)
+    scores = rng.integers(-9, 9, (n, k)) * langid._SWITCH // rng.integers(1, 9)
+    start = np.maximum(rng.integers(-2, 1, k) * langid._SWITCH, -langid._SWITCH)
+    run = langid._Run(scores, start - start.max())
+    path, before, end = plain_path(scores, start - start.max())
+    got, was = run.trace(int(run.end.argmax()))
+    assert got.tolist() == path and was == before and (run.end == end).all()
+
+
+def test_many_languages_and_mixed_lengths(monkeypatch):
+    rng = np.random.default_rng(2)
+    sizes = [0, 3, 40, 7, 0, 12]
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    for k in (3, 300):
+        scores = rng.normal(0, 9, (first[-1], k))
+        want = [plain_path(langid.whole(scores[a:b]), np.zeros(k, np.int64))[0] for a, b in zip(first, first[1:])]
+        for steps in (langid.STEPS, 5, 0):
+            monkeypatch.setattr(langid, "STEPS", steps)
+            path = langid.viterbi(scores, first)
+            assert [path[a:b].tolist() for a, b in zip(first, first[1:])] == want
+        assert k == 3 or (path > 127).sum() > 10
+
+
+def test_long_texts_part_by_part(spark, monkeypatch):
+    """However a text is cut, its labels are the same; a very long one is labelled
+    whole."""
+    docs, _ = tables(spark)
+    model = langid.train(docs)
+    texts = [r.text for r in docs.filter("length(text) > 200").sort("doc_id").limit(60).collect()]
+    texts += [" ".join(texts[:9]), "x" * 3000, "1 " * 900, "", "\u0301 \u0301a " * 300, "日本語" * 500]
+    want = langid._label(texts, model)
+    for most in (40, 333):
+        monkeypatch.setattr(langid, "LONG_CHARS", most)
+        monkeypatch.setattr(langid, "STEPS", 3)
+        got = langid._label(texts, model)
+        assert got[0] == want[0] and got[2] == want[2] and np.allclose(got[1], want[1])
+    monkeypatch.undo()
+    long = (" ".join(texts[:40]) + " ") * 80
+    pred, score, spans = langid._label([long, texts[0]], model)
+    assert len(long) > 3 * langid.LONG_CHARS and pred[1] == want[0][0]
+    assert sum(s["end"] - s["start"] for s in spans[0]) > 0.8 * len(long) and spans[0][-1]["end"] <= len(long)
+
+
+def test_training_depends_on_distinct_rows_only(spark, make_docs, monkeypatch):
+    """An id that occurs thousands of times is one row of the samples, and its
+    repeats change no model."""
+    from seqtally.llm._sample import distinct_sample, one_text_each
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["good", "fine", "#bad", "junk|"]) + str(rnd.randrange(90)) for _ in range(60))) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], "doc_id long, quality int, toxic int")
+    many = rows + [rows[4]] * 3000 + [(4, f"zz {i}") for i in range(500)]
+    picked = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, mark int")
+    got = one_text_each(make_docs(many), picked).collect()
+    assert sorted(r.doc_id for r in got) == list(range(60))
+    monkeypatch.setattr(quality_rules, "TRAIN_ROWS", 40)
+    one, two = (quality_rules.train(make_docs(x).repartition(n), labels) for x, n in ((rows, 2), (rows + [rows[4]] * 3000, 7)))
+    assert all((getattr(one, f) == getattr(two, f)).all() for f in ("feature", "threshold", "value"))
+    one, two = (compress_quality.train(make_docs(x).repartition(n), labels) for x, n in ((rows, 2), (rows + [rows[4]] * 3000, 7)))
+    assert one == two
+    sample = lambda x, n: sorted(map(tuple, distinct_sample(make_docs(x).repartition(n), 30, "doc_id", "text").collect()))
+    assert len(sample(rows * 4, 3)) < 60 and sample(rows * 4, 3) == sample((rows * 4)[::-1], 8)
+
+
 def test_edges_and_clashing_columns(spark, make_docs):
     docs, labels = tables(spark)
     rows = make_docs([(i, t) for i, t in enumerate(EDGES)] + [(None, "a b"), (3, "x"), (3, "x")])
