@@ -153,8 +153,8 @@ def chunk_pieces(encoded: DataFrame, tokenizer: str) -> DataFrame:
     to the vocabulary; at most as many rows for a chunk as there are ids."""
     spark = encoded.sparkSession
     table = spark.createDataFrame(list(enumerate(vocabulary(tokenizer))), "id int, piece string")
-    used = encoded.select("chunk", F.explode("used").alias("id")).distinct()
-    return (used.join(broadcast_if_small(table), "id").groupBy("chunk")
+    used = encoded.groupBy("chunk").agg(F.array_distinct(F.flatten(F.collect_list("used"))).alias("used"))
+    return (used.select("chunk", F.explode("used").alias("id")).join(broadcast_if_small(table), "id").groupBy("chunk")
             .agg(F.collect_list(F.struct("id", "piece")).alias("pieces")))
 
 
