@@ -1,12 +1,17 @@
 """Near duplicates by DartMinHash.
 
 A document is a weighted set: its five-word shingles, weighted by how often
-they occur.  A shingle of weight w owns the region [0, w), cut into unit
-regions.  Into every unit region darts are thrown by hashing: dart m has a rank
-in [m, m + 1) and one of ``DARTS`` coordinates.  A document keeps the earliest
-dart of each coordinate.  Unit regions are alike, so two documents keep the
-same dart with the probability of their weighted Jaccard similarity, and about
-``DARTS * (ln DARTS + 2)`` darts fill a signature whatever the length.
+they occur.  An element of weight w owns the region [0, w) of its own axis.  Hashed
+darts fall on every axis, one per unit of weight and unit of rank on average: the
+axis is cut into [0, 1), [1, 2), [2, 4), [4, 8), ..., and in each of these pieces
+darts follow each other in rank at hashed (exponential) distances, each at a hashed
+place of the piece and with one of ``DARTS`` coordinates.  A document is hit by the
+darts that fall into its regions, and keeps the earliest of each coordinate; two
+documents keep the same dart with the probability of their weighted Jaccard
+similarity.  Weights may be any positive numbers (``signature``).  About ``DARTS *
+(ln DARTS + 2)`` darts fill a signature, so the rank up to which they are looked
+at falls with the total weight, and the work grows with the number of elements and
+the logarithm of their weights, not with the weight.
 
 ``BANDS`` bands of ``ROWS`` coordinates are joined.  At similarity 0.8 a pair
 shares no band with probability (1 - 0.8**6)**30, about 1 in 9,000, and less
@@ -50,7 +55,7 @@ from seqtally.llm._words import PLAIN_CASE, PLAIN_SEPARATOR, Words, mix, pieces,
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 30, 6
 DARTS = BANDS * ROWS
-#: Darts thrown at first; a signature with holes throws again.
+#: Darts looked at first; a signature with holes looks further.
 THROWN = int(DARTS * (math.log(DARTS) + 2))
 #: Least share of agreeing coordinates of a pair worth deciding (five standard
 #: deviations below the similarity).
@@ -65,9 +70,9 @@ _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 # --- one document ---------------------------------------------------------------
 
-def shingle_units(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit name for each unit of shingle weight, and the n + 1 bounds of
-    the texts' units.  Equal shingles of a text differ by their number."""
+def _shingles(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and text of every shingle, in the order of the texts; the order in
+    which equal shingles of a text follow each other, and where each begins in it."""
     hashes, counts = words.hashes(), words.counts
     at = np.flatnonzero(words.window_starts(SHINGLE))
     owner = words.owner()[at]
@@ -83,24 +88,65 @@ def shingle_units(words: Words) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(group, kind="stable")
     ranked = group[order]
     first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.empty(0, np.int64)
-    number = np.empty(len(ranked), np.uint64)
-    number[order] = np.arange(len(ranked)) - np.repeat(first, np.diff(np.append(first, len(ranked))))
+    return shingles, owner, order, first
+
+
+def shingle_units(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit name for each unit of shingle weight, and the n + 1 bounds of
+    the texts' units.  Equal shingles of a text differ by their number."""
+    shingles, owner, order, first = _shingles(words)
+    number = np.empty(len(order), np.uint64)
+    number[order] = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
     units = mix(shingles + number * _SALT)
-    return units, np.searchsorted(owner, np.arange(len(counts) + 1))
+    return units, np.searchsorted(owner, np.arange(len(words.counts) + 1))
+
 
+def shingle_weights(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct shingles of the texts, their weights, and the n + 1 bounds of
+    the texts' shingles."""
+    shingles, owner, order, first = _shingles(words)
+    weights = np.diff(np.append(first, len(order))).astype(np.float64)
+    one = order[first]
+    by_text = np.argsort(owner[one], kind="stable")
+    one, weights = one[by_text], weights[by_text]
+    return shingles[one], weights, np.searchsorted(owner[one], np.arange(len(words.counts) + 1))
 
-def signature(units: np.ndarray) -> np.ndarray:
-    """The earliest dart of each coordinate: rank above, hash bits below."""
-    out = np.full(DARTS, ~np.uint64(0))
-    m, rounds = 0, max(1, -(-THROWN // len(units)))
+
+def darts(elements: np.ndarray, weights: np.ndarray, limit: float):
+    """(rank, name, coordinate) of the darts of rank ``limit`` and less that hit
+    the elements' regions; a piece of the axes and some darts of it at a time."""
+    low, width, piece = 0.0, 1.0, 0
+    while True:
+        own = weights > low
+        x, w = elements[own], weights[own]
+        if not len(x):
+            return
+        rank, n = np.zeros(len(x)), 0
+        step = max(1, math.ceil(limit * width))
+        while len(x):
+            number = np.arange(n, n + step, dtype=np.uint64) + np.uint64((piece << 40) + 1)
+            name = mix(x[:, None] ^ mix(number)[None])
+            r = rank[:, None] - np.cumsum(np.log(((name >> np.uint64(11)) + 0.5) * 2.0 ** -53), axis=1) / width
+            place = mix(name)
+            hit = (r <= limit) & (low + width * ((place >> np.uint64(32)) * 2.0 ** -32) < w[:, None])
+            yield r[hit], name[hit], (((place[hit] & np.uint64(0xFFFFFFFF)) * np.uint64(DARTS)) >> np.uint64(32)).astype(np.int64)
+            on = r[:, -1] <= limit
+            x, w, rank, n = x[on], w[on], r[on, -1], n + step
+        low, width, piece = low + width, max(1.0, low + width), piece + 1
+
+
+def signature(elements: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The name of the earliest dart of each coordinate, for distinct elements
+    (64-bit hashes) with positive weights."""
+    limit = THROWN / weights.sum()
     while True:
-        rank = np.repeat(np.arange(m, m + rounds, dtype=np.uint64), len(units))
-        h = mix(np.tile(units, rounds) ^ mix(rank + np.uint64(1)))
-        coordinate = ((h & np.uint64(0xFFFFFF)) * np.uint64(DARTS)) >> np.uint64(24)
-        np.minimum.at(out, coordinate.astype(np.int64), (rank << np.uint64(40)) | (h >> np.uint64(24)))
-        if (out != ~np.uint64(0)).all():
+        rank, name, coordinate = (np.concatenate(c) for c in zip(*darts(elements, weights, limit)))
+        late = np.argsort(-rank, kind="stable")
+        out, filled = np.zeros(DARTS, np.uint64), np.zeros(DARTS, bool)
+        out[coordinate[late]], filled[coordinate] = name[late], True  # the earliest is written last
+        if filled.all():
             return out
-        m, rounds = m + rounds, max(rounds, -(-THROWN // (4 * len(units))))
+        limit *= 2
 
 
 def _fingerprint(hashes: np.ndarray) -> bytes:
@@ -118,19 +164,19 @@ def signatures(docs: DataFrame) -> DataFrame:
             for part in pieces(batch):
                 words = Words(part.column("text"), PLAIN_SEPARATOR, PLAIN_CASE)
                 hashes = words.hashes()
-                units, bounds = shingle_units(words)
+                elements, weights, bounds = shingle_weights(words)
                 prints, size, bands, sketch = [], [], [], []
                 for d in range(part.num_rows):
-                    own = units[bounds[d]:bounds[d + 1]]
-                    size.append(len(own))
-                    if not len(own):
+                    own = slice(bounds[d], bounds[d + 1])
+                    size.append(int(weights[own].sum()))
+                    if not size[-1]:
                         prints.append(None), bands.append(None), sketch.append(None)
                         continue
                     prints.append(_fingerprint(hashes[words.first[d]:words.first[d + 1]]))
-                    darts = mix(signature(own))
-                    sketch.append((darts & np.uint64(255)).astype(np.uint8).tobytes())
+                    kept = mix(signature(elements[own], weights[own]))
+                    sketch.append((kept & np.uint64(255)).astype(np.uint8).tobytes())
                     key = bands_of.copy()
-                    for column in darts.reshape(BANDS, ROWS).T:
+                    for column in kept.reshape(BANDS, ROWS).T:
                         key = mix(key ^ column) + column
                     bands.append(key.view(np.int64))
                 yield pa.RecordBatch.from_arrays(

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,14 +94,68 @@ def test_signatures_agree_as_often_as_the_similarity():
             a = [f"{rnd.random()}" for _ in range(100)]
             b = a[:int(share * 100)] + [f"{rnd.random()}" for _ in range(100 - int(share * 100))]
             x, y = shingles(" ".join(a)), shingles(" ".join(b))
-            units, bounds = D.shingle_units(Words(pa.array([" ".join(a), " ".join(b)]), D.PLAIN_SEPARATOR, D.PLAIN_CASE))
-            s, t = (D.signature(units[bounds[k]:bounds[k + 1]]) for k in (0, 1))
+            own, weights, bounds = D.shingle_weights(Words(pa.array([" ".join(a), " ".join(b)]), D.PLAIN_SEPARATOR, D.PLAIN_CASE))
+            s, t = (D.signature(own[bounds[k]:bounds[k + 1]], weights[bounds[k]:bounds[k + 1]]) for k in (0, 1))
             common = sum((x & y).values())
             hits += (s == t).mean() - common / (sum(x.values()) + sum(y.values()) - common)
             total += 1
         assert abs(hits / total) < 0.02
 
 
+@pytest.mark.parametrize("scale", [0.05, 1, 40, 5000])
+def test_real_weights(scale):
+    """Any positive weights: signatures agree as often as the weighted Jaccard
+    similarity says, and as a brute-force minimum over all the elements' darts."""
+    rng = np.random.default_rng(int(scale * 100))
+    off = []
+    for _ in range(50):
+        n = rng.integers(1, 60)
+        names = rng.integers(0, 2 ** 63, n).astype(np.uint64)
+        x = scale * rng.gamma(0.5, 1.0, n) + 1e-3
+        y = np.where(rng.random(n) < 0.7, x, scale * rng.gamma(0.5, 1.0, n) + 1e-3)
+        y[rng.random(n) < 0.1] = 0
+        y[0] = x[0]
+        s, t = D.signature(names, x), D.signature(names[y > 0], y[y > 0])
+        off.append((s == t).mean() - np.minimum(x, y).sum() / np.maximum(x, y).sum())
+    assert abs(np.mean(off)) < 0.02
+    best = {}
+    for rank, name, coordinate in D.darts(names, x, 4 * D.THROWN / x.sum()):
+        for r, h, c in zip(rank, name, coordinate):
+            best[c] = min(best.get(c, (np.inf, 0)), (r, h))
+    assert [best[c][1] for c in range(D.DARTS)] == s.tolist()
+
+
+def test_darts_fall_evenly_and_stay_where_they_are():
+    """One dart for each unit of weight and rank on average; a larger region has
+    all the darts of a smaller one; the number of darts looked at follows the
+    elements, not their weights."""
+    rng = np.random.default_rng(5)
+    names = rng.integers(0, 2 ** 63, 3000).astype(np.uint64)
+    for weight, limit in ((0.3, 2.0), (1.0, 1.0), (5.5, 0.4), (1000.0, 0.002)):
+        found = [np.concatenate(c) for c in zip(*D.darts(names, np.full(3000, weight), limit))]
+        assert abs(len(found[0]) / (3000 * weight * limit) - 1) < 0.06
+        assert abs(np.bincount(found[2], minlength=D.DARTS).std() / (len(found[0]) / D.DARTS) ** 0.5 - 1) < 0.3
+        more = np.concatenate([n for _, n, _ in D.darts(names, np.full(3000, weight * 1.7), limit)])
+        assert np.isin(found[1], more).all()
+
+
+def test_distinct_shingles_with_their_weights():
+    import pyarrow as pa
+    from seqtally.llm._words import Words
+    words = Words(pa.array(["a b " * 50, None, "x", "a b c d e", "a b " * 50 + "c"]), D.PLAIN_SEPARATOR, D.PLAIN_CASE)
+    own, weights, bounds = D.shingle_weights(words)
+    assert bounds.tolist() == [0, 2, 2, 3, 4, 7]
+    assert sorted(weights[:2]) == [48, 48] and weights[2:4].tolist() == [1, 1] and sorted(weights[4:]) == [1, 48, 48]
+    assert set(own[:2]) < set(own[4:7])
+
+
+def test_recall_on_documents(spark):
+    """All pairs of five-word shingle sets at 0.8 or more are in one class."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(((r.doc_id, r.class_id) for r in D.near_duplicates(docs).collect()), key=str) == brute(rows)
+
+
 def test_components(spark):
     rnd = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 160)] + [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)]
