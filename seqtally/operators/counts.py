@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqtally.operators._util import broadcast_if_small, staged
+from seqtally.operators._util import broadcast_if_small
 from seqtally.operators.match import manifest_pairs
 
 # The reference processes reads in chunks of this many records by default
@@ -51,10 +51,10 @@ def run_pairs(tally: DataFrame, library: DataFrame, manifest: DataFrame | None =
         if len(sets) != 1:
             raise ValueError("the library has several barcode sets: name one or give a manifest")
         barcode_set = sets[0]
-    # staged, so that the set is a column to join on and not a constant, which
-    # would turn the join with the library into a nested loop
-    return staged(tally.filter("barcode_set IS NULL").select("sample").distinct()
-                  .withColumn("barcode_set", F.lit(barcode_set)), "pairs")
+    # a value of each row: a constant would turn the join with the library into
+    # a nested loop
+    own = F.substr(F.concat(F.lit(barcode_set), F.coalesce("sample", F.lit(""))), F.lit(1), F.lit(len(barcode_set)))
+    return tally.filter("barcode_set IS NULL").select("sample").distinct().withColumn("barcode_set", own)
 
 
 def zero_fill(counts: DataFrame, library: DataFrame, pairs: DataFrame) -> DataFrame:
