@@ -148,7 +148,9 @@ class _Shard:
 
 
 def write_shards(frames: DataFrame, folder: str, width: int, digest: bytes) -> DataFrame:
-    """Write the frames in ascending doc_id order; one row per shard."""
+    """Write the frames in ascending doc_id order (then by n_tokens and by a hash
+    of the frame, then as they were read); one row per shard.  Rows that share a
+    doc_id, or are alike in everything, are dealt to as many tasks as others."""
     def run(batches):
         part, seq, shard = TaskContext.get().partitionId(), 0, None
         done = []
@@ -170,7 +172,9 @@ def write_shards(frames: DataFrame, folder: str, width: int, digest: bytes) -> D
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*done), (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
                 names=["part", "seq", "file", "n_docs", "n_tokens"])
-    ordered = frames.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "frame")
+    order = ["doc_id", "n_tokens", "hash", "place"]
+    placed = frames.withColumn("hash", F.xxhash64("frame")).withColumn("place", F.monotonically_increasing_id())
+    ordered = placed.repartitionByRange(*order).sortWithinPartitions(*order)
     return ordered.mapInArrow(run, SHARDS)
 
 

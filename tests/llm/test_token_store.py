@@ -109,3 +109,21 @@ def test_words_that_repeat_in_a_batch(tokenizer):
 def test_empty_tables(spark, make_docs):
     assert token_store.token_file_table(spark, make_docs([]), PATH, 2).count() == 0
     assert bpe_table.bpe_digests(make_docs([]), PATH).count() == 0
+
+
+def test_one_doc_id_in_many_tasks(spark, make_docs):
+    """A doc_id that holds nearly all rows, most of them alike, is written by
+    several tasks, and read back in order."""
+    rows = [(7, "same words here")] * 3000 + [(7, f"other {i}") for i in range(500)] + [(None, "none")] * 500 + [(1, "a"), (9, "z")]
+    folder = token_store.new_folder(spark, "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shards = token_store.write_tokens(make_docs(rows).repartition(4), folder, PATH, 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r.n_docs for r in shards.collect()]
+    assert sum(sizes) == len(rows) and len(sizes) >= 6 and max(sizes) < 1500
+    back = token_store.read_shards(shards, folder).sort("start").collect()
+    assert [r.start for r in back] == [sum(x.n_tokens for x in back[:i]) for i in range(len(back))]
+    ids = [-1 if r.doc_id is None else r.doc_id for r in back]
+    assert ids == sorted(ids) and ids.count(7) == 3500
