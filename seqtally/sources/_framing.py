@@ -208,16 +208,21 @@ class Lines:
         return not self.buf[self.bounds[i]:self.bounds[i + 1]].strip()
 
     def strings(self, lines: np.ndarray):
-        """Arrow strings of the numbered lines; null behind the last line.  Bytes
-        that are no UTF-8 are replaced."""
+        """Arrow strings of the numbered lines, without their ends; null behind the
+        last line.  Bytes that are no UTF-8 are replaced.
+
+        The bytes at hand are one string array, cut where lines begin and where
+        their text ends, so that every second string is a line."""
         import pyarrow as pa
-        import pyarrow.compute as pc
         if self._all is None:
+            cuts = np.empty(2 * self.n + 1, np.int32)
+            cuts[:-1:2], cuts[1::2], cuts[-1] = self.starts, self.starts + self.lengths, self.bounds[-1]
             try:
                 self.buf.isascii() or self.buf[:int(self.bounds[-1])].decode()
-                self._all = pa.StringArray.from_buffers(self.n, pa.py_buffer(self.bounds.astype(np.int32)), pa.py_buffer(self.buf))
+                self._all = pa.StringArray.from_buffers(2 * self.n, pa.py_buffer(cuts), pa.py_buffer(self.buf))
             except UnicodeDecodeError:
-                whole = (self.buf[a:b].decode("utf-8", "replace") for a, b in zip(self.bounds, self.bounds[1:]))
-                self._all = pa.array(whole, pa.string())
-        taken = self._all.take(pa.array(lines, mask=lines >= self.n))
-        return pc.ascii_rtrim(taken, characters="\r\n")
+                parts = (self.buf[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:]))
+                self._all = pa.array(parts, pa.string())
+        if len(lines) and lines[-1] < self.n:  # in order
+            return self._all.take(pa.array(2 * lines))
+        return self._all.take(pa.array(2 * lines, mask=lines >= self.n))
