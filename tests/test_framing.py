@@ -240,6 +240,31 @@ def test_mates_by_place(spark, tmpdir_path, split, kind):
     assert {r.sample for r in got} <= {"S"}
 
 
+def test_few_records_are_left_over_where_files_are_out_of_step(spark, tmpdir_path, monkeypatch):
+    """A record that one file lacks shifts all behind it: each task leaves over as
+    many records as the shift, not its whole part; what lies too far apart is left
+    to the join."""
+    from seqtally.sources import mates as M
+    one, two = mates(3000, 6)
+    del two[500], two[1700], one[2500]
+    files = [put(f"{tmpdir_path}/S/m_{i}.fastq", text_of(r)) for i, r in ((1, one), (2, two))]
+    rows = M.read_mates(spark, *files, split_bytes=20_000, by_id=True)
+    tasks = rows.rdd.getNumPartitions()
+    single = rows.filter("header_1 IS NULL OR header_2 IS NULL").count()
+    assert tasks > 8 and single <= 4 * tasks + 3
+    assert rows.count() - single > 2900
+    got = M.pair_mate_files(spark, *files, split_bytes=20_000).collect()
+    assert sorted((r.read_id, r.sequence_1, r.sequence_2) for r in got) == paired(one, two)
+    parts = M.paired_parts([list(r) for r in spark.read.format("fastq_index").option("splitBytes", "20000").load(files).collect()],
+                           files[:1], files[1:])
+    for ahead in (0, 1, 5):
+        monkeypatch.setattr(M, "AHEAD", ahead)
+        seen = [r for p in parts for b in M._with_mates(p) for r in b.to_pylist()]
+        for i, recs in ((1, one), (2, two)):
+            assert sorted(r[f"header_{i}"] for r in seen if r[f"header_{i}"]) == sorted(r[0] for r in recs)
+        assert all(r["header_1"].split()[0] == r["header_2"].split()[0] for r in seen if r["header_1"] and r["header_2"])
+
+
 def test_sequences_of_mates_are_not_shuffled(spark, tmpdir_path):
     """Several files, one of them block-gzip; mates in step pass no exchange."""
     from seqtally.sources.mates import pair_mate_files, read_mates
