@@ -54,8 +54,9 @@ TABLE_BITS = 26
 ENTRIES = "barcode_set string, ord long, text string, pattern string"
 
 
-def library_entries(library: DataFrame) -> DataFrame:
-    """barcode_set, ord, text, pattern: what is looked for in the reads.  A
+def library_entries(library: DataFrame, patterns: bool = True) -> DataFrame:
+    """barcode_set, ord, text, pattern: what is looked for in the reads; without
+    ``patterns`` the library has plain barcodes only.  A
     plain barcode is its own text; a pattern becomes the texts it stands for,
     or the texts of which each match contains one plus the pattern, or (text
     NULL) the pattern alone."""
@@ -78,9 +79,7 @@ def library_entries(library: DataFrame) -> DataFrame:
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                              names=["barcode_set", "ord", "text", "pattern"])
-    if regex.isEmpty():
-        return plain
-    return checkpointed(plain.unionByName(regex.mapInArrow(reduced, ENTRIES)))
+    return checkpointed(plain.unionByName(regex.mapInArrow(reduced, ENTRIES))) if patterns else plain
 
 
 def text_lengths(entries: DataFrame) -> dict[int, int]:
@@ -132,12 +131,15 @@ def _found(reads: DataFrame, library: DataFrame, carry, seed_min: int,
            keep_unmatched: bool) -> tuple[DataFrame, bool]:
     """``candidates``, and whether all rows of a read are in one task, one after
     the other, and carry its number there (``_read``)."""
-    if library.filter(F.coalesce(F.length("barcode"), F.lit(0)) == 0).limit(1).count():
+    kinds = library.agg(F.count(F.lit(1)).alias("n"),
+                        F.count_if(F.coalesce(F.length("barcode"), F.lit(0)) == 0).alias("empty"),
+                        F.count_if(~is_literal_barcode("barcode")).alias("patterns")).first()
+    if kinds.empty:
         raise ValueError("barcode library contains empty barcodes")
-    entries = library_entries(library)
-    lengths = text_lengths(entries)
-    if not lengths:
+    if not kinds.n:
         raise ValueError("empty barcode library")
+    entries = library_entries(library, kinds.patterns > 0)
+    lengths = text_lengths(entries)
     alone, short = lengths.pop(0, 0), sum(c for n, c in lengths.items() if n < seed_min)
     inline = F.lit(False)
     if 0 < alone <= PATTERN_INLINE_MAX:
