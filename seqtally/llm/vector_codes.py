@@ -161,6 +161,7 @@ def _checked(whole: np.ndarray, parts: int) -> None:
         raise ValueError("a component is too large for exact 64-bit distances")
 
 
+BOUNDS = ("near", "bounds", "need")
 STATE = "ints binary, code binary, near binary, bounds binary, need binary, error long"
 
 
@@ -181,8 +182,9 @@ def _state(keys, ints, found) -> object:
     bounds = np.stack([_half(f[1]) for f in found], 1)
     need = np.stack([f[3] for f in found], 1).astype(np.uint8)
     error = np.sum([f[2] for f in found], axis=0, dtype=np.int64)
+    short = not ints.size or -(1 << 15) <= ints.min() and ints.max() < 1 << 15
     return pa.RecordBatch.from_arrays(
-        [*keys, _binary(ints.astype(np.int32)), _binary(ids[:, :, 0]), _binary(ids[:, :, 1:]), _binary(bounds),
+        [*keys, _binary(ints.astype(np.int16 if short else np.int32)), _binary(ids[:, :, 0]), _binary(ids[:, :, 1:]), _binary(bounds),
          _binary(need), pa.array(error)],
         names=["vec_id", "label", "ints", "code", "near", "bounds", "need", "error"])
 
@@ -197,13 +199,26 @@ def _rows(column, dtype, n: int) -> np.ndarray:
     return raw.reshape(n, -1).copy().view(dtype)
 
 
+def integers(column, n: int, dims: int) -> np.ndarray:
+    """The integers of a column of vectors, of two or four bytes each."""
+    import pyarrow.compute as pc
+    size = pc.binary_length(column).to_numpy()
+    out = np.empty((n, dims), np.int64)
+    for kind in (np.int16, np.int32):
+        own = np.flatnonzero(size == dims * np.dtype(kind).itemsize)
+        if len(own):
+            out[own] = _rows(column if len(own) == n else column.take(own), kind, len(own))
+    return out
+
+
 def _schema(vectors: DataFrame) -> str:
     kind = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
     return f"vec_id {kind['vec_id']}, label {kind['label']}, {STATE}"
 
 
-def assign_first(kept: DataFrame, book: Book, b: int) -> DataFrame:
-    """Assignments of all kept vectors with all distances measured, staged."""
+def assign_first(kept: DataFrame, book: Book, b: int, last: bool = False) -> DataFrame:
+    """Assignments of all kept vectors with all distances measured, staged; the
+    last ones without bounds."""
     entries = book.entries
     parts, k, length = entries.shape
 
@@ -219,12 +234,12 @@ def assign_first(kept: DataFrame, book: Book, b: int) -> DataFrame:
                 found = [(*nearest(cut[:, p], entries[p], b), np.full(len(cut), min(b, 255))) for p in range(parts)]
                 yield _state([part.column("vec_id"), part.column("label")], whole, found)
     cut = kept.filter(F.size("embedding") == parts * length)
-    return staged(cut.mapInArrow(assign, _schema(kept)), "vector-codes")
+    return staged(cut.mapInArrow(assign, _schema(kept)).drop(*(BOUNDS if last else ())), "vector-codes")
 
 
-def assign_again(state: DataFrame, book: Book, b: int) -> DataFrame:
+def assign_again(state: DataFrame, book: Book, b: int, last: bool = False) -> DataFrame:
     """Assignments after the codebook has moved, from the bounds of ``state``,
-    staged."""
+    staged; the last ones without bounds."""
     entries, moves = book.entries, book.moves
     parts, k, length = entries.shape
 
@@ -234,7 +249,7 @@ def assign_again(state: DataFrame, book: Book, b: int) -> DataFrame:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 n = part.num_rows
-                whole = _rows(part.column("ints"), np.int32, n).astype(np.int64)
+                whole = integers(part.column("ints"), n, parts * length)
                 cut = whole.reshape(n, parts, length)
                 first = _rows(part.column("code"), np.uint8, n).reshape(n, parts, 1)
                 near = _rows(part.column("near"), np.uint8, n).reshape(n, parts, -1)
@@ -242,7 +257,7 @@ def assign_again(state: DataFrame, book: Book, b: int) -> DataFrame:
                 ids = np.concatenate([first, near], 2).astype(np.int64)
                 found = [reassigned(cut[:, p], ids[:, p], low[:, p], entries[p], moves[p], b) for p in range(parts)]
                 yield _state([part.column("vec_id"), part.column("label")], whole, found)
-    return staged(state.mapInArrow(assign, state.schema), "vector-codes")
+    return staged(state.mapInArrow(assign, state.schema).drop(*(BOUNDS if last else ())), "vector-codes")
 
 
 def _sums(state: DataFrame, parts: int, k: int, length: int) -> DataFrame:
@@ -257,11 +272,11 @@ def _sums(state: DataFrame, parts: int, k: int, length: int) -> DataFrame:
             n = batch.num_rows
             if not n:
                 continue
-            cut = _rows(batch.column("ints"), np.int32, n).reshape(n, parts, length)
+            cut = integers(batch.column("ints"), n, parts * length).reshape(n, parts, length)
             code = _rows(batch.column("code"), np.uint8, n)
             need = _rows(batch.column("need"), np.uint8, n)
             for p in range(parts):
-                np.add.at(sums[p, :, 1:], code[:, p], cut[:, p].astype(np.int64))
+                np.add.at(sums[p, :, 1:], code[:, p], cut[:, p])
                 sums[p, :, 0] += np.bincount(code[:, p], minlength=k)
                 needs[p] += np.bincount(need[:, p], minlength=256)
         rows = sums.reshape(parts * k, 1 + length)
@@ -302,7 +317,7 @@ def next_book(state: DataFrame, book: Book, b: int) -> tuple[Book, int]:
 def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES,
              rounds: int = ROUNDS) -> tuple[DataFrame | None, Book | None]:
     """(assignments, final codebooks) of ``vectors`` (vec_id, embedding, label):
-    vec_id, label, code (a byte for each part), error and the bounds.  (None,
+    vec_id, label, ints, code (a byte for each part) and error.  (None,
     None) if no vector is kept.  ``entries`` is at most 256."""
     if not 0 < entries <= 256:
         raise ValueError("entries must be 1 to 256, since a code is a byte")
@@ -315,7 +330,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES,
     for _ in range(rounds):
         state = assign_first(kept, book, b) if state is None else assign_again(state, book, b)
         book, b = next_book(state, book, b)
-    state = assign_first(kept, book, b) if state is None else assign_again(state, book, b)
+    state = assign_first(kept, book, b, True) if state is None else assign_again(state, book, b, True)
     return state, book
 
 
