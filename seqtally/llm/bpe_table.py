@@ -10,9 +10,9 @@ distinct words per chunk, never word positions or texts: a word that makes up a
 third of all positions costs one entry per chunk.  The chunk table is bucketed
 by chunk, so it is written once and never shuffled.
 
-Decoding joins ids to pieces: the distinct ids of each chunk meet the table of the
-vocabulary (id, piece; its size is fixed) in a join, and the chunk's documents are
-written out with the pieces that come back, separated by blanks, as the library
+Decoding joins ids to pieces: the distinct ids of the corpus meet the table of the
+vocabulary (id, piece) in a join, and documents are written out with the pieces that
+come back (no more than the vocabulary has), separated by blanks, as the library
 decodes a tokenizer without a decoder.
 
 Defined results: a null or empty text has no ids and decodes to the empty
@@ -124,9 +124,9 @@ def chunk_table(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def encode_words(chunks: DataFrame, tokenizer: str) -> DataFrame:
-    """For each chunk and range, the ids of its words in their order, and the
-    distinct ones (``used``).  All chunks' words of a range meet in one task, and
-    each is encoded once."""
+    """For each chunk and range, the ids of its words in their order, and for each
+    range a row without a chunk with the distinct ids (``used``).  All chunks'
+    words of a range meet in one task, and each is encoded once."""
     def run(key, table):
         import zstandard
         unpress = zstandard.ZstdDecompressor()
@@ -137,25 +137,23 @@ def encode_words(chunks: DataFrame, tokenizer: str) -> DataFrame:
             own.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
         flat, lengths = _tokenizer(tokenizer).encode_words(list(number))
         bounds = np.concatenate(([0], np.cumsum(lengths)))
-        packed, used = [], []
-        for which in own:
-            ids = take_runs(flat, bounds, which)[0]
-            packed.append(pack((lengths[which], 4), (ids, 4)))
-            used.append(np.unique(ids).astype(np.int32))
-        return pa.Table.from_arrays([table.column("chunk"), table.column("part"), pa.array(packed, pa.binary()),
-                                     pa.array(used, pa.list_(pa.int32()))], schema=_ENCODED)
+        packed = [pack((lengths[which], 4), (take_runs(flat, bounds, which)[0], 4)) for which in own]
+        n, part = len(packed), table.column("part").to_pylist()
+        used = pa.array([None] * n + [np.unique(flat).astype(np.int32)], pa.list_(pa.int32()))
+        return pa.Table.from_arrays([pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
+                                     pa.array([*part, part[0]], pa.int64()), pa.array([*packed, None], pa.binary()), used],
+                                    schema=_ENCODED)
     words = chunks.filter("words IS NOT NULL").select("chunk", "part", "words")
     return words.groupBy("part").applyInArrow(run, "chunk long, part long, ids binary, used array<int>")
 
 
-def chunk_pieces(encoded: DataFrame, tokenizer: str) -> DataFrame:
-    """chunk and its ``pieces`` (id, piece): the distinct ids of each chunk joined
-    to the vocabulary; at most as many rows for a chunk as there are ids."""
+def used_pieces(encoded: DataFrame, tokenizer: str) -> dict[int, str]:
+    """The pieces of the ids in use: their distinct ids joined to the vocabulary;
+    at most as many rows as that come to the driver."""
     spark = encoded.sparkSession
     table = spark.createDataFrame(list(enumerate(vocabulary(tokenizer))), "id int, piece string")
-    used = encoded.groupBy("chunk").agg(F.array_distinct(F.flatten(F.collect_list("used"))).alias("used"))
-    return (used.select("chunk", F.explode("used").alias("id")).join(broadcast_if_small(table), "id").groupBy("chunk")
-            .agg(F.collect_list(F.struct("id", "piece")).alias("pieces")))
+    used = encoded.filter("chunk IS NULL").select(F.explode("used").alias("id")).distinct()
+    return {r.id: r.piece for r in used.join(broadcast_if_small(table), "id").collect()}
 
 
 def vocabulary(tokenizer: str) -> list[str]:
@@ -177,17 +175,10 @@ def encode_documents(docs: DataFrame, tokenizer: str, decoded: bool = False) ->
     ``decoded``: the text that the ids are decoded to (else null)."""
     chunks = chunk_table(docs, tokenizer)
     encoded = staged(encode_words(chunks, tokenizer), "bpe-words")
-    nothing = F.lit(None).cast("array<struct<id:int,piece:string>>")
-    right = encoded.select("chunk", "part", "ids", nothing.alias("pieces"))
-    if decoded:
-        right = right.unionByName(chunk_pieces(encoded, tokenizer), allowMissingColumns=True)
+    piece = used_pieces(encoded, tokenizer) if decoded else None
+    right = encoded.filter("chunk IS NOT NULL").select("chunk", "part", "ids")
 
     def join(left, right):
-        piece = None
-        if decoded:
-            told = [x for x in right.column("pieces").to_pylist() if x is not None]
-            piece = {t["id"]: t["piece"] for t in told[0]} if told else {}
-            right = right.filter(right.column("ids").is_valid())
         lists = left.column("places").to_pylist()
         places = {p: unpack(x, 4)[0].astype(np.int64) for p, x in zip(left.column("part").to_pylist(), lists) if x is not None}
         size = sum(map(len, places.values()))
