@@ -146,20 +146,21 @@ def fractional_counts(hits: DataFrame, library: DataFrame) -> DataFrame:
 
 
 def count_barcodes_per_read(hits_all: DataFrame) -> DataFrame:
-    """Multiple-detection report: number of barcodes found per read ID."""
-    return (hits_all.groupBy("sample", "read_id")
-            .agg(F.count(F.lit(1)).alias("n_barcodes")))
+    """Multiple-detection report: number of barcodes found per read ID, from
+    ``match.match_all`` or its numbers (``match.match_numbers``)."""
+    n = F.sum("n") if "n" in hits_all.columns else F.count(F.lit(1))
+    return hits_all.groupBy("sample", "read_id").agg(n.cast("long").alias("n_barcodes"))
 
 
 def count_lines_matching(lines: DataFrame, library: DataFrame, key: str = "line_key") -> DataFrame:
     """Lines containing each barcode (a line counts for every barcode it
     contains), zero-filled over the library: the intended meaning of the
     reference's grep | wc -l prototype."""
-    from seqtally.operators.match import match_all
+    from seqtally.operators.match import match_counts
     reads = lines.select(F.lit("lines").alias("sample"), F.col(key).alias("read_key"),
                          F.col("value").alias("sequence"))
-    hits = match_all(reads, library)
-    n = hits.groupBy("barcode_set", "ord").agg(F.count(F.lit(1)).alias("n_lines"))
+    hits = match_counts(reads, library, every=True).filter("ord IS NOT NULL")
+    n = hits.groupBy("barcode_set", "ord").agg(F.sum("n").alias("n_lines"))
     return (library.select("barcode_set", "ord", "gene", "barcode")
             .join(n, ["barcode_set", "ord"], "left")
             .select("gene", "barcode",

@@ -16,6 +16,9 @@ read is shuffled.  Beyond the bound, positions first meet a bit table of the
 library's seeds, and what is left is shuffled with only the piece of the read
 that the comparison needs.
 
+A library of many plain barcodes is not joined at all: a position would meet
+several of them.  The tasks look whole barcodes up (``lookup``).
+
 Barcodes that are not plain letters are regular expressions, as in the
 reference.  A pattern that stands for a few plain texts is replaced by them; any
 other is searched by its required factors, a set of texts of which each match
@@ -32,7 +35,7 @@ from pyspark.sql import functions as F
 
 from seqtally.functions.patterns import cover, plain_texts
 from seqtally.functions.sequence import is_literal_barcode
-from seqtally.operators import _util
+from seqtally.operators import _util, lookup
 from seqtally.operators._util import ROW_BYTES, broadcast_if_small, checkpointed, size_bytes
 
 # Texts shorter than SEED_MIN seed on their own full length.  Longer ones
@@ -383,6 +386,9 @@ def _first_by(every: bool) -> tuple[str, ...]:
 
 
 def _matched(reads, library, manifest, carry, seed_min, ignore_case, every):
+    tables = lookup.lookup_of(library)
+    if tables is not None:
+        return _listed(lookup.matches(_cased(reads, ignore_case), tables, every, carry), manifest)
     found, together = _found(_cased(reads, ignore_case), library, carry, seed_min, False)
     if together:
         return _listed(within_reads(found, _first_by(every)), manifest)
@@ -418,14 +424,31 @@ def match_all(reads: DataFrame, library: DataFrame,
     return out.select("sample", "read_key", "barcode_set", "ord", *carry)
 
 
+def match_numbers(reads: DataFrame, library: DataFrame, carry: tuple[str, ...] = (),
+                  seed_min: int = SEED_MIN, ignore_case: bool = False) -> DataFrame:
+    """sample, read_key, n, *carry: the pairs of ``match_all`` as their number for
+    each read that has some (still to be added up where the index is not looked
+    up: a row, n = 1, for each pair)."""
+    tables = lookup.lookup_of(library)
+    if tables is not None:
+        out = lookup.numbers_by_read(_cased(reads, ignore_case), tables, carry)
+    else:
+        out = match_all(reads, library, carry=carry, seed_min=seed_min, ignore_case=ignore_case).withColumn("n", F.lit(1))
+    return out.select("sample", "read_key", F.col("n").cast("long").alias("n"), *carry)
+
+
 def matched_reads(reads: DataFrame, library: DataFrame, manifest: DataFrame | None = None,
                   every: bool = False, carry: tuple[str, ...] = (), seed_min: int = SEED_MIN,
                   ignore_case: bool = False) -> DataFrame:
     """sample, barcode_set, read_key, ord, n, *carry: a row (n = 1) for each
     assigned read (``every``: each pair of a read and a barcode), and for each
-    read one with NULL barcode_set, read_key and ord (n = 1; where the index is
-    not broadcast, one for each sample, with their number).  One pass over the
-    reads: their number comes from the pass that matches them."""
+    read one with NULL barcode_set, read_key and ord (n = 1; where the barcodes are
+    looked up or the index is not broadcast, some for each sample, with their
+    number).  One pass over the reads: their number comes from the pass that
+    matches them."""
+    tables = lookup.lookup_of(library)
+    if tables is not None:
+        return _listed(lookup.matches_and_totals(_cased(reads, ignore_case), tables, every, carry), manifest)
     found, together = _found(_cased(reads, ignore_case), library, carry, seed_min, True)
     if not together:
         return _shuffled_by_read(_listed(found, manifest), every, carry)
@@ -435,6 +458,19 @@ def matched_reads(reads: DataFrame, library: DataFrame, manifest: DataFrame | No
                         F.lit(1).cast("long").alias("n"), *(F.when(hit, F.col(c)).alias(c) for c in carry))
 
 
+def first_and_all(reads: DataFrame, library: DataFrame, seed_min: int = SEED_MIN,
+                  ignore_case: bool = False) -> DataFrame:
+    """Both the first match of each read and all of them, from one pass: rows of
+    ``matched_reads`` (every) with a column ``first``.  It is true in rows that tell
+    a read's first match only, false in numbers of all matches, and NULL in rows
+    that are one of all matches, the first of which is the smallest of its read."""
+    tables = lookup.lookup_of(library)
+    if tables is not None:
+        return lookup.matches_and_totals(_cased(reads, ignore_case), tables, every=False, number_all=True)
+    return matched_reads(reads, library, every=True, seed_min=seed_min, ignore_case=ignore_case).withColumn(
+        "first", F.lit(None).cast("boolean"))
+
+
 def _shuffled_by_read(found: DataFrame, every: bool, carry) -> DataFrame:
     """``matched_reads`` of rows that are not together: one aggregate by read,
     with a partial step that counts the reads' own rows per task."""
@@ -452,6 +488,9 @@ def match_counts(reads: DataFrame, library: DataFrame, manifest: DataFrame | Non
     """sample, barcode_set, ord, n: numbers of ``matched_reads`` that are still to
     be added up.  With a broadcast index the tasks count what they have matched,
     and nothing else leaves them; the manifest is joined to the counts."""
+    tables = lookup.lookup_of(library)
+    if tables is not None:
+        return _listed(lookup.numbers_of(_cased(reads, ignore_case), tables, every), manifest)
     found, together = _found(_cased(reads, ignore_case), library, (), seed_min, True)
     if together:
         return _listed(_counted_within(found, _first_by(every)), manifest)
@@ -462,6 +501,9 @@ def read_outcomes(reads: DataFrame, library: DataFrame, seed_min: int = SEED_MIN
                   ignore_case: bool = False) -> DataFrame:
     """One row per read: sample, read_key, detected (by any barcode).  A single
     pass over the reads, at the cost of one more row for each."""
+    tables = lookup.lookup_of(library)
+    if tables is not None:
+        return lookup.detected(_cased(reads, ignore_case), tables)
     found, together = _found(_cased(reads, ignore_case), library, (), seed_min, True)
     detected = F.col("ord").isNotNull()
     if together:

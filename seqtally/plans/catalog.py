@@ -163,9 +163,9 @@ def match_all_counts(spark, sf_dir):
 @query("barcodes_per_read", D.cte(**BASE, hits=HITS_ALL_SQL) + """
 SELECT sample, read_id, CAST(count(*) AS BIGINT) AS n_barcodes FROM hits GROUP BY sample, read_id""")
 def barcodes_per_read(spark, sf_dir):
-    from seqtally.operators.match import match_all
+    from seqtally.operators.match import match_numbers
     reads = D.reads(spark, sf_dir)
-    hits = match_all(reads, _library(spark, sf_dir), carry=("read_id",))
+    hits = match_numbers(reads, _library(spark, sf_dir), carry=("read_id",))
     return C.count_barcodes_per_read(hits)
 
 
@@ -223,16 +223,16 @@ def union_counts(spark, sf_dir):
     """Both count tables from one matching pass: the first match of a read is
     the smallest of all its matches."""
     from seqtally.operators._util import staged
-    from seqtally.operators.match import matched_reads
+    from seqtally.operators.match import first_and_all
     from seqtally.operators.records import union_counts as stack
     lib = _library(spark, sf_dir)
-    found = staged(matched_reads(D.reads(spark, sf_dir), lib, every=True), "matched")
+    found = staged(first_and_all(D.reads(spark, sf_dir), lib), "matched")
     hits = found.filter("ord IS NOT NULL")
-    first = hits.groupBy("sample", "read_key", "barcode_set").agg(F.min("ord").alias("ord"))
+    first = hits.filter("coalesce(first, true)").groupBy("sample", "read_key", "barcode_set").agg(F.min("ord").alias("ord"))
     pairs = C.run_pairs(found, lib, barcode_set=D.LIBRARY_SET)
     filled = (C.zero_fill(C.count_hits(first), lib, pairs)
               .select(F.lit("first").alias("mode"), "sample", "gene", "barcode", "read_counts"))
-    every = (C.with_genes(C.count_hits(hits), lib)
+    every = (C.with_genes(C.count_matched(hits.filter("NOT coalesce(first, false)")), lib)
              .select(F.lit("all").alias("mode"), "sample", "gene", "barcode", "read_counts"))
     return stack(filled, every)
 
