@@ -943,18 +943,13 @@ GROUP BY r.sample, r.read_key, m.barcode_set""")
 
 
 def _one_file(spark, df, path):
-    """The rows of ``df`` (value) as one text file ``path``, as users have it."""
+    """The rows of ``df`` (value) as one text file ``path``, as users have it:
+    written in parts, in their order, whose bytes a task then joins."""
     from seqtally.session import scratch_path
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    from seqtally.sources.fastq import join_files
     folder = scratch_path(spark, "one-file")
-    df.coalesce(1).write.text(folder)
-    source = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = source.getFileSystem(conf)
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs.mkdirs(target.getParent())
-    found = [f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")]
-    if len(found) != 1 or not fs.rename(found[0], target):
-        raise OSError(f"cannot make {path}")
+    df.write.text(folder)
+    join_files(spark, folder, path)
 
 
 def _project(spark, sf_dir):

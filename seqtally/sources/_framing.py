@@ -18,6 +18,8 @@ import zlib
 import numpy as np
 
 BLOCK = 8 * 1024 * 1024
+#: Bytes read behind a part's end, for its last lines; twice as many each time.
+BEHIND = 8 * 1024
 #: Offsets in block-gzip files: this bit, the place of the compressed block in the
 #: file, and 16 bits for the place in the block.
 VIRTUAL = 1 << 62
@@ -62,9 +64,16 @@ class Stream:
 
     def __init__(self, stream, at: int, limit: int | None):
         self.stream, self.at, self.limit = stream, at, limit
+        self._to, self._behind = at, BEHIND
 
     def read(self) -> bytes:
-        return self.stream.read(BLOCK)
+        size = BLOCK
+        if self.limit is not None and self._to + BLOCK > self.limit:
+            size = min(BLOCK, max(0, self.limit - self._to) + self._behind)
+            self._behind *= 2
+        block = self.stream.read(size)
+        self._to += len(block)
+        return block
 
     def offsets(self, places: np.ndarray) -> np.ndarray:
         return places
@@ -81,7 +90,7 @@ class Blocks:
         self.at, self.limit = 0, None
         self._raw, self._from = b"", start
         self._places, self._blocks = [], []
-        self._length = 0
+        self._length, self._behind = 0, BEHIND
         if start and not self._seek():
             self.limit = 0
 
@@ -131,7 +140,11 @@ class Blocks:
         out, n = [], 0
         if self.limit == 0:
             return b""
-        while n < BLOCK and self._from < self.size:
+        most = BLOCK
+        while n < most and self._from < self.size:
+            if self._from >= self.end and most == BLOCK:
+                most = min(BLOCK, n + self._behind)
+                self._behind *= 2
             if self.limit is None and self._from >= self.end:
                 self.limit = self._length + 1
             data = self._block()

@@ -177,6 +177,21 @@ def _list_files(paths):
     return out
 
 
+def join_files(spark: SparkSession, folder: str, path: str) -> None:
+    """The files of a folder, in order of their names, copied to one file by a task
+    that holds a block of them at a time."""
+    def copy(_):
+        target, to = _fs_and_path(path)
+        target.create_dir(to.rpartition("/")[0], recursive=True)
+        with target.open_output_stream(to) as out:
+            for name, _ in _list_files([folder]):
+                fs, part = _fs_and_path(name)
+                with fs.open_input_stream(part) as file:
+                    while block := file.read(8 << 20):
+                        out.write(block)
+    spark.sparkContext.parallelize([0], 1).foreach(copy)
+
+
 def _is_blocked(uri: str) -> bool:
     """Whether a gzip file begins like a block-gzip file."""
     fs, path = _fs_and_path(uri)
@@ -196,6 +211,35 @@ def file_ranges(paths, split: int) -> list:
     return parts
 
 
+#: Parts that a scan reads in a task each; of more parts, the neighbours that make
+#: a share of the scan, or these bytes, are read by one task.
+TASKS, TASK_BYTES = 32, 16 << 20
+
+
+class Parts(InputPartition):
+    """Parts that a task reads one after the other."""
+
+    def __init__(self, parts):
+        super().__init__(len(parts))
+        self.parts = parts
+
+
+def in_tasks(parts, size=lambda part: part.end - part.start) -> list[Parts]:
+    """Parts dealt to tasks.  Parts may be small; a task for each would cost more
+    than to read it."""
+    sizes = [size(part) for part in parts]
+    enough = min(TASK_BYTES, sum(sizes) / TASKS) if len(parts) > TASKS else 0
+    out, held = [], 0
+    for part, n in zip(parts, sizes):
+        if out and held < enough:
+            out[-1].append(part)
+        else:
+            out.append([part])
+            held = 0
+        held += n
+    return [Parts(group) for group in out] or [Parts([])]
+
+
 def option_paths(options) -> list[str]:
     paths = options.get("paths") or options.get("path")
     if isinstance(paths, str) and paths.startswith("["):
@@ -224,12 +268,11 @@ class _FastqReader(DataSourceReader):
         self.split = int(options.get("splitBytes", DEFAULT_SPLIT_BYTES))
 
     def partitions(self):
-        return file_ranges(self.paths, self.split) or [_Range("", 0, 0, False)]
+        return in_tasks(file_ranges(self.paths, self.split))
 
     def read(self, partition):
-        if not partition.path:
-            return
-        yield from _record_batches(partition)
+        for part in partition.parts:
+            yield from _record_batches(part)
 
 
 def open_part(part: _Range):

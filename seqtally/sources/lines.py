@@ -4,7 +4,8 @@
 Source: the size of its parts is an option of the scan, so it holds wherever the
 scan ends up, in a join or a union with the caller's tables, and the session's
 settings stay as they are.  Lines end with ``\\n``, ``\\r\\n`` or ``\\r``, as for
-Spark's text files; a part owns the lines that start in it.  Gzip files are read
+Spark's text files; a part owns the lines that start in it.  Of many small parts
+a task reads several, one after the other.  Gzip files are read
 whole, block-gzip files in parts; bytes that are no UTF-8 are replaced."""
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from seqtally.sources._framing import Lines
-from seqtally.sources.fastq import _Range, file_ranges, open_part, option_paths
+from seqtally.sources.fastq import _Range, file_ranges, in_tasks, open_part, option_paths
 
 
 class LinesDataSource(DataSource):
@@ -33,11 +34,11 @@ class _LinesReader(DataSourceReader):
         self.split = int(options["splitBytes"])
 
     def partitions(self):
-        return file_ranges(self.paths, self.split) or [_Range("", 0, 0, False)]
+        return in_tasks(file_ranges(self.paths, self.split))
 
     def read(self, partition):
-        if partition.path:
-            yield from _line_batches(partition)
+        for part in partition.parts:
+            yield from _line_batches(part)
 
 
 def _line_batches(part: _Range):

@@ -20,7 +20,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from seqtally.functions.sequence import read_id_from_header
 from seqtally.operators.reshape import pair_mates
-from seqtally.sources.fastq import DEFAULT_SPLIT_BYTES, _Range, _record_batches, file_ranges, option_paths, record_heads
+from seqtally.sources.fastq import (DEFAULT_SPLIT_BYTES, Parts, _Range, _record_batches, file_ranges, in_tasks,
+                                    option_paths, record_heads)
 
 #: Records without a mate that a task holds on to on each side.
 AHEAD = 20_000
@@ -48,10 +49,10 @@ class _IndexReader(DataSourceReader):
         self.paths, self.split = option_paths(options), int(options["splitBytes"])
 
     def partitions(self):
-        return file_ranges(self.paths, self.split) or [_Range("", 0, 0, False)]
+        return in_tasks(file_ranges(self.paths, self.split))
 
-    def read(self, part):
-        if part.path:
+    def read(self, partition):
+        for part in partition.parts:
             yield part.path, part.start, part.end, part.gz, sum(len(heads) for _, heads in record_heads(part))
 
 
@@ -99,6 +100,20 @@ def paired_parts(index, files_1, files_2) -> list[_Pair]:
     return out
 
 
+def _merged(pairs) -> list[_Pair]:
+    """Neighbouring parts of a file as one: the reverse file's splits that two of
+    them share are read once, and no mates are parted at their border."""
+    out = []
+    for _, group in itertools.groupby(pairs, key=lambda p: p.file):
+        group, sides = list(group), []
+        for i in (0, 1):
+            held = [p.sides[i] for p in group if p.sides[i][2]]
+            ranges = list(dict.fromkeys(r for parts, *_ in held for r in parts))
+            sides.append((ranges, held[0][1] if held else 0, sum(n for *_, n in held)))
+        out.append(_Pair(group[0].file, group[0].number, tuple(sides)))
+    return out
+
+
 def _records(side):
     """Record batches of one side, without the records to skip."""
     parts, skip, left = side
@@ -204,10 +219,14 @@ class _MatesReader(DataSourceReader):
         self.by_id = options.get("byId") == "true"
 
     def partitions(self):
-        return paired_parts(self.index, *self.files) or [_Pair("", 0, None)]
+        size = lambda pair: sum(end - start for parts, *_ in pair.sides for _, start, end, _ in parts)
+        return [Parts(_merged(p.parts)) for p in in_tasks(paired_parts(self.index, *self.files), size)]
+
+    def __getstate__(self):  # what a task needs: the index grows with the files
+        return {"by_id": self.by_id}
 
-    def read(self, pair):
-        if pair.file:
+    def read(self, partition):
+        for pair in partition.parts:
             yield from (_with_mates if self.by_id else _side_by_side)(pair)
 
 

@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from seqtally.sources import _framing as framing
 from seqtally.sources import fastq as fq
 from seqtally.sources import text as txt
 from seqtally.sources._framing import VIRTUAL, block_size, blocked
@@ -309,3 +310,51 @@ def test_library_numbers_without_a_sort(spark, tmpdir_path, split):
         spark.conf.set("spark.sql.files.openCostInBytes", cost)
     assert got == [(i, *row) for i, row in enumerate(want)]
     assert "rangepartitioning" not in plan and "ExistingRDD" not in plan
+
+
+# --- small parts ----------------------------------------------------------------------
+
+@pytest.mark.parametrize("gz", [False, True])
+def test_a_part_reads_little_more_than_its_bytes(tmpdir_path, monkeypatch, gz):
+    """Parts of 20,000 bytes of a long file, and lines longer than what is read
+    behind a part."""
+    one, _ = mates(20_000)
+    one[7] = ("@long", "ACGT" * 20_000, "+", "I" * 80_000)
+    text = text_of(one).encode()
+    path = put(f"{tmpdir_path}/S/a.fastq" + ".gz" * gz, blocked(text) if gz else text_of(one))
+    read = []
+    for kind in (framing.Stream, framing.Blocks):
+        old = kind.read
+        monkeypatch.setattr(kind, "read", lambda self, old=old: read.append(old(self)) or read[-1])
+    parts = fq.file_ranges([path], 20_000)
+    ids = [h for p in parts for b in fq._record_batches(p) for h in b.column("header").to_pylist()]
+    assert ids == [r[0] for r in one]
+    assert sum(map(len, read)) < (4 if gz else 2) * len(text) + 10 ** 6
+
+
+def test_small_parts_share_tasks(spark, tmpdir_path):
+    from seqtally.sources.text import read_text_lines
+    one, two = mates(4000)
+    del two[1000]
+    files = [put(f"{tmpdir_path}/S/m_{i}.fastq", text_of(r)) for i, r in ((1, one), (2, two))]
+    parts = fq.file_ranges(files[:1], 500)
+    tasks = fq.in_tasks(parts)
+    assert len(parts) > 500 and len(tasks) <= fq.TASKS + 1
+    assert [r for t in tasks for r in t.parts] == parts
+    assert [t.parts for t in fq.in_tasks(parts[:fq.TASKS])] == [[r] for r in parts[:fq.TASKS]]
+    lines = read_text_lines(spark, files[0], 500)
+    assert lines.rdd.getNumPartitions() <= fq.TASKS + 1 and sorted(r.value for r in lines.collect()) == sorted(x for r in one for x in r)
+    full = fq.read_fastq_full(spark, files[0], 500)
+    assert full.rdd.getNumPartitions() <= fq.TASKS + 1 and sorted(r.header for r in full.collect()) == sorted(r[0] for r in one)
+    from seqtally.sources.mates import pair_mate_files, read_mates
+    assert read_mates(spark, *files, split_bytes=500).rdd.getNumPartitions() <= fq.TASKS + 2
+    got = pair_mate_files(spark, *files, split_bytes=500).collect()
+    assert sorted((r.read_id, r.sequence_1, r.sequence_2) for r in got) == paired(one, two)
+    rows = read_mates(spark, *files, split_bytes=500).orderBy("number").collect()
+    assert [r.header_1 for r in rows] == [r[0] for r in one] and [r.header_2 for r in rows if r.header_2] == [r[0] for r in two]
+
+
+def test_files_are_joined_in_order(spark, tmpdir_path):
+    spark.range(1000).orderBy("id").selectExpr("cast(id AS string) AS value").write.text(f"{tmpdir_path}/parts")
+    fq.join_files(spark, f"{tmpdir_path}/parts", f"{tmpdir_path}/to/one.txt")
+    assert open(f"{tmpdir_path}/to/one.txt").read().split() == [str(i) for i in range(1000)]
