@@ -43,7 +43,7 @@ BLOCK_TERMS, COLUMNS = 2048, 1024
 FEWEST = 16
 #: Different terms that a task holds before it passes their counts on, and the
 #: bytes of a text that it cuts into terms at once.
-HELD, PIECE = 200_000, 1 << 20
+HELD, PIECE = 300_000, 1 << 20
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _OTHER = re.compile(rb"[^a-z\x80-\xff]")
@@ -227,9 +227,11 @@ def pair_values(kept: DataFrame, groups: DataFrame) -> DataFrame:
             .select("lang", "source", "item", F.coalesce("value", F.lit(0)).cast("long").alias("value")))
 
 
-#: ``shares`` as SQL: whole quotient and remainder, three decimal digits at a time.
-_SHARE = ("1 + aggregate(array(1, 2, 3), named_struct('w', ({0} + 1) div (size_), 'r', ({0} + 1) % (size_)), "
-          "(a, _) -> named_struct('w', a.w * 1000 + (a.r * 1000) div (size_), 'r', (a.r * 1000) % (size_)), a -> a.w)"
+#: ``shares`` as SQL: at once if the product fits 64 bits, or else whole quotient and
+#: remainder, three decimal digits at a time.
+_SHARE = ("1 + if({0} < 9000000000, (({0} + 1) * 1000000000) div (size_), "
+          "aggregate(array(1, 2, 3), named_struct('w', ({0} + 1) div (size_), 'r', ({0} + 1) % (size_)), "
+          "(a, _) -> named_struct('w', a.w * 1000 + (a.r * 1000) div (size_), 'r', (a.r * 1000) % (size_)), a -> a.w))"
           ).replace("size_", "{1} + terms")
 
 

@@ -108,3 +108,14 @@ def test_top_terms_and_empty_tables(spark):
     got = result(audit(spark.createDataFrame(rows, DOCS)))
     assert got == plain(rows) and sum(r[2] == "term" for r in got) <= 200
     assert result(audit(spark.createDataFrame(rows[:1], DOCS))) == []
+
+
+def test_shares_of_small_and_large_counts(spark):
+    """In one product where that fits 64 bits, without the digit-by-digit loop."""
+    rows = [(n, size, terms) for n in (0, 1, 7, 10 ** 6, 8_999_999_999, 9_000_000_000, 10 ** 14)
+            for size in (n, n + 5, 3 * n + 1) for terms in (1, 977)]
+    df = spark.createDataFrame(rows, "n long, size long, terms long")
+    share = F.expr(divergence._SHARE.format("n", "size"))
+    got = [tuple(r) for r in df.select("n", "size", "terms", share.alias("p")).collect()]
+    assert got == [(n, s, t, 1 + 10 ** 9 * (n + 1) // (s + t)) for n, s, t in rows]
+    assert divergence._SHARE.startswith("1 + if({0} < 9000000000, (({0} + 1) * 1000000000) div")
