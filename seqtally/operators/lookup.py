@@ -5,7 +5,12 @@ join meets several barcodes at each position of each read.  Here the tasks look
 whole barcodes instead.  Four letters make two bits each; the barcodes of a set
 that are equally long are a table of such codes, and a vector operation looks up
 all positions of a batch.  What leaves a task are matches, one for each read and
-set if only the first counts, or their numbers."""
+set if only the first counts, or their numbers.
+
+Patterns are looked up too where the first match counts: as the texts that they
+come down to, of which equal ones are one entry, with a table for each place of
+their dots.  What else a pattern can match is found by texts that it must contain,
+and tested inside the task (``candidates``)."""
 
 from __future__ import annotations
 
@@ -15,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+from seqtally.functions.patterns import cover, wild_texts
+from seqtally.functions.sequence import is_literal_barcode
 from seqtally.operators import _util
 
 #: Barcodes from which on a library is looked up; bytes that each takes in a task.
@@ -29,6 +36,7 @@ LETTERS, ROWS, HELD = 1 << 20, 1 << 16, 1 << 21
 
 _BITS = np.full(256, 4, np.uint8)
 _BITS[np.frombuffer(b"ACGT", np.uint8)] = range(4)
+_DOT = ord(".")
 
 
 def _text(column):
@@ -45,7 +53,8 @@ class Lookup:
     """The tables.  A barcode's rank is its place in the order of ``ord``."""
 
     def __init__(self, library):
-        """``library``: Arrow table of barcode_set, ord, barcode."""
+        """``library``: Arrow table of barcode_set, ord, barcode.  A dot in a
+        barcode is any character but a line's end."""
         self.sets = library.column("barcode_set").unique().to_pylist()
         known = {s: i for i, s in enumerate(self.sets)}
         own = np.array([known[s] for s in library.column("barcode_set").to_pylist()], np.int64)
@@ -59,62 +68,86 @@ class Lookup:
         self.none = len(self.rank_ord)
         data, offsets = _text(library.column("barcode").combine_chunks())
         length = np.diff(offsets)
-        self.tables = []  # (set, letters, all codes' ranks, or else codes, ranks and heads)
+        self.tables = []  # (set, letters, dots, all codes' ranks, or else codes, ranks and heads)
         for n in np.unique(length):
             n = int(n)
+            these = np.flatnonzero(length == n)
+            dot = data[offsets[these][:, None] + np.arange(n)] == _DOT
+            shape = dot @ (1 << np.arange(n, dtype=np.int64))
             for s in range(len(self.sets)):
-                at = np.flatnonzero((length == n) & (own == s))
-                code = np.zeros(len(at), np.int64)
-                for j in range(n):
-                    code = code << 2 | _BITS[data[offsets[at] + j]]
-                order = np.argsort(code)
-                code, ranks = code[order], rank[at][order]
-                if (np.diff(code) == 0).any():
-                    raise ValueError("a barcode set holds a barcode twice")
-                if n <= HEAD and 4 ** n <= max(1 << 16, 64 * len(code)):
-                    every = np.full(4 ** n, self.none, np.int32)
-                    every[code] = ranks
-                    self.tables.append((s, n, every, None))
-                elif len(code):
-                    heads = np.zeros(4 ** min(n, HEAD), bool)
-                    heads[code >> 2 * max(0, n - HEAD)] = True
-                    self.tables.append((s, n, None, (code, ranks, heads)))
+                for dots in np.unique(shape[own[these] == s]):
+                    at = these[(shape == dots) & (own[these] == s)]
+                    self._add(s, n, [j for j in range(n) if int(dots) >> j & 1], data, offsets[at], rank[at])
+        self.dots = any(t[2] for t in self.tables)
+
+    def _add(self, s, n, dots, data, starts, ranks):
+        code = np.zeros(len(starts), np.int64)
+        for j in range(n):
+            code = code << 2 | (0 if j in dots else _BITS[data[starts + j]])
+        order = np.argsort(code)
+        code, ranks = code[order], ranks[order]
+        if (np.diff(code) == 0).any():
+            raise ValueError("a barcode set holds a barcode twice")
+        if n <= HEAD and 4 ** n <= max(1 << 16, 64 * len(code)):
+            every = np.full(4 ** n, self.none, np.int32)
+            every[code] = ranks
+            self.tables.append((s, n, dots, every, None))
+        else:
+            heads = np.zeros(4 ** min(n, HEAD), bool)
+            heads[code >> 2 * max(0, n - HEAD)] = True
+            self.tables.append((s, n, dots, None, (code, ranks, heads)))
 
     def _found(self, data, offsets):
         """Of the reads between ``offsets``: what each table finds, as (set,
         positions, ranks)."""
-        base = _BITS[data[offsets[0]:offsets[-1]]]
+        letters = data[offsets[0]:offsets[-1]]
+        base = _BITS[letters]
         here = np.arange(len(base))
-        room = np.repeat(offsets[1:] - offsets[0], np.diff(offsets)) - here
+        room = whole = np.repeat(offsets[1:] - offsets[0], np.diff(offsets)) - here
         gaps = np.flatnonzero(base == 4)
         if len(gaps):
             base[gaps] = 0
-            ahead = np.append(gaps, len(base))[np.searchsorted(gaps, here)]
-            room = np.minimum(room, ahead - here)
+            ahead = np.append(gaps, len(base))[np.searchsorted(gaps, here)] - here
+            room = np.minimum(room, ahead)
+            ends = gaps[np.isin(letters[gaps], (10, 13))] if self.dots else gaps[:0]
         base = base.astype(np.int32 if self.tables[-1][1] <= 15 else np.int64)
         code, width = base.copy(), 1
-        for s, n, every, searched in self.tables:  # the shortest first
+        for s, n, dots, every, searched in self.tables:  # the shortest first
             if n > len(base):
                 return
             for width in range(width + 1, n + 1):
                 head = code[:len(base) - width + 1]
                 head <<= 2
                 head |= base[width - 1:]
-            fits = room >= n
+            own, fits = code, room >= n
+            if dots:
+                own = code & code.dtype.type(4 ** n - 1 - sum(3 << 2 * (n - 1 - j) for j in dots))
+                if len(gaps):
+                    fits = whole >= n
+                    for a, b in zip([-1, *dots], [*dots, n]):  # the letters between dots
+                        if b - a > 1:
+                            fits[:len(base) - a - 1] &= ahead[a + 1:] >= b - a - 1
+                    for j in dots:
+                        fits[(ends - j)[ends >= j]] = False
             if every is not None:
-                ranks = every[code]
+                ranks = every[own]
                 at = np.flatnonzero(fits & (ranks < self.none))
                 yield s, at, ranks[at]
             else:
                 codes, ranks, heads = searched
-                at = np.flatnonzero(fits & heads[code >> 2 * max(0, n - HEAD)])
-                wanted = code[at]
+                at = np.flatnonzero(fits & heads[own >> 2 * max(0, n - HEAD)])
+                wanted = own[at]
                 place = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
                 same = codes[place] == wanted
                 yield s, at[same], ranks[place[same]]
 
     def _pieces(self, sequences):
         data, offsets = _text(sequences)
+        if self.dots and (data[offsets[0]:offsets[-1]] > 127).any():  # a dot is a whole character
+            import pyarrow.compute as pc
+            for what, by in (("[\u0085\u2028\u2029]", "\n"), ("[^\x00-\x7f]", "?")):
+                sequences = pc.replace_substring_regex(sequences, what, by)
+            data, offsets = _text(sequences)
         a = 0
         while a < len(sequences):
             b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + LETTERS, "right")) - 1)
@@ -229,6 +262,90 @@ def lookup_of(library: DataFrame):
     return library.sparkSession.sparkContext.broadcast(tables)
 
 
+def _pattern_entries(library: DataFrame) -> DataFrame:
+    """barcode_set, ord, text, pattern: the texts that the barcodes come down to
+    (pattern NULL), and those that a match of a pattern to be tested contains; of
+    equal ones the first.  What cannot be looked up has no text."""
+    def reduced(batches):
+        import pyarrow as pa
+        for batch in batches:
+            rows = []
+            for s, o, b, plain in zip(*(batch.column(c).to_pylist() for c in ("barcode_set", "ord", "barcode", "plain"))):
+                texts, tested = ([b], []) if plain else wild_texts(b) or ([], cover(b) or [None])
+                rows += [(s, o, t, None) for t in texts]
+                rows += [(s, o, t and t[:LONGEST], b) for t in tested]
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.string())
+            columns = list(zip(*rows)) or [()] * 4
+            yield _batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["barcode_set", "ord", "text", "pattern"])
+    entries = (library.select("barcode_set", F.col("ord").cast("long").alias("ord"), "barcode", is_literal_barcode("barcode").alias("plain"))
+               .mapInArrow(reduced, "barcode_set string, ord long, text string, pattern string"))
+    return _util.checkpointed(entries.groupBy("barcode_set", "text", "pattern").agg(F.min("ord").alias("ord")))
+
+
+def pattern_lookup_of(library: DataFrame):
+    """For the first matches of a library with patterns: broadcast tables of the
+    texts, and of the texts that are to be tested with the rows (key, t_set, t_ord,
+    pattern) that they stand for, either None without such.  None as in
+    ``lookup_of``, and where a pattern has no text to be looked up by."""
+    if library.select(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ord").isNull()).alias("none")).filter(
+            (F.col("n") < LEAST) | (F.col("none") > 0)).count():
+        return None
+    entries = _pattern_entries(library)
+    fits = F.coalesce(F.col("text").rlike(f"^(?:[ACGT.]{{1,{LONGEST}}})\\z"), F.lit(False))
+    about = entries.agg(F.count(F.lit(1)).alias("n"), F.count_if(~fits).alias("others"), F.sum(
+        F.coalesce(F.octet_length("pattern") + _util.ROW_BYTES, F.lit(0))).alias("tested")).first()
+    if about.others or about.n * ENTRY_BYTES + about.tested > _util.BROADCAST_BYTES:
+        return None
+    shape = F.translate("text", "CGT", "AAA")
+    if entries.select(F.when(F.col("pattern").isNull(), F.struct("barcode_set")), shape).distinct().limit(TABLES + 1).count() > TABLES:
+        return None
+    own = entries.filter("pattern IS NULL").select("barcode_set", "ord", F.col("text").alias("barcode"))
+    tested = entries.filter("pattern IS NOT NULL").withColumn("key", F.xxhash64("text"))
+    texts = tested.select(F.lit("").alias("barcode_set"), F.col("key").alias("ord"), F.col("text").alias("barcode")).distinct()
+    own, texts = own.toArrow(), texts.toArrow()
+    share = library.sparkSession.sparkContext.broadcast
+    tables = share((Lookup(own) if len(own) else None, Lookup(texts) if len(texts) else None))
+    rows = tested.select("key", F.col("barcode_set").alias("t_set"), F.col("ord").alias("t_ord"), "pattern")
+    return tables, rows if len(texts) else None
+
+
+def candidates(reads: DataFrame, looked, carry, keep_unmatched: bool) -> DataFrame:
+    """sample, read_key, *carry, _read, barcode_set, ord: the first match of each
+    read in each set, and maybe later ones; with ``keep_unmatched`` one row of each
+    read with NULLs too.  The rows of a read follow each other in its task."""
+    tables, tested = looked
+    reads = reads.withColumn("_read", F.monotonically_increasing_id())
+    own = ["sample", "read_key", *carry, "_read"]
+    schema = StructType([*_fields(reads, own), *_BARCODE, StructField("key", LongType()), StructField("sequence", StringType())])
+
+    def found(batches):
+        import pyarrow as pa
+        for batch in batches:
+            sure, other = tables.value
+            none = np.zeros(0, np.int64)
+            read, rank = sure.first(batch.column("sequence")) if sure else (none, none)
+            at, key = other.every(batch.column("sequence")) if other else (none, none)
+            alone = np.arange(batch.num_rows if keep_unmatched else 0)
+            place = np.concatenate([alone, read, at])
+            order = np.argsort(place, kind="stable")
+            rank = np.concatenate([np.full(len(alone), sure.none if sure else 0), rank, np.full(len(at), sure.none if sure else 0)])[order]
+            key = np.concatenate([np.full(len(alone) + len(read), other.none if other else 0), key])[order]
+            for a in range(0, len(order), ROWS):
+                some = pa.array(place[order[a:a + ROWS]])
+                n, test = len(some), key[a:a + ROWS] < (other.none if other else 0)
+                names = sure.names(rank[a:a + ROWS]) if sure else (pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()))
+                keys = other.names(key[a:a + ROWS])[1] if other else pa.nulls(n, pa.int64())
+                texts = batch.column("sequence").take(pa.array(some.to_numpy(), mask=~test))
+                yield _batch([*(batch.column(c).take(some) for c in own), *names, keys, texts], schema.names)
+    rows = reads.select(*own, "sequence").mapInArrow(found, schema)
+    if tested is not None:
+        rows = rows.join(F.broadcast(tested), "key", "left").filter("key IS NULL OR sequence rlike pattern")
+        test = F.col("key").isNotNull()
+        rows = rows.withColumns({"barcode_set": F.when(test, F.col("t_set")).otherwise(F.col("barcode_set")),
+                                 "ord": F.when(test, F.col("t_ord")).otherwise(F.col("ord"))})
+    return rows.select(*own, "barcode_set", "ord")
+
+
 def _fields(reads: DataFrame, names) -> list[StructField]:
     return [StructField(n, reads.schema[n].dataType) for n in names]
 

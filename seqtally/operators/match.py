@@ -17,7 +17,8 @@ library's seeds, and what is left is shuffled with only the piece of the read
 that the comparison needs.
 
 A library of many plain barcodes is not joined at all: a position would meet
-several of them.  The tasks look whole barcodes up (``lookup``).
+several of them.  The tasks look whole barcodes up (``lookup``), and patterns too
+where only the first match of a read counts.
 
 Barcodes that are not plain letters are regular expressions, as in the
 reference.  A pattern that stands for a few plain texts is replaced by them; any
@@ -131,9 +132,10 @@ def candidates(reads: DataFrame, library: DataFrame, carry: tuple[str, ...] = ()
 
 
 def _found(reads: DataFrame, library: DataFrame, carry, seed_min: int,
-           keep_unmatched: bool) -> tuple[DataFrame, bool]:
+           keep_unmatched: bool, every: bool = True) -> tuple[DataFrame, bool]:
     """``candidates``, and whether all rows of a read are in one task, one after
-    the other, and carry its number there (``_read``)."""
+    the other, and carry its number there (``_read``).  Unless ``every``, rows
+    behind the first match of a read in a set may be left out."""
     kinds = library.agg(F.count(F.lit(1)).alias("n"),
                         F.count_if(F.coalesce(F.length("barcode"), F.lit(0)) == 0).alias("empty"),
                         F.count_if(~is_literal_barcode("barcode")).alias("patterns")).first()
@@ -141,6 +143,10 @@ def _found(reads: DataFrame, library: DataFrame, carry, seed_min: int,
         raise ValueError("barcode library contains empty barcodes")
     if not kinds.n:
         raise ValueError("empty barcode library")
+    if kinds.patterns and not every:
+        looked = lookup.pattern_lookup_of(library)
+        if looked is not None:
+            return lookup.candidates(reads, looked, carry, keep_unmatched), True
     entries = library_entries(library, kinds.patterns > 0)
     lengths = text_lengths(entries)
     alone, short = lengths.pop(0, 0), sum(c for n, c in lengths.items() if n < seed_min)
@@ -389,7 +395,7 @@ def _matched(reads, library, manifest, carry, seed_min, ignore_case, every):
     tables = lookup.lookup_of(library)
     if tables is not None:
         return _listed(lookup.matches(_cased(reads, ignore_case), tables, every, carry), manifest)
-    found, together = _found(_cased(reads, ignore_case), library, carry, seed_min, False)
+    found, together = _found(_cased(reads, ignore_case), library, carry, seed_min, False, every)
     if together:
         return _listed(within_reads(found, _first_by(every)), manifest)
     keys = ["sample", "read_key", "barcode_set"] + (["ord"] if every else [])
@@ -449,7 +455,7 @@ def matched_reads(reads: DataFrame, library: DataFrame, manifest: DataFrame | No
     tables = lookup.lookup_of(library)
     if tables is not None:
         return _listed(lookup.matches_and_totals(_cased(reads, ignore_case), tables, every, carry), manifest)
-    found, together = _found(_cased(reads, ignore_case), library, carry, seed_min, True)
+    found, together = _found(_cased(reads, ignore_case), library, carry, seed_min, True, every)
     if not together:
         return _shuffled_by_read(_listed(found, manifest), every, carry)
     hit = F.col("ord").isNotNull()
@@ -491,7 +497,7 @@ def match_counts(reads: DataFrame, library: DataFrame, manifest: DataFrame | Non
     tables = lookup.lookup_of(library)
     if tables is not None:
         return _listed(lookup.numbers_of(_cased(reads, ignore_case), tables, every), manifest)
-    found, together = _found(_cased(reads, ignore_case), library, (), seed_min, True)
+    found, together = _found(_cased(reads, ignore_case), library, (), seed_min, True, every)
     if together:
         return _listed(_counted_within(found, _first_by(every)), manifest)
     return _shuffled_by_read(_listed(found, manifest), every, ()).select("sample", "barcode_set", "ord", "n")
@@ -504,7 +510,7 @@ def read_outcomes(reads: DataFrame, library: DataFrame, seed_min: int = SEED_MIN
     tables = lookup.lookup_of(library)
     if tables is not None:
         return lookup.detected(_cased(reads, ignore_case), tables)
-    found, together = _found(_cased(reads, ignore_case), library, (), seed_min, True)
+    found, together = _found(_cased(reads, ignore_case), library, (), seed_min, True, every=False)
     detected = F.col("ord").isNotNull()
     if together:
         return within_reads(found, ()).select("sample", "read_key", detected.alias("detected"))

@@ -81,3 +81,55 @@ def test_a_dense_library_leaves_no_row_for_a_position(spark):
     assert "Generate" not in plan and "Join" not in plan
     assert [(r.read_key, r.ord) for r in hits.collect()] == [(0, min(int(s.translate(str.maketrans("ACGT", "0123")), 4)
             for s in (("ACGTTGCAAC" * 9)[i:i + 6] for i in range(85))))]
+
+
+PATTERNS = ["AC[GT]TA", "ACGT.A", ".CAGT", "GTTC.", "A.C.G", "..TTA", "ACC{2}G+TCA", "(ACGTA|TTGCA)G", "(CCGTA|TAGCA).T",
+            "(GGTTC|GATTC)[AG]?C", "TAGC?A{1,3}GG", "ACG\\wTTGAC", "CATG(A|.)C+?T", "GGATCCAT(?=A)", "(CA){2,}GGT", "TTAC"]
+
+
+def pattern_inputs(spark):
+    rnd = random.Random(7)
+    text = lambda n: "".join(rnd.choice("ACGT") for _ in range(n))
+    planted = ["ACC" + "G" * n + "TCA" for n in (0, 1, 2, 9, 30, 40)] + ["ACCC" + "G" * n + "TCA" for n in (1, 8, 40)] + [
+        "ACGT" + c + "A" for c in "NnAé\n\r \u0085\U0001F9EC"] + ["GTTC", "GTTCé", "é\u0085CAGT", " CAGT", "CACACACAGGT" * 2] + [
+        "ANC\nG", "ANCxG", "CATGéCCCCT", "GGATCCATA", "GGATCCATC", "ACG_TTGAC", "NNTTA", "\nNTTA"]
+    reads = [(f"r{i}", text(rnd.randrange(25)) + planted[i % len(planted)] + text(rnd.randrange(25))) for i in range(400)]
+    reads += [(f"s{i}", t) for i, t in enumerate(planted)] + [("e", ""), ("z", None)]
+    return reads_df(spark, reads[:300]).unionByName(reads_df(spark, reads[300:], None)).repartition(3).cache()
+
+
+@pytest.mark.parametrize("kept", [16, 12])
+def test_patterns_that_are_looked_up_give_the_rows_of_the_seed_join(spark, monkeypatch, kept):
+    """With dots, runs longer than those written out, and patterns to be tested."""
+    reads = pattern_inputs(spark)
+    rows = [(f"g{i}", p) for i, p in enumerate(PATTERNS[:kept] * (kept == 16) or [p for p in PATTERNS if "\\" not in p and "(?" not in p])]
+    lib = library_df(spark, rows[::-1]).unionByName(library_df(spark, rows, "M"))
+    found = lambda: {k: v for k, v in results(reads, lib).items()}
+    want = found()
+    monkeypatch.setattr(lookup, "LEAST", 1)
+    for name, value in (("LETTERS", 700), ("ROWS", 50)):
+        monkeypatch.setattr(lookup, name, value)
+    assert lookup.lookup_of(lib) is None and lookup.pattern_lookup_of(lib) is not None
+    got = found()
+    for name in want:
+        assert got[name] == want[name], name
+    assert want["first"] and len(want["outcomes"]) == reads.count()
+
+
+def test_patterns_that_are_not_looked_up(spark, monkeypatch):
+    assert lookup.pattern_lookup_of(library_df(spark, [("g", "AC[GT]A")])) is None
+    monkeypatch.setattr(lookup, "LEAST", 1)
+    for other in ("ACGTN[AG]", "A.*", "A" * 31 + "[AG]", "^ACGT|.", "[^A]C"):
+        assert lookup.pattern_lookup_of(library_df(spark, [("g", "ACGT"), ("h", other)])) is None, other
+
+
+def test_a_dense_library_of_patterns_makes_no_row_for_a_pattern(spark):
+    """1,500 patterns of equal beginnings: a read meets the texts, each once, and is
+    not joined or shuffled, however small the broadcast bound of the seeds."""
+    from itertools import product
+    lib = library_df(spark, [("g", "".join(t) + ".T") for t in product("ACGT", repeat=5)]
+                     + [("h", "".join(t) + "[AC][AG]?G") for t in product("ACGT", repeat=5)])
+    hits = match.assign_first_match(reads_df(spark, [("a", "ACGTTGCAAC" * 9), ("b", "ACGTNNT"), ("c", "ACGTANT")]), lib)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan and "Exchange" not in plan.split("MapInArrow")[0]
+    assert [r.read_key for r in hits.collect()] == [0, 2]
