@@ -24,12 +24,13 @@ from seqtally.functions.patterns import cover, wild_texts
 from seqtally.functions.sequence import is_literal_barcode
 from seqtally.operators import _util
 
-#: Barcodes from which on a library is looked up; bytes that each takes in a task.
-LEAST, ENTRY_BYTES = 1000, 64
+#: Barcodes from which on a library is looked up; bytes that each takes in a task
+#: (a code, a rank, an ord and a set: 24, and its bits of the filter).
+LEAST, ENTRY_BYTES = 1000, 32
 #: Letters of a code; most tables (of a set and a length each).
 LONGEST, TABLES = 31, 64
-#: Letters by which a table that is searched is known to hold nothing.
-HEAD = 10
+#: Letters up to which a table can have a place for each code.
+DENSE = 10
 #: Letters of the reads that are looked up at once, rows of a batch that leaves a
 #: task, and (sample, barcode) numbers that it holds.
 LETTERS, ROWS, HELD = 1 << 20, 1 << 16, 1 << 21
@@ -49,15 +50,21 @@ def _text(column):
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
+def _bit(code, width):
+    """Places of codes in a filter of 2 ** ``width`` bits."""
+    return ((code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - width)).astype(np.int64)
+
+
 class Lookup:
     """The tables.  A barcode's rank is its place in the order of ``ord``."""
 
     def __init__(self, library):
         """``library``: Arrow table of barcode_set, ord, barcode.  A dot in a
         barcode is any character but a line's end."""
-        self.sets = library.column("barcode_set").unique().to_pylist()
-        known = {s: i for i, s in enumerate(self.sets)}
-        own = np.array([known[s] for s in library.column("barcode_set").to_pylist()], np.int64)
+        import pyarrow.compute as pc
+        sets = library.column("barcode_set").unique()
+        self.sets = sets.to_pylist()
+        own = pc.index_in(library.column("barcode_set"), value_set=sets).to_numpy().astype(np.int64)
         ords = library.column("ord").to_numpy()
         order = np.lexsort([own, ords])
         new = np.ones(len(order), bool)
@@ -68,7 +75,7 @@ class Lookup:
         self.none = len(self.rank_ord)
         data, offsets = _text(library.column("barcode").combine_chunks())
         length = np.diff(offsets)
-        self.tables = []  # (set, letters, dots, all codes' ranks, or else codes, ranks and heads)
+        self.tables = []  # (set, letters, dots, all codes' ranks, or else codes, ranks and a filter)
         for n in np.unique(length):
             n = int(n)
             these = np.flatnonzero(length == n)
@@ -88,14 +95,15 @@ class Lookup:
         code, ranks = code[order], ranks[order]
         if (np.diff(code) == 0).any():
             raise ValueError("a barcode set holds a barcode twice")
-        if n <= HEAD and 4 ** n <= max(1 << 16, 64 * len(code)):
+        if n <= DENSE and 4 ** n <= max(1 << 16, 64 * len(code)):
             every = np.full(4 ** n, self.none, np.int32)
             every[code] = ranks
             self.tables.append((s, n, dots, every, None))
         else:
-            heads = np.zeros(4 ** min(n, HEAD), bool)
-            heads[code >> 2 * max(0, n - HEAD)] = True
-            self.tables.append((s, n, dots, None, (code, ranks, heads)))
+            width = max(16, (8 * len(code)).bit_length())
+            held = np.zeros(1 << width, bool)
+            held[_bit(code, width)] = True
+            self.tables.append((s, n, dots, None, (code, ranks, np.packbits(held, bitorder="little"), width)))
 
     def _found(self, data, offsets):
         """Of the reads between ``offsets``: what each table finds, as (set,
@@ -134,8 +142,9 @@ class Lookup:
                 at = np.flatnonzero(fits & (ranks < self.none))
                 yield s, at, ranks[at]
             else:
-                codes, ranks, heads = searched
-                at = np.flatnonzero(fits & heads[own >> 2 * max(0, n - HEAD)])
+                codes, ranks, held, wide = searched
+                bit = _bit(own, wide)
+                at = np.flatnonzero(fits & (held[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool))
                 wanted = own[at]
                 place = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
                 same = codes[place] == wanted

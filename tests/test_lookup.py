@@ -133,3 +133,17 @@ def test_a_dense_library_of_patterns_makes_no_row_for_a_pattern(spark):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Join" not in plan and "Exchange" not in plan.split("MapInArrow")[0]
     assert [r.read_key for r in hits.collect()] == [0, 2]
+
+
+def test_tables_take_no_more_than_they_are_said_to():
+    """5.4 million barcodes fit the broadcast bound: a library of short and long ones
+    is not left to the shuffled join, where each position meets the short ones."""
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+    rnd = np.random.default_rng(1)
+    texts = {"".join(t) for t in np.array(list("ACGT"))[rnd.integers(0, 4, (200_000, 22))]}
+    library = pa.table({"barcode_set": ["L"] * (len(texts) - 1) + [None], "ord": np.arange(len(texts)), "barcode": sorted(texts)})
+    assert len(pickle.dumps(lookup.Lookup(library))) <= lookup.ENTRY_BYTES * len(texts)
+    assert 5_421_504 * lookup.ENTRY_BYTES <= lookup._util.BROADCAST_BYTES
