@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 
@@ -33,6 +34,10 @@ def _classes() -> np.ndarray:
 
 _CLASS = _classes()
 
+#: Texts that the library encodes at once: what it tells of each token (its text,
+#: offsets, masks) takes many times the id, and only ids are kept.
+AT_ONCE = 32
+
 
 def load(path: str):
     """The tokenizer as its file states it, without truncation and padding."""
@@ -48,30 +53,41 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         from tokenizers import normalizers, pre_tokenizers
-        self.whole = load(path)
+        self.path = path
         self.words = load(path)
+        self.normalizer, self.pre_tokenizer = self.words.normalizer, self.words.pre_tokenizer
         self.words.normalizer = normalizers.Sequence([])
         self.words.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(),
             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocabulary = self.whole.get_vocab(with_added_tokens=True)
+        vocabulary = self.words.get_vocab(with_added_tokens=True)
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)
         self.last[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        self.last[list(self.whole.get_added_tokens_decoder())] = True
-        special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.last[list(self.words.get_added_tokens_decoder())] = True
+        special = [t.content for t in self.words.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
+    @cached_property
+    def whole(self):
+        """The tokenizer for whole texts; loaded when first asked for."""
+        return load(self.path)
+
+    def _encoded(self, texts: list[str]):
+        """The ids of each text, ``AT_ONCE`` texts at a time."""
+        for i in range(0, len(texts), AT_ONCE):
+            for e in self.words.encode_batch_fast(texts[i:i + AT_ONCE], add_special_tokens=False):
+                yield np.array(e.ids, np.uint32)
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in order, and the number of ids of each word.
         Words are encoded many to a line: a word's last id ends in ``</w>``."""
         lines = [" ".join(words[i:i + 200]) for i in range(0, len(words), 200)]
-        ids = [np.array(e.ids, np.uint32) for e in self.words.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = list(self._encoded(lines))
         flat = np.concatenate(ids) if ids else np.empty(0, np.uint32)
         ends = np.flatnonzero(self.last[flat]) + 1
         if len(ends) != len(words) or (len(flat) and ends[-1] != len(flat)):
-            each = [e.ids for e in self.words.encode_batch(words, add_special_tokens=False)]
-            return (np.array([i for x in each for i in x], np.uint32),
-                    np.fromiter(map(len, each), np.int64, len(each)))
+            each = list(self._encoded(words))
+            return np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
         return flat, np.diff(ends, prepend=0)
 
     def split_exact(self, text: str) -> list[str]:
@@ -81,8 +97,8 @@ class WordTokenizer:
             if k % 2:
                 out.append(part)
             elif part:
-                norm = self.whole.normalizer.normalize_str(part)
-                out += [norm[a:b] for a, b in _spans(self.whole.pre_tokenizer.pre_tokenize_str(norm))]
+                norm = self.normalizer.normalize_str(part)
+                out += [norm[a:b] for a, b in _spans(self.pre_tokenizer.pre_tokenize_str(norm))]
         return out
 
     def split(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:

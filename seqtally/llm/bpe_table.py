@@ -36,7 +36,7 @@ from seqtally.llm._words import pieces
 from seqtally.operators._util import broadcast_if_small
 
 #: Characters of text in a chunk; bounds what a task holds at once.
-CHUNK_CHARS = 12 << 20
+CHUNK_CHARS = 4 << 20
 
 _CHUNKS = pa.schema([("chunk", pa.int64()), ("part", pa.int64()), ("doc_id", pa.int64()), ("low", pa.binary()),
                      ("mid", pa.binary()), ("high", pa.binary()), ("top", pa.binary()), ("words", pa.binary()), ("places", pa.binary())])

@@ -181,7 +181,7 @@ def write_shards(frames: DataFrame, folder: str, width: int, digest: bytes) -> D
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
     """Encode ``docs`` (doc_id, text) and write dictionary and shards to
     ``folder``; the table of shards, itself written to the shared folder."""
-    width = 2 if max(WordTokenizer(tokenizer).whole.get_vocab_size(True), end_id + 1) <= 1 << 16 else 4
+    width = 2 if max(WordTokenizer(tokenizer).words.get_vocab_size(True), end_id + 1) <= 1 << 16 else 4
     dictionary = train_dictionary(docs, tokenizer, end_id, width)
     digest = hashlib.sha256(dictionary).digest()
     fs, path = filesystem(folder)

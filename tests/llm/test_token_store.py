@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from seqtally.llm import bpe_table, token_store
+from seqtally.llm import _bpe, bpe_table, token_store
 from seqtally.llm._bpe import WordTokenizer
 from seqtally.llm._files import filesystem, new_folder
 
@@ -40,6 +40,22 @@ def test_split_and_encode_words_like_the_library(tokenizer):
         assert [i for w in ref[bounds[k]:bounds[k + 1]] for i in each[w]] == e.ids
 
 
+def test_words_are_encoded_some_at_a_time(tokenizer):
+    own, sizes = WordTokenizer(PATH), []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(len(texts))
+            return tokenizer.words.encode_batch_fast(texts, **options)
+    own.words = Watched()
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklmnopqrstuvwxyz" for c in range(200)]
+    ids, counts = own.encode_words(words)
+    want = tokenizer.words.encode_batch(words, add_special_tokens=False)
+    assert ids.tolist() == [i for e in want for i in e.ids] and counts.tolist() == [len(e.ids) for e in want]
+    assert len(sizes) > 1 and max(sizes) <= _bpe.AT_ONCE
+    assert "whole" not in vars(own)  # no second copy of the vocabulary
+
+
 def test_shards_round_trip(spark, make_docs, tokenizer, monkeypatch):
     monkeypatch.setattr(token_store, "SAMPLE_DOCS", 300)
     rows = corpus()
