@@ -167,22 +167,28 @@ def _contractions(codes, kind, start) -> None:
 
 
 class IdCache:
-    """Ids of words seen by this worker; emptied when it holds ``limit`` words,
-    so a worker's memory stays bounded (a dropped word is encoded again)."""
+    """Ids of words seen by this worker; emptied when it holds ``limit`` words, or
+    16 characters for each, so a worker's memory stays bounded (a dropped word is
+    encoded again).  The limit is that of many pieces of text: a cache that a few
+    pieces fill is emptied before their words come again."""
 
-    def __init__(self, tokenizer: WordTokenizer, limit: int = 150_000):
+    def __init__(self, tokenizer: WordTokenizer, limit: int = 600_000):
         self.tokenizer, self.limit = tokenizer, limit
         self.clear()
 
     def clear(self):
         self.number: dict[str, int] = {}
+        self.chars = 0
         self.flat = np.empty(1 << 16, np.uint32)
         self.bounds = np.zeros(1 << 16, np.int64)
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        if len(self.number) + len(words) > self.limit:
-            self.clear()
         new = list(dict.fromkeys(w for w in words if w not in self.number))
+        chars = sum(map(len, new))
+        if self.number and (len(self.number) + len(new) > self.limit or self.chars + chars > 16 * self.limit):
+            self.clear()
+            new = list(dict.fromkeys(words))
+            chars = sum(map(len, new))
         if new:
             ids, lengths = self.tokenizer.encode_words(new)
             at = len(self.number)
@@ -192,6 +198,7 @@ class IdCache:
             self.flat = _grown(self.flat, used + len(ids))
             self.flat[used:used + len(ids)] = ids
             self.number.update(zip(new, range(at, at + len(new))))
+            self.chars += chars
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
     def ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -122,6 +122,26 @@ def test_words_that_repeat_in_a_batch(tokenizer):
             e.ids for e in tokenizer.whole.encode_batch(words, add_special_tokens=False)]
 
 
+def test_words_of_many_pieces_are_encoded_once():
+    from seqtally.llm._bpe import IdCache
+    encoded = []
+
+    class Lengths:
+        def encode_words(self, words):
+            encoded.extend(words)
+            return np.array([len(w) for w in words], np.uint32), np.ones(len(words), np.int64)
+    cache = IdCache(Lengths())
+    pieces = [[f"{k} {i}" for i in range(70_000)] for k in range(5)]
+    for piece in [*pieces, *pieces]:
+        ids, _ = cache.ids(cache.numbers(piece))
+        assert ids.tolist() == [len(w) for w in piece]
+    assert len(encoded) == 350_000
+    cache = IdCache(Lengths(), limit=10)  # long words fill it too
+    for c in "abcd":
+        assert cache.ids(cache.numbers([c * 100, c]))[0].tolist() == [100, 1]
+        assert sum(map(len, cache.number)) <= 160
+
+
 def test_empty_tables(spark, make_docs):
     assert token_store.token_file_table(spark, make_docs([]), PATH, 2).count() == 0
     assert bpe_table.bpe_digests(make_docs([]), PATH).count() == 0
